@@ -1,0 +1 @@
+"""sitespark.streaming"""
