@@ -1,7 +1,7 @@
 """Chunks of tokenised documents, and an exchange that sums values by 64-bit key and answers every chunk.
 
 A corpus-wide count for each distinct token or n-gram, looked up again for each occurrence, is two large shuffles if
-each occurrence is a row. Here documents are first written as chunks of about a million tokens: sorted distinct word
+each occurrence is a row. Here documents are first written as chunks of about a quarter million tokens: sorted distinct word
 hashes, and for each token the place of its word. A chunk asks with its sorted distinct keys and their counts, packed and
 dealt to buckets by range of the key; a bucket sums and answers each chunk in the order it asked. What is shuffled grows
 with the distinct keys of a chunk and takes a few bytes each, and no key, however frequent, is more than one entry per
@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, blocks, pack, pack_sorted, raw_texts, shuffle_partitions, unpack, unpack_sorted
+from .common import WordHashes, blocks, pack, pack_sorted, raw_texts, release, shuffle_partitions, unpack, unpack_sorted
 
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 18
 #: Keys that one bucket of an exchange holds in memory, about.
-BUCKET_KEYS = 4_000_000
+BUCKET_KEYS = 1_000_000
 
 
 class Chunk:
@@ -69,6 +69,8 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, flag=None) -> DataFra
             words.trim()
         if ids:
             yield row()
+        words.clear()
+        release()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), (F.lit(False) if flag is None else F.coalesce(flag, F.lit(False))).alias("flag"))
     return rows.mapInArrow(run, "chunk string, n_tokens long, ids array<long>, flags array<boolean>, lengths binary, vocabulary binary, places binary")
@@ -95,6 +97,7 @@ def exchange(chunks: DataFrame, ask: Callable[[Chunk], dict[int, tuple[np.ndarra
                         yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(c), pa.array(k, pa.int32()), pa.array(x, pa.binary()), pa.array(y, pa.binary())], ["bucket", "chunk", "kind", "keys", "counts"])
 
     def answer(table: pa.Table) -> pa.Table:
+        release()
         kinds = table.column("kind").to_pylist()
         names, buckets = table.column("chunk").to_pylist(), table.column("bucket").to_pylist()
         keys, counts = table.column("keys").to_pylist(), table.column("counts").to_pylist()
@@ -136,6 +139,7 @@ def with_answers(chunks: DataFrame, answers: DataFrame, run: Callable[[Chunk, pa
     """Each chunk beside its answers. Chunks are of bounded size, and so are the groups."""
 
     def both(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         return run(Chunk(left.to_pylist()[0]), right)
 
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(both, schema)

@@ -88,7 +88,7 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, kept for the frequent ones; call trim() between batches to bound memory."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         import xxhash
 
         super().__init__()
@@ -121,3 +121,14 @@ def blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the system, since workers outlive their tasks."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

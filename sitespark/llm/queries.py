@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard_join, langid, mixing
+from . import bpe, exact_dedup, jaccard_join, katz, langid, maxscore, mixing, secret_scan, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,5 +72,50 @@ SELECT doc_id, size, source_size, target,
 FROM e
 """
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_jaccard_join": op3_jaccard_join, "op5_exact_dedup": op5_exact_dedup, "op8_language_id": op8_language_id, "op10_mix": op10_mix}
-ORACLE_SQL = {"op5_exact_dedup": OP5_SQL, "op10_mix": OP10_SQL}
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = katz.score_texts(table(spark, sf_dir, "documents"), langid.learns("doc_id", 7, 2))
+    return out.withColumn("held_out", ~F.col("learned")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", "n_novel")
+
+
+def op6_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+OP6_SQL = """
+WITH e AS (SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM e q JOIN e c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive(table(spark, sf_dir, "pages"))
+    return out.select(F.col("id").alias("page_id"), F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to FROM f
+"""
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn = langid.learns("doc_id", 5, 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(learn)
+    model = toxicity.fit_toxicity(toxicity.labelled_rows(docs, labels))
+    out = toxicity.score_toxicity(docs, model)
+    return out.select("doc_id", (~learn).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_katz, op3_jaccard_join, op4_secret_scan, op5_exact_dedup, op6_maxscore, op7_warc, op8_language_id, op9_toxicity, op10_mix)}
+ORACLE_SQL = {"op5_exact_dedup": OP5_SQL, "op6_maxscore": OP6_SQL, "op7_warc": OP7_SQL, "op10_mix": OP10_SQL}
