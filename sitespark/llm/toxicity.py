@@ -34,12 +34,14 @@ def windows(text: bytes, size: int = WINDOW_BYTES) -> list[bytes]:
 class Distance:
     """Bytes by which a window compresses better with the toxic dictionary than with the ordinary one."""
 
-    def __init__(self, ordinary: bytes, toxic: bytes, level: int = 1):
+    def __init__(self, ordinary: bytes, toxic: bytes):
+        # matches of 6 bytes or more: shorter ones say little, as any text shares them
+        how = zstandard.ZstdCompressionParameters.from_level(3, min_match=6, strategy=zstandard.STRATEGY_FAST, hash_log=16, chain_log=16, search_log=4, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.compress = []
         for content in (ordinary, toxic):
-            primed = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            primed.precompute_compress(level=level)
-            self.compress.append(zstandard.ZstdCompressor(level=level, dict_data=primed, write_checksum=False, write_content_size=False, write_dict_id=False).compress)
+            primed = zstandard.ZstdCompressionDict(content)  # a trained one has entropy tables too
+            primed.precompute_compress(compression_params=how)
+            self.compress.append(zstandard.ZstdCompressor(dict_data=primed, compression_params=how).compress)
 
     def gains(self, text: str) -> np.ndarray:
         plain, toxic = self.compress
@@ -47,9 +49,9 @@ class Distance:
 
 
 def features(gains: np.ndarray) -> list[float]:
-    """The best window's gain, and that of the second best."""
-    top = np.sort(gains)[::-1]
-    return [float(top[0]) if len(top) else 0.0, float(max(top[1], 0)) if len(top) > 1 else 0.0]
+    """The best window's gain, the next two's, and the logarithm of the number of windows, among which chance has its pick."""
+    top = np.concatenate([np.sort(gains)[::-1], np.zeros(3)])[:3]
+    return [float(top[0]), float(np.maximum(top[1:], 0).sum()), float(np.log1p(len(gains)))]
 
 
 def segments(words: set[bytes], least: int = 5, most: int = 14) -> set[bytes]:
@@ -57,14 +59,14 @@ def segments(words: set[bytes], least: int = 5, most: int = 14) -> set[bytes]:
     return {b" " + w[:n] for w in words for n in range(least - 1, min(most, len(w)) + 1)} | {b" " + w + b" " for w in words if 3 <= len(w) <= most}
 
 
-def train(sample: list[tuple[str, int]], size: int = 24_576, toxic_size: int = 4096) -> tuple[bytes, bytes]:
+def train(sample: list[tuple[str, int]], size: int = 24_576, toxic_size: int = 2048, least_share: float = 0.015) -> tuple[bytes, bytes]:
     """The ordinary dictionary (zstandard's own training on ordinary windows) and the toxic one: the same content, and
-    after it, where matches are cheapest, the segments that toxic documents have far more often than ordinary ones. As
-    they share all else, a window without such a segment compresses alike with either."""
+    after it, where matches are cheapest, the segments that toxic documents have far more often than ordinary ones, in
+    least_share of them or more (a text counts once, however many copies the sample has). As they share all else, a window without such a segment compresses alike with either."""
     count = [Counter(), Counter()]
     n = [0, 0]
     ordinary = []
-    for text, toxic in sample:
+    for text, toxic in dict.fromkeys(sample):
         raw = text.lower().encode()
         words = set(raw.split())
         words |= {w.strip(b".,;:!?\"'()[]") for w in words}
@@ -79,8 +81,8 @@ def train(sample: list[tuple[str, int]], size: int = 24_576, toxic_size: int = 4
     told = []
     for s, k in count[1].items():
         ratio = ((k + 0.5) / (n[1] + 1)) / ((count[0][s] + 0.5) / (n[0] + 1))
-        if k >= max(3, n[1] // 400) and ratio >= 20:
-            told.append((k * math.log(ratio) * len(s), s))
+        if k >= max(3, least_share * n[1]) and ratio >= 20:
+            told.append((k * math.log(ratio) * math.sqrt(len(s)), s))
     picked: list[bytes] = []
     used = 0
     for _, s in sorted(told, reverse=True):
@@ -89,7 +91,8 @@ def train(sample: list[tuple[str, int]], size: int = 24_576, toxic_size: int = 4
         if not any(s in p for p in picked):
             picked.append(s)
             used += len(s)
-    return base, base + b"".join(reversed(picked))
+    own = b"".join(reversed(picked))
+    return base + own.upper().translate(bytes(range(128)) + b"\xff" * 128), base + own
 
 
 def calibrate(x: np.ndarray, y: np.ndarray) -> list[float]:
