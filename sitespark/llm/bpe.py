@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, texts
+from .common import blocks, small_batches, texts
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -159,6 +159,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
     they are; special tokens are ordinary text; other columns are ignored, so no name can clash. Ids decode to the
     text's UTF-8 exactly.
     """
+    small_batches(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,6 +31,7 @@ class Work:
     """Tables that cut lineage: Parquet in the shared folder, read again by whoever needs them."""
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark, self.root = spark, f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
@@ -50,6 +51,16 @@ class Work:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Send at most so many rows to Python at a time: a batch of 10,000 long texts or packed chunks, the default, takes its
+    memory several times over in the JVM's buffers, the pipe and the worker. The session keeps the setting, as plans are
+    run after the operator has returned."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

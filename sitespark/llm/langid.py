@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, texts
+from .common import blocks, small_batches, texts
 
 
 class SuffixAutomaton:
@@ -143,6 +143,7 @@ def identify_languages(docs: DataFrame, model: dict[str, list[str]], id_col: str
     Repeated rows and null ids are kept; other columns are ignored.
     """
     langs = sorted(model)
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, texts
+from .common import blocks, small_batches, texts
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -99,6 +99,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     is empty and has no spans; repeated rows and null ids are kept; other columns are ignored.
     """
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty()
         for batch in blocks(batches, 500):

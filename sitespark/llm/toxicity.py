@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, texts
+from .common import blocks, small_batches, texts
 from .langid import bounded_sample
 
 WINDOW_BYTES = 192
@@ -145,6 +145,7 @@ def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
     No shuffle; the broadcast model is two dictionaries of at most 30 KB each. Null and empty texts have gain 0 and the score
     that goes with it; repeated rows and null ids are kept; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
