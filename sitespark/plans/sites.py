@@ -231,12 +231,12 @@ def status_crosstab(spark, d):
 
 
 @query("""
-SELECT n_nationkey, count(*) AS n, round(quantile_cont(c_acctbal, 0.5), 2) AS median, round(quantile_cont(c_acctbal, 0.9), 2) AS p90, round(stddev_samp(c_acctbal), 2) AS sd
+SELECT n_nationkey, count(*) AS n, round(quantile_cont(c_acctbal, 0.5), 4) AS median, round(quantile_cont(c_acctbal, 0.9), 4) AS p90, round(stddev_samp(c_acctbal), 2) AS sd
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1 HAVING count(*) >= 3 ORDER BY median DESC, 1 LIMIT 20
 """)
 def group_percentiles(spark, d):
     c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    g = c.groupBy("n_nationkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.percentile("c_acctbal", 0.5), 2).alias("median"), F.round(F.percentile("c_acctbal", 0.9), 2).alias("p90"), F.round(F.stddev_samp("c_acctbal"), 2).alias("sd"))
+    g = c.groupBy("n_nationkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.percentile("c_acctbal", 0.5), 4).alias("median"), F.round(F.percentile("c_acctbal", 0.9), 4).alias("p90"), F.round(F.stddev_samp("c_acctbal"), 2).alias("sd"))
     return g.filter("n >= 3").orderBy(F.desc("median"), "n_nationkey").limit(20)
 
 
