@@ -78,7 +78,7 @@ def _sketch(width: int, percent: int):
                 rows.append((key, n, digest, [], None, None, None))
                 continue
             second, third = np.lexsort((ranks[1], often))[:p], np.argsort(ranks[2])[:p]
-            rows.append((key, n, digest, shared.astype(np.int64), np.sort(own[second]).astype("<u4").tobytes(), np.sort(own[third]).astype("<u4").tobytes(), pack_sorted(own)))
+            rows.append((key, n, digest, shared.astype(np.int64), np.sort(own[second].astype("<u4")).tobytes(), np.sort(own[third].astype("<u4")).tobytes(), pack_sorted(own)))
         types = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["id", "n", "digest", "prefix", "second", "third", "shingles"])
 
