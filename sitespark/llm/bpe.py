@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import re
+import uuid
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -21,78 +23,66 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(bytes.strip, f))}
 
 
-class RankQueue:
-    """Positions waiting by merge rank. Three bitmap levels of 64-bit words find the least occupied rank."""
-
-    def __init__(self):
-        self.buckets: dict[int, list[int]] = {}
-        self.low: dict[int, int] = {}
-        self.mid: dict[int, int] = {}
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        a, b = rank >> 6, rank >> 12
-        self.low[a] = self.low.get(a, 0) | 1 << (rank & 63)
-        self.mid[b] = self.mid.get(b, 0) | 1 << (a & 63)
-        self.top |= 1 << b
-
-    def pop(self) -> tuple[int, int] | None:
-        """The leftmost position of the least rank."""
-        if not self.top:
-            return None
-        b = (self.top & -self.top).bit_length() - 1
-        word = self.mid[b]
-        a = b << 6 | (word & -word).bit_length() - 1
-        word = self.low[a]
-        rank = a << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            self.low[a] &= ~(1 << (rank & 63))
-            if not self.low[a]:
-                self.mid[b] &= ~(1 << (a & 63))
-                if not self.mid[b]:
-                    self.top &= ~(1 << b)
-        return rank, position
-
-
 def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
-    """Ids of one pre-token: repeatedly merge the leftmost pair of least rank. Time n log n, so that long pieces are fine."""
+    """Ids of one pre-token: repeatedly merge the leftmost pair of least rank. Time n log n, so that long pieces are fine.
+
+    Positions wait in a bucket for each merge rank. A bitmap in two levels of 256-bit words marks the occupied buckets,
+    and the least set bit of the upper word, then of the lower one, is the next rank. Tokens are a linked list
+    (after, before); an entry whose pair has changed since it was queued is stale and is skipped. All in one function, as
+    calls would take most of the time.
+    """
     if (whole := ranks.get(piece)) is not None:
         return [whole]
-    n = len(piece)
+    n, rank_of = len(piece), ranks.get
     after, before, pair = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
-    queue = RankQueue()
+    buckets: dict[int, list[int]] = {}
+    low: dict[int, int] = {}
+    top = 0
     for i in range(n - 1):
-        if (r := ranks.get(piece[i : i + 2])) is not None:
+        if (r := rank_of(piece[i : i + 2])) is not None:
             pair[i] = r
-            queue.push(r, i)
-    while (found := queue.pop()) is not None:
-        r, i = found
+            if r in buckets:
+                buckets[r].append(i)  # ascending: a heap
+            else:
+                buckets[r] = [i]
+                low[r >> 8] = low.get(r >> 8, 0) | 1 << (r & 255)
+                top |= 1 << (r >> 8)
+    while top:
+        high = (top & -top).bit_length() - 1
+        word = low[high]
+        r = high << 8 | (word & -word).bit_length() - 1
+        bucket = buckets[r]
+        if len(bucket) == 1:
+            i = bucket[0]
+            del buckets[r]
+            low[high] = word = word & (word - 1)
+            if not word:
+                top &= top - 1
+        else:
+            i = heappop(bucket)
         if pair[i] != r:
-            continue  # stale: the position was merged away or its pair has changed
+            continue
         j = after[i]
         end = after[i] = after[j]
-        pair[j] = -1
+        pair[j] = pair[i] = -1
+        changed = []
         if end < n:
             before[end] = i
-            stop = after[end]
-            new = ranks.get(piece[i:stop]) if stop - i <= longest else None
-            pair[i] = -1 if new is None else new
-            if new is not None:
-                queue.push(new, i)
-        else:
-            pair[i] = -1
+            changed.append((i, after[end]))
         if (p := before[i]) >= 0:
-            new = ranks.get(piece[p:end]) if end - p <= longest else None
-            pair[p] = -1 if new is None else new
-            if new is not None:
-                queue.push(new, p)
+            changed.append((p, end))
+        for at, stop in changed:
+            new = rank_of(piece[at:stop]) if stop - at <= longest else None
+            if new is None:
+                pair[at] = -1
+            else:
+                pair[at] = new
+                if new in buckets:
+                    heappush(buckets[new], at)
+                else:
+                    buckets[new] = [at]
+                    low[new >> 8] = low.get(new >> 8, 0) | 1 << (new & 255)
+                    top |= 1 << (new >> 8)
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : after[i]]])
@@ -107,7 +97,7 @@ class Encoder:
     are looked up as a whole; texts with other runs of white space go through the pattern in full.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 500_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 800_000):
         import regex
 
         self.ranks, self.most, self.longest = ranks, most, max(map(len, ranks), default=0)
@@ -119,7 +109,8 @@ class Encoder:
     def piece(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
         if got is None:
-            got = np.array(encode_piece(piece.encode(), self.ranks, self.longest), "<u4").tobytes()
+            ids = encode_piece(piece.encode(), self.ranks, self.longest)
+            got = pack(f"<{len(ids)}I", *ids)
             if len(piece) < 64:
                 self.pieces[piece] = got
         return got
@@ -140,6 +131,17 @@ class Encoder:
                 kept.clear()
 
 
+_LAST: dict[str, Encoder] = {}
+
+
+def worker_encoder(key: str, ranks: dict[bytes, int], pattern: str) -> Encoder:
+    """The encoder that this Python worker used last, if it is the same, with what it has looked up already."""
+    if key not in _LAST:
+        _LAST.clear()
+        _LAST[key] = Encoder(ranks, pattern)
+    return _LAST[key]
+
+
 class _AfterSpace(dict):
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
@@ -162,8 +164,10 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
     small_batches(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
 
+    key = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks.value, pattern)
+        encoder = worker_encoder(key, ranks.value, pattern)
         tokens = {rank: token for token, rank in ranks.value.items()}
         for batch in blocks(batches, 500):
             ids = [encoder.encode(t) for t in texts(batch, 1)]
