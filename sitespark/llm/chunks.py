@@ -23,6 +23,8 @@ from .common import WordHashes, blocks, pack, pack_sorted, raw_texts, release, s
 CHUNK_TOKENS = 1 << 18
 #: Keys that one bucket of an exchange holds in memory, about.
 BUCKET_KEYS = 1_000_000
+#: Totals that histograms tell apart.
+COUNTED = 7
 
 
 class Chunk:
@@ -82,6 +84,8 @@ def exchange(chunks: DataFrame, ask: Callable[[Chunk], dict[int, tuple[np.ndarra
     ask gives for each kind sorted distinct unsigned 64-bit keys and a count (32-bit) for each. totals are the sums over
     all chunks, packed, in the order of the keys; owned marks the keys that this chunk is the first to count, so that
     something can be summed over distinct keys. A bucket is a range of keys, and buckets grow in number with n_tokens.
+    With owners, a row without a chunk's name has each bucket's histogram: how many keys have a total of 0 to COUNTED - 1
+    (or more, in the last place), and the sums of their totals.
     """
     n = max(shuffle_partitions(chunks.sparkSession), -(-n_tokens // BUCKET_KEYS))
     bounds = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
@@ -112,6 +116,8 @@ def exchange(chunks: DataFrame, ask: Callable[[Chunk], dict[int, tuple[np.ndarra
             if owners:
                 counted = np.flatnonzero(values)
                 owned[counted[np.unique(at[counted], return_index=True)[1]]] = True
+                capped = np.minimum(totals, COUNTED)
+                out.append(("", kind, buckets[rows[0]], pack(np.concatenate([np.bincount(capped, minlength=COUNTED + 1), np.bincount(capped, totals, COUNTED + 1).astype(np.int64)])), b""))
             cut = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
             for k, i in enumerate(rows):
                 own = slice(cut[k], cut[k + 1])
@@ -142,4 +148,4 @@ def with_answers(chunks: DataFrame, answers: DataFrame, run: Callable[[Chunk, pa
         release()
         return run(Chunk(left.to_pylist()[0]), right)
 
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(both, schema)
+    return chunks.groupBy("chunk").cogroup(answers.filter("chunk != ''").groupBy("chunk")).applyInArrow(both, schema)

@@ -97,16 +97,20 @@ def _model(counts: DataFrame) -> Model:
     return Model(int(total), int(kinds), d1, discounts(n2), float(1 - kept / (total + ones)) if total else 1.0, bool(ones))
 
 
-def _counts_of_counts(chunk: Chunk, table: pa.Table) -> pa.Table:
-    _, _, _, words, _, pairs, _ = _keys(chunk)
-    got = answers_of(table, {UNIGRAM: len(words), BIGRAM: len(pairs)})
-    rows = []
-    for kind, (totals, owned) in got.items():
-        own = totals[owned & (totals > 0)]
-        r, k = np.unique(np.minimum(own, LIMIT + 2), return_counts=True)
-        rows += [(kind, int(a), int(b), int(own[np.minimum(own, LIMIT + 2) == a].sum())) for a, b in zip(r, k, strict=True)]
-    columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-    return pa.table([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[1:])], names=["kind", "count", "ngrams", "tokens"])
+def _histograms(answers: DataFrame) -> DataFrame:
+    """The buckets' histograms as rows for _model; 2 * (COUNTED + 1) for each bucket, summed before the driver sees them."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for kind, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ngrams, tokens = unpack(data, np.int64).reshape(2, -1)
+                rows += [(kind, r, int(k), int(t)) for r, (k, t) in enumerate(zip(ngrams, tokens, strict=True)) if r and k]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[1:])], ["kind", "count", "ngrams", "tokens"])
+
+    found = answers.filter("chunk = ''").select("kind", "totals").mapInArrow(run, "kind int, count long, ngrams long, tokens long")
+    return found.groupBy("kind", "count").agg(F.sum("ngrams"), F.sum("tokens"))
 
 
 def _ask_contexts(model: Model, buckets: int):
@@ -196,8 +200,7 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     chunks = work.save("chunks", tokenised(docs, id_col, text_col, learn))
     n_tokens = chunks.agg(F.sum(F.col("n_tokens") + F.size("ids"))).first()[0] or 0
     answers = work.save("counts", exchange(chunks, _ask, 2 * n_tokens, owners=True))
-    by = with_answers(chunks, answers, _counts_of_counts, "kind int, count long, ngrams long, tokens long")
-    model = _model(by.groupBy("kind", "count").agg(F.sum("ngrams"), F.sum("tokens")))
+    model = _model(_histograms(answers))
     buckets = max(shuffle_partitions(spark), n_tokens // 1_000_000)
     asked = with_answers(chunks, answers, _ask_contexts(model, buckets), "chunk string, bucket int, contexts binary, mass binary, whole binary, lower binary")
     weights = asked.groupBy("bucket").applyInArrow(_weigh(model), "chunk string, bucket int, totals binary, owned binary")
