@@ -394,12 +394,12 @@ def cleaned_pixels(spark, d):
 @query("""
 WITH p AS (SELECT event_id // 256 AS r, event_id % 256 AS c, value AS v FROM events),
 z AS (SELECT n_nationkey AS zone, n_nationkey * 10 AS xmin, 0 AS ymin, n_nationkey * 10 + 8 AS xmax, 30 + n_regionkey AS ymax FROM nation)
-SELECT zone, count(v) AS n, round(avg(v), 4) AS mean, max(v) AS most FROM z LEFT JOIN p ON c + 0.5 > xmin AND c + 0.5 < xmax AND r + 0.5 > ymin AND r + 0.5 < ymax GROUP BY 1
+SELECT zone, count(v) AS n, round(avg(v), 10) AS mean, max(v) AS most FROM z LEFT JOIN p ON c + 0.5 > xmin AND c + 0.5 < xmax AND r + 0.5 > ymin AND r + 0.5 < ymax GROUP BY 1
 """)
 def zonal_stats(spark, d):
     n = F.col("n_nationkey")
     z = table(spark, d, "nation").select(n.alias("zone"), (n * 10).alias("xmin"), F.lit(0).alias("ymin"), (n * 10 + 8).alias("xmax"), (30 + F.col("n_regionkey")).alias("ymax"))
-    return raster.zonal(pixels(spark, d), z, "zone").select("zone", "n", F.round("mean", 4).alias("mean"), "most")
+    return raster.zonal(pixels(spark, d), z, "zone").select("zone", "n", F.round("mean", 10).alias("mean"), "most")
 
 
 @query("""
