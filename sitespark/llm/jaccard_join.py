@@ -47,7 +47,10 @@ def _sets(chunk: Chunk, width: int) -> list[np.ndarray]:
 def _ask(width: int):
     def ask(chunk: Chunk):
         sets = _sets(chunk, width)
-        return {0: np.unique(np.concatenate(sets), return_counts=True)} if sets else {}
+        if not sets:
+            return {}
+        keys, counts = np.unique(np.concatenate(sets), return_counts=True)
+        return {0: (keys << np.uint64(64 - SHINGLE_BITS), counts)}  # an exchange deals its buckets over all 64 bits
 
     return ask
 
