@@ -144,6 +144,40 @@ def clip_to_box(ring: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Co
     return clip(ring, *[v.cast("double") for v in (xmin, ymin, xmax, ymax)])
 
 
+def hull_ring(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Counter-clockwise convex hull, closed; vertices on its edges are left out. Points on one line, or fewer than three: empty."""
+    ordered, sides = sorted(set(points)), []
+    for run in (ordered, ordered[::-1]):
+        side: list[tuple[float, float]] = []
+        for x, y in run:
+            while len(side) > 1 and (side[-1][0] - side[-2][0]) * (y - side[-2][1]) <= (side[-1][1] - side[-2][1]) * (x - side[-2][0]):
+                side.pop()
+            side.append((x, y))
+        sides += side[:-1]
+    return [*sides, sides[0]] if len(sides) > 2 else []
+
+
+def convex_hull(ring: Column) -> Column:
+    """hull_ring on Arrow batches; null stays null."""
+
+    @F.pandas_udf("array<struct<x:double,y:double>>")
+    def hull(rings: pd.Series) -> pd.Series:
+        return pd.Series([None if r is None else [{"x": x, "y": y} for x, y in hull_ring([(p["x"], p["y"]) for p in r])] for r in rings], dtype=object)
+
+    return hull(ring)
+
+
+def hull_area(ring: Column, hull: Column) -> Column:
+    """Area of the convex hull, no less than the ring's own."""
+    return F.greatest(area(hull), area(ring))
+
+
+def hull_ratio(ring: Column, hull: Column) -> Column:
+    """Share of its convex hull that a ring fills; 1 where the hull has no area, null for a null ring."""
+    whole = hull_area(ring, hull)
+    return F.when(ring.isNotNull(), F.when(whole > 0, area(ring) / whole).otherwise(1.0))
+
+
 def wkt(ring: Column) -> Column:
     return F.concat(F.lit("POLYGON (("), F.array_join(F.transform(ring, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))), ", "), F.lit("))"))
 

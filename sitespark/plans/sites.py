@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import geometry, rules
 from ..operators import raster, relational, spatial
 
 QUERIES: dict = {}
@@ -434,3 +434,14 @@ def aligned_union(spark, d):
     a = table(spark, d, "customer").filter("c_custkey < 100").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))
     b = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
     return relational.union_aligned([a, b], ["id", "balance", "name"])
+
+
+@query("WITH l AS (SELECT p_partkey, (100 + p_partkey % 50)::DOUBLE AS s, (p_partkey % 90)::DOUBLE AS t FROM part) SELECT p_partkey, s * s - t * t AS site_area, s * s - t * t / 2 AS hull_area, (s * s - t * t) / (s * s - t * t / 2) AS filled FROM l")
+def hull_fill(spark, d):
+    """Squares without one corner, and how much of their convex hulls they fill."""
+    s, t, k, zero = F.col("s"), F.col("t"), F.col("p_partkey"), F.lit(0)
+    corners = table(spark, d, "part").select(k, (100 + k % 50).alias("s"), (k % 90).alias("t"))
+    ring = F.array(*(geometry.point(x, y) for x, y in ((zero, zero), (s, zero), (s, s - t), (s - t, s - t), (s - t, s), (zero, s), (zero, zero))))
+    shapes = corners.select(k, ring.alias("ring")).withColumn("hull", geometry.convex_hull(F.col("ring")))
+    ring, hull = F.col("ring"), F.col("hull")
+    return shapes.select(k, geometry.area(ring).alias("site_area"), geometry.hull_area(ring, hull).alias("hull_area"), geometry.hull_ratio(ring, hull).alias("filled"))

@@ -103,3 +103,13 @@ def test_xlsx(spark, tmp_path):
     (tmp_path / "q.xlsx").write_bytes(data.getvalue())
     got = files.xlsx(spark, str(tmp_path / "q.xlsx"), ["a", "b", "c"], "Q", 1, r"^\d{2}INR").collect()
     assert [tuple(r) for r in got] == [("21INR1", None, "5")]
+
+
+def test_convex_hull(spark):
+    assert g.hull_ring([(0, 0), (2, 0), (1, 0), (2, 2), (1, 1), (0, 2), (0, 0)]) == [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
+    assert g.hull_ring([(0, 0), (1, 1), (2, 2), (0, 0)]) == [] == g.hull_ring([])
+    flat = F.array(*(g.point(F.lit(i), F.lit(i)) for i in (0, 1, 0)))
+    assert value(spark, g.hull_ratio(flat, g.convex_hull(flat))) == 1
+    none = F.lit(None).cast("array<struct<x:double,y:double>>")
+    assert value(spark, g.convex_hull(none)) is None
+    assert value(spark, g.hull_ratio(none, g.convex_hull(none))) is None
