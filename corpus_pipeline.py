@@ -20,7 +20,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.keep_one_of_each(docs, width=3, percent=90)
+    """One document of each group of near copies: five-word shingles, Jaccard 0.8 or more (op3_jaccard_join's contract has 3 and 90)."""
+    return jaccard_join.keep_one_of_each(docs, width=5, percent=80)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
