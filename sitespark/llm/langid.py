@@ -75,14 +75,15 @@ def letters_of(chunk: str) -> list[str]:
 def bounded_sample(rows: DataFrame, key: str, id_col: str, most: int, most_keys: int) -> DataFrame:
     """About `most` rows, and never more, for each of the most_keys commonest values of key, taken by hash of the id.
 
-    One aggregation counts the rows of each key; the rates it yields then filter the scan, so no rows are shuffled.
+    One aggregation counts the rows of each key; the rates it yields then filter the scan, so no rows are shuffled. _rate
+    is a row's.
     """
     counts = rows.groupBy(key).count().orderBy(F.desc("count"), key).limit(most_keys).collect()
     if not counts:
-        return rows.limit(0)
+        return rows.limit(0).withColumn("_rate", F.lit(0.0))
     rates = F.create_map(*[F.lit(x) for k, n in counts for x in (k, min(1.0, most / n))])
     unit = (F.xxhash64(F.lit("sample"), F.col(id_col)).bitwiseAND(F.lit((1 << 52) - 1))).cast("double") / float(1 << 52)
-    return rows.withColumn("_u", unit).filter(F.col("_u") < F.coalesce(F.element_at(rates, F.col(key)), F.lit(0.0)))
+    return rows.withColumn("_u", unit).withColumn("_rate", F.coalesce(F.element_at(rates, F.col(key)), F.lit(0.0))).filter("_u < _rate")
 
 
 def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = 400, most_langs: int = 100, model_chars: int = 40_000) -> dict[str, list[str]]:

@@ -112,7 +112,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learn = langid.learns("doc_id", 5, 0)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(learn)
-    model = toxicity.fit_toxicity(toxicity.labelled_rows(docs, labels))
+    model = toxicity.fit_toxicity(toxicity.labelled_rows(docs, labels), weight_col="weight")
     out = toxicity.score_toxicity(docs, model)
     return out.select("doc_id", (~learn).alias("held_out"), "score", "predicted")
 

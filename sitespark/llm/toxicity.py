@@ -95,42 +95,47 @@ def train(sample: list[tuple[str, int]], size: int = 24_576, toxic_size: int = 2
     return base + own.upper().translate(bytes(range(128)) + b"\xff" * 128), base + own
 
 
-def calibrate(x: np.ndarray, y: np.ndarray) -> list[float]:
-    """Weights of a logistic model, intercept first, by Newton's method with a small ridge."""
+def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> list[float]:
+    """Weights of a logistic model, intercept first, by Newton's method with a small ridge. Each row counts `weight`
+    times, once by default: 1 / its label's sampling rate makes the odds those of the rows that were sampled from."""
+    weight = np.ones(len(x)) if weight is None else weight / weight.mean()  # the ridge weighs the same on any table
     x = np.hstack([np.ones((len(x), 1)), x])
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + 0.1 * np.eye(len(w)), x.T @ (y - p) - 0.1 * w)
+        step = np.linalg.solve((x * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ x + 0.1 * np.eye(len(w)), x.T @ (weight * (y - p)) - 0.1 * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
     return w.tolist()
 
 
-def fit_toxicity(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id", sample_docs: int = 1500) -> dict:
+def fit_toxicity(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id", sample_docs: int = 1500, weight_col: str | None = None) -> dict:
     """Dictionaries and calibration from about sample_docs labelled documents of each label (1.5 times as many at most),
     whole texts, taken by hash of the id; this is what the driver receives. Two thirds train the dictionaries, and the
-    thresholds are calibrated on the others. Without documents of both labels every score is the share of toxic ones."""
-    rows = labelled.filter(F.col(label_col).isNotNull()).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), (F.col(label_col).cast("int") == 1).cast("int").alias("toxic"), F.col(id_col).alias("id"))
+    thresholds are calibrated on the others, where each document stands for as many of its label as the sample left out:
+    weight_col says how many rows a row of labelled stands for, 1 by default. Without documents of both labels every score is the share of toxic ones."""
+    rows = labelled.filter(F.col(label_col).isNotNull()).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), (F.col(label_col).cast("int") == 1).cast("int").alias("toxic"), F.col(id_col).alias("id"), (F.col(weight_col) if weight_col else F.lit(1.0)).alias("weight"))
     taken = sorted((hash_of(t), t, y) for t, y in map(tuple, bounded_sample(rows, "toxic", "id", sample_docs, 2).select("text", "toxic").collect()))
     sample = [(t, y) for _, t, y in taken][: 3 * sample_docs]
     toxic = sum(y for _, y in sample)
     if not 0 < toxic < len(sample):
         return {"ordinary": b"", "toxic": b"", "weights": [], "share": toxic / len(sample) if sample else 0.0}
+    stand_for = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.sum("weight").alias("n")).collect()}
+    weight = np.array([stand_for[0] / (len(sample) - toxic), stand_for[1] / toxic])
     cut = -(-2 * len(sample) // 3)
     ordinary, told = train(sample[:cut])
     distance = Distance(ordinary, told)
     x, y = np.array([features(distance.gains(t)) for t, _ in sample[cut:]]), np.array([float(y) for _, y in sample[cut:]])
-    return {"ordinary": ordinary, "toxic": told, "weights": calibrate(x, y) if len(x) else [], "share": toxic / len(sample)}
+    return {"ordinary": ordinary, "toxic": told, "weights": calibrate(x, y, weight[y.astype(int)]) if len(x) else [], "share": toxic / len(sample)}
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text", sample_docs: int = 1500) -> DataFrame:
-    """id, text, label of a bounded sample of the labels: about 1.3 * sample_docs rows of each label, taken by hash of the
-    id before the join, so that it can be broadcast and texts aren't shuffled."""
+    """id, text, label, weight of a bounded sample of the labels: about 1.3 * sample_docs rows of each label, taken by hash
+    of the id before the join, so that it can be broadcast and texts aren't shuffled. weight is 1 / the label's sampling rate."""
     told = labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col))
-    told = bounded_sample(told, label_col, "_id", round(1.3 * sample_docs), 2).select("_id", label_col)
-    return docs.select(id_col, text_col).join(F.broadcast(told), F.col(id_col) == F.col("_id")).select(id_col, text_col, label_col)
+    told = bounded_sample(told, label_col, "_id", round(1.3 * sample_docs), 2).select("_id", label_col, (1 / F.col("_rate")).alias("weight"))
+    return docs.select(id_col, text_col).join(F.broadcast(told), F.col(id_col) == F.col("_id")).select(id_col, text_col, label_col, "weight")
 
 
 def hash_of(text: str) -> int:
