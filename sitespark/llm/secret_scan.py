@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -69,22 +70,35 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out + [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
 
 
-def novel_spans(text: str, base: list[tuple[str, int, int]], novelty: Novelty, before: int = 48, least_bits: float = 5.0) -> list[tuple[str, int, int]]:
-    """Strings of 16 or more characters with letters and digits, shortly after a sensitive word, that add least_bits or
-    more for each character, and that no base span overlaps."""
+def novel_spans(text: str, base: list[tuple[str, int, int]], novelty: Novelty, least_bits: float = 5.0) -> list[tuple[str, int, int]]:
+    """Strings of 16 or more characters with letters and digits that have a sensitive word on either side, as near as
+    novelty looks, that add least_bits or more for each character, and that no base span overlaps. A string that is not
+    such itself but has a sensitive word in it ('auth=...') is also tried from that word on, and in parts between words."""
     out: list[tuple[str, int, int]] = []
-    low, done = text.lower(), 0
+    low = text.lower()
     if not any(w in low for w in CONTEXT_WORDS):
         return out
-    for c in CONTEXT.finditer(text):
-        at = max(c.end(), done)
-        while (found := CANDIDATE.search(text, at, min(len(text), c.end() + before + 16))) and found.start() <= c.end() + before:
-            start, end = CANDIDATE.match(text, found.start()).span()
-            at = done = end
-            own = text[start:end]
-            if re.search("[0-9]", own) and re.search("[A-Za-z]", own) and not any(s < end and start < e for _, s, e in base) and novelty.bits(text, start, end) >= least_bits:
-                out.append(("novel", start, end))
-    return out
+    said = [m.span() for m in CONTEXT.finditer(text)]
+    starts, ends = [s for s, _ in said], [e for _, e in said]
+
+    def novel(start: int, end: int) -> bool:
+        own = text[start:end]
+        return end - start >= 16 and bool(re.search("[0-9]", own) and re.search("[A-Za-z]", own)) and not any(s < end and start < e for _, s, e in base) and novelty.bits(text, start, end) >= least_bits
+
+    for m in CANDIDATE.finditer(text) if said else ():
+        start, end = m.span()
+        first, last = bisect_right(ends, start), bisect_left(starts, end)  # the words from first to before last are in it
+        near = (first and starts[first - 1] >= start - novelty.around) or (last < len(said) and ends[last] <= end + novelty.around)
+        if near and novel(start, end):
+            out.append(("novel", start, end))
+        elif first < last:
+            if novel(ends[first], end):
+                out.append(("novel", ends[first], end))
+                end = starts[first]
+                last = first
+            edges = [start, *(x for span in said[first:last] for x in span), end]
+            out += [("novel", s, e) for s, e in zip(edges[::2], edges[1::2]) if novel(s, e)]
+    return sorted(out, key=lambda x: x[1])
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
