@@ -72,13 +72,14 @@ def letters_of(chunk: str) -> list[str]:
     return "".join(c if c.isalpha() else " " for c in chunk).split()
 
 
-def bounded_sample(rows: DataFrame, key: str, id_col: str, most: int, most_keys: int) -> DataFrame:
-    """About `most` rows, and never more, for each of the most_keys commonest values of key, taken by hash of the id.
+def bounded_sample(rows: DataFrame, key: str, id_col: str, most: int, most_keys: int | None = None) -> DataFrame:
+    """About `most` rows, and never more, for each value of key, or of the most_keys commonest ones, taken by hash of the id.
 
     One aggregation counts the rows of each key; the rates it yields then filter the scan, so no rows are shuffled. _rate
     is a row's.
     """
-    counts = rows.groupBy(key).count().orderBy(F.desc("count"), key).limit(most_keys).collect()
+    counts = rows.groupBy(key).count().orderBy(F.desc("count"), key)
+    counts = (counts if most_keys is None else counts.limit(most_keys)).collect()
     if not counts:
         return rows.limit(0).withColumn("_rate", F.lit(0.0))
     rates = F.create_map(*[F.lit(x) for k, n in counts for x in (k, min(1.0, most / n))])
@@ -86,18 +87,22 @@ def bounded_sample(rows: DataFrame, key: str, id_col: str, most: int, most_keys:
     return rows.withColumn("_u", unit).withColumn("_rate", F.coalesce(F.element_at(rates, F.col(key)), F.lit(0.0))).filter("_u < _rate")
 
 
-def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = 400, most_langs: int = 100, model_chars: int = 40_000) -> dict[str, list[str]]:
+def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = 400, model_chars: int = 40_000, full_langs: int = 100) -> dict[str, list[str]]:
     """Words that stand for each language: those in most documents of a sample, up to model_chars characters.
 
-    The sample has about sample_docs labelled documents (1.5 times as many at most) of each of the most_langs commonest
-    languages, taken by hash of the id, whole texts; this is what the driver receives. Words of one document only are
-    left out where there are others. No labelled row gives an empty model.
+    Every language is learnt. The sample has about sample_docs labelled documents (1.5 times as many at most) of each,
+    taken by hash of the id, whole texts; this is what the driver receives. With more than full_langs languages,
+    sample_docs (20 at least) and model_chars (2,000 at least) shrink in proportion. Words of one document only are left
+    out where there are others. No labelled row gives an empty model.
     """
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
+    n_langs = rows.agg(F.count_distinct("lang")).first()[0]
+    if n_langs > full_langs:
+        sample_docs, model_chars = max(min(20, sample_docs), sample_docs * full_langs // n_langs), max(min(2000, model_chars), model_chars * full_langs // n_langs)
     seen: dict[str, Counter] = {}
     docs: Counter = Counter()
-    for lang, text in sorted(map(tuple, bounded_sample(rows, "lang", "id", sample_docs, most_langs).select("lang", "text").collect())):
+    for lang, text in sorted(map(tuple, bounded_sample(rows, "lang", "id", sample_docs).select("lang", "text").collect())):
         docs[lang] += 1
         if docs[lang] <= 1.5 * sample_docs:
             seen.setdefault(lang, Counter()).update({f" {w} " for chunk in text.lower().split() for w in letters_of(chunk)})
@@ -120,8 +125,8 @@ class _Parsed(dict):
     """For each chunk of a text the row in `table` that holds its letters and its phrases in each language."""
 
     def __init__(self, automata: list[SuffixAutomaton], most: int = 300_000):
-        self.automata, self.most = automata, most
-        self.table = np.zeros((most + 200_000, len(automata) + 1), np.float32)
+        self.automata, self.most = automata, min(most, 30_000_000 // (len(automata) + 1))
+        self.table = np.zeros((self.most + self.most * 2 // 3, len(automata) + 1), np.float32)
 
     def __missing__(self, chunk: str) -> int:
         if (at := len(self)) >= len(self.table):
