@@ -1,4 +1,4 @@
-"""Exact deduplication by a content sort, in DataFrame operations only."""
+"""Exact deduplication by hash aggregation behind a range exchange, in DataFrame operations only."""
 
 from __future__ import annotations
 
@@ -20,9 +20,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
     Sampled splitters deal the normalised texts out by range of (text, id), so a text that a third of the rows share
-    spreads over several ranges; each range is sorted externally, which puts equal texts side by side, and the sorted
-    aggregation compares neighbours in full and leaves one row per text and range. Those few rows meet per text, and the
-    ids find their group through the digest of the text that the comparison has already proved equal.
+    spreads over several ranges; a hash aggregation, which compares texts in full, leaves one row per text and range.
+    Those few rows meet per text, and the ids find their group through the digest of the text that the comparison has
+    already proved equal. Nothing is sorted: Catalyst removes a local sort beneath an aggregate whose result does not
+    depend on order (EliminateSorts), as count, max and min do not.
 
     keep: "min" retains the smallest id of a group (the method's own rule), "max" the largest. Null text counts as empty;
     a null id sorts before all others and is retained only if the whole group has null ids; repeated ids stay repeated
@@ -30,7 +31,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     n = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_norm"))
-    ranged = rows.repartitionByRange(n, "_norm", "_id").sortWithinPartitions("_norm", "_id")
+    ranged = rows.repartitionByRange(n, "_norm", "_id")
     best = F.max("_id") if keep == "max" else F.min("_id")
     groups = ranged.groupBy("_norm").agg(best.alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = groups.select(F.sha2(F.col("_norm").cast("binary"), 256).alias("text_sha256"), "keep_id", "group_size")
