@@ -44,5 +44,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Suffix automata, shingle components and byte-pair merges are not SQL; tests/llm/test_pipeline.py has the brute-force version.
+#: Suffix automata, shingle components and byte-pair merges are not SQL; tests/llm/test_pipeline_brute.py has the brute-force version.
 ORACLE_SQL = None
