@@ -9,7 +9,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: xxHash64 seeds and odd multipliers of the integer mixers: fixed values, so that reruns agree.
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -30,9 +32,14 @@ def shared_root(spark: SparkSession) -> str:
 class Work:
     """Tables that cut lineage: Parquet in the shared folder, read again by whoever needs them."""
 
-    def __init__(self, spark: SparkSession, name: str):
-        small_batches(spark)
+    #: Folders that this driver has made and not removed.
+    made: list[Work] = []
+
+    def __init__(self, spark: SparkSession, name: str, python: bool = True):
+        if python:
+            small_batches(spark)
         self.spark, self.root = spark, f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        Work.made.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -46,10 +53,17 @@ class Work:
     def drop(self, *names: str) -> None:
         """Delete tables nothing will read again."""
         jvm = self.spark.sparkContext._jvm
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        for at in map(self.path, names):
+            path = jvm.org.apache.hadoop.fs.Path(at)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    @staticmethod
+    def remove_since(mark: int) -> None:
+        """Delete the folders made since len(Work.made) was mark. For callers that have written what depends on them."""
+        while len(Work.made) > mark:
+            work = Work.made.pop()
+            work.drop("")
+
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Send at most so many rows to Python at a time: a batch of 10,000 long texts or packed chunks, the default, takes its
@@ -61,6 +75,12 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+def tie_break(schema: StructType, row: str) -> Column:
+    """A number that orders rows which share all else, the same in each run; maps can't be hashed and are left out."""
+    columns = [F.col(row).getField(f.name) for f in schema if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    return F.xxhash64(*columns) if columns else F.lit(0).cast("long")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
