@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import re
-import uuid
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from struct import pack
@@ -14,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, small_batches, texts
+from .common import blocks, release, small_batches, texts
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -23,7 +22,15 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(bytes.strip, f))}
 
 
-def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
+BIT = [1 << k for k in range(256)]
+
+
+def first_pairs(ranks: dict[bytes, int]) -> list[int]:
+    """The rank of each pair of bytes, -1 where it has none."""
+    return [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
+
+
+def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int, pairs: list[int]) -> list[int]:
     """Ids of one pre-token: repeatedly merge the leftmost pair of least rank. Time n log n, so that long pieces are fine.
 
     Positions wait in a bucket for each merge rank. A bitmap in two levels of 256-bit words marks the occupied buckets,
@@ -34,19 +41,24 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[in
     if (whole := ranks.get(piece)) is not None:
         return [whole]
     n, rank_of = len(piece), ranks.get
-    after, before, pair = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+    pair.append(-1)
     buckets: dict[int, list[int]] = {}
     low: dict[int, int] = {}
     top = 0
-    for i in range(n - 1):
-        if (r := rank_of(piece[i : i + 2])) is not None:
-            pair[i] = r
+    for i, r in enumerate(pair):
+        if r >= 0:
             if r in buckets:
                 buckets[r].append(i)  # ascending: a heap
             else:
                 buckets[r] = [i]
-                low[r >> 8] = low.get(r >> 8, 0) | 1 << (r & 255)
-                top |= 1 << (r >> 8)
+                high = r >> 8
+                if high in low:
+                    low[high] |= BIT[r & 255]
+                else:
+                    low[high] = BIT[r & 255]
+                    top |= BIT[high] if high < 256 else 1 << high
     while top:
         high = (top & -top).bit_length() - 1
         word = low[high]
@@ -55,8 +67,11 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[in
         if len(bucket) == 1:
             i = bucket[0]
             del buckets[r]
-            low[high] = word = word & (word - 1)
-            if not word:
+            word &= word - 1
+            if word:
+                low[high] = word
+            else:
+                del low[high]
                 top &= top - 1
         else:
             i = heappop(bucket)
@@ -81,8 +96,12 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[in
                     heappush(buckets[new], at)
                 else:
                     buckets[new] = [at]
-                    low[new >> 8] = low.get(new >> 8, 0) | 1 << (new & 255)
-                    top |= 1 << (new >> 8)
+                    high = new >> 8
+                    if high in low:
+                        low[high] |= BIT[new & 255]
+                    else:
+                        low[high] = BIT[new & 255]
+                        top |= BIT[high] if high < 256 else 1 << high
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : after[i]]])
@@ -90,33 +109,67 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[in
     return ids
 
 
+class _Known(dict):
+    """Results of `make` for the keys met lately: at most `most` new ones and the `most` before them, the others are made anew."""
+
+    def __init__(self, make, most: int):
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.before.get(key)
+        if got is None:
+            got = self.make(key)
+            if len(key) >= 64:
+                return got
+        self[key] = got
+        return got
+
+    def trim(self) -> None:
+        if len(self) > self.most:
+            self.before = dict(self)
+            self.clear()
+
+
+#: Texts of which a pre-token pattern is tried before single spaces are taken for borders.
+_TRIED = ("a b", "a1 2b", "it's 'x y", "a, b. c", "1 2 3", "x\u00e9 \u00fcy", "a-b -c", "\u65e5 \u672c", "a_ _b", "A Bc D", "12345 67", "? !a")
+
+
+def spaces_are_borders(pattern: str) -> bool:
+    """Whether the pattern splits at a single space between two other characters, leaving the space to what follows, and
+    takes each stretch from such a space on as if it stood alone; tried on a few texts and their pairs."""
+    import regex
+
+    find = regex.compile(pattern).findall
+    for text in [*_TRIED, *(f"{a} {b}" for a in _TRIED for b in _TRIED)]:
+        first, *rest = text.split(" ")
+        if find(text) != [*find(first), *(x for word in rest for x in find(" " + word))]:
+            return False
+    return True
+
+
 class Encoder:
     """Encodes whole texts; texts are pre-tokenised by `pattern`, and each pre-token is merged by itself.
 
-    A pre-token never reaches across a single space between two characters that aren't white space, so such stretches
-    are looked up as a whole; texts with other runs of white space go through the pattern in full.
+    Where spaces_are_borders holds, stretches between single spaces are looked up as a whole; texts with other runs of
+    white space, and all texts under another pattern, go through the pattern in full.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 800_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 250_000):
         import regex
 
-        self.ranks, self.most, self.longest = ranks, most, max(map(len, ranks), default=0)
+        self.ranks, self.longest = ranks, max(map(len, ranks), default=0)
+        self.pairs = first_pairs(ranks)
         self.find = regex.compile(pattern).findall
-        self.uneven = re.compile(r"\s(?= )| (?=\s)|^ |[ ]\Z").search
-        self.pieces: dict[str, bytes] = {}
-        self.after_space = _AfterSpace(self)
+        self.uneven = re.compile(r"\s(?= )| (?=\s)|^ |[ ]\Z").search if spaces_are_borders(pattern) else lambda text: True
+        self.pieces = _Known(self._piece, most)
+        self.after_space = _Known(lambda word: self.by_pattern(" " + word), most)
 
-    def piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            ids = encode_piece(piece.encode(), self.ranks, self.longest)
-            got = pack(f"<{len(ids)}I", *ids)
-            if len(piece) < 64:
-                self.pieces[piece] = got
-        return got
+    def _piece(self, piece: str) -> bytes:
+        ids = encode_piece(piece.encode(), self.ranks, self.longest, self.pairs)
+        return pack(f"<{len(ids)}I", *ids)
 
     def by_pattern(self, text: str) -> bytes:
-        return b"".join(map(self.piece, self.find(text)))
+        return b"".join(map(self.pieces.__getitem__, self.find(text)))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -126,31 +179,8 @@ class Encoder:
         return self.by_pattern(first) + b"".join(map(self.after_space.__getitem__, rest))
 
     def trim(self) -> None:
-        for kept in (self.pieces, self.after_space):
-            if len(kept) > self.most:
-                kept.clear()
-
-
-_LAST: dict[str, Encoder] = {}
-
-
-def worker_encoder(key: str, ranks: dict[bytes, int], pattern: str) -> Encoder:
-    """The encoder that this Python worker used last, if it is the same, with what it has looked up already."""
-    if key not in _LAST:
-        _LAST.clear()
-        _LAST[key] = Encoder(ranks, pattern)
-    return _LAST[key]
-
-
-class _AfterSpace(dict):
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
-
-    def __missing__(self, word: str) -> bytes:
-        got = self.encoder.by_pattern(" " + word)
-        if len(word) < 64:
-            self[word] = got
-        return got
+        self.pieces.trim()
+        self.after_space.trim()
 
 
 def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
@@ -164,10 +194,8 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
     small_batches(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
 
-    key = uuid.uuid4().hex
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(key, ranks.value, pattern)
+        encoder = Encoder(ranks.value, pattern)
         tokens = {rank: token for token, rank in ranks.value.items()}
         for batch in blocks(batches, 500):
             ids = [encoder.encode(t) for t in texts(batch, 1)]
@@ -176,6 +204,8 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
                 columns.append(pa.array([decode_ids(x, tokens) for x in ids], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids", "decoded"][: len(columns)])
             encoder.trim()
+        del encoder
+        release()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids binary" + ", decoded binary" * decode)
