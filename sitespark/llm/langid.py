@@ -2,74 +2,76 @@
 
 from __future__ import annotations
 
+import gc
 import math
-from collections import Counter
+import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, small_batches, texts
+from .common import release, small_batches
 
 
 class SuffixAutomaton:
-    """All substrings of a set of words; a word is inserted from the root, so no substring reaches across two words."""
-
-    def __init__(self, words):
-        self.next: list[dict[str, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        for word in words:
-            last = 0
-            for c in word:
-                last = self._extend(last, c)
-
-    def _extend(self, last: int, c: str) -> int:
-        nxt, link, length = self.next, self.link, self.length
-        if (q := nxt[last].get(c)) is not None:
-            if length[q] == length[last] + 1:
-                return q
-            return self._clone(last, q, c)
-        cur = len(nxt)
-        nxt.append({})
-        length.append(length[last] + 1)
-        link.append(0)
-        p = last
-        while p >= 0 and c not in nxt[p]:
-            nxt[p][c] = cur
-            p = link[p]
-        if p >= 0:
-            q = nxt[p][c]
-            link[cur] = q if length[q] == length[p] + 1 else self._clone(p, q, c)
-        return cur
-
-    def _clone(self, p: int, q: int, c: str) -> int:
-        nxt, link, length = self.next, self.link, self.length
-        new = len(nxt)
-        nxt.append(dict(nxt[q]))
-        length.append(length[p] + 1)
-        link.append(link[q])
-        link[q] = new
-        while p >= 0 and nxt[p].get(c) == q:
-            nxt[p][c] = new
-            p = link[p]
-        return new
-
-    def phrases(self, word: str) -> int:
+    """All substrings of a text. A state is the dictionary of its transitions, so that a parse is one look-up a character."""
+
+    def __init__(self, text: str):
+        self.root: dict[str, dict] = {}
+        states, link, length, number = [self.root], [-1], [0], {id(self.root): 0}
+        last = 0
+        for c in text:
+            cur = len(states)
+            states.append({})
+            number[id(states[cur])] = cur
+            length.append(length[last] + 1)
+            link.append(0)
+            p = last
+            while p >= 0 and c not in states[p]:
+                states[p][c] = states[cur]
+                p = link[p]
+            if p >= 0:
+                q = number[id(states[p][c])]
+                if length[q] == length[p] + 1:
+                    link[cur] = q
+                else:
+                    new = len(states)
+                    states.append(dict(states[q]))
+                    number[id(states[new])] = new
+                    length.append(length[p] + 1)
+                    link.append(link[q])
+                    link[q] = link[cur] = new
+                    old = states[q]
+                    while p >= 0 and states[p].get(c) is old:
+                        states[p][c] = states[new]
+                        p = link[p]
+            last = cur
+
+    def phrases(self, text: str) -> int:
         """Phrases of the greedy parse: each the longest match from where the one before ended, or one unknown character."""
-        nxt, i, n, count = self.next, 0, len(word), 0
-        while i < n:
-            state, count, start = nxt[0], count + 1, i
-            while i < n and (to := state.get(word[i])) is not None:
-                state, i = nxt[to], i + 1
-            if i == start:
-                i += 1
-        return count
+        root = state = self.root
+        count = 0
+        for c in text:
+            to = state.get(c)
+            if to is None:
+                if state is not root:
+                    count += 1
+                to = root.get(c)
+                if to is None:
+                    count += 1
+                    to = root
+            state = to
+        return count + (state is not root)
 
 
-def letters_of(chunk: str) -> list[str]:
-    return "".join(c if c.isalpha() else " " for c in chunk).split()
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def letters_of(text: str) -> str:
+    """The text in lower case, with one space for each stretch without letters, and at both ends; empty without a letter."""
+    text = _NOT_LETTERS.sub(" ", text.lower())
+    return f" {text.strip()} " if any(map(str.isalpha, text)) else ""
 
 
 def bounded_sample(rows: DataFrame, key: str, id_col: str, most: int, most_keys: int | None = None) -> DataFrame:
@@ -87,105 +89,80 @@ def bounded_sample(rows: DataFrame, key: str, id_col: str, most: int, most_keys:
     return rows.withColumn("_u", unit).withColumn("_rate", F.coalesce(F.element_at(rates, F.col(key)), F.lit(0.0))).filter("_u < _rate")
 
 
-def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = 400, model_chars: int = 40_000, full_langs: int = 100) -> dict[str, list[str]]:
-    """Words that stand for each language: those in most documents of a sample, up to model_chars characters.
+def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = 60, model_chars: int = 30_000) -> dict[str, str]:
+    """Labelled text for each language: a sample of about sample_docs labelled documents (1.5 times as many at most), taken
+    by hash of the id, is what the driver receives; whole ones are joined in the order of that hash up to model_chars
+    characters, and those that don't fit are passed over (the first is cut where none fits).
 
-    Every language is learnt. The sample has about sample_docs labelled documents (1.5 times as many at most) of each,
-    taken by hash of the id, whole texts; this is what the driver receives. With more than full_langs languages,
-    sample_docs (20 at least) and model_chars (2,000 at least) shrink in proportion. Words of one document only are left
-    out where there are others. No labelled row gives an empty model.
+    Every language is learnt. No labelled row gives an empty model.
     """
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    n_langs = rows.agg(F.count_distinct("lang")).first()[0]
-    if n_langs > full_langs:
-        sample_docs, model_chars = max(min(20, sample_docs), sample_docs * full_langs // n_langs), max(min(2000, model_chars), model_chars * full_langs // n_langs)
-    seen: dict[str, Counter] = {}
-    docs: Counter = Counter()
-    for lang, text in sorted(map(tuple, bounded_sample(rows, "lang", "id", sample_docs).select("lang", "text").collect())):
-        docs[lang] += 1
-        if docs[lang] <= 1.5 * sample_docs:
-            seen.setdefault(lang, Counter()).update({f" {w} " for chunk in text.lower().split() for w in letters_of(chunk)})
+    seen: dict[str, list[str]] = {}
+    for lang, text in sorted(map(tuple, bounded_sample(rows, "lang", "id", sample_docs).orderBy("_u", "text").select("lang", "text").collect()), key=lambda r: r[0]):
+        seen.setdefault(lang, []).append(text)
     model = {}
-    for lang, counts in sorted(seen.items()):
-        often = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
-        often = [x for x in often if x[1] > 1] or often
-        words, size = [], 0
-        for word, _ in often:
-            if words and size + len(word) > model_chars:
-                break
-            words.append(word)
-            size += len(word)
-        if words:
-            model[lang] = words
+    for lang, sample in seen.items():
+        whole = [t for t in dict.fromkeys(map(letters_of, sample[: sample_docs * 3 // 2])) if t]
+        text = ""
+        for t in whole:
+            if len(text) + len(t) <= model_chars:
+                text = text[:-1] + t
+        if whole:
+            model[lang] = text or whole[0][:model_chars]
     return model
 
 
-class _Parsed(dict):
-    """For each chunk of a text the row in `table` that holds its letters and its phrases in each language."""
+def languages_of(model: dict[str, str], spark):
+    """A function of a text column: struct (lang_pred, score, entropy). Only the text goes to Python."""
+    langs = sorted(model)
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
 
-    def __init__(self, automata: list[SuffixAutomaton], most: int = 300_000):
-        self.automata, self.most = automata, min(most, 30_000_000 // (len(automata) + 1))
-        self.table = np.zeros((self.most + self.most * 2 // 3, len(automata) + 1), np.float32)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        automata = [SuffixAutomaton(shared.value[x]) for x in langs]
+        bits = [math.log2(2 + len(shared.value[x])) for x in langs]
+        for batch in batches:
+            out = []
+            for text in batch.to_pylist():
+                text = letters_of(text or "")
+                if not text or not langs:
+                    out.append(("und", 0.0, None))
+                    continue
+                h = [a.phrases(text) * b / len(text) for a, b in zip(automata, bits, strict=True)]
+                best = min(range(len(langs)), key=h.__getitem__)
+                rest = min((x for k, x in enumerate(h) if k != best), default=None)
+                out.append((langs[best], 1.0 if rest is None else 1 - h[best] / rest, h[best]))
+            pred, score, entropy = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(entropy, pa.float64())], ["lang_pred", "score", "entropy"])
+        del automata
+        gc.collect()  # the states refer to each other
+        release()
 
-    def __missing__(self, chunk: str) -> int:
-        if (at := len(self)) >= len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        words = letters_of(chunk)
-        self.table[at, 0] = sum(map(len, words))
-        for k, automaton in enumerate(self.automata, 1):
-            self.table[at, k] = sum(automaton.phrases(f" {w} ") for w in words)
-        self[chunk] = at
-        return at
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "struct<lang_pred string, score double, entropy double>")
 
 
-def identify_languages(docs: DataFrame, model: dict[str, list[str]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify_languages(docs: DataFrame, model: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, lang_pred, score, entropy of every whole text.
 
-    The entropy of a text under a language is phrases * log2(model characters) / letters, the cross-parsing estimate; the
-    least wins, ties to the language that sorts first. score = 1 - least / second least, from 0 to 1 (1 if there is one
-    language only). Null text or one without a letter: und, score 0, entropy null; so is all if the model is empty.
-    Phrases end at the ends of words. No shuffle; the broadcast model is bounded by model_chars for each language.
-    Repeated rows and null ids are kept; other columns are ignored.
+    Cross-parsing: a text, in lower case with a space for all that isn't a letter, is cut greedily into the longest
+    phrases that the language's labelled text has. The entropy under a language is phrases * log2(model characters) /
+    characters; the least wins, ties to the language that sorts first. score = 1 - least / second least, from 0 to 1 (1 if
+    there is one language only). Null text or one without a letter: und, score 0, entropy null; so is all if the model is
+    empty. Time is linear in the text for each language. No shuffle; the broadcast model is bounded by model_chars for each
+    language. Repeated rows and null ids are kept; other columns are ignored.
     """
-    langs = sorted(model)
-    small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automata = [SuffixAutomaton(shared.value[x]) for x in langs]
-        bits = np.array([math.log2(2 + sum(map(len, shared.value[x]))) for x in langs])
-        parsed = _Parsed(automata)
-        for batch in blocks(batches, 500):
-            pred, score, entropy = [], [], []
-            for text in texts(batch, 1):
-                chunks = text.lower().split()
-                at = np.fromiter(map(parsed.__getitem__, chunks), np.int64, len(chunks))  # before the table is read: it may grow
-                sums = parsed.table[at].sum(0, dtype=np.float64)
-                if not sums[0] or not langs:
-                    pred.append("und"), score.append(0.0), entropy.append(None)
-                    continue
-                h = sums[1:] * bits / sums[0]
-                order = np.argsort(h, kind="stable")
-                pred.append(langs[order[0]])
-                score.append(float(1 - h[order[0]] / h[order[1]]) if len(langs) > 1 else 1.0)
-                entropy.append(float(h[order[0]]))
-            if len(parsed) > parsed.most:
-                parsed.clear()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(entropy, pa.float64())], ["id", "lang_pred", "score", "entropy"])
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double, entropy double")
-    return out.withColumnRenamed("id", id_col)
+    found = languages_of(model, docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("id"), found(F.col(text_col).cast("string")).alias("found"))
+    return rows.select(F.col("id").alias(id_col), "found.*")
 
 
-def keep_identified(docs: DataFrame, model: dict[str, list[str]], text_col: str = "text", min_score: float = 0.0) -> DataFrame:
+def keep_identified(docs: DataFrame, model: dict[str, str], text_col: str = "text", min_score: float = 0.0) -> DataFrame:
     """The rows of docs, all columns, that are in some language of the model; texts without a letter are rejected, and so
-    is a score under min_score. Equal to a filter on identify_languages, without a join back."""
-    columns = docs.columns
-    rows = docs.select(F.struct(*columns).alias("id"), F.col(text_col).alias("_t"))
-    found = identify_languages(rows, model, "id", "_t").filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score))
-    return found.select([F.col("id").getField(c).alias(c) for c in columns])
+    is a score under min_score. Equal to a filter on identify_languages, without a join back; other columns stay in the JVM."""
+    found = languages_of(model, docs.sparkSession)(F.col(text_col).cast("string"))
+    return docs.filter((found.getField("lang_pred") != "und") & (found.getField("score") >= min_score))
 
 
 def learns(id_col: str, folds: int, held: int) -> Column:

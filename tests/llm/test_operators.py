@@ -267,11 +267,44 @@ def test_languages(spark, docs, empty):
     assert langid.keep_identified(docs, model).columns == docs.columns
 
 
+def test_languages_like_brute_force(spark):
+    """The same predictions by substring search, with a model of raw labelled text and no automaton."""
+    r = random.Random(9)
+    pools = {x: ["".join(r.choices(letters, k=r.randrange(2, 8))) for _ in range(40)] for x, letters in (("aa", "abcdeé"), ("bb", "cdefgh"), ("cc", "abghiß"))}
+    rows = [(i, " ".join(r.choices(pools[x], k=r.randrange(1, 30))) + r.choice(["", " 12!", "\n"]), x) for i, x in enumerate(["aa", "bb", "cc"] * 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_languages(df, sample_docs=8, model_chars=300)
+    assert all(0 < len(t) <= 300 for t in model.values())
+
+    def entropy(text, said):
+        n = i = 0
+        while i < len(text):
+            j = i + 1
+            while j < len(text) and text[i:j] in said and text[i : j + 1] in said:
+                j += 1
+            i, n = j, n + 1
+        return n * math.log2(2 + len(said)) / len(text)
+
+    got = {x["doc_id"]: x for x in langid.identify_languages(df, model).collect()}
+    for i, t, _ in rows:
+        t = " " + " ".join("".join(c if c.isalpha() else " " for c in t.lower()).split()) + " "
+        h = {x: entropy(t, said) for x, said in model.items()}
+        first, second, *_ = sorted(h.values())
+        assert got[i]["lang_pred"] == min(sorted(h), key=h.get) and got[i]["score"] == pytest.approx(1 - first / second)
+    assert sum(got[i]["lang_pred"] == x for i, _, x in rows) > 100
+
+
+def test_keep_identified_keeps_rows_as_they_are(spark):
+    df = spark.createDataFrame([(1, "fox fox", "a", 2), (1, "fox fox", "a", 2), (None, None, "b", 3), (3, "..", None, 4)], "doc_id long, text string, lang_pred string, score int")
+    kept = langid.keep_identified(df, {"en": " fox "})
+    assert kept.columns == df.columns and sorted(kept.collect()) == [(1, "fox fox", "a", 2)] * 2
+
+
 def test_automaton_parses_like_brute_force():
-    words = ["abcab", "bcd", "cabd"]
-    subs = {w[i:j] for w in words for i in range(len(w)) for j in range(i + 1, len(w) + 1)}
-    automaton = langid.SuffixAutomaton(words)
-    for text in map("".join, itertools.product("abcdx", repeat=5)):
+    said = "abcab bcd cabd abccba"
+    subs = {said[i:j] for i in range(len(said)) for j in range(i + 1, len(said) + 1)}
+    automaton = langid.SuffixAutomaton(said)
+    for text in map("".join, itertools.product("abc x", repeat=5)):
         n = i = 0
         while i < len(text):
             j = i
