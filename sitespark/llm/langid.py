@@ -83,7 +83,7 @@ def bounded_sample(rows: DataFrame, key: str, id_col: str, most: int, most_keys:
     counts = rows.groupBy(key).count().orderBy(F.desc("count"), key)
     counts = (counts if most_keys is None else counts.limit(most_keys)).collect()
     if not counts:
-        return rows.limit(0).withColumn("_rate", F.lit(0.0))
+        return rows.limit(0).withColumn("_u", F.lit(0.0)).withColumn("_rate", F.lit(0.0))
     rates = F.create_map(*[F.lit(x) for k, n in counts for x in (k, min(1.0, most / n))])
     unit = (F.xxhash64(F.lit("sample"), F.col(id_col)).bitwiseAND(F.lit((1 << 52) - 1))).cast("double") / float(1 << 52)
     return rows.withColumn("_u", unit).withColumn("_rate", F.coalesce(F.element_at(rates, F.col(key)), F.lit(0.0))).filter("_u < _rate")
