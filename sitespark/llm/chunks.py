@@ -2,10 +2,13 @@
 
 A corpus-wide count for each distinct token or n-gram, looked up again for each occurrence, is two large shuffles if
 each occurrence is a row. Here documents are first written as chunks of about a quarter million tokens: sorted distinct word
-hashes, and for each token the place of its word. A chunk asks with its sorted distinct keys and their counts, packed and
-dealt to buckets by range of the key; a bucket sums and answers each chunk in the order it asked. What is shuffled grows
-with the distinct keys of a chunk and takes a few bytes each, and no key, however frequent, is more than one entry per
-chunk.
+hashes, and for each token the place of its word. A chunk asks with its distinct keys, sorted and packed, and a bucket of
+keys sums what all chunks say of them and answers each. What is shuffled grows with the distinct keys of a chunk, and no
+key, however frequent, is more than one entry per chunk.
+
+Buckets grow in number with the corpus, and a chunk sends a slice to each bucket it has keys for: with C chunks that is at
+most C * C slices of a quarter million / C keys, so beyond some 10,000 chunks (10 GB of text) CHUNK_TOKENS should grow with
+the square root of the corpus; chunk_tokens does that.
 """
 
 from __future__ import annotations
@@ -18,17 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, blocks, pack, pack_sorted, raw_texts, release, shuffle_partitions, unpack, unpack_sorted
+from .common import WordHashes, blocks, pack, pack_sorted, raw_texts, release, unpack, unpack_sorted
 
 CHUNK_TOKENS = 1 << 18
-#: Keys that one bucket of an exchange holds in memory, about.
-BUCKET_KEYS = 1_000_000
-#: Totals that histograms tell apart.
-COUNTED = 7
+#: Tokens for each bucket of an exchange, about: what one task holds in memory.
+BUCKET_TOKENS = 1_000_000
 
 
 class Chunk:
-    """ids (None for null), flags, and the documents' words: hashes[starts[i]:starts[i + 1]]."""
+    """ids (None for null), flags, and the documents' words: vocabulary[places[starts[i]:starts[i + 1]]]."""
 
     def __init__(self, row: dict):
         self.ids, self.flags = row["ids"], np.asarray(row["flags"], bool)
@@ -41,12 +42,20 @@ class Chunk:
         return self.vocabulary[self.places]
 
 
+def chunk_tokens(docs: DataFrame) -> int:
+    """CHUNK_TOKENS, or more where the plan reads over 10 GB, up to 16 times as many."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(16, max(1, round((size / 1e10) ** 0.5))) * CHUNK_TOKENS
+
+
 def tokenised(docs: DataFrame, id_col: str, text_col: str, flag=None) -> DataFrame:
     """The chunks of docs, one row each; to be written before use, since a chunk's name is drawn when it is made.
 
     Words are lower-cased (A-Z) and split at \\x20 and \\x09-\\x0D; null text has none. flag: a boolean for each document.
     """
 
+    most = chunk_tokens(docs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         ids, flags, found, size = [], [], [], 0
@@ -65,7 +74,7 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, flag=None) -> DataFra
                 flags.append(bool(mark))
                 found.append(words.of(text))
                 size += len(found[-1])
-                if size >= CHUNK_TOKENS:
+                if size >= most:
                     yield row()
                     ids, flags, found, size = [], [], [], 0
             words.trim()
@@ -78,74 +87,67 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, flag=None) -> DataFra
     return rows.mapInArrow(run, "chunk string, n_tokens long, ids array<long>, flags array<boolean>, lengths binary, vocabulary binary, places binary")
 
 
-def exchange(chunks: DataFrame, ask: Callable[[Chunk], dict[int, tuple[np.ndarray, np.ndarray]]], n_tokens: int, owners: bool = False) -> DataFrame:
-    """Answers to what the chunks ask: rows (chunk, kind, bucket, totals, owned).
+def cuts_of(bounds: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
+
+
+def equal_ranges(n: int) -> np.ndarray:
+    """The n - 1 keys that part all 64-bit keys into n equal ranges."""
+    return np.array([(i << 64) // n for i in range(1, n)], np.uint64)
+
+
+Slices = Iterator[tuple[int, tuple[bytes, ...]]]
+Answer = Callable[[int, list[tuple[bytes, ...]]], tuple[list[tuple[bytes, ...]], bytes, int]]
+
 
-    ask gives for each kind sorted distinct unsigned 64-bit keys and a count (32-bit) for each. totals are the sums over
-    all chunks, packed, in the order of the keys; owned marks the keys that this chunk is the first to count, so that
-    something can be summed over distinct keys. A bucket is a range of keys, and buckets grow in number with n_tokens.
-    With owners, a row without a chunk's name has each bucket's histogram: how many keys have a total of 0 to COUNTED - 1
-    (or more, in the last place), and the sums of their totals.
+def exchange(chunks: DataFrame, send: Callable[[dict], Slices], answer: Answer, sent: int, answered: int) -> DataFrame:
+    """Answers to what the chunks ask: rows (chunk, bucket, size, a0, a1 ...).
+
+    send yields for a chunk's row a bucket and `sent` packed columns, once for each bucket. answer gets all of a bucket's
+    slices, in the order of their chunks' names, and gives `answered` packed columns for each, and a packed summary and a
+    number, which are a row without a chunk's name.
     """
-    n = max(shuffle_partitions(chunks.sparkSession), -(-n_tokens // BUCKET_KEYS))
-    bounds = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                for kind, (keys, counts) in ask(Chunk(row)).items():
-                    cuts = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
-                    out = [(b, row["chunk"], kind, pack_sorted(keys[i:j]), pack(counts[i:j].astype(np.uint32))) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
-                    if out:
-                        b, c, k, x, y = zip(*out, strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(c), pa.array(k, pa.int32()), pa.array(x, pa.binary()), pa.array(y, pa.binary())], ["bucket", "chunk", "kind", "keys", "counts"])
-
-    def answer(table: pa.Table) -> pa.Table:
+                buckets, data = [], [[] for _ in range(sent)]
+                for bucket, columns in send(row):
+                    buckets.append(bucket)
+                    for column, x in zip(data, columns, strict=True):
+                        column.append(x)
+                if buckets:
+                    yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array([row["chunk"]] * len(buckets)), *(pa.array(c, pa.binary()) for c in data)], ["bucket", "chunk", *(f"s{k}" for k in range(sent))])
+        release()
+
+    def collect(table: pa.Table) -> pa.Table:
+        names = table.column("chunk").to_pylist()
+        order = sorted(range(len(names)), key=names.__getitem__)
+        columns = [table.column(f"s{k}").to_pylist() for k in range(sent)]
+        bucket = table.column("bucket")[0].as_py()
+        found, summary, size = answer(bucket, [tuple(c[i] for c in columns) for i in order])
+        del columns
+        names = ["", *(names[i] for i in order)]
+        found = [(summary, *[b""] * (answered - 1)), *found]
         release()
-        kinds = table.column("kind").to_pylist()
-        names, buckets = table.column("chunk").to_pylist(), table.column("bucket").to_pylist()
-        keys, counts = table.column("keys").to_pylist(), table.column("counts").to_pylist()
-        out = []
-        for kind in sorted(set(kinds)):
-            rows = sorted((i for i, k in enumerate(kinds) if k == kind), key=names.__getitem__)
-            parts = [unpack_sorted(keys[i]) for i in rows]
-            values = np.concatenate([unpack(counts[i], np.uint32) for i in rows])
-            distinct, at = np.unique(np.concatenate(parts), return_inverse=True)
-            totals = np.bincount(at, values, len(distinct)).astype(np.int64)
-            owned = np.zeros(len(at), bool)
-            if owners:
-                counted = np.flatnonzero(values)
-                owned[counted[np.unique(at[counted], return_index=True)[1]]] = True
-                capped = np.minimum(totals, COUNTED)
-                out.append(("", kind, buckets[rows[0]], pack(np.concatenate([np.bincount(capped, minlength=COUNTED + 1), np.bincount(capped, totals, COUNTED + 1).astype(np.int64)])), b""))
-            cut = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-            for k, i in enumerate(rows):
-                own = slice(cut[k], cut[k + 1])
-                out.append((names[i], kind, buckets[i], pack(totals[at[own]]), pack(np.packbits(owned[own])) if owners else b""))
-        c, k, b, t, o = zip(*out, strict=True)
-        return pa.table([pa.array(c), pa.array(k, pa.int32()), pa.array(b, pa.int32()), pa.array(t, pa.binary()), pa.array(o, pa.binary())], names=["chunk", "kind", "bucket", "totals", "owned"])
-
-    asked = chunks.mapInArrow(send, "bucket int, chunk string, kind int, keys binary, counts binary")
-    return asked.groupBy("bucket").applyInArrow(answer, "chunk string, kind int, bucket int, totals binary, owned binary")
-
-
-def answers_of(table: pa.Table, sizes: dict[int, int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """For each kind the totals, and the owned marks, in the order in which a chunk asked."""
-    out = {}
-    for kind, size in sizes.items():
-        rows = sorted((r for r in table.to_pylist() if r["kind"] == kind), key=lambda r: r["bucket"])
-        totals = [unpack(r["totals"], np.int64) for r in rows]
-        owned = [np.unpackbits(unpack(r["owned"], np.uint8), count=len(t)) for r, t in zip(rows, totals, strict=True) if r["owned"]]
-        out[kind] = (np.concatenate(totals) if totals else np.empty(0, np.int64), np.concatenate(owned).astype(bool) if owned else np.empty(0, bool))
-        assert len(out[kind][0]) == size, "a chunk got another number of answers than it asked for"
-    return out
-
-
-def with_answers(chunks: DataFrame, answers: DataFrame, run: Callable[[Chunk, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """Each chunk beside its answers. Chunks are of bounded size, and so are the groups."""
+        return pa.table([pa.array(names), pa.array([bucket] * len(names), pa.int32()), pa.array([size] * len(names), pa.int64()), *(pa.array([f[k] for f in found], pa.binary()) for k in range(answered))], names=["chunk", "bucket", "size", *(f"a{k}" for k in range(answered))])
+
+    asked = chunks.mapInArrow(ask, "bucket int, chunk string" + "".join(f", s{k} binary" for k in range(sent)))
+    return asked.groupBy("bucket").applyInArrow(collect, "chunk string, bucket int, size long" + "".join(f", a{k} binary" for k in range(answered)))
+
+
+def with_answers(chunks: DataFrame, answers: DataFrame, run: Callable[[dict, list[dict]], pa.Table], schema: str) -> DataFrame:
+    """Each chunk's row beside its answers, by bucket. Chunks are of bounded size, and so are the groups."""
 
     def both(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = run(left.to_pylist()[0], sorted(right.to_pylist(), key=lambda r: r["bucket"]))
         release()
-        return run(Chunk(left.to_pylist()[0]), right)
+        return out
 
     return chunks.groupBy("chunk").cogroup(answers.filter("chunk != ''").groupBy("chunk")).applyInArrow(both, schema)
+
+
+def joined(rows: list[dict], column: str, dtype) -> np.ndarray:
+    """A packed column of all answers, in the order of the buckets."""
+    parts = [unpack(r[column], dtype) for r in rows]
+    return np.concatenate(parts) if parts else np.empty(0, dtype)

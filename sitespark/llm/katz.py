@@ -2,52 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Chunk, answers_of, exchange, tokenised, with_answers
+from .chunks import BUCKET_TOKENS, Slices, cuts_of, equal_ranges, exchange, joined, tokenised, with_answers
 from .common import Work, mix, pack, pack_sorted, shuffle_partitions, unpack, unpack_sorted
 
-#: Hashes that stand for the start and the end of a text; words are hashed elsewhere.
-START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
-UNIGRAM, BIGRAM, CONTEXT = 0, 1, 2
+#: The hash that stands for the end of a text; words are hashed elsewhere.
+END = np.uint64(0x13198A2E03707344)
+#: The number of the start of a text, which is a context only; words have numbers from 1.
+START = 0
 #: Counts up to this one are discounted.
 LIMIT = 5
-
-
-def sequences(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The chunk's tokens, an end after each document; the token before each; the place of each token's document."""
-    lengths = np.diff(chunk.starts) + 1
-    ends = np.cumsum(lengths) - 1
-    tokens = np.empty(int(lengths.sum()), np.uint64)
-    inner = np.ones(len(tokens), bool)
-    inner[ends] = False
-    tokens[inner], tokens[ends] = chunk.hashes, END
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[ends - lengths + 1] = START
-    return tokens, before, np.repeat(np.arange(len(lengths)), lengths)
-
-
-def pair(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mix(mix(before) + tokens)
-
-
-def _keys(chunk: Chunk):
-    tokens, before, doc = sequences(chunk)
-    words, at_word = np.unique(tokens, return_inverse=True)
-    pairs, at_pair = np.unique(pair(before, tokens), return_inverse=True)
-    return tokens, before, doc, words, at_word, pairs, at_pair
-
-
-def _ask(chunk: Chunk):
-    _, _, doc, words, at_word, pairs, at_pair = _keys(chunk)
-    learn = chunk.flags[doc].astype(np.float64)
-    return {UNIGRAM: (words, np.bincount(at_word, learn, len(words))), BIGRAM: (pairs, np.bincount(at_pair, learn, len(pairs)))}
+#: Totals that histograms tell apart.
+COUNTED = LIMIT + 2
+#: A context that occurs more often than this is dealt to several buckets.
+HOT_CONTEXT = BUCKET_TOKENS // 8
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -81,100 +55,199 @@ class Model:
         return np.where(c > 0, _seen(c, self.d1) / max(total, 1), self.left)
 
 
-def _model(counts: DataFrame) -> Model:
-    """counts: kind, count (the last stands for all that are larger), how many n-grams have it, their tokens."""
-    n1, n2 = np.zeros(LIMIT + 2), np.zeros(LIMIT + 2)
-    total, kinds, mass = 0, 0, 0
-    for kind, r, k, s in counts.collect():
-        if r <= LIMIT + 1:
-            (n1 if kind == UNIGRAM else n2)[r] += k
-        if kind == UNIGRAM:
-            total, kinds = total + s, kinds + k
-            mass += s if r > LIMIT else 0
-    d1 = discounts(n1)
-    kept = mass + sum(r * n1[r] * d1[r] for r in range(1, LIMIT + 1))
-    ones = kept >= total  # nothing is left: as if one more token had been seen
-    return Model(int(total), int(kinds), d1, discounts(n2), float(1 - kept / (total + ones)) if total else 1.0, bool(ones))
+    def backoff(self, seen: np.ndarray, rest: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of the contexts' backoff weights, and `cold`: contexts whose counts leave nothing, which are divided by
+        one more occurrence. seen[r - 1] is how many bigrams of each context occur r times, rest the occurrences of those
+        that occur more often, lower what the unigrams give to all of them. A context never learned has weight 1."""
+        r = np.arange(1, LIMIT + 1)[:, None]
+        whole = (seen * r).sum(0) + rest
+        mass = (seen * r * self.d2[1:, None]).sum(0) + rest
+        cold = (whole > 0) & (whole - mass <= 1e-9 * whole)
+        left = np.where(cold, 1.0, whole - mass) / np.maximum(whole + cold, 1)
+        return np.where(whole > 0, np.log10(np.where(whole > 0, left / np.maximum(1 - lower, self.left), 1)), 0.0), cold
+
 
+def _histogram(totals: np.ndarray) -> bytes:
+    """How many n-grams have a total of 0 to COUNTED - 1 or more, and the sums of their totals."""
+    capped = np.minimum(totals, COUNTED)
+    return pack(np.concatenate([np.bincount(capped, minlength=COUNTED + 1), np.bincount(capped, totals, COUNTED + 1).astype(np.int64)]))
 
-def _histograms(answers: DataFrame) -> DataFrame:
-    """The buckets' histograms as rows for _model; 2 * (COUNTED + 1) for each bucket, summed before the driver sees them."""
+
+def _histograms(answers: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """The buckets' histograms summed, and the largest number of n-grams of a bucket; one row reaches the driver for each
+    total."""
 
     def run(batches):
         for batch in batches:
             rows = []
-            for kind, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for data, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ngrams, tokens = unpack(data, np.int64).reshape(2, -1)
-                rows += [(kind, r, int(k), int(t)) for r, (k, t) in enumerate(zip(ngrams, tokens, strict=True)) if r and k]
+                rows += [(r, int(k), int(t), size) for r, (k, t) in enumerate(zip(ngrams, tokens, strict=True))]
             columns = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[1:])], ["kind", "count", "ngrams", "tokens"])
-
-    found = answers.filter("chunk = ''").select("kind", "totals").mapInArrow(run, "kind int, count long, ngrams long, tokens long")
-    return found.groupBy("kind", "count").agg(F.sum("ngrams"), F.sum("tokens"))
-
-
-def _ask_contexts(model: Model, buckets: int):
-    """Of each chunk: its contexts, and what its own distinct bigrams add to them (discounted counts, counts, and the
-    lower order's probabilities), dealt to buckets by range of the context."""
-    bounds = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
-
-    def run(chunk: Chunk, table: pa.Table) -> pa.Table:
-        _, before, _, words, at_word, pairs, at_pair = _keys(chunk)
-        got = answers_of(table, {UNIGRAM: len(words), BIGRAM: len(pairs)})
-        counts, owned = got[BIGRAM]
-        contexts, at = np.unique(before, return_inverse=True)
-        mine = np.unique(at_pair, return_index=True)[1][owned & (counts > 0)]  # a place of each distinct bigram
-        seen = counts[at_pair[mine]]
-        values = [np.bincount(at[mine], w, len(contexts)) for w in (_seen(seen, model.d2), seen, model.unigram(got[UNIGRAM][0])[at_word[mine]])]
-        name = table.column("chunk")[0].as_py()
-        cuts = np.concatenate([[0], np.searchsorted(contexts, bounds), [len(contexts)]])
-        rows = [(name, b, pack_sorted(contexts[i:j]), *(pack(v[i:j]) for v in values)) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
-        types = [pa.string(), pa.int32(), *[pa.binary()] * 4]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["chunk", "bucket", "contexts", "mass", "whole", "lower"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["count", "ngrams", "tokens", "size"])
 
-    return run
+    found = answers.filter("chunk = ''").select("a0", "size").mapInArrow(run, "count long, ngrams long, tokens long, size long")
+    ngrams, tokens, size = np.zeros(COUNTED + 1, np.int64), np.zeros(COUNTED + 1, np.int64), 0
+    for r, k, t, most in found.groupBy("count").agg(F.sum("ngrams"), F.sum("tokens"), F.max("size")).collect():
+        ngrams[r], tokens[r], size = k, t, max(size, most)
+    return ngrams, tokens, size
 
 
-def _weigh(model: Model):
-    """Backoff weights of a bucket's contexts (0 marks in `cold` those whose counts leave nothing: they are divided by one
-    more occurrence), for each chunk in the order it asked. A context that was never learned has weight 1."""
+def _unigrams(ngrams: np.ndarray, tokens: np.ndarray) -> Model:
+    total, kinds = int(tokens.sum()), int(ngrams[1:].sum())
+    d1 = discounts(ngrams)
+    kept = tokens[LIMIT + 1 :].sum() + sum(r * ngrams[r] * d1[r] for r in range(1, LIMIT + 1))
+    ones = kept >= total  # nothing is left: as if one more token had been seen
+    return Model(total, kinds, d1, np.ones(LIMIT + 1), float(1 - kept / (total + ones)) if total else 1.0, bool(ones))
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
-        parts = [unpack_sorted(r["contexts"]) for r in rows]
-        distinct, at = np.unique(np.concatenate(parts), return_inverse=True)
-        mass, whole, lower = (np.bincount(at, np.concatenate([unpack(r[c], np.float64) for r in rows]), len(distinct)) for c in ("mass", "whole", "lower"))
-        cold = (whole > 0) & (whole - mass <= 1e-9 * whole)
-        left = np.where(cold, 1.0, whole - mass) / np.maximum(whole + cold, 1)
-        weight = np.where(whole > 0, np.log10(np.where(whole > 0, left / np.maximum(1 - lower, model.left), 1)), 0.0)
+
+def _words_of(row: dict) -> np.ndarray:
+    """The chunk's distinct tokens: its vocabulary, and the end of a text in the last place."""
+    return np.append(unpack_sorted(row["vocabulary"]), END)
+
+
+def _ask_words(buckets: int) -> Callable[[dict], Slices]:
+    bounds = equal_ranges(buckets)
+
+    def send(row: dict) -> Slices:
+        words = _words_of(row)
+        lengths = unpack(row["lengths"], np.uint32)
+        learned = np.asarray(row["flags"], bool)
+        counts = np.bincount(unpack(row["places"], np.uint32), np.repeat(learned, lengths), len(words))
+        counts[-1] = learned.sum()
+        order = np.argsort(words)
+        words, counts = words[order], counts[order].astype(np.uint32)
+        cuts = cuts_of(bounds, words)
+        for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if j > i:
+                yield b, (pack_sorted(words[i:j]), pack(counts[i:j]))
+
+    return send
+
+
+def _count_words(buckets: int):
+    """Totals of a bucket's words, and a number for each: their places, counted through all buckets."""
+
+    def answer(bucket: int, slices: list) -> tuple[list, bytes, int]:
+        parts = [unpack_sorted(s[0]) for s in slices]
+        words, at = np.unique(np.concatenate(parts), return_inverse=True)
+        totals = np.bincount(at, np.concatenate([unpack(s[1], np.uint32) for s in slices]), len(words)).astype(np.int64)
         cut = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        out = [(r["chunk"], r["bucket"], pack(weight[at[i:j]]), pack(np.packbits(cold[at[i:j]]))) for r, i, j in zip(rows, cut[:-1], cut[1:], strict=True)]
-        types = [pa.string(), pa.int32(), pa.binary(), pa.binary()]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["chunk", "bucket", "totals", "owned"])
+        numbers = at.astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket + 1)
+        return [(pack(totals[at[i:j]]), pack_sorted(numbers[i:j])) for i, j in zip(cut[:-1], cut[1:], strict=True)], _histogram(totals), len(words)
+
+    return answer
+
+
+def _numbered(row: dict, answers: list[dict]) -> pa.Table:
+    """The chunk with its words' numbers and totals instead of their hashes, in the order of its vocabulary and the end."""
+    order = np.argsort(_words_of(row))
+    totals, numbers = np.empty(len(order), np.int64), np.empty(len(order), np.uint64)
+    totals[order] = joined(answers, "a0", np.int64)  # fails if there are fewer answers than words
+    numbers[order] = np.concatenate([unpack_sorted(r["a1"]) for r in answers])
+    columns = {**{c: [row[c]] for c in ("chunk", "ids", "flags", "lengths", "places")}, "numbers": [pack(numbers)], "totals": [pack(totals)]}
+    return pa.table({c: pa.array(v, t) for (c, v), t in zip(columns.items(), (pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 4), strict=True)})
 
-    return run
 
+NUMBERED = "chunk string, ids array<long>, flags array<boolean>, lengths binary, places binary, numbers binary, totals binary"
+
+
+class Bigrams:
+    """The distinct bigrams of a numbered chunk, in the order in which they are dealt to buckets.
+
+    A bigram's key is number(context) * span + number(token): exact while the corpus has fewer than 2^32 distinct words, a
+    64-bit hash of the pair beyond. Keys of a context lie together, in one bucket or, for a frequent context, in several.
+    """
 
-def _score(model: Model):
-    def run(chunk: Chunk, table: pa.Table) -> pa.Table:
-        tokens, before, doc, words, at_word, pairs, at_pair = _keys(chunk)
-        got = answers_of(table.filter(pa.compute.less(table.column("kind"), CONTEXT)), {UNIGRAM: len(words), BIGRAM: len(pairs)})
-        c1, c2 = got[UNIGRAM][0], got[BIGRAM][0]
-        contexts, at = np.unique(before, return_inverse=True)
-        rows = sorted((r for r in table.to_pylist() if r["kind"] == CONTEXT), key=lambda r: r["bucket"])
-        weights = [unpack(r["totals"], np.float64) for r in rows]
-        cold = np.concatenate([np.unpackbits(unpack(r["owned"], np.uint8), count=len(w)) for r, w in zip(rows, weights, strict=True)])
-        weight = np.concatenate(weights)
-        assert len(weight) == len(contexts), "a chunk got another number of weights than it asked for"
-        # every learned word is followed by a token, so a word's count is its count as a context; the start's is that of the end
-        place = np.minimum(np.searchsorted(words, contexts), len(words) - 1)
-        followed = c1[np.where(contexts == START, np.searchsorted(words, END), place)] + cold
-        seen, p1 = c2[at_pair], model.unigram(c1)[at_word]
-        hit = np.log10(np.maximum(_seen(seen, model.d2), 1e-300)) - np.log10(np.maximum(followed[at], 1))
-        logs = np.where(seen > 0, hit, weight[at] + np.log10(p1))
-        n, count = len(chunk.ids), c1[at_word]
+    def __init__(self, row: dict, span: int, buckets: int):
+        self.ids, self.flags = row["ids"], np.asarray(row["flags"], bool)
+        self.totals = unpack(row["totals"], np.int64)
+        numbers = np.append(unpack(row["numbers"], np.uint64), np.uint64(START))
+        end, start = len(numbers) - 2, len(numbers) - 1
+        lengths = unpack(row["lengths"], np.uint32).astype(np.int64) + 1
+        ends = np.cumsum(lengths) - 1
+        inner = np.ones(int(lengths.sum()), bool)
+        inner[ends] = False
+        self.tokens = np.full(len(inner), end, np.int64)
+        self.tokens[inner] = unpack(row["places"], np.uint32)
+        before = np.empty_like(self.tokens)
+        before[1:] = self.tokens[:-1]
+        before[ends - lengths + 1] = start
+        self.doc = np.repeat(np.arange(len(lengths)), lengths)
+        pairs, at = np.unique(before * len(numbers) + self.tokens, return_inverse=True)
+        contexts, words = pairs // len(numbers), pairs % len(numbers)
+        #: how often each context was learned; every learned word has a token after it, and each text a start and an end
+        self.followed = np.append(self.totals, self.totals[end])
+        with np.errstate(over="ignore"):
+            keys = numbers[contexts] * np.uint64(span) + numbers[words]
+            spread = mix(numbers[words]) % (self.followed[contexts] // HOT_CONTEXT + 1).astype(np.uint64)
+            bucket = ((mix(numbers[contexts]) + spread) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((keys, bucket))
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        self.at, self.keys, self.contexts, self.words = place[at], keys[order], contexts[order], words[order]
+        bucket = bucket[order]
+        self.cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, int)
+        self.buckets = bucket[self.cuts[:-1]] if len(bucket) else bucket
+        #: a context's first key in each bucket
+        self.firsts = np.flatnonzero(np.concatenate([[True], (np.diff(self.contexts) != 0) | (np.diff(bucket) != 0)])) if len(bucket) else np.empty(0, int)
+
+
+def _ask_bigrams(span: int, buckets: int) -> Callable[[dict], Slices]:
+    def send(row: dict) -> Slices:
+        b = Bigrams(row, span, buckets)
+        counts = np.bincount(b.at, b.flags[b.doc], len(b.keys)).astype(np.uint32)
+        totals = np.where(counts > 0, b.totals[b.words], 0)  # those who learned a bigram say how often its token occurs
+        for bucket, i, j in zip(b.buckets.tolist(), b.cuts[:-1], b.cuts[1:], strict=True):
+            yield bucket, (pack_sorted(b.keys[i:j]), pack(counts[i:j]), pack(totals[i:j]))
+
+    return send
+
+
+def _count_bigrams(model: Model, span: int):
+    """Totals of a bucket's bigrams, and for each context of a slice what Model.backoff needs of this bucket."""
+
+    def answer(bucket: int, slices: list) -> tuple[list, bytes, int]:
+        parts = [unpack_sorted(s[0]) for s in slices]
+        keys, at = np.unique(np.concatenate(parts), return_inverse=True)
+        counts = np.concatenate([unpack(s[1], np.uint32) for s in slices])
+        totals = np.bincount(at, counts, len(keys)).astype(np.int64)
+        word = np.zeros(len(keys), np.int64)
+        told = counts > 0
+        word[at[told]] = np.concatenate([unpack(s[2], np.int64) for s in slices])[told]
+        _, context = np.unique(keys // np.uint64(span), return_inverse=True)
+        n = int(context[-1]) + 1
+        seen = np.stack([np.bincount(context, totals == r, n) for r in range(1, LIMIT + 1)]).astype(np.int64)
+        rest = np.bincount(context, np.where(totals > LIMIT, totals, 0), n).astype(np.int64)
+        lower = np.bincount(context, np.where(totals > 0, model.unigram(word), 0.0), n)
+        out, cut = [], np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        for i, j in zip(cut[:-1], cut[1:], strict=True):
+            own = context[at[i:j]]
+            own = own[np.concatenate([[True], np.diff(own) != 0])]
+            out.append((pack(totals[at[i:j]]), pack(np.concatenate([seen[:, own].ravel(), rest[own]])), pack(lower[own])))
+        return out, _histogram(totals), len(keys)
+
+    return answer
+
+
+def _score(model: Model, span: int, buckets: int):
+    def run(row: dict, answers: list[dict]) -> pa.Table:
+        b = Bigrams(row, span, buckets)
+        totals = joined(answers, "a0", np.int64)
+        assert len(totals) == len(b.keys), "a chunk got another number of answers than it asked for"
+        parts = [unpack(r["a1"], np.int64).reshape(LIMIT + 1, -1) for r in answers]
+        n = len(b.followed)
+        told = np.concatenate(parts, 1) if parts else np.zeros((LIMIT + 1, 0), np.int64)
+        owner = b.contexts[b.firsts]  # what several buckets say of a context is summed
+        told = np.stack([np.bincount(owner, x, n) for x in told])
+        weight, cold = model.backoff(told[:LIMIT], told[LIMIT], np.bincount(owner, joined(answers, "a2", np.float64), n))
+        seen = _seen(totals, model.d2)
+        hit = np.log10(np.maximum(seen, 1e-300)) - np.log10(np.maximum(b.followed + cold, 1))[b.contexts]
+        p1 = np.log10(model.unigram(b.totals))
+        logs = np.where(totals > 0, hit, weight[b.contexts] + p1[b.words])[b.at]
+        docs, count = len(b.ids), b.totals[b.tokens]
         base = np.log10((count + 1) / (model.n + model.v + 1))
-        columns = [pa.array(chunk.ids, pa.int64()), pa.array(chunk.flags), pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc, count > 0, n).astype(np.int64)), pa.array(np.full(n, model.n)), pa.array(np.bincount(doc, base, n)), pa.array(np.bincount(doc, logs, n))]
+        columns = [pa.array(b.ids, pa.int64()), pa.array(b.flags), pa.array(np.bincount(b.doc, minlength=docs)), pa.array(np.bincount(b.doc, count > 0, docs).astype(np.int64)), pa.array(np.full(docs, model.n)), pa.array(np.bincount(b.doc, base, docs)), pa.array(np.bincount(b.doc, logs, docs))]
         return pa.table(columns, names=["id", "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return run
@@ -190,20 +263,24 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     context is what its discounted bigrams leave, divided by what the lower order gives to words unseen in it, so the
     probabilities after any context sum to 1. base_score is the sum of add-one unigram log10 probabilities.
 
-    Counts and weights are tables partitioned by range of the n-gram's hash, which answer each chunk of documents; see
-    chunks. All sizes that one task holds are bounded; the tables grow with the corpus. Null or empty text is one end
-    token. Null and repeated ids are rows of their own; other columns are ignored; without learned rows every token is
-    unknown and has probability 1; an empty table gives no rows.
+    Two exchanges (see chunks) count: the first words, which get a number and their count; the second bigrams, dealt by
+    context, so that the bucket that counts a context's bigrams also sums what its backoff weight needs; frequent contexts
+    are dealt to several buckets. Chunks meet the answers and evaluate the model token by token. Sizes that one task holds
+    are bounded by BUCKET_TOKENS and the chunk's; the tables grow with the corpus. Null or empty text is one end token.
+    Null and repeated ids are rows of their own; other columns are ignored; without learned rows every token is unknown
+    and has probability 1; an empty table gives no rows.
     """
     spark = docs.sparkSession
     work = Work(spark, "katz")
     chunks = work.save("chunks", tokenised(docs, id_col, text_col, learn))
     n_tokens = chunks.agg(F.sum(F.col("n_tokens") + F.size("ids"))).first()[0] or 0
-    answers = work.save("counts", exchange(chunks, _ask, 2 * n_tokens, owners=True))
-    model = _model(_histograms(answers))
-    buckets = max(shuffle_partitions(spark), n_tokens // 1_000_000)
-    asked = with_answers(chunks, answers, _ask_contexts(model, buckets), "chunk string, bucket int, contexts binary, mass binary, whole binary, lower binary")
-    weights = asked.groupBy("bucket").applyInArrow(_weigh(model), "chunk string, bucket int, totals binary, owned binary")
-    weights = work.save("weights", weights.select("chunk", F.lit(CONTEXT).alias("kind"), "bucket", "totals", "owned"))
-    out = with_answers(chunks, answers.unionByName(weights), _score(model), "id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    buckets = max(shuffle_partitions(spark), -(-n_tokens // BUCKET_TOKENS))
+    words = work.save("words", exchange(chunks, _ask_words(buckets), _count_words(buckets), 2, 2))
+    ngrams, tokens, largest = _histograms(words)
+    model, span = _unigrams(ngrams, tokens), buckets * (largest + 1) + 1
+    numbered = work.save("numbered", with_answers(chunks, words, _numbered, NUMBERED))
+    work.drop("chunks", "words")
+    bigrams = work.save("bigrams", exchange(numbered, _ask_bigrams(span, buckets), _count_bigrams(model, span), 3, 3))
+    model.d2 = discounts(_histograms(bigrams)[0])
+    out = with_answers(numbered, bigrams, _score(model, span, buckets), "id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("id", id_col)
