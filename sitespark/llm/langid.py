@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import gc
 import math
-import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,8 +47,12 @@ class SuffixAutomaton:
                         states[p][c] = states[new]
                         p = link[p]
             last = cur
+        self._states = states
 
-    def phrases(self, text: str) -> int:
+    def states(self) -> list[dict]:
+        return self._states
+
+    def phrases(self, text) -> int:
         """Phrases of the greedy parse: each the longest match from where the one before ended, or one unknown character."""
         root = state = self.root
         count = 0
@@ -65,13 +69,118 @@ class SuffixAutomaton:
         return count + (state is not root)
 
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+class Alphabet:
+    """Codes of characters: 0 for all that isn't a letter, then those of the model, then one for all other letters."""
+
+    letter: np.ndarray | None = None
+
+    def __init__(self, model: dict[str, str]):
+        if Alphabet.letter is None:
+            Alphabet.letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+        known = sorted({c for text in model.values() for c in text} - {" "})
+        self.code_of = {" ": 0} | {c: k for k, c in enumerate(known, 1)}
+        self.size = len(known) + 2
+        self.table = np.where(Alphabet.letter, len(known) + 1, 0).astype(np.uint16 if self.size > 255 else np.uint8)
+        for c, k in self.code_of.items():
+            self.table[ord(c)] = k
+
+    def codes(self, text: str) -> np.ndarray:
+        """Of the text in lower case, with one 0 for each stretch without letters, and at both ends; empty without a letter."""
+        raw = self.table[np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)]
+        keep = raw > 0
+        if not keep.any():
+            return raw[:0]
+        keep[1:] |= raw[:-1] > 0
+        keep[0] = True
+        out = raw[keep]
+        return out[1:] if len(out) > 1 and not out[0] and not out[1] else out
 
 
 def letters_of(text: str) -> str:
     """The text in lower case, with one space for each stretch without letters, and at both ends; empty without a letter."""
-    text = _NOT_LETTERS.sub(" ", text.lower())
-    return f" {text.strip()} " if any(map(str.isalpha, text)) else ""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    return f" {' '.join(words)} " if words else ""
+
+
+class Parser:
+    """Parses many texts against the automata of all languages at once, a character of every text in each step.
+
+    The automata are one table: for a state and a character the next state and how many phrases end, 0 to 2. Texts are
+    taken in groups, the longest first, so that those still running are the first ones. Where the table would be too large
+    (many languages or characters) the automata are walked one by one.
+    """
+
+    def __init__(self, model: dict[str, str], most_cells: int = 1 << 25):
+        self.langs = sorted(model)
+        self.alphabet = Alphabet(model)
+        self.automata = [SuffixAutomaton(model[x]) for x in self.langs]
+        self.chars = {k: c for c, k in self.alphabet.code_of.items()}
+        states = [a.states() for a in self.automata]
+        k = self.alphabet.size
+        self.cells = None
+        if sum(map(len, states)) * k > most_cells:
+            return
+        cells, base, self.roots = [], 0, []
+        for found in states:
+            row = {id(s): base + i * k for i, s in enumerate(found)}
+            root = np.full(k, base << 2 | 1, np.int32)  # an unknown character is a phrase
+            for c, to in found[0].items():
+                root[self.alphabet.code_of[c]] = row[id(to)] << 2
+            table = np.tile(root + 1, (len(found), 1))  # a phrase ends, and the next one starts with this character
+            table[0] = root
+            for i, s in enumerate(found[1:], 1):
+                for c, to in s.items():
+                    table[i, self.alphabet.code_of[c]] = row[id(to)] << 2
+            cells.append(table.ravel())
+            self.roots.append(base)
+            base += table.size
+        self.cells = np.concatenate(cells) if cells else np.empty(0, np.int32)
+        self.automata = []
+
+    def phrases(self, texts: list[np.ndarray], least_lanes: int = 12) -> np.ndarray:
+        """Phrases of each text (codes of Alphabet) in each language."""
+        out = np.zeros((len(texts), len(self.langs)), np.int64)
+        if self.cells is None:
+            for i, t in enumerate(texts):
+                out[i] = [a.phrases([self.chars.get(c) for c in t.tolist()]) for a in self.automata]
+            return out
+        lengths = np.array([len(t) for t in texts], np.int64)
+        order = np.argsort(-lengths, kind="stable")
+        lengths = lengths[order]
+        n = int((lengths > 0).sum())
+        if not n:
+            return out
+        codes = np.concatenate([texts[i] for i in order])
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        roots = np.array(self.roots, np.int32)[:, None]
+        state = np.repeat(roots << 2, len(texts), 1)
+        count = np.zeros(state.shape, np.int64)
+        cells, t = self.cells, 0
+        while n >= least_lanes:
+            steps = min(int(lengths[n - 1]) - t, 256)
+            block = codes[(starts[:n] + t)[:, None] + np.arange(steps)].T.astype(np.int32, order="C")
+            live, total, ended = state[:, :n].copy(), np.zeros((len(roots), n), np.int32), np.empty((len(roots), n), np.int32)
+            for column in block:
+                live >>= 2
+                live += column
+                cells.take(live, out=live, mode="clip")
+                np.bitwise_and(live, 3, out=ended)
+                total += ended
+            state[:, :n] = live
+            count[:, :n] += total
+            t += steps
+            n = int((lengths > t).sum())
+        for i in range(n):  # few texts are left: each by itself
+            rest = codes[starts[i] + t : starts[i] + lengths[i]].tolist()
+            for j in range(len(roots)):
+                v, c, get = int(state[j, i]), 0, cells.item
+                for x in rest:
+                    v = get((v >> 2) + x)
+                    c += v & 3
+                state[j, i] = v
+                count[j, i] += c
+        out[order] = (count + (state >> 2 != roots)).T
+        return out
 
 
 def bounded_sample(rows: DataFrame, key: str, id_col: str, most: int, most_keys: int | None = None) -> DataFrame:
@@ -113,29 +222,42 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
     return model
 
 
-def languages_of(model: dict[str, str], spark):
-    """A function of a text column: struct (lang_pred, score, entropy). Only the text goes to Python."""
+def languages_of(model: dict[str, str], spark, group_chars: int = 4_000_000):
+    """A function of a text column: struct (lang_pred, score, entropy). Only the text goes to Python; a task holds
+    group_chars characters at a time, and the text that exceeds them."""
     langs = sorted(model)
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        automata = [SuffixAutomaton(shared.value[x]) for x in langs]
-        bits = [math.log2(2 + len(shared.value[x])) for x in langs]
+        parser = Parser(shared.value)
+        bits = np.array([math.log2(2 + len(shared.value[x])) for x in langs])
+
+        def answer(group: list[list[np.ndarray]]) -> Iterator[pa.Array]:
+            counts = parser.phrases([t for batch in group for t in batch])
+            at = 0
+            for batch in group:
+                out = []
+                for t, n in zip(batch, counts[at : at + len(batch)], strict=True):
+                    if not len(t) or not langs:
+                        out.append(("und", 0.0, None))
+                        continue
+                    h = n * bits / len(t)
+                    best, *rest = np.argsort(h, kind="stable").tolist()
+                    out.append((langs[best], float(1 - h[best] / h[rest[0]]) if rest else 1.0, float(h[best])))
+                at += len(batch)
+                pred, score, entropy = zip(*out, strict=True) if out else ((), (), ())
+                yield pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(entropy, pa.float64())], ["lang_pred", "score", "entropy"])
+
+        group, size = [], 0
         for batch in batches:
-            out = []
-            for text in batch.to_pylist():
-                text = letters_of(text or "")
-                if not text or not langs:
-                    out.append(("und", 0.0, None))
-                    continue
-                h = [a.phrases(text) * b / len(text) for a, b in zip(automata, bits, strict=True)]
-                best = min(range(len(langs)), key=h.__getitem__)
-                rest = min((x for k, x in enumerate(h) if k != best), default=None)
-                out.append((langs[best], 1.0 if rest is None else 1 - h[best] / rest, h[best]))
-            pred, score, entropy = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(entropy, pa.float64())], ["lang_pred", "score", "entropy"])
-        del automata
+            group.append([parser.alphabet.codes(t or "") for t in batch.to_pylist()])
+            size += sum(map(len, group[-1]))
+            if size > group_chars:
+                yield from answer(group)
+                group, size = [], 0
+        yield from answer(group)
+        del parser
         gc.collect()  # the states refer to each other
         release()
 
