@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
+import uuid
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from struct import pack
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, release, small_batches, texts
+from .common import blocks, small_batches, texts
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -183,6 +184,18 @@ class Encoder:
         self.after_space.trim()
 
 
+#: The encoder that this Python worker used last: a worker's tasks share what has been looked up, at most four times the
+#: 250,000 texts of Encoder.
+_LAST: dict[tuple, Encoder] = {}
+
+
+def worker_encoder(key: tuple, ranks: dict[bytes, int], pattern: str) -> Encoder:
+    if key not in _LAST:
+        _LAST.clear()
+        _LAST[key] = Encoder(ranks, pattern)
+    return _LAST[key]
+
+
 def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
     """Encode every whole text: id, n_tokens, ids (packed little-endian unsigned 32-bit), and decoded bytes if asked for.
 
@@ -193,9 +206,10 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
     """
     small_batches(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
+    key = (uuid.uuid4().hex, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks.value, pattern)
+        encoder = worker_encoder(key, ranks.value, pattern)
         tokens = {rank: token for token, rank in ranks.value.items()}
         for batch in blocks(batches, 500):
             ids = [encoder.encode(t) for t in texts(batch, 1)]
@@ -204,8 +218,6 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
                 columns.append(pa.array([decode_ids(x, tokens) for x in ids], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids", "decoded"][: len(columns)])
             encoder.trim()
-        del encoder
-        release()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids binary" + ", decoded binary" * decode)

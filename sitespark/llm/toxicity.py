@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -12,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, small_batches, texts
+from .common import blocks, release, small_batches, texts
 from .langid import bounded_sample
 
 WINDOW_BYTES = 192
@@ -31,68 +30,68 @@ def windows(text: bytes, size: int = WINDOW_BYTES) -> list[bytes]:
     return out
 
 
+def plain(text: str) -> bytes:
+    return b" " + " ".join(text.lower().split()).encode() + b" "
+
+
 class Distance:
     """Bytes by which a window compresses better with the toxic dictionary than with the ordinary one."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
         # matches of 6 bytes or more: shorter ones say little, as any text shares them
-        how = zstandard.ZstdCompressionParameters.from_level(3, min_match=6, strategy=zstandard.STRATEGY_FAST, hash_log=16, chain_log=16, search_log=4, write_content_size=False, write_checksum=False, write_dict_id=False)
+        how = zstandard.ZstdCompressionParameters.from_level(3, min_match=6, hash_log=16, chain_log=16, search_log=4, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.compress = []
         for content in (ordinary, toxic):
-            primed = zstandard.ZstdCompressionDict(content)  # a trained one has entropy tables too
+            primed = zstandard.ZstdCompressionDict(content)  # it starts with a trained one, so it has entropy tables too
             primed.precompute_compress(compression_params=how)
             self.compress.append(zstandard.ZstdCompressor(dict_data=primed, compression_params=how).compress)
 
     def gains(self, text: str) -> np.ndarray:
-        plain, toxic = self.compress
-        return np.array([len(plain(w)) - len(toxic(w)) for w in windows(b" " + " ".join(text.lower().split()).encode() + b" ")], np.float64)
+        ordinary, toxic = self.compress
+        return np.array([len(ordinary(w)) - len(toxic(w)) for w in windows(plain(text))], np.float64)
+
+
+#: Gains in bytes that windows are counted from.
+STEPS = (2, 3, 5)
 
 
 def features(gains: np.ndarray) -> list[float]:
-    """The best window's gain, the next two's, and the logarithm of the number of windows, among which chance has its pick."""
-    top = np.concatenate([np.sort(gains)[::-1], np.zeros(3)])[:3]
-    return [float(top[0]), float(np.maximum(top[1:], 0).sum()), float(np.log1p(len(gains)))]
-
-
-def segments(words: set[bytes], least: int = 5, most: int = 14) -> set[bytes]:
-    """What a dictionary can hold of a text: its words and their beginnings, with the space before them."""
-    return {b" " + w[:n] for w in words for n in range(least - 1, min(most, len(w)) + 1)} | {b" " + w + b" " for w in words if 3 <= len(w) <= most}
-
-
-def train(sample: list[tuple[str, int]], size: int = 24_576, toxic_size: int = 2048, least_share: float = 0.015) -> tuple[bytes, bytes]:
-    """The ordinary dictionary (zstandard's own training on ordinary windows) and the toxic one: the same content, and
-    after it, where matches are cheapest, the segments that toxic documents have far more often than ordinary ones, in
-    least_share of them or more (a text counts once, however many copies the sample has). As they share all else, a window without such a segment compresses alike with either."""
-    count = [Counter(), Counter()]
-    n = [0, 0]
-    ordinary = []
-    for text, toxic in dict.fromkeys(sample):
-        raw = text.lower().encode()
-        words = set(raw.split())
-        words |= {w.strip(b".,;:!?\"'()[]") for w in words}
-        count[toxic].update(segments(words))
-        n[toxic] += 1
-        if not toxic and len(ordinary) < 20_000:
-            ordinary += windows(b" " + b" ".join(raw.split()) + b" ")
+    """The best window's gain, the next two's, the logarithm of the number of windows, among which chance has its pick, the
+    mean gain, the shares of windows that gain STEPS bytes, and all that windows gain beyond the first of them."""
+    top = np.concatenate([np.sort(gains)[::-1], np.full(3, -5.0)])[:3]
+    shares = [float((gains >= s).mean()) if len(gains) else 0.0 for s in STEPS]
+    return [float(min(top[0], 12)), float(min(top[1] + top[2], 24)), float(np.log1p(len(gains))), float(gains.mean()) if len(gains) else 0.0, *shares, float(np.log1p(np.maximum(gains - STEPS[0], 0).sum()))]
+
+
+def words_of(text: bytes) -> list[bytes]:
+    return [w for w in (x.strip(b".,;:!?\"'()[]") for x in text.split()) if w]
+
+
+def told_apart(texts: list[bytes], others: list[bytes], ratio: float) -> list[bytes]:
+    """What is left of texts without the words that aren't `ratio` times as common among them as among the others."""
+    own, other = (Counter(w for t in ts for w in set(words_of(t))) for ts in (texts, others))
+    least = ratio * len(texts) / max(1, len(others))
+    left = (b" ".join(w for w in words_of(t) if own[w] > least * (other[w] + 0.5)) for t in texts)
+    return [b" " + t + b" " for t in left if t]
+
+
+def trained(size: int, texts: list[bytes], **how) -> bytes:
+    """A zstandard dictionary trained on the texts' windows; the end of the texts where they are too few to train on."""
     try:
-        base = zstandard.train_dictionary(size, ordinary, level=1).as_bytes()
-    except zstandard.ZstdError:  # too little text to train on
-        base = b"".join(ordinary)[-size:]
-    told = []
-    for s, k in count[1].items():
-        ratio = ((k + 0.5) / (n[1] + 1)) / ((count[0][s] + 0.5) / (n[0] + 1))
-        if k >= max(3, least_share * n[1]) and ratio >= 20:
-            told.append((k * math.log(ratio) * math.sqrt(len(s)), s))
-    picked: list[bytes] = []
-    used = 0
-    for _, s in sorted(told, reverse=True):
-        if used + len(s) > toxic_size:
-            break
-        if not any(s in p for p in picked):
-            picked.append(s)
-            used += len(s)
-    own = b"".join(reversed(picked))
-    return base + own.upper().translate(bytes(range(128)) + b"\xff" * 128), base + own
+        return zstandard.train_dictionary(size, [w for t in texts for w in windows(t)], level=3, **how).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(texts)[-size:]
+
+
+def train(sample: list[tuple[str, int]], size: int = 24_576, own_size: int = 2048, ratio: float = 20.0) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary. Each is trained by zstandard on its own label's text, less the words that the
+    other label has as well, and stands behind what both share, a dictionary trained on ordinary text as it is: so prose
+    compresses alike with either, and only what tells the labels apart differs. A text counts once, however many copies the
+    sample has."""
+    kinds = [[plain(t) for t, y in dict.fromkeys(sample) if y == label] for label in (0, 1)]
+    shared = trained(size, kinds[0])
+    own = [trained(own_size, told_apart(kinds[k], kinds[1 - k], ratio), k=16, d=6) for k in (0, 1)]
+    return shared + own[0], shared + own[1]
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> list[float]:
@@ -156,7 +155,7 @@ def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         distance = Distance(m["ordinary"], m["toxic"]) if m["weights"] else None
-        for batch in blocks(batches, 500):
+        for batch in blocks(batches, 256):
             if distance is None:
                 gains, scores = [0.0] * batch.num_rows, [float(m["share"])] * batch.num_rows
             else:
@@ -164,6 +163,8 @@ def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
                 gains = x[:, 0].tolist()
                 scores = (1 / (1 + np.exp(-np.clip(m["weights"][0] + x @ np.array(m["weights"][1:]), -30, 30)))).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(gains, pa.float64())], ["id", "score", "predicted", "gain"])
+        del distance
+        release()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double, predicted int, gain double").withColumnRenamed("id", id_col)
