@@ -57,6 +57,10 @@ def size_class(acres: Column) -> Column:
     return bands(acres, [(500, "site"), (5000, "campus")], "region", closed=False)
 
 
+def oversized(acres: Column) -> Column:
+    return true(acres >= 5000)
+
+
 def seismic_tier(pga: Column) -> Column:
     return bands(pga, [(0.10, "very_low"), (0.25, "low"), (0.50, "moderate"), (1.0, "high")], "very_high", closed=False)
 
@@ -81,8 +85,25 @@ def mw_score(tier: Column) -> Column:
     return lookup(tier, {"negligible": 0, "weak": 25, "moderate": 50, "strong": 75, "very_strong": 100}, 0)
 
 
+def queue_status_best(agreement: Column, active: Column, suspended: Column) -> Column:
+    """Best status of an anchor's projects: a signed agreement, else any under study, else any suspended."""
+    return F.when(true(agreement), "executed_ia").when(true(active > 0), "in_study").when(true(suspended > 0), "suspended").otherwise("no_active")
+
+
 def status_score(status: Column) -> Column:
-    return lookup(status, {"ia_executed": 100, "active": 67, "suspended": 37}, 0)
+    return lookup(status, {"executed_ia": 100, "in_study": 67, "suspended": 37}, 0)
+
+
+def match_confidence(method: Column) -> Column:
+    return lookup(method, {"exact": "high", "fuzzy_high": "high", "fuzzy_high_endpoint": "medium", "fuzzy_medium": "medium", "fuzzy_low": "low"}, None)
+
+
+def method_rank(method: Column) -> Column:
+    return lookup(method, {"exact": 4, "fuzzy_high": 3, "fuzzy_high_endpoint": 2, "fuzzy_medium": 1}, 0)
+
+
+def distance_band(metres: Column) -> Column:
+    return bands(metres, [(5_000, "strong"), (10_000, "moderate"), (25_000, "weak"), (50_000, "regional")], "out_of_range", "out_of_range")
 
 
 def voltage_percent(kv: Column) -> Column:
@@ -94,8 +115,10 @@ def decay_percent(metres: Column) -> Column:
     return bands(metres, [(5_000, 100), (10_000, 67), (25_000, 33), (50_000, 10)], 0, 0)
 
 
-def confidence_percent(level: Column) -> Column:
-    return lookup(level, {"high": 100, "medium": 70, "low": 50}, 50)
+def confidence_percent(level: Column, line_fraction: Column | None = None) -> Column:
+    """Weight of a match times 100; four fifths of it where most of the names behind it are lines."""
+    base = lookup(level, {"high": 100, "medium": 70, "low": 50}, 50)
+    return base if line_fraction is None else F.when(true(line_fraction > 0.5), (base * 4 / 5).cast("int")).otherwise(base)
 
 
 def months_until(start: Column, end: Column) -> Column:
@@ -109,19 +132,42 @@ def activation_band(months: Column) -> Column:
 # Gates and sub-scores ------------------------------------------------------------------------------------------------
 
 
-def gate_reasons(footprint: Column, slope_mean: Column, compactness: Column) -> Column:
-    """Reasons for a manual review, joined by ';', or null."""
-    reasons = F.concat_ws(";", F.when(F.coalesce(footprint, F.lit(0)) > 5, "building_footprint"), F.when(slope_mean > 15, "slope_mean"), F.when(compactness < 0.25, "shape_ratio"))
+def gate_reasons(footprint: Column, slope_mean: Column, buildable_ratio: Column) -> Column:
+    """Reasons for a manual review, joined by ';', or null. Unknown values pass."""
+    reasons = F.concat_ws(";", F.when(footprint > 5, "building_footprint_>5pct"), F.when(slope_mean > 15, "slope_>15pct"), F.when(buildable_ratio < 0.25, "buildable_ratio_<25pct"))
     return F.when(reasons != "", reasons)
 
 
+def reuse_gate_reasons(buildable_ratio: Column, geometry_confidence: Column) -> Column:
+    reasons = F.concat_ws(";", F.when(buildable_ratio < 0.25, "buildable_ratio_<25pct"), F.when(geometry_confidence == "LOW", "geometry_confidence_LOW"))
+    return F.when(reasons != "", reasons)
+
+
+def hard_slope_exclusion(status: Column, reason: Column, slope_max: Column) -> tuple[Column, Column]:
+    """Status and reason after the rule that excludes all whose steepest slope is over 15 percent; a prior reason is kept."""
+    steep = true(slope_max > 15) & (status != "excluded")
+    prior = F.coalesce(reason, F.lit(""))
+    said = F.concat(F.lit("slope_max_gt_15_pct_pdf_rule_13"), F.when(prior != "", F.concat(F.lit(" (prior_reason: "), prior, F.lit(")"))).otherwise(""))
+    return F.when(steep, "excluded").otherwise(status), F.when(steep, said).otherwise(reason)
+
+
 LAND_COVER = {"grassland": 90, "shrub_barren": 80, "cropland": 65, "forest": 45}
 
 
 def constraint_score(floodway: Column, flood_edge: Column, footprint: Column) -> Column:
     """100 less penalties, not below 0. An unknown footprint takes the worst penalty, as the rule's comparison does."""
     cost = F.when(F.isnull(footprint), 120).when(footprint < 0.25, 0).when(footprint < 1, 10).when(footprint < 5, 40).when(footprint < 15, 90).otherwise(120)
-    return F.greatest(F.lit(0), 100 - F.when(true(floodway), 30).otherwise(0) - F.when(true(flood_edge), 10).otherwise(0) - cost)
+    return F.greatest(F.lit(0), 100 - flood_cost(floodway, flood_edge) - cost)
+
+
+def flood_cost(overlap: Column, adjacent: Column) -> Column:
+    """An overlap is always adjacent too, and costs only once."""
+    return F.when(true(overlap), 30).when(true(adjacent), 10).otherwise(0)
+
+
+def reuse_buildability(acreage: Column, slope: Column, overlap: Column, adjacent: Column) -> Column:
+    """Built land counts 85, an unknown slope 80, and footprints cost nothing."""
+    return buildability(F.lit(85), acreage, F.coalesce(slope, F.lit(80)), F.greatest(F.lit(0), 100 - flood_cost(overlap, adjacent)))
 
 
 def buildability(land: Column, acreage: Column, slope: Column, constraint: Column) -> Column:
@@ -169,9 +215,18 @@ def distance_score(d: Column, far: float, scores: tuple[int, int, int]) -> Colum
     return F.when(d.isNull() | (d > far), 100).when(d >= 500, scores[0]).when(d >= 100, scores[1]).otherwise(scores[2])
 
 
+#: Drought labels by level, and their scores: fixed values.
+DROUGHT_LABELS = ("abnormally_dry", "moderate_drought", "severe_drought", "extreme_drought", "exceptional_drought")
+DROUGHT_SCORE = {"no_drought": 100, "abnormally_dry": 85, "moderate_drought": 70, "severe_drought": 50, "extreme_drought": 30, "exceptional_drought": 10}
+
+
+def drought_label(level: Column) -> Column:
+    return F.when(level.isNull(), "no_drought").otherwise(F.get(F.array(*map(F.lit, DROUGHT_LABELS)), level.cast("int")))
+
+
 def dev_risk(seismic: Column, drought: Column, radar: Column, protected: Column, wetland: Column, floodway: Column) -> Column:
     s = lookup(seismic, {"very_low": 100, "low": 80, "moderate": 55, "high": 30, "very_high": 10}, 80)
-    d = lookup(drought, {"no_drought": 100, "D0": 85, "D1": 70, "D2": 50, "D3": 30, "D4": 10}, 100)
+    d = lookup(drought, DROUGHT_SCORE, 100)
     r = F.when(radar.isNull() | (radar > 10), 100).when(radar > 5, 85).when(radar > 3, 60).otherwise(30)
     return 0.25 * s + 0.20 * d + 0.15 * r + 0.15 * distance_score(protected, 8047, (85, 60, 30)) + 0.15 * distance_score(wetland, 8047, (85, 60, 35)) + 0.10 * distance_score(floodway, METRES_PER_MILE, (80, 50, 25))
 
@@ -199,17 +254,44 @@ def worst(*levels: Column) -> Column:
     return F.when(least == 3, "high").when(least == 2, "medium").otherwise("low")
 
 
-def action(status: Column, score: Column, acres: Column, clean_slope: Column, anchors: Column, confidence: Column, fallback: Column, parcels: Column) -> Column:
-    shortlist = (score >= 90) & acres.between(500, 5000) & clean_slope & (anchors >= 3) & confidence.isin("medium", "high")
-    return F.when(status == "manual_review", "Manual Review").when(status == "excluded", "Ignore").when(shortlist, "Shortlist").when((score >= 85) & fallback, "Utility Desk Check").when((score >= 75) & parcels.isNull(), "Parcel Pull").when(score >= 65, "Monitor").otherwise("Ignore")
+def coverage(utility_named: Column, utility_status: Column, cover: Column, slope: Column, pga: Column, drought: Column, lines: list[Column], pipeline: Column, rail: Column, water: Column) -> tuple[Column, Column]:
+    """Ten points for each of nine modules that have data, and the names of those that have none, after site_control,
+    which never has."""
+    present = [
+        ("utility", utility_named.isNotNull() & (utility_status != "failed")), ("land_cover", cover.isNotNull()), ("slope", slope.isNotNull()), ("seismic", pga.isNotNull()),
+        ("drought", drought.isNotNull()), ("transmission", F.coalesce(*lines).isNotNull()), ("pipeline", pipeline.isNotNull()), ("rail", rail.isNotNull()), ("water", water.isNotNull()),
+    ]
+    missing = F.filter(F.array(F.lit("site_control"), *[F.when(~c, name) for name, c in present]), lambda x: x.isNotNull())
+    return (10 * (10 - F.size(missing))).cast("double"), missing
+
+
+def confidence(missing: Column, anchor: Column, scores: list[Column], high: int = 3, medium: int = 2) -> Column:
+    """The worst of three: missing modules (none, one, more), the primary anchor's match, and how many scores reach 50."""
+    above = sum((F.when(true(c >= 50), 1).otherwise(0) for c in scores), F.lit(0))
+    covered = F.when(F.size(missing) == 0, "high").when(F.size(missing) == 1, "medium").otherwise("low")
+    agreed = F.when(above >= high, "high").when(above >= medium, "medium").otherwise("low")
+    return worst(covered, anchor, agreed)
+
+
+def shortlisted(score: Column, acres: Column, oversize: Column, confident: Column, anchors: Column) -> Column:
+    return (score >= 90) & true(acres.between(500, 5000)) & ~true(oversize) & true(confident.isin("medium", "high")) & true(anchors >= 3)
 
 
-def reuse_action(status: Column, score: Column, diligence: Column) -> Column:
-    return F.when(status == "manual_review", "Manual Review").when((score >= 60) & true(diligence), "Reuse Diligence").when(score >= 75, "Parcel Pull").when(score >= 65, "Monitor").otherwise("Ignore")
+def action(status: Column, score: Column, acres: Column, slope_review: Column, oversize: Column, anchors: Column, confident: Column, fallback: Column, parcels: Column) -> Column:
+    shortlist = shortlisted(score, acres, oversize, confident, anchors) & ~true(slope_review)
+    out = F.when(status == "manual_review", "Manual Review").when(status == "excluded", "Ignore").when(shortlist, "Shortlist")
+    return out.when((score >= 85) & true(fallback), "Utility Desk Check").when((score >= 75) & parcels.isNull(), "Parcel Pull").when(score >= 65, "Monitor").otherwise("Ignore")
+
+
+def reuse_action(status: Column, score: Column, acres: Column, oversize: Column, anchors: Column, confident: Column, fallback: Column, contaminated: Column, legacy: Column) -> Column:
+    """As for new sites, but known contamination or a legacy asset asks for diligence first, and parcels are always pulled."""
+    diligence = (true(contaminated) | true(legacy)) & (score >= 60)
+    out = F.when(status == "manual_review", "Manual Review").when(status == "excluded", "Ignore").when(diligence, "Reuse Diligence").when(shortlisted(score, acres, oversize, confident, anchors), "Shortlist")
+    return out.when((score >= 85) & true(fallback), "Utility Desk Check").when(score >= 75, "Parcel Pull").when(score >= 65, "Monitor").otherwise("Ignore")
 
 
 def actionability(status: Column) -> Column:
-    return F.when(status == "manual_review", "internal_review").when(status == "excluded", "do_not_pitch").otherwise("apn_pull_required")
+    return F.when(status == "manual_review", "internal_diligence_only").when(status == "excluded", "do_not_pitch").otherwise("apn_owner_pull_required")
 
 
 def reason_codes(rules: list[tuple[str, str, Column, int]]) -> Column:
@@ -252,7 +334,21 @@ def voltage_kv(text: Column) -> Column:
 
 
 def station_class(kv: Column) -> Column:
-    return F.when(kv >= 345, "class_1").when(kv >= 230, "class_2").when(kv >= 69, "class_3")
+    return F.when(kv >= 345, "class_1").when(kv >= 230, "class_2").when(kv >= 69, "class_3").when(kv.isNotNull(), "sub_class")
+
+
+#: Classes of line voltages, their ratings and least voltages: fixed values. They differ from those of stations.
+LINE_RATING = {"100-161": "sub_class", "220-287": "class_3", "345": "class_2", "500": "class_1", "735 AND ABOVE": "class_1", "DC": "class_1"}
+LINE_LEAST_KV = {"100-161": 100, "220-287": 220, "345": 345, "500": 500, "DC": 500, "735 AND ABOVE": 735}
+
+
+def line_rating(volt_class: Column) -> Column:
+    return lookup(volt_class, LINE_RATING, None)
+
+
+def line_kv(kv: Column, volt_class: Column) -> Column:
+    """A line's voltage; the least of its class where it is unknown (null, or not above 0)."""
+    return F.when(kv > 0, kv).otherwise(lookup(volt_class, LINE_LEAST_KV, None))
 
 
 def sentinel_null(v: Column, *sentinels: object) -> Column:

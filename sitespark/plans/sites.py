@@ -93,7 +93,7 @@ s AS (SELECT sites.site_id, coalesce(anchors, 0) AS anchors, primary_anchor, u.s
   FROM sites LEFT JOIN u USING (site_id)),
 t AS (SELECT *, (0.40 * utility + 0.20 * buildability) / 0.60 AS composite FROM s)
 SELECT site_id, anchors, primary_anchor, zone_fallback, round(utility, 3) AS utility, round(buildability, 3) AS buildability, round(composite, 3) AS composite,
- CASE WHEN composite >= 90 AND acres BETWEEN 500 AND 5000 AND anchors >= 3 THEN 'Shortlist' WHEN composite >= 85 AND zone_fallback THEN 'Utility Desk Check' WHEN composite >= 75 THEN 'Parcel Pull' WHEN composite >= 65 THEN 'Monitor' ELSE 'Ignore' END AS action FROM t
+ CASE WHEN composite >= 90 AND acres >= 500 AND acres < 5000 AND anchors >= 3 THEN 'Shortlist' WHEN composite >= 85 AND zone_fallback THEN 'Utility Desk Check' WHEN composite >= 75 THEN 'Parcel Pull' WHEN composite >= 65 THEN 'Monitor' ELSE 'Ignore' END AS action FROM t
 """)
 def site_scores(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: anchors within 50 km of each site, their contribution in scaled integers, utility, composite and action."""
@@ -108,7 +108,7 @@ def site_scores(spark: SparkSession, d: str) -> DataFrame:
     out = s.join(u, "site_id", "left").withColumn("zone_fallback", F.col("anchors").isNull()).withColumn("anchors", F.coalesce("anchors", F.lit(0)))
     out = out.withColumn("utility", F.least(F.lit(100.0), F.coalesce("total", F.lit(0)) / 100000000.0)).withColumn("buildability", rules.buildability(rules.lookup(F.col("cover"), rules.LAND_COVER, 50), rules.acreage_score(F.col("acres")), F.lit(80), F.lit(100)))
     out = out.withColumn("composite", (0.40 * F.col("utility") + 0.20 * F.col("buildability")) / 0.60)
-    act = rules.action(F.lit("ok"), F.col("composite"), F.col("acres"), F.lit(True), F.col("anchors"), F.lit("medium"), F.col("zone_fallback"), F.lit(None))
+    act = rules.action(F.lit("pass"), F.col("composite"), F.col("acres"), F.lit(False), rules.oversized(F.col("acres")), F.col("anchors"), F.lit("medium"), F.col("zone_fallback"), F.lit(None))
     return out.select("site_id", "anchors", F.col("best.anchor_id").alias("primary_anchor"), "zone_fallback", *[F.round(c, 3).alias(c) for c in ("utility", "buildability", "composite")], act.alias("action"))
 
 
