@@ -77,19 +77,44 @@ def route(patterns: dict[tuple, int], targets: dict, repeats: int = 2) -> dict[t
     """Words that each membership pattern gives each source. A pattern can be used `repeats` times; its k-th use costs k
     for each word, so repetition is spread before it is deepened. Targets that no pattern can fill are filled as far as
     the flow goes."""
-    names = sorted(targets, key=lambda s: (s is None, s))
-    places = {s: 2 + len(patterns) + i for i, s in enumerate(names)}
-    flow = MinCostFlow(2 + len(patterns) + len(names))
-    arcs = {}
-    for i, (pattern, size) in enumerate(patterns.items()):
-        for k in range(1, repeats + 1):
-            flow.add(0, 2 + i, size, k)
-        for s in pattern:
-            arcs[pattern, s] = flow.add(2 + i, places[s], repeats * size, 0)
-    for s in names:
-        flow.add(places[s], 1, round(targets[s]), 0)
-    flow.run(0, 1)
-    return {p: {s: flow.arcs[arcs[p, s] ^ 1][1] for s in p} for p in patterns}
+    out: dict[tuple, dict] = {}
+    for group, names in _apart(patterns, targets):
+        places = {s: 2 + len(group) + i for i, s in enumerate(names)}
+        flow = MinCostFlow(2 + len(group) + len(names))
+        arcs = {}
+        for i, pattern in enumerate(group):
+            for k in range(1, repeats + 1):
+                flow.add(0, 2 + i, patterns[pattern], k)
+            for s in pattern:
+                arcs[pattern, s] = flow.add(2 + i, places[s], repeats * patterns[pattern], 0)
+        for s in names:
+            flow.add(places[s], 1, round(targets[s]), 0)
+        flow.run(0, 1)
+        out |= {p: {s: flow.arcs[arcs[p, s] ^ 1][1] for s in p} for p in group}
+    return out
+
+
+def _apart(patterns: dict[tuple, int], targets: dict) -> list[tuple[list, list]]:
+    """Patterns and sources in groups that share nothing, which have flows of their own: a source that overlaps with no
+    other is a group of one pattern, so many such sources take no longer than one by one."""
+    top = {s: s for s in targets}
+
+    def find(s):
+        while top[s] != s:
+            top[s] = top[top[s]]
+            s = top[s]
+        return s
+
+    for pattern in patterns:
+        for s in pattern[1:]:
+            top[find(s)] = find(pattern[0])
+    groups: dict = {}
+    for s in sorted(targets, key=lambda s: (s is None, s)):
+        groups.setdefault(find(s), ([], []))[1].append(s)
+    empty = []
+    for pattern in patterns:
+        (groups[find(pattern[0])][0] if pattern else empty).append(pattern)
+    return [*groups.values(), (empty, [])]
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sources_col: str = "source", weights: tuple = (5, 2, 1), share: float = 1.5, repeats: int = 2, seed: int = 0, most_patterns: int = 100_000, bins: int = 1024) -> DataFrame:
@@ -144,8 +169,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sources
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs as often as the mix takes them. Rows that share an id are taken as often as the first of them."""
+    """The rows of docs as often as the mix takes them. Rows that share an id are taken as often as the first of them.
+    Other columns may have any name."""
     work = Work(docs.sparkSession, "mixed")
-    taken = mix(docs, id_col, **options).filter("copies > 0").groupBy(F.col(id_col).alias("_id")).agg(F.max("copies").alias("_copies"))
+    taken = mix(docs, id_col, **options).filter("copies > 0").groupBy(F.col(id_col).alias("id")).agg(F.max("copies").alias("copies"))
     taken = work.save("taken", taken)
-    return docs.join(taken, F.col(id_col).eqNullSafe(F.col("_id"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("key"))
+    found = rows.join(taken, rows["key"].eqNullSafe(taken["id"]))
+    return found.select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select("row.*")

@@ -78,12 +78,21 @@ def novel_spans(text: str, base: list[tuple[str, int, int]], novelty: Novelty, l
     low = text.lower()
     if not any(w in low for w in CONTEXT_WORDS):
         return out
+    taken: list[list[int]] = []  # the base spans, joined where they overlap
+    for _, s, e in sorted(base, key=lambda x: x[1:]):
+        if taken and s < taken[-1][1]:
+            taken[-1][1] = max(e, taken[-1][1])
+        else:
+            taken.append([s, e])
+    taken_ends = [e for _, e in taken]
     said = [m.span() for m in CONTEXT.finditer(text)]
     starts, ends = [s for s, _ in said], [e for _, e in said]
 
     def novel(start: int, end: int) -> bool:
         own = text[start:end]
-        return end - start >= 16 and bool(re.search("[0-9]", own) and re.search("[A-Za-z]", own)) and not any(s < end and start < e for _, s, e in base) and novelty.bits(text, start, end) >= least_bits
+        after = bisect_right(taken_ends, start)
+        clear = after == len(taken) or taken[after][0] >= end
+        return end - start >= 16 and clear and bool(re.search("[0-9]", own) and re.search("[A-Za-z]", own)) and novelty.bits(text, start, end) >= least_bits
 
     for m in CANDIDATE.finditer(text) if said else ():
         start, end = m.span()
