@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -44,10 +45,13 @@ class Work:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def save(self, name: str, df: DataFrame, codec: str = "zstd") -> DataFrame:
-        """Write df and read it back with its own schema, so that an empty table stays readable."""
+    def save(self, name: str, df: DataFrame, codec: str = "zstd", free: bool = False) -> DataFrame:
+        """Write df and read it back with its own schema, so that an empty table stays readable. free: for a table made by a
+        large exchange, let Spark remove the shuffle files, which it does once the driver has collected what refers to them."""
         df.write.mode("overwrite").option("compression", codec).parquet(self.path(name))
-        self.spark.sparkContext._jvm.System.gc()  # lets Spark remove shuffle files that the written table replaces
+        if free:
+            time.sleep(0.5)  # until the scheduler has let go of the job
+            self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

@@ -203,16 +203,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     n_tokens = chunks.agg(F.sum("n_tokens")).first()[0] or 0
     buckets = max(shuffle_partitions(spark), -(-n_tokens // BUCKET_TOKENS))
     bits = min(64, max(24, n_tokens.bit_length() + 8))
-    answers = work.save("answers", exchange(chunks, _ask(width, bits, buckets), _count, 2, 1))
+    answers = work.save("answers", exchange(chunks, _ask(width, bits, buckets), _count, 2, 1), free=True)
     schema = "chunk string, place int, id long, n int, digest binary, prefix array<long>, leads array<long>, shingles binary"
-    sketch = work.save("sketch", with_answers(chunks, answers, _sketch(width, percent, bits), schema))
+    sketch = work.save("sketch", with_answers(chunks, answers, _sketch(width, percent, bits), schema), free=True)
     work.drop("chunks", "answers")
 
     heads = work.save("heads", sketch.select("id", "n", "digest"))
     owners = sketch.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min(F.struct(F.col("id"), F.col("prefix").isNull().alias("bare"), F.col("chunk"), F.col("place"))).alias("o"))
     classes = work.save("classes", owners.select("digest", F.col("o.id").alias("class"), F.col("o.chunk").alias("chunk"), F.col("o.place").alias("place")))
     near = sketch.filter("prefix IS NOT NULL").join(classes.select("chunk", "place"), ["chunk", "place"], "left_semi")
-    near = work.save("near", near.select("id", "n", "prefix", "leads", "shingles"))
+    near = work.save("near", near.select("id", "n", "prefix", "leads", "shingles"), free=True)
     work.drop("sketch")
     labels = work.save("labels-0", near.select(F.col("id").alias("node"), F.col("id").alias("component")).distinct())
     links = None
@@ -223,7 +223,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 continue
             break
         found = _block_links(open_, near, work, percent) if turn == pivot_rounds else _pivot_links(open_, near, work, turn, percent)
-        found = work.save(f"links-{turn}", found)
+        found = work.save(f"links-{turn}", found, free=True)
         work.drop(f"open-{turn}", f"pivots-{turn}")
         links = found if links is None else links.union(found)
         label = components(links, work, f"turn-{turn}")
@@ -244,7 +244,7 @@ def _unsettled(near: DataFrame, labels: DataFrame, work: Work, turn: int, leads:
     rows = rows.select(F.explode("tokens").alias("token"), "id", "n", "component")
     several = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
     several = work.save(f"several-{turn}", several.select("token"))
-    open_ = work.save(f"open-{turn}", rows.join(several, "token"))
+    open_ = work.save(f"open-{turn}", rows.join(several, "token"), free=True)
     work.drop(f"rows-{turn}", f"several-{turn}")
     return open_
 

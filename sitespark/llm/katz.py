@@ -275,12 +275,12 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     chunks = work.save("chunks", tokenised(docs, id_col, text_col, learn))
     n_tokens = chunks.agg(F.sum(F.col("n_tokens") + F.size("ids"))).first()[0] or 0
     buckets = max(shuffle_partitions(spark), -(-n_tokens // BUCKET_TOKENS))
-    words = work.save("words", exchange(chunks, _ask_words(buckets), _count_words(buckets), 2, 2))
+    words = work.save("words", exchange(chunks, _ask_words(buckets), _count_words(buckets), 2, 2), free=True)
     ngrams, tokens, largest = _histograms(words)
     model, span = _unigrams(ngrams, tokens), buckets * (largest + 1) + 1
-    numbered = work.save("numbered", with_answers(chunks, words, _numbered, NUMBERED))
+    numbered = work.save("numbered", with_answers(chunks, words, _numbered, NUMBERED), free=True)
     work.drop("chunks", "words")
-    bigrams = work.save("bigrams", exchange(numbered, _ask_bigrams(span, buckets), _count_bigrams(model, span), 3, 3))
+    bigrams = work.save("bigrams", exchange(numbered, _ask_bigrams(span, buckets), _count_bigrams(model, span), 3, 3), free=True)
     model.d2 = discounts(_histograms(bigrams)[0])
     out = with_answers(numbered, bigrams, _score(model, span, buckets), "id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("id", id_col)
