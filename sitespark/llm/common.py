@@ -50,10 +50,15 @@ class Work:
         large exchange, let Spark remove the shuffle files, which it does once the driver has collected what refers to them."""
         df.write.mode("overwrite").option("compression", codec).parquet(self.path(name))
         if free:
-            time.sleep(0.5)  # until the scheduler has let go of the job
-            self.spark.sparkContext._jvm.System.gc()
+            self.free()
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def free(self) -> None:
+        """Let Spark remove shuffle files that nothing refers to any more, once the scheduler has let go of the last job."""
+        for _ in range(2):
+            time.sleep(0.3)
+            self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Delete tables nothing will read again."""
         jvm = self.spark.sparkContext._jvm

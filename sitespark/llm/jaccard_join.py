@@ -216,19 +216,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     work.drop("sketch")
     labels = work.save("labels-0", near.select(F.col("id").alias("node"), F.col("id").alias("component")).distinct())
     links = None
-    for turn in range(pivot_rounds + 1):
-        open_ = _unsettled(near, labels, work, turn, leads=turn == 0 < pivot_rounds)
+    if pivot_rounds:
+        open_ = _unsettled(near, "leads", labels, work, "leads")
+        links, labels = _linked(work, "leads", _pivot_links(open_, near, work, "leads", percent, best=True), links, labels)
+    open_ = _unsettled(near, "prefix", labels, work, "prefix")
+    for turn in range(pivot_rounds):
         if open_.limit(1).count() == 0:
-            if turn == 0 < pivot_rounds:
-                continue
             break
-        found = _block_links(open_, near, work, percent) if turn == pivot_rounds else _pivot_links(open_, near, work, turn, percent)
-        found = work.save(f"links-{turn}", found, free=True)
-        work.drop(f"open-{turn}", f"pivots-{turn}")
-        links = found if links is None else links.union(found)
-        label = components(links, work, f"turn-{turn}")
-        new = labels.select("node").join(label, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-        labels = work.save(f"labels-{turn + 1}", new)
+        links, labels = _linked(work, turn, _pivot_links(open_, near, work, turn, percent), links, labels)
+        open_ = _without_pivots(open_, labels, work, turn)
+    if open_.limit(1).count():
+        links, labels = _linked(work, "blocks", _block_links(open_, near, work, percent), links, labels)
     work.drop("near")
     named = classes.join(labels, classes["class"] == labels["node"], "left").select("digest", F.coalesce("component", "class").alias("component"))
     out = heads.join(named, "digest", "left")
@@ -236,31 +234,59 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
 
 
-def _unsettled(near: DataFrame, labels: DataFrame, work: Work, turn: int, leads: bool) -> DataFrame:
+def _linked(work: Work, turn: object, found: DataFrame, links: DataFrame | None, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links so far, and the components they make."""
+    found = work.save(f"links-{turn}", found, free=True)
+    if found.limit(1).count() == 0:
+        return links, labels
+    links = found if links is None else links.union(found)
+    label = components(links, work, f"turn-{turn}")
+    new = labels.select("node").join(label, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return links, work.save(f"labels-{turn}", new)
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Of the buckets that hold more than one component those with different members: a passage puts the same documents
+    into many buckets, of which one is enough. Members are told apart by their number and two 64-bit hashes."""
+    several = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("id")).alias("h"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("i")).filter("x != y")
+    return several.groupBy("k", "h", "i").agg(F.min("token").alias("token")).select("token")
+
+
+def _unsettled(near: DataFrame, tokens: str, labels: DataFrame, work: Work, name: str) -> DataFrame:
     """Members of the buckets that hold more than one component: token, id, n, component; buckets are those of the leads or
     of the prefixes. Written tables between the steps let joins see sizes, and split keys that many rows have."""
-    rows = near.select("id", "n", F.col("leads" if leads else "prefix").alias("tokens")).join(labels, F.col("id") == F.col("node"))
-    rows = work.save(f"rows-{turn}", rows.select("id", "n", "component", "tokens"))
+    rows = near.select("id", "n", F.col(tokens).alias("tokens")).join(labels, F.col("id") == F.col("node"))
+    rows = work.save(f"rows-{name}", rows.select("id", "n", "component", "tokens"))
     rows = rows.select(F.explode("tokens").alias("token"), "id", "n", "component")
-    several = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
-    several = work.save(f"several-{turn}", several.select("token"))
-    open_ = work.save(f"open-{turn}", rows.join(several, "token"), free=True)
-    work.drop(f"rows-{turn}", f"several-{turn}")
+    several = work.save(f"several-{name}", _mixed(rows))
+    open_ = work.save(f"open-{name}", rows.join(several, "token"), free=True)
+    work.drop(f"rows-{name}", f"several-{name}")
     return open_
 
 
-def _pivot_links(rows: DataFrame, near: DataFrame, work: Work, turn: int, percent: int) -> DataFrame:
-    """Links between each class and the pivot it shares most buckets with."""
-    order = F.col("id") if turn == 0 else F.xxhash64(F.lit(turn), "id")
+def _without_pivots(rows: DataFrame, labels: DataFrame, work: Work, turn: int) -> DataFrame:
+    """The buckets that still hold several components, less their pivots, which have been compared with all they could be
+    linked to there."""
+    pivots = work.spark.read.parquet(work.path(f"pivots-{turn}")).select("token", F.col("p.b").alias("pivot"))
+    rows = rows.join(pivots, "token").filter("id != pivot").select("token", "id", "n")
+    rows = rows.join(labels, F.col("id") == F.col("node")).select("token", "id", "n", "component")
+    rows = work.save(f"left-{turn}", rows)
+    return work.save(f"open-{turn}", rows.join(work.save(f"several-{turn}", _mixed(rows)), "token"))
+
+
+def _pivot_links(rows: DataFrame, near: DataFrame, work: Work, turn: object, percent: int, best: bool = False) -> DataFrame:
+    """Links between each class and the pivots of its buckets, or only the one it shares most buckets with."""
+    order = F.col("id") if best else F.xxhash64(F.lit(str(turn)), "id")
     pivots = rows.groupBy("token").agg(F.min(F.struct(order.alias("o"), F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))).alias("p"))
     pivots = work.save(f"pivots-{turn}", pivots)
     pairs = rows.join(pivots, "token").filter((F.col("component") != F.col("p.c")) & (100 * F.least("n", "p.m") >= percent * F.greatest("n", "p.m")))
-    shared = pairs.groupBy(F.col("id").alias("a"), F.col("p.b").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    best = shared.groupBy("a").agg(F.max(F.struct(F.col("shared"), (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b"))
-    best = work.save(f"best-{turn}", best)
+    pairs = pairs.groupBy(F.col("id").alias("a"), F.col("p.b").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    if best:
+        pairs = pairs.groupBy("a").agg(F.max(F.struct(F.col("shared"), (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b"))
+    pairs = work.save(f"pairs-{turn}", pairs.select("a", "b"))
     left = near.select(F.col("id").alias("a"), "n", "shingles")
     right = near.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("shingles_b"))
-    return best.join(left, "a").join(right, "b").mapInPandas(_verify(percent), "a long, b long")
+    return pairs.join(left, "a").join(right, "b").mapInPandas(_verify(percent), "a long, b long")
 
 
 def _block_links(rows: DataFrame, near: DataFrame, work: Work, percent: int) -> DataFrame:

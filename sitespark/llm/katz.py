@@ -156,10 +156,11 @@ class Bigrams:
     """The distinct bigrams of a numbered chunk, in the order in which they are dealt to buckets.
 
     A bigram's key is number(context) * span + number(token): exact while the corpus has fewer than 2^32 distinct words, a
-    64-bit hash of the pair beyond. Keys of a context lie together, in one bucket or, for a frequent context, in several.
+    64-bit hash of the pair beyond. Keys of a context lie together, in one bucket or, for a frequent context, in several; the
+    chunk asks each of these with a key that no bigram has, so that it hears from all of them.
     """
 
-    def __init__(self, row: dict, span: int, buckets: int):
+    def __init__(self, row: dict, span: int, buckets: int, hot: int):
         self.ids, self.flags = row["ids"], np.asarray(row["flags"], bool)
         self.totals = unpack(row["totals"], np.int64)
         numbers = np.append(unpack(row["numbers"], np.uint64), np.uint64(START))
@@ -178,9 +179,15 @@ class Bigrams:
         contexts, words = pairs // len(numbers), pairs % len(numbers)
         #: how often each context was learned; every learned word has a token after it, and each text a start and an end
         self.followed = np.append(self.totals, self.totals[end])
+        splits = np.minimum(self.followed // hot + 1, buckets)
+        spread = mix(numbers[words]) % splits[contexts].astype(np.uint64)
+        wide = np.flatnonzero((splits > 1) & (np.bincount(contexts, minlength=len(splits)) > 0))
+        asked = np.repeat(wide, splits[wide])
+        spread = np.concatenate([spread, (np.arange(len(asked)) - np.repeat(np.cumsum(splits[wide]) - splits[wide], splits[wide])).astype(np.uint64)])
+        contexts, words = np.concatenate([contexts, asked]), np.concatenate([words, np.full(len(asked), start)])
+        none = words == start  # never a token
         with np.errstate(over="ignore"):
-            keys = numbers[contexts] * np.uint64(span) + numbers[words]
-            spread = mix(numbers[words]) % (self.followed[contexts] // HOT_CONTEXT + 1).astype(np.uint64)
+            keys = numbers[contexts] * np.uint64(span) + np.where(none, np.uint64(span - 1), numbers[words])
             bucket = ((mix(numbers[contexts]) + spread) % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((keys, bucket))
         place = np.empty_like(order)
@@ -189,15 +196,16 @@ class Bigrams:
         bucket = bucket[order]
         self.cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, int)
         self.buckets = bucket[self.cuts[:-1]] if len(bucket) else bucket
+        self.none = none[order]
         #: a context's first key in each bucket
         self.firsts = np.flatnonzero(np.concatenate([[True], (np.diff(self.contexts) != 0) | (np.diff(bucket) != 0)])) if len(bucket) else np.empty(0, int)
 
 
-def _ask_bigrams(span: int, buckets: int) -> Callable[[dict], Slices]:
+def _ask_bigrams(span: int, buckets: int, hot: int) -> Callable[[dict], Slices]:
     def send(row: dict) -> Slices:
-        b = Bigrams(row, span, buckets)
+        b = Bigrams(row, span, buckets, hot)
         counts = np.bincount(b.at, b.flags[b.doc], len(b.keys)).astype(np.uint32)
-        totals = np.where(counts > 0, b.totals[b.words], 0)  # those who learned a bigram say how often its token occurs
+        totals = np.where(counts > 0, np.append(b.totals, 0)[b.words], 0)  # those who learned a bigram say how often its token occurs
         for bucket, i, j in zip(b.buckets.tolist(), b.cuts[:-1], b.cuts[1:], strict=True):
             yield bucket, (pack_sorted(b.keys[i:j]), pack(counts[i:j]), pack(totals[i:j]))
 
@@ -205,7 +213,9 @@ def _ask_bigrams(span: int, buckets: int) -> Callable[[dict], Slices]:
 
 
 def _count_bigrams(model: Model, span: int):
-    """Totals of a bucket's bigrams, and for each context of a slice what Model.backoff needs of this bucket."""
+    """Totals of a bucket's bigrams; for each context of a slice whether all of its bigrams here occur more than LIMIT times;
+    and for those with a bigram that wasn't learned, so that the chunk has to back off, what Model.backoff needs of this
+    bucket (the lower order's sums, made in double precision, travel in single)."""
 
     def answer(bucket: int, slices: list) -> tuple[list, bytes, int]:
         parts = [unpack_sorted(s[0]) for s in slices]
@@ -222,29 +232,37 @@ def _count_bigrams(model: Model, span: int):
         lower = np.bincount(context, np.where(totals > 0, model.unigram(word), 0.0), n)
         out, cut = [], np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         for i, j in zip(cut[:-1], cut[1:], strict=True):
-            own = context[at[i:j]]
-            own = own[np.concatenate([[True], np.diff(own) != 0])]
-            out.append((pack(totals[at[i:j]]), pack(np.concatenate([seen[:, own].ravel(), rest[own]])), pack(lower[own])))
+            mine = at[i:j]
+            first = np.flatnonzero(np.concatenate([[True], np.diff(context[mine]) != 0]))
+            own = context[mine[first]]
+            asked = own[np.logical_or.reduceat(totals[mine] == 0, first)]
+            often = seen[:, own].sum(0) == 0
+            out.append((pack(totals[mine]), pack(np.packbits(often)), pack(np.concatenate([seen[:, asked].ravel(), rest[asked]])), pack(lower[asked].astype(np.float32))))
         return out, _histogram(totals), len(keys)
 
     return answer
 
 
-def _score(model: Model, span: int, buckets: int):
+def _score(model: Model, span: int, buckets: int, hot: int):
     def run(row: dict, answers: list[dict]) -> pa.Table:
-        b = Bigrams(row, span, buckets)
+        b = Bigrams(row, span, buckets, hot)
         totals = joined(answers, "a0", np.int64)
         assert len(totals) == len(b.keys), "a chunk got another number of answers than it asked for"
-        parts = [unpack(r["a1"], np.int64).reshape(LIMIT + 1, -1) for r in answers]
         n = len(b.followed)
-        told = np.concatenate(parts, 1) if parts else np.zeros((LIMIT + 1, 0), np.int64)
         owner = b.contexts[b.firsts]  # what several buckets say of a context is summed
-        told = np.stack([np.bincount(owner, x, n) for x in told])
-        weight, cold = model.backoff(told[:LIMIT], told[LIMIT], np.bincount(owner, joined(answers, "a2", np.float64), n))
+        sizes = np.diff(np.searchsorted(b.firsts, b.cuts))
+        often = np.concatenate([np.unpackbits(unpack(r["a1"], np.uint8), count=k) for r, k in zip(answers, sizes, strict=True)] or [np.empty(0, np.uint8)])
+        rare = np.bincount(owner, often == 0, n) > 0
+        asked = owner[np.logical_or.reduceat(totals == 0, b.firsts)] if len(owner) else owner
+        parts = [unpack(r["a2"], np.int64).reshape(LIMIT + 1, -1) for r in answers]
+        told = np.concatenate(parts, 1) if parts else np.zeros((LIMIT + 1, 0), np.int64)
+        told = np.stack([np.bincount(asked, x, n) for x in told])
+        weight = model.backoff(told[:LIMIT], told[LIMIT], np.bincount(asked, joined(answers, "a3", np.float32), n))[0]
+        cold = ~rare & (b.followed > 0)  # all that follows occurs too often to be discounted
         seen = _seen(totals, model.d2)
         hit = np.log10(np.maximum(seen, 1e-300)) - np.log10(np.maximum(b.followed + cold, 1))[b.contexts]
         p1 = np.log10(model.unigram(b.totals))
-        logs = np.where(totals > 0, hit, weight[b.contexts] + p1[b.words])[b.at]
+        logs = np.where(totals > 0, hit, weight[b.contexts] + np.append(p1, 0.0)[b.words])[b.at]
         docs, count = len(b.ids), b.totals[b.tokens]
         base = np.log10((count + 1) / (model.n + model.v + 1))
         columns = [pa.array(b.ids, pa.int64()), pa.array(b.flags), pa.array(np.bincount(b.doc, minlength=docs)), pa.array(np.bincount(b.doc, count > 0, docs).astype(np.int64)), pa.array(np.full(docs, model.n)), pa.array(np.bincount(b.doc, base, docs)), pa.array(np.bincount(b.doc, logs, docs))]
@@ -253,7 +271,7 @@ def _score(model: Model, span: int, buckets: int):
     return run
 
 
-def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", hot_context: int = HOT_CONTEXT) -> DataFrame:
     """id, learned, n_tokens, n_known, train_tokens, base_score, score of every whole text, learning from the rows where
     `learn` is true.
 
@@ -280,7 +298,8 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     model, span = _unigrams(ngrams, tokens), buckets * (largest + 1) + 1
     numbered = work.save("numbered", with_answers(chunks, words, _numbered, NUMBERED), free=True)
     work.drop("chunks", "words")
-    bigrams = work.save("bigrams", exchange(numbered, _ask_bigrams(span, buckets), _count_bigrams(model, span), 3, 3), free=True)
+    bigrams = work.save("bigrams", exchange(numbered, _ask_bigrams(span, buckets, hot_context), _count_bigrams(model, span), 3, 4), free=True)
     model.d2 = discounts(_histograms(bigrams)[0])
-    out = with_answers(numbered, bigrams, _score(model, span, buckets), "id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    work.free()
+    out = with_answers(numbered, bigrams, _score(model, span, buckets, hot_context), "id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("id", id_col)

@@ -186,6 +186,17 @@ def brute_katz(rows, learn):
     return [(len(t), sum(c1[w] > 0 for w in t), n, sum(math.log10((c1[w] + 1) / (n + len(c1) + 1)) for w in t), sum(math.log10(prob(u, v)) for u, v in zip(["<s>", *t], t))) for t in texts]
 
 
+@pytest.mark.parametrize("hot", [1, 3])
+def test_katz_with_contexts_in_several_buckets(spark, hot):
+    r = random.Random(6)
+    rows = [(i, " ".join(r.choices("a b c d e f g".split(), k=r.randrange(30))), "", "", "", "", "") for i in range(80)]
+    learn = [zlib.crc32(str(i).encode()) % 7 != 2 for i, *_ in rows]
+    got = katz.score_texts(spark.createDataFrame(rows, SCHEMA).repartition(3), langid.learns("doc_id", 7, 2), hot_context=hot).collect()
+    by = {x["doc_id"]: x["score"] for x in got}
+    for (i, *_), w in zip(rows, brute_katz(rows, learn), strict=True):
+        assert by[i] == pytest.approx(w[-1], abs=1e-5)
+
+
 def test_katz(spark, docs, empty):
     often = [(100 + i, "again and again " * 3, "en", "s", "", "", "") for i in range(30)]
     rows = corpus() + often
