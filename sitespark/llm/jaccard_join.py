@@ -202,23 +202,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     chunks = work.save("chunks", tokenised(docs, id_col, text_col))
     n_tokens = chunks.agg(F.sum("n_tokens")).first()[0] or 0
     buckets = max(shuffle_partitions(spark), -(-n_tokens // BUCKET_TOKENS))
+    big = n_tokens > BUCKET_TOKENS
     bits = min(64, max(24, n_tokens.bit_length() + 8))
-    answers = work.save("answers", exchange(chunks, _ask(width, bits, buckets), _count, 2, 1), free=True)
+    answers = work.save("answers", exchange(chunks, _ask(width, bits, buckets), _count, 2, 1), free=big)
     schema = "chunk string, place int, id long, n int, digest binary, prefix array<long>, leads array<long>, shingles binary"
-    sketch = work.save("sketch", with_answers(chunks, answers, _sketch(width, percent, bits), schema), free=True)
+    sketch = work.save("sketch", with_answers(chunks, answers, _sketch(width, percent, bits), schema), free=big)
     work.drop("chunks", "answers")
 
     heads = work.save("heads", sketch.select("id", "n", "digest"))
     owners = sketch.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min(F.struct(F.col("id"), F.col("prefix").isNull().alias("bare"), F.col("chunk"), F.col("place"))).alias("o"))
     classes = work.save("classes", owners.select("digest", F.col("o.id").alias("class"), F.col("o.chunk").alias("chunk"), F.col("o.place").alias("place")))
     near = sketch.filter("prefix IS NOT NULL").join(classes.select("chunk", "place"), ["chunk", "place"], "left_semi")
-    near = work.save("near", near.select("id", "n", "prefix", "leads", "shingles"), free=True)
+    near = work.save("near", near.select("id", "n", "prefix", "leads", "shingles"), free=big)
     work.drop("sketch")
     labels = work.save("labels-0", near.select(F.col("id").alias("node"), F.col("id").alias("component")).distinct())
     links = None
     if pivot_rounds:
         open_ = _unsettled(near, "leads", labels, work, "leads")
         links, labels = _linked(work, "leads", _pivot_links(open_, near, work, "leads", percent, best=True), links, labels)
+        if big:
+            work.free()
     open_ = _unsettled(near, "prefix", labels, work, "prefix")
     for turn in range(pivot_rounds):
         if open_.limit(1).count() == 0:
@@ -236,7 +239,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def _linked(work: Work, turn: object, found: DataFrame, links: DataFrame | None, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All links so far, and the components they make."""
-    found = work.save(f"links-{turn}", found, free=True)
+    found = work.save(f"links-{turn}", found)
     if found.limit(1).count() == 0:
         return links, labels
     links = found if links is None else links.union(found)
@@ -259,7 +262,7 @@ def _unsettled(near: DataFrame, tokens: str, labels: DataFrame, work: Work, name
     rows = work.save(f"rows-{name}", rows.select("id", "n", "component", "tokens"))
     rows = rows.select(F.explode("tokens").alias("token"), "id", "n", "component")
     several = work.save(f"several-{name}", _mixed(rows))
-    open_ = work.save(f"open-{name}", rows.join(several, "token"), free=True)
+    open_ = work.save(f"open-{name}", rows.join(several, "token"))
     work.drop(f"rows-{name}", f"several-{name}")
     return open_
 

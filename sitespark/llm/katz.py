@@ -292,14 +292,15 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     work = Work(spark, "katz")
     chunks = work.save("chunks", tokenised(docs, id_col, text_col, learn))
     n_tokens = chunks.agg(F.sum(F.col("n_tokens") + F.size("ids"))).first()[0] or 0
-    buckets = max(shuffle_partitions(spark), -(-n_tokens // BUCKET_TOKENS))
-    words = work.save("words", exchange(chunks, _ask_words(buckets), _count_words(buckets), 2, 2), free=True)
+    buckets, big = max(shuffle_partitions(spark), -(-n_tokens // BUCKET_TOKENS)), n_tokens > BUCKET_TOKENS
+    words = work.save("words", exchange(chunks, _ask_words(buckets), _count_words(buckets), 2, 2), free=big)
     ngrams, tokens, largest = _histograms(words)
     model, span = _unigrams(ngrams, tokens), buckets * (largest + 1) + 1
-    numbered = work.save("numbered", with_answers(chunks, words, _numbered, NUMBERED), free=True)
+    numbered = work.save("numbered", with_answers(chunks, words, _numbered, NUMBERED), free=big)
     work.drop("chunks", "words")
-    bigrams = work.save("bigrams", exchange(numbered, _ask_bigrams(span, buckets, hot_context), _count_bigrams(model, span), 3, 4), free=True)
+    bigrams = work.save("bigrams", exchange(numbered, _ask_bigrams(span, buckets, hot_context), _count_bigrams(model, span), 3, 4), free=big)
     model.d2 = discounts(_histograms(bigrams)[0])
-    work.free()
+    if big:
+        work.free()
     out = with_answers(numbered, bigrams, _score(model, span, buckets, hot_context), "id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("id", id_col)
