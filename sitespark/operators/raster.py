@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EIGHT = [(dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1)]
@@ -19,19 +19,45 @@ def _spread(pixels: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
     return pixels.withColumn("_m", moves).withColumn("row", F.col("row") + F.col("_m.r")).withColumn("col", F.col("col") + F.col("_m.c")).drop("_m")
 
 
-def dilate(pixels: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Set pixels and their eight neighbours."""
-    return _spread(pixels.select(keys), EIGHT).distinct()
+def dilate(pixels: DataFrame, image: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Set pixels and their eight neighbours, as far as the image (all its pixels, set or not) reaches."""
+    return _spread(pixels.select(keys), EIGHT).distinct().join(image.select(keys), keys, "left_semi")
 
 
 def erode(pixels: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Pixels whose eight neighbours are all set; counts combine on the map side."""
+    """Pixels whose eight neighbours are all set; what is outside the image isn't. Counts combine on the map side."""
     return _spread(pixels.select(keys), EIGHT).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n = 9").drop("n")
 
 
-def clean(pixels: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Opening, then closing, both 3 x 3: specks go, pinholes fill."""
-    return erode(dilate(dilate(erode(pixels, keys), keys), keys), keys)
+def clean(pixels: DataFrame, image: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Opening, then closing, both 3 x 3: specks go, pinholes fill. Outside the image is 0, so pixels at its border go."""
+    return erode(dilate(dilate(erode(pixels, keys), image, keys), image, keys), keys)
+
+
+def rasterize(image: DataFrame, boxes: DataFrame, size: int = 64) -> DataFrame:
+    """The image's pixels with `mask`, 1 where the pixel's centre is inside any box (xmin, ymin, xmax, ymax in pixels)."""
+    from .spatial import within_boxes
+
+    centred = image.select(*KEYS, (F.col("col") + 0.5).alias("px"), (F.col("row") + 0.5).alias("py"))
+    hit = within_boxes(centred, boxes, size, "px", "py").select(KEYS).distinct().withColumn("mask", F.lit(1))
+    return image.join(hit, KEYS, "left").withColumn("mask", F.coalesce("mask", F.lit(0)))
+
+
+def reclass(code: Column, groups: list[tuple[str, Column]]) -> Column:
+    """The first group that a class code belongs to, or null."""
+    out = F.lit(None).cast("string")
+    for name, cond in reversed(groups):
+        out = F.when(cond, name).otherwise(out)
+    return out
+
+
+def polygonize(labelled: DataFrame, group: str = "cls") -> DataFrame:
+    """One row for each 4-connected region of each component: tile, group, component, region, pixel_count. An 8-connected
+    component can give several."""
+    parts = components(labelled.withColumn("whole", F.concat_ws(":", F.col(group), F.col("component"))), FOUR, "whole").withColumnRenamed("component", "region")
+    found = parts.groupBy("tile", "whole", "region").agg(F.count(F.lit(1)).alias("pixel_count"))
+    whole = F.split("whole", ":")
+    return found.select("tile", whole[0].alias(group), whole[1].cast("long").alias("component"), "region", "pixel_count")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -39,7 +65,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
 
@@ -102,10 +128,14 @@ def slope_percent(dem: DataFrame, dx: float, dy: float) -> DataFrame:
 
 
 def zonal(pixels: DataFrame, boxes: DataFrame, zone: str, size: int = 64, value: str = "value") -> DataFrame:
-    """Count, mean and greatest value of the pixels whose centre is in each box (columns xmin, ymin, xmax, ymax in pixel units);
-    boxes without a pixel keep a row with n 0."""
+    """Count, mean and greatest value of the pixels whose centre is in each box (columns xmin, ymin, xmax, ymax in pixel units,
+    of the box's `tile` if it has one, else of any); boxes without a pixel keep a row with n 0."""
     from .spatial import within_boxes
 
-    centred = pixels.filter(F.col(value).isNotNull()).select((F.col("col") + 0.5).alias("px"), (F.col("row") + 0.5).alias("py"), F.col(value).alias("v"))
-    found = within_boxes(centred, boxes, size, "px", "py").groupBy(zone).agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.max("v").alias("most"))
-    return boxes.join(found, zone, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    by_tile = "tile" in boxes.columns
+    boxes = boxes.withColumnRenamed("tile", "box_tile") if by_tile else boxes
+    centred = pixels.filter(F.col(value).isNotNull()).select("tile", (F.col("col") + 0.5).alias("px"), (F.col("row") + 0.5).alias("py"), F.col(value).alias("v"))
+    inside = within_boxes(centred, boxes, size, "px", "py")
+    found = (inside.filter("tile = box_tile") if by_tile else inside).groupBy(zone).agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.max("v").alias("most"))
+    out = boxes.join(found, zone, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return out.withColumnRenamed("box_tile", "tile") if by_tile else out

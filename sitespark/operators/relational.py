@@ -73,12 +73,87 @@ def crosstab(df: DataFrame, row: str, column: str, values: list) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column: rows, nulls, distinct values, zeros, least and greatest value as text; a single pass."""
-    aggs = []
+    """One row per column: rows, nulls, distinct values, zeros, least and greatest value and the commonest one, as text.
+
+    Values are counted first, (column, value) by (column, value), so that no task holds all distinct values of a column and
+    rows aren't multiplied for each distinct count; what follows works on the counts. Ties of the mode go to the lesser text.
+    """
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), (F.col(c).cast("double") if df.schema[c].dataType.typeName() != "string" else F.lit(None).cast("double")).alias("number")) for c in columns]))
+    counts = df.select(values.alias("v")).groupBy("v.column", "v.value", "v.number").agg(F.count(F.lit(1)).alias("k"))
+    known = F.col("value").isNotNull()
+    order = F.struct(F.col("number"), F.col("value"))
+    return counts.groupBy("column").agg(
+        F.sum("k").alias("n"), F.sum(F.when(known, 0).otherwise(F.col("k"))).alias("n_null"), F.count_if(known).alias("n_distinct"), F.sum(F.when(F.col("number") == 0, F.col("k")).otherwise(0)).alias("n_zero"),
+        F.min(F.when(known, order))["value"].alias("least"), F.max(F.when(known, order))["value"].alias("most"), F.min(F.when(known, F.struct((-F.col("k")).alias("k"), "value")))["value"].alias("mode"),
+    )
+
+
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """How often each value occurs, null included, the commonest first."""
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc_nulls_last(column))
+
+
+def best_by_rank(df: DataFrame, keys: list[str], value: Column, rank: Column) -> DataFrame:
+    """The value of greatest rank of each group, ties to the lesser value."""
+    return df.groupBy(*keys).agg(F.min(F.struct((-rank).alias("r"), value.alias("v")))["v"].alias("best"))
+
+
+def map_join(df: DataFrame, lookup: DataFrame, column: str, key: str, value: str, most: int = 100_000) -> DataFrame:
+    """A column looked up in a table with unique keys; missing keys give null. The table is broadcast where it has at most
+    `most` rows; a repeated key is an error."""
+    table = lookup.select(F.col(key).alias("map_key"), F.col(value).alias(value))
+    n, distinct = table.agg(F.count(F.lit(1)), F.count_distinct("map_key")).first()
+    if n != distinct + (table.filter("map_key IS NULL").count() > 0):
+        raise ValueError(f"{key} isn't unique")
+    return df.join(F.broadcast(table) if n <= most else table, F.col(column) == F.col("map_key"), "left").drop("map_key")
+
+
+def rises(df: DataFrame, order: list[Column], value: str, eps: float = 0.0, span: int = 10_000, place: str = "place") -> DataFrame:
+    """Rows whose value exceeds that of the row before them (in the order of a dense `place`) by more than eps.
+
+    Places are cut into spans: rows are compared within a span, and the first row of each with the last of the one before,
+    so no task holds the whole order."""
+    part = F.floor(F.col(place) / span)
+    before = F.lag(value).over(Window.partitionBy(part).orderBy(place))
+    rows = df.withColumn("before", before).withColumn("part", part)
+    lasts = df.groupBy((part + 1).alias("part")).agg(F.max_by(value, place).alias("last"))
+    rows = rows.join(lasts, "part", "left").withColumn("before", F.coalesce("before", "last"))
+    return rows.filter(F.col(value) - F.col("before") > eps).select(*df.columns, "before")
+
+
+def total_bounds(df: DataFrame, xmin: str = "xmin", ymin: str = "ymin", xmax: str = "xmax", ymax: str = "ymax") -> DataFrame:
+    return df.agg(F.min(xmin).alias("xmin"), F.min(ymin).alias("ymin"), F.max(xmax).alias("xmax"), F.max(ymax).alias("ymax"))
+
+
+def n_largest(df: DataFrame, column: str, n: int, key: str) -> DataFrame:
+    """The n rows with the largest values; of those that tie at the end, the first by key."""
+    return df.filter(F.col(column).isNotNull()).orderBy(F.desc(column), key).limit(n)
+
+
+def same_ids(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """How many ids only one side has, and whether the sets are equal; ids are made distinct first."""
+    both = left.select(F.col(key).alias("id"), F.lit(1).alias("l"), F.lit(0).alias("r")).union(right.select(F.col(key), F.lit(0), F.lit(1)))
+    ids = both.groupBy("id").agg(F.max("l").alias("l"), F.max("r").alias("r"))
+    return ids.agg(F.count_if(F.col("l") > F.col("r")).alias("only_left"), F.count_if(F.col("r") > F.col("l")).alias("only_right")).withColumn("equal", F.expr("only_left + only_right = 0"))
+
+
+def insert_after(columns: list[str], inserts: dict[str, list[str]]) -> list[str]:
+    """Column order of a merge: new columns go behind their anchors, those without one to the end."""
+    out = []
     for c in columns:
-        v = F.col(c)
-        aggs.append(F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n"), F.count_if(v.isNull()).alias("n_null"), F.countDistinct(v).alias("n_distinct"), F.count_if(v.cast("string").isin("0", "0.0")).alias("n_zero")).alias(c))
-    return df.agg(*aggs).select(F.explode(F.array(*[F.col(c) for c in columns])).alias("p")).select("p.*")
+        out += [c, *inserts.get(c, [])]
+    return out + [c for a, new in inserts.items() if a not in columns for c in new]
+
+
+def merge_tables(left: DataFrame, right: DataFrame, id_col: str, inserts: dict[str, list[str]], prefix: str = "REUSE-") -> DataFrame:
+    """UNION ALL of two tables of different columns: the left's order with the right's own columns behind their anchors,
+    what a side lacks null. If any id is on both sides, all ids of the right get the prefix."""
+    clash = left.select(id_col).join(right.select(id_col), id_col, "left_semi").limit(1).count() > 0
+    renamed = right.withColumn(id_col, F.concat(F.lit(prefix), F.col(id_col).cast("string"))) if clash else right
+    own = [c for c in right.columns if c not in left.columns]
+    placed = [c for new in inserts.values() for c in new]
+    order = insert_after(left.columns, inserts) + [c for c in own if c not in placed]
+    return left.withColumn(id_col, F.col(id_col).cast("string")).unionByName(renamed.withColumn(id_col, F.col(id_col).cast("string")), allowMissingColumns=True).select(order)
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:

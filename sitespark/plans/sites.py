@@ -241,8 +241,10 @@ def group_percentiles(spark, d):
 
 
 @query("""
-SELECT 'c_nationkey' AS "column", count(*) AS n, count(*) - count(c_nationkey) AS n_null, count(DISTINCT c_nationkey) AS n_distinct, count(*) FILTER (c_nationkey = 0) AS n_zero FROM customer
-UNION ALL SELECT 'c_mktsegment', count(*), count(*) - count(c_mktsegment), count(DISTINCT c_mktsegment), 0 FROM customer
+WITH v AS (SELECT 'c_nationkey' AS "column", c_nationkey::VARCHAR AS value, c_nationkey::DOUBLE AS number FROM customer UNION ALL SELECT 'c_mktsegment', c_mktsegment, NULL FROM customer),
+k AS (SELECT "column", value, number, count(*) AS k FROM v GROUP BY ALL)
+SELECT "column", sum(k)::BIGINT AS n, coalesce(sum(k) FILTER (value IS NULL), 0)::BIGINT AS n_null, count(value) AS n_distinct, coalesce(sum(k) FILTER (number = 0), 0)::BIGINT AS n_zero,
+ first(value ORDER BY number, value) AS least, first(value ORDER BY number DESC, value DESC) AS most, first(value ORDER BY k DESC, value) AS mode FROM k GROUP BY 1
 """)
 def column_profile(spark, d):
     return relational.profile(table(spark, d, "customer"), ["c_nationkey", "c_mktsegment"])
@@ -382,13 +384,13 @@ def pixel_components(spark, d):
 
 @query("""
 WITH p AS (SELECT event_id // 256 AS r, event_id % 256 AS c FROM events WHERE (props->>'$.k')::INT % 5 > 0),
-m AS (SELECT unnest([-1, 0, 1]) AS dr), o AS (SELECT a.dr, b.dr AS dc FROM m a, m b),
-e1 AS (SELECT r + dr AS r, c + dc AS c FROM p, o GROUP BY 1, 2 HAVING count(*) = 9), d1 AS (SELECT DISTINCT r + dr AS r, c + dc AS c FROM e1, o),
-d2 AS (SELECT DISTINCT r + dr AS r, c + dc AS c FROM d1, o), e2 AS (SELECT r + dr AS r, c + dc AS c FROM d2, o GROUP BY 1, 2 HAVING count(*) = 9)
+i AS (SELECT event_id // 256 AS r, event_id % 256 AS c FROM events), m AS (SELECT unnest([-1, 0, 1]) AS dr), o AS (SELECT a.dr, b.dr AS dc FROM m a, m b),
+e1 AS (SELECT r + dr AS r, c + dc AS c FROM p, o GROUP BY 1, 2 HAVING count(*) = 9), d1 AS (SELECT DISTINCT r + dr AS r, c + dc AS c FROM e1, o INTERSECT SELECT r, c FROM i),
+d2 AS (SELECT DISTINCT r + dr AS r, c + dc AS c FROM d1, o INTERSECT SELECT r, c FROM i), e2 AS (SELECT r + dr AS r, c + dc AS c FROM d2, o GROUP BY 1, 2 HAVING count(*) = 9)
 SELECT r AS row, c AS col FROM e2
 """)
 def cleaned_pixels(spark, d):
-    return raster.clean(pixels(spark, d).filter("k % 5 > 0")).select("row", "col")
+    return raster.clean(pixels(spark, d).filter("k % 5 > 0"), pixels(spark, d)).select("row", "col")
 
 
 @query("""

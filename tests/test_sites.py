@@ -3,7 +3,7 @@ import math
 import duckdb
 import pytest
 
-from sitespark.plans import sites
+from sitespark.plans import registry, sites
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -19,14 +19,14 @@ def rows(columns, data):
     return sorted([one(r[i]) for i in order] for r in data)
 
 
-@pytest.mark.parametrize("name", sorted(sites.SQL))
+@pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_matches_sql(spark, name):
     db = duckdb.connect()
     for t in TABLES:
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
-    want = db.execute(sites.SQL[name])
+    want = db.execute(registry.SQL[name])
     names = [c[0] for c in want.description]
-    got = sites.QUERIES[name](spark, DATA)
+    got = registry.QUERIES[name](spark, DATA)
     assert sorted(got.columns) == sorted(names)
     assert rows(got.columns, map(tuple, got.collect())) == rows(names, want.fetchall())
 
