@@ -139,3 +139,14 @@ def zonal(pixels: DataFrame, boxes: DataFrame, zone: str, size: int = 64, value:
     found = (inside.filter("tile = box_tile") if by_tile else inside).groupBy(zone).agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.max("v").alias("most"))
     out = boxes.join(found, zone, "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return out.withColumnRenamed("box_tile", "tile") if by_tile else out
+
+
+def sampled_slope(samples: DataFrame, dx: float, dy: float, limit: float = 8.0) -> DataFrame:
+    """Slope of each parcel from a lattice of heights: tile (the parcel), row, col, value and `inside`, whether the sample is
+    in the parcel's polygon; average, 70th percentile and steepest of those inside, or of all where none is. Parcels whose
+    70th percentile is over the limit are disqualified; no sample with a slope gives nulls."""
+    s = slope_percent(samples, dx, dy).filter(F.col("slope").isNotNull())
+    own = F.when(F.col("inside"), F.col("slope"))
+    out = s.groupBy("tile").agg(F.count(own).alias("n_inside"), *[f(c).alias(f"{n}{k}") for k, c in (("", own), ("_all", F.col("slope"))) for n, f in (("avg", F.avg), ("p70", lambda v: F.percentile(v, 0.7)), ("most", F.max))])
+    pick = lambda n: F.when(F.col("n_inside") > 0, F.col(n)).otherwise(F.col(f"{n}_all"))
+    return out.select("tile", "n_inside", *[pick(n).alias(n) for n in ("avg", "p70", "most")], (pick("p70") > limit).alias("disqualified"))

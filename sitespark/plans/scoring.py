@@ -309,14 +309,14 @@ def reuse_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-WITH {ANCHOR_STATS}, q AS (SELECT l_orderkey AS project, l_suppkey % 40 AS zone, l_quantity::BIGINT AS mw, l_linestatus = 'O' AS open, n_name AS region, l_shipdate AS due FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey WHERE l_partkey % 50 = 0)
+WITH {ANCHOR_STATS}, q AS (SELECT l_orderkey AS project, l_suppkey % 40 AS zone, l_quantity::BIGINT AS mw, l_linestatus = 'O' AS open, n_name AS region, l_shipdate AS due FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey WHERE l_returnflag = 'N')
 SELECT zone, string_agg(DISTINCT region, ',' ORDER BY region) AS regions, sum(mw)::BIGINT AS unmatched_mw, count(*) AS projects, min(due) FILTER (due >= TIMESTAMP '1996-01-01') AS earliest, 0.5::DOUBLE AS score_weight,
- round_even(date_diff('day', TIMESTAMP '1996-01-01', min(due) FILTER (due >= TIMESTAMP '1996-01-01')) / 30.44::DOUBLE, 0)::INT AS months FROM q WHERE open AND zone % 7 > 0 GROUP BY 1
+ round_even(date_diff('day', TIMESTAMP '1996-01-01', min(due) FILTER (due >= TIMESTAMP '1996-01-01')) / 30.44::DOUBLE, 0)::INT AS months FROM q WHERE open GROUP BY 1
 """)
 def zone_fallback_stats(spark, d):
     """Projects that no anchor was found for, summed by load zone at half weight; the day is fixed."""
-    line, today = sites.table(spark, d, "lineitem").filter("l_partkey % 50 = 0 AND l_linestatus = 'O'"), F.lit("1996-01-01").cast("timestamp_ntz")
+    line, today = sites.table(spark, d, "lineitem").filter("l_returnflag = 'N' AND l_linestatus = 'O'"), F.lit("1996-01-01").cast("timestamp_ntz")
     s = sites.table(spark, d, "supplier").join(sites.table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    q = line.join(s, F.col("l_suppkey") == F.col("s_suppkey")).withColumn("zone", F.col("l_suppkey") % 40).filter("zone % 7 > 0")
+    q = line.join(s, F.col("l_suppkey") == F.col("s_suppkey")).withColumn("zone", F.col("l_suppkey") % 40)
     g = q.groupBy("zone").agg(F.array_join(F.array_sort(F.collect_set("n_name")), ",").alias("regions"), F.sum("l_quantity").cast("long").alias("unmatched_mw"), F.count(F.lit(1)).alias("projects"), F.min(F.when(F.col("l_shipdate") >= today, F.col("l_shipdate"))).alias("earliest"))
     return g.withColumn("score_weight", F.lit(0.5)).withColumn("months", rules.months_until(today, F.col("earliest")))

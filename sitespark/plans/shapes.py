@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry, overlay
-from ..operators import polygons
+from ..operators import polygons, raster
 from . import sites
 from .sites import ANCHORS, BOXES, SITES, query, table
 
@@ -53,7 +53,7 @@ def water_districts(spark, d):
     return out.select("site_id", "inside", "anchor_id", F.round("distance", 4).alias("distance"))
 
 
-_LINES = "l AS (SELECT c_custkey AS line_id, c_custkey * 6967 % 1000000 AS x0, c_custkey * 50021 % 1000000 AS y0, c_custkey * 6967 % 1000000 + c_custkey * 31 % 40001 - 20000 AS x1, c_custkey * 50021 % 1000000 + c_custkey * 77 % 40001 - 20000 AS y1, c_nationkey % 3 AS tracks FROM customer WHERE c_custkey % 3 = 0)"
+_LINES = "l AS (SELECT c_custkey AS line_id, c_custkey * 6967 % 1000000 AS x0, c_custkey * 50021 % 1000000 AS y0, c_custkey * 6967 % 1000000 + c_custkey * 31 % 40001 - 20000 AS x1, c_custkey * 50021 % 1000000 + c_custkey * 77 % 40001 - 20000 AS y1, c_nationkey % 3 AS tracks FROM customer)"
 
 
 @query(f"""
@@ -65,7 +65,7 @@ def nearest_lines(spark, d):
     k = F.col("c_custkey")
     x, y = k * 6967 % 1000000, k * 50021 % 1000000
     line = F.array(F.array(geometry.point(x, y), geometry.point(x + k * 31 % 40001 - 20000, y + k * 77 % 40001 - 20000)))
-    lines = table(spark, d, "customer").filter("c_custkey % 3 = 0").select(k.alias("line_id"), line.alias("rings"), (F.col("c_nationkey") % 3).alias("tracks"))
+    lines = table(spark, d, "customer").select(k.alias("line_id"), line.alias("rings"), (F.col("c_nationkey") % 3).alias("tracks"))
     out = polygons.nearest_shape(sites.sites(spark, d).select("site_id", "sx", "sy"), lines, "site_id", "line_id", "sx", "sy", "rings", 10000, ["tracks"], is_area=False)
     return out.select("site_id", "line_id", "tracks", F.round("distance", 4).alias("distance"))
 
@@ -120,3 +120,19 @@ def buffer_areas(spark, d):
     """Discs as 32-gons, as buffers are made."""
     a = sites.anchors(spark, d)
     return a.select("anchor_id", F.round(geometry.area(overlay.regular_ring(F.col("ax").cast("double") * 0, F.col("ay").cast("double") * 0, 1000.0 * (1 + F.col("anchor_id") % 25))), 1).alias("disc"))
+
+
+@query(f"""
+WITH {SITES}, g AS (SELECT site_id, i AS row, j AS col, (((sx + j * 100) * 13 + (sy + i * 100) * 7) % 1009)::DOUBLE / 20 AS z, abs(i - 3) + abs(j - 3) <= 1 + site_id % 4 AND site_id % 9 > 0 AS inside FROM sites, range(0, 7) a(i), range(0, 7) b(j)),
+w AS (SELECT *, lag(z) OVER r AS x0, lead(z) OVER r AS x1, lag(z) OVER c AS y0, lead(z) OVER c AS y1 FROM g WINDOW r AS (PARTITION BY site_id, row ORDER BY col), c AS (PARTITION BY site_id, col ORDER BY row)),
+s AS (SELECT site_id, inside, sqrt(power(CASE WHEN x0 IS NULL THEN (x1 - z) / 100 WHEN x1 IS NULL THEN (z - x0) / 100 ELSE (x1 - x0) / 200 END, 2) + power(CASE WHEN y0 IS NULL THEN (y1 - z) / 100 WHEN y1 IS NULL THEN (z - y0) / 100 ELSE (y1 - y0) / 200 END, 2)) * 100 AS slope FROM w),
+a AS (SELECT site_id, count(*) FILTER (inside) AS n_inside, avg(slope) FILTER (inside) AS a1, avg(slope) AS a2, quantile_cont(slope, 0.7) FILTER (inside) AS p1, quantile_cont(slope, 0.7) AS p2, max(slope) FILTER (inside) AS m1, max(slope) AS m2 FROM s GROUP BY 1)
+SELECT site_id, n_inside, round(CASE WHEN n_inside > 0 THEN a1 ELSE a2 END, 6) AS average, round(CASE WHEN n_inside > 0 THEN p1 ELSE p2 END, 6) AS p70, round(CASE WHEN n_inside > 0 THEN m1 ELSE m2 END, 6) AS most, CASE WHEN n_inside > 0 THEN p1 ELSE p2 END > 8 AS disqualified FROM a
+""")
+def sampled_slopes(spark, d):
+    """A lattice of heights over each parcel, its gradient, and statistics of the samples inside the parcel."""
+    g = sites.sites(spark, d).withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(6)))).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(6))))
+    height = (((F.col("sx") + F.col("col") * 100) * 13 + (F.col("sy") + F.col("row") * 100) * 7) % 1009).cast("double") / 20
+    inside = (F.abs(F.col("row") - 3) + F.abs(F.col("col") - 3) <= 1 + F.col("site_id") % 4) & (F.col("site_id") % 9 > 0)
+    out = raster.sampled_slope(g.select(F.col("site_id").alias("tile"), "row", "col", height.alias("value"), inside.alias("inside")), 100, 100)
+    return out.select(F.col("tile").alias("site_id"), "n_inside", F.round("avg", 6).alias("average"), F.round("p70", 6).alias("p70"), F.round("most", 6).alias("most"), "disqualified")
