@@ -38,9 +38,14 @@ STAGES = [("language_id", language_stage), ("exact_dedup", exact_stage), ("jacca
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written to the shared folder and read by the next."""
     work = Work(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
+        mark = len(Work.made)
         docs = work.save(name, stage(spark, docs, sf_dir))
+        Work.remove_since(mark)  # the stage's own tables; its result is written
+        if before:
+            work.drop(before)
+        before = name
     return docs
 
 
