@@ -375,7 +375,13 @@ def parcel_pieces(spark, d):
 # Raster --------------------------------------------------------------------------------------------------------------
 
 
-@query()
+@query("""
+WITH RECURSIVE p AS (SELECT event_id // 256 AS r, event_id % 256 AS c FROM events WHERE (props->>'$.k')::INT % 2 = 0), g AS (SELECT r, c, c - row_number() OVER (PARTITION BY r ORDER BY c) AS run FROM p),
+u AS MATERIALIZED (SELECT r, min(c) AS a, max(c) AS b, r * 1048576 + min(c) AS node FROM g GROUP BY r, run),
+e AS MATERIALIZED (SELECT x.node AS x, y.node AS y FROM u x JOIN u y ON abs(x.r - y.r) = 1 AND y.a <= x.b + 1 AND y.b >= x.a - 1),
+l(node, label) USING KEY (node) AS (SELECT node, node FROM u UNION SELECT n.node, min(l.label) FROM l JOIN e ON e.x = l.node JOIN recurring.l AS n ON n.node = e.y WHERE l.label < n.label GROUP BY n.node)
+SELECT label AS component, sum(b - a + 1)::BIGINT AS pixel_count, sum(b - a + 1) * 900.0::DOUBLE AS area_m2, round(sum(r * (b - a + 1)) / sum(b - a + 1), 6) AS mid_row, round(sum((a + b) * (b - a + 1) / 2) / sum(b - a + 1), 6) AS mid_col FROM l JOIN u USING (node) GROUP BY 1
+""")
 def pixel_components(spark, d):
     """Eight-connected components of a class and their areas."""
     p = pixels(spark, d).filter("k % 2 = 0").withColumn("cls", F.lit(0))
