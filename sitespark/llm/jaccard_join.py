@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -178,7 +179,7 @@ def _blocks(percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90, pivot_rounds: int = 2) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90, pivot_rounds: int = 5) -> DataFrame:
     """id, n_shingles, component_id: documents whose shingle sets reach percent/100 Jaccard similarity are linked, and a
     component is named by its least id.
 
@@ -190,7 +191,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Groups of near copies are joined first: classes that share a lead (the least shared shingle under a hash, which near
     copies nearly always have in common) are compared with one pivot, in as many comparisons as they have members. Then
-    the prefix buckets that still hold several components are found; their classes are compared with a pivot again, and
+    the prefix buckets that still hold several components are found; their classes are compared with pivots again, a few times, and
     those that are still in another component than most of their bucket with the rest of it, in blocks. No link between
     different components is left untested, so the components are exact.
 
@@ -218,11 +219,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     labels = work.save("labels-0", near.select(F.col("id").alias("node"), F.col("id").alias("component")).distinct())
     links = None
     if pivot_rounds:
-        open_ = _unsettled(near, "leads", labels, work, "leads")
+        open_ = _unsettled(near, "leads", labels, work, "leads", percent)
         links, labels = _linked(work, "leads", _pivot_links(open_, near, work, "leads", percent, best=True), links, labels)
         if big:
             work.free()
-    open_ = _unsettled(near, "prefix", labels, work, "prefix")
+    open_ = _unsettled(near, "prefix", labels, work, "prefix", percent)
     for turn in range(pivot_rounds):
         if open_.limit(1).count() == 0:
             break
@@ -255,12 +256,16 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return several.groupBy("k", "h", "i").agg(F.min("token").alias("token")).select("token")
 
 
-def _unsettled(near: DataFrame, tokens: str, labels: DataFrame, work: Work, name: str) -> DataFrame:
+def _unsettled(near: DataFrame, tokens: str, labels: DataFrame, work: Work, name: str, percent: int) -> DataFrame:
     """Members of the buckets that hold more than one component: token, id, n, component; buckets are those of the leads or
-    of the prefixes. Written tables between the steps let joins see sizes, and split keys that many rows have."""
+    of the prefixes, apart by size: sets that can be alike are in the same class of sizes or in neighbouring ones, and each
+    set is listed for its class and the next, so documents of other sizes that share a passage never meet. Written tables between the steps let joins see sizes, and split keys that many rows have."""
     rows = near.select("id", "n", F.col(tokens).alias("tokens")).join(labels, F.col("id") == F.col("node"))
     rows = work.save(f"rows-{name}", rows.select("id", "n", "component", "tokens"))
-    rows = rows.select(F.explode("tokens").alias("token"), "id", "n", "component")
+    step = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-9
+    size = F.floor(F.ln(F.col("n").cast("double")) / step)
+    rows = rows.withColumn("size", F.explode(F.array(size, size + 1))).select(F.explode("tokens").alias("token"), "size", "id", "n", "component")
+    rows = rows.select(F.xxhash64("token", "size").alias("token"), "id", "n", "component")
     several = work.save(f"several-{name}", _mixed(rows))
     open_ = work.save(f"open-{name}", rows.join(several, "token"))
     work.drop(f"rows-{name}", f"several-{name}")
