@@ -6,6 +6,7 @@ import tempfile
 import time
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +85,19 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Within, plans that run send at most so many rows to Python at a time; then the session's own setting holds again."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, "10000")
+    if int(before) <= 0 or int(before) > rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def tie_break(schema: StructType, row: str) -> Column:
     """A number that orders rows which share all else, the same in each run; maps can't be hashed and are left out."""
     columns = [F.col(row).getField(f.name) for f in schema if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]

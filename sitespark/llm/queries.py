@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard_join, katz, langid, maxscore, mixing, secret_scan, toxicity, warc
+from . import bpe, conversation_trie, exact_dedup, jaccard_join, katz, langid, maxscore, mixing, secret_scan, substring_dedup, toxicity, vector_codes, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,5 +117,67 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~learn).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_katz, op3_jaccard_join, op4_secret_scan, op5_exact_dedup, op6_maxscore, op7_warc, op8_language_id, op9_toxicity, op10_mix)}
-ORACLE_SQL = {"op5_exact_dedup": OP5_SQL, "op6_maxscore": OP6_SQL, "op7_warc": OP7_SQL, "op10_mix": OP10_SQL}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id").drop("label")
+
+
+def lloyd_sql(rounds: int, entries: int = 64, parts: int = 16, scale: int = 256) -> str:
+    """compress_vectors in SQL: one common table for each round's assignment and codebook."""
+    assign = """a{i} AS (SELECT place, p.part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+        FROM (SELECT p.place, p.part, c.entry, list_sum(list_transform(range(1, len(p.x) + 1), lambda k: (p.x[k] - c.x[k]) * (p.x[k] - c.x[k])))::BIGINT AS d FROM p JOIN c{i} c USING (part)) p GROUP BY place, p.part)"""
+    update = """s{i} AS (SELECT part, entry, k, sum(v)::BIGINT AS s, count(*) AS n FROM (SELECT a.part, a.entry, unnest(range(1, len(p.x) + 1)) AS k, unnest(p.x) AS v FROM p JOIN a{i} a USING (place, part)) GROUP BY part, entry, k),
+        m{i} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY k) AS x FROM s{i} GROUP BY part, entry),
+        c{j} AS (SELECT c.part, c.entry, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m USING (part, entry))"""
+    steps = [f(i) for i in range(rounds) for f in (lambda i: assign.format(i=i), lambda i: update.format(i=i, j=i + 1))] + [assign.format(i=rounds)]
+    return f"""
+WITH e AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS place, vec_id, label, [floor({scale} * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT place, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS x FROM e, range({parts}) r(part)),
+c0 AS (SELECT part, place AS entry, x FROM p WHERE place < {entries}),
+{", ".join(steps)},
+h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds}),
+o AS (SELECT place, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY place)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM e JOIN o USING (place), h
+"""
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations")).drop("rank", "end_rank")
+
+
+#: crc32(decimal conv_id) is worked out bit by bit, from the reflected polynomial 0xEDB88320.
+OP12_SQL = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY i) AS turns FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, turns, conv_id - conv_id % 20 AS lead, xor(list_reduce([x::BIGINT for x in list_prepend(4294967295::BIGINT, [ord(c)::BIGINT for c in string_split(conv_id::VARCHAR, '')])],
+      lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 4 AS h FROM o),
+r AS (SELECT h.conv_id, list_concat(coalesce(l.turns, [])[1:h.h], h.turns[h.h + 1:]) AS turns FROM h LEFT JOIN o l ON l.conv_id = h.lead),
+m AS (SELECT conv_id, len(turns) AS own, unnest(range(0, len(turns) + 1)) AS depth, turns FROM r),
+n AS (SELECT turns[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (own = depth), '')) AS ends_sha256 FROM m GROUP BY turns[1:depth], depth),
+c AS (SELECT node[1:depth - 1] AS node, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY node[1:depth - 1], depth - 1),
+f AS (SELECT n.*, coalesce(n_children, 0)::BIGINT AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(n.node[n.depth].text, '[^\x20\x09-\x0D]+')) END AS saving FROM n LEFT JOIN c ON c.depth = n.depth AND c.node = n.node),
+u AS (SELECT node, depth, n_children, saving, unnest(range(0, depth + 1)) AS up FROM f),
+s AS (SELECT node[1:up] AS node, up AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saving)::BIGINT AS saved_tokens FROM u GROUP BY node[1:up], up)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256
+FROM f JOIN s ON s.depth = f.depth AND s.node = f.node LEFT JOIN n p ON p.depth = f.depth - 1 AND p.node = f.node[1:f.depth - 1]
+"""
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT place, doc_id, s, md5(array_to_string(words[s : s + 49], ' ')) AS h FROM (SELECT *, unnest(range(1, len(words) - 48)) AS s FROM d)),
+f AS (SELECT h, min(doc_id) AS first FROM w GROUP BY h),
+g AS (SELECT DISTINCT place, unnest(range(s, s + 50)) AS k FROM w JOIN f USING (h) WHERE first < doc_id),
+k AS (SELECT place, list(k ORDER BY k) AS gone FROM g GROUP BY place)
+SELECT doc_id, len(words) AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(CASE WHEN gone IS NULL THEN array_to_string(words, ' ') ELSE array_to_string(list_where(words, list_transform(range(1, len(words) + 1), lambda x: NOT list_contains(gone, x))), ' ') END) AS kept_sha256
+FROM d LEFT JOIN k USING (place)
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_katz, op3_jaccard_join, op4_secret_scan, op5_exact_dedup, op6_maxscore, op7_warc, op8_language_id, op9_toxicity, op10_mix, op11_vector_codes, op12_conversation_trie, op13_substring_dedup)}
+ORACLE_SQL = {"op5_exact_dedup": OP5_SQL, "op6_maxscore": OP6_SQL, "op7_warc": OP7_SQL, "op10_mix": OP10_SQL, "op11_vector_codes": lloyd_sql(2), "op12_conversation_trie": OP12_SQL, "op13_substring_dedup": OP13_SQL}
