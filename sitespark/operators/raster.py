@@ -3,11 +3,11 @@ and a shuffle by tile. Pixels beyond a tile's edge count as background, which al
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import checkpointed
+
 EIGHT = [(dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1)]
 FOUR = [(0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)]
 KEYS = ["tile", "row", "col"]
@@ -60,22 +60,6 @@ def polygonize(labelled: DataFrame, group: str = "cls") -> DataFrame:
     return found.select("tile", whole[0].alias(group), whole[1].cast("long").alias("component"), "region", "pixel_count")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Written to the shared folder, so that loops don't grow their plan; a temporary folder of the driver in local mode."""
-    spark = df.sparkSession
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        import tempfile
-
-        root = "file://" + tempfile.mkdtemp(prefix="sitespark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/raster-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def components(pixels: DataFrame, steps: list[tuple[int, int]] = EIGHT, group: str = "cls", width: int = 1 << 20) -> DataFrame:
     """pixels with `component`, the least (row * width + col) that a pixel reaches within its tile and group.
 
