@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import json
 import math
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,12 +20,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 from . import tiff
-from .stores import Store
+from .stores import INDEX, FolderWriter, Store, Written
 
-INDEX = "_index.json"
 #: Compressed bytes that one task reads, about.
 TASK_BYTES = 32 << 20
 
@@ -169,23 +167,12 @@ class Reader(DataSourceReader):
                 yield pa.RecordBatch.from_arrays([pa.array(i + part.row, pa.int64()), pa.array(j + part.col, pa.int64()), pa.array(west + (j + 0.5) * dx), pa.array(north - (i + 0.5) * dy), pa.array(values, mask=~known)], ["row", "col", "x", "y", "value"])
 
 
-@dataclass
-class Written(WriterCommitMessage):
-    files: list
-
-
-class Writer(DataSourceArrowWriter):
-    """Each task writes whole blocks, as files in a folder of the job's own; the commit moves them into place.
-
-    Tasks that ran twice leave files under other names, and only those of the tasks that Spark reports are moved. Files of
-    an earlier raster at the path go last, once the new index names none of them.
-    """
+class Writer(FolderWriter):
+    """Each task writes whole blocks, one file each."""
 
     def __init__(self, path: str, grid: Grid, block: int, compress: str, predictor: int, names: list[str], overwrite: bool):
-        self.path, self.grid, self.block, self.compress, self.predictor, self.names, self.overwrite = path, grid, block, compress, predictor, names, overwrite
-        self.job = uuid.uuid4().hex
-        if not overwrite and Store(path).exists(INDEX):
-            raise ValueError(f"{path} has a raster already; use mode overwrite")
+        super().__init__(path, overwrite, {"grid": vars(grid)})
+        self.grid, self.block, self.compress, self.predictor, self.names = grid, block, compress, predictor, names
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         store, files, held, now = Store(self.path), [], [], None
@@ -198,8 +185,7 @@ class Writer(DataSourceArrowWriter):
             pixels[rows, cols] = values
             r, c = now[0] * self.block, now[1] * self.block
             data = tiff.encode(pixels, (self.grid.west + c * self.grid.dx, self.grid.north - r * self.grid.dy, self.grid.dx, self.grid.dy), self.grid.epsg, self.grid.nodata, self.compress, self.predictor)
-            name = f"r{r}_c{c}-{uuid.uuid4().hex[:12]}.tif"
-            store.put(f"_temporary/{self.job}/{name}", data)
+            name = self.put(store, f"r{r}_c{c}.tif", data)
             files.append({"name": name, "row": r, "col": c, "height": pixels.shape[0], "width": pixels.shape[1]})
 
         for batch in batches:
@@ -221,22 +207,10 @@ class Writer(DataSourceArrowWriter):
             flush()
         return Written(files)
 
-    def commit(self, messages: list[Written | None]) -> None:
-        store = Store(self.path)
-        before = [f["name"] for f in json.loads(store.all(INDEX))["files"]] if store.exists(INDEX) else []
-        files = sorted((f for m in messages if m is not None for f in m.files), key=lambda f: (f["row"], f["col"]))
+    def ordered(self, files: list[dict]) -> list[dict]:
         if len({(f["row"], f["col"]) for f in files}) < len(files):
-            self.abort(messages)
             raise ValueError("a block came from two tasks: write with write_raster, which brings a block's pixels together")
-        for f in files:
-            store.move(f"_temporary/{self.job}/{f['name']}", f["name"])
-        store.put(f"{INDEX}.{self.job}", json.dumps({"grid": vars(self.grid), "files": files}).encode())
-        store.move(f"{INDEX}.{self.job}", INDEX)
-        store.remove(*before)
-        store.remove_folder("_temporary")
-
-    def abort(self, messages: list[Written | None]) -> None:
-        Store(self.path).remove_folder(f"_temporary/{self.job}")
+        return sorted(files, key=lambda f: (f["row"], f["col"]))
 
 
 class GeoTiff(DataSource):

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import posixpath
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow.fs as pafs
+from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
+
+INDEX = "_index.json"
 
 SCHEMES = "a local path that all executors share, or file:, hdfs:, s3:, gs: and the like, as pyarrow.fs knows them"
 
@@ -69,3 +75,49 @@ class Store:
     def remove_folder(self, name: str) -> None:
         if self.exists(name):
             self.fs.delete_dir(self.at(name))
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    """What a task wrote: a name and whatever the index should say of it, for each file."""
+
+    files: list
+
+
+class FolderWriter(DataSourceArrowWriter):
+    """Files of a folder with an index: tasks write into a folder of the job's own, the commit moves what the tasks that
+    Spark reports have written and puts the index in place. Tasks that ran twice leave files under other names, which are
+    not moved. Files of an earlier table at the path go last, once the new index names none of them."""
+
+    def __init__(self, path: str, overwrite: bool, head: dict):
+        self.path, self.head, self.job = path, head, uuid.uuid4().hex
+        if not overwrite and Store(path).exists(INDEX):
+            raise ValueError(f"{path} has a table already; use mode overwrite")
+
+    def put(self, store: Store, name: str, data: bytes) -> str:
+        """The name under which the file will stand."""
+        stem, dot, tail = name.rpartition(".")
+        name = f"{stem}-{uuid.uuid4().hex[:12]}{dot}{tail}"
+        store.put(f"_temporary/{self.job}/{name}", data)
+        return name
+
+    def ordered(self, files: list[dict]) -> list[dict]:
+        return sorted(files, key=lambda f: f["name"])
+
+    def commit(self, messages: list[Written | None]) -> None:
+        store = Store(self.path)
+        before = [f["name"] for f in json.loads(store.all(INDEX))["files"]] if store.exists(INDEX) else []
+        try:
+            files = self.ordered([f for m in messages if m is not None for f in m.files])
+        except ValueError:
+            self.abort(messages)
+            raise
+        for f in files:
+            store.move(f"_temporary/{self.job}/{f['name']}", f["name"])
+        store.put(f"{INDEX}.{self.job}", json.dumps(self.head | {"files": files}).encode())
+        store.move(f"{INDEX}.{self.job}", INDEX)
+        store.remove(*before)
+        store.remove_folder("_temporary")
+
+    def abort(self, messages: list[Written | None]) -> None:
+        Store(self.path).remove_folder(f"_temporary/{self.job}")
