@@ -283,7 +283,7 @@ def removed_spans(stretches: DataFrame, run: int) -> DataFrame:
     copies = dealt.filter(~reference).groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(SHARD_ASKS)).cast("int").alias("copies"))
     dealt = dealt.join(copies, "shard")
     of = F.when(reference, F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.array(F.pmod(F.xxhash64("chunk", "text"), F.col("copies")).cast("int")))
-    dealt = dealt.withColumn("copy", F.explode(of)).select("shard", "copy", "chunk", "first", "text", "asks")
+    dealt = dealt.withColumn("copy", F.explode(of)).select("shard", "copy", "chunk", "first", "text", "asks").repartition("shard", "copy")
 
     def walk(group: pa.Table) -> pa.Table:
         number: dict[bytes, int] = {}
