@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import shared
-from ..sources import geotiff
-from . import sites
+from ..functions import geometry, overlay, parts
+from ..operators import burn, outlines, raster, shared
+from ..operators import polygons as shapes_of
+from ..sources import clustered, flatgeobuf, geotiff
+from . import shapes, sites
 from .sites import query
 
 GRID = geotiff.Grid(west=500_000.0, north=3_000_000.0, dx=30.0, dy=30.0, dtype="int16", nodata=-1, epsg=5070)
@@ -23,3 +25,151 @@ def raster_file_classes(spark, d):
     geotiff.write_raster(p.select("row", "col", F.when(F.col("k") % 7 > 0, F.col("k")).alias("value")), path, GRID, block=128, compress="lzw", predictor=2)
     read = geotiff.read_raster(spark, path).filter("value is not null")
     return read.groupBy(F.col("value").alias("cls")).agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sum_x"), F.sum("y").alias("sum_y"), F.min("row").alias("first_row"), F.max("col").alias("last_col"))
+
+
+# Outlines ---------------------------------------------------------------------------------------------------------------
+
+#: Four-connected regions of the pixels p(r, c): l has each run's label, u the runs.
+REGIONS = """g AS (SELECT r, c, c - row_number() OVER (PARTITION BY r ORDER BY c) AS run FROM p),
+u AS MATERIALIZED (SELECT r, min(c) AS a, max(c) AS b, r * 1048576 + min(c) AS node FROM g GROUP BY r, run),
+e AS MATERIALIZED (SELECT x.node AS x, y.node AS y FROM u x JOIN u y ON abs(x.r - y.r) = 1 AND y.a <= x.b AND y.b >= x.a),
+l(node, label) USING KEY (node) AS (SELECT node, node FROM u UNION SELECT n.node, min(l.label) FROM l JOIN e ON e.x = l.node JOIN recurring.l AS n ON n.node = e.y WHERE l.label < n.label GROUP BY n.node),
+x AS (SELECT label AS region, r, unnest(range(a, b + 1)) AS c FROM l JOIN u USING (node))"""
+
+
+@query(f"""
+WITH RECURSIVE p AS (SELECT event_id // 256 AS r, event_id % 256 AS c FROM events WHERE (props->>'$.k')::INT % 3 > 0), {REGIONS},
+v AS (SELECT region, r + dr AS vr, c + dc AS vc, sum(CASE WHEN dr = dc THEN 1 ELSE 8 END) AS s FROM x, (SELECT unnest([0, 1]) AS dr) a, (SELECT unnest([0, 1]) AS dc) b GROUP BY 1, 2, 3),
+n AS (SELECT region, sum(CASE WHEN s IN (1, 8, 10, 17) THEN 1 WHEN s IN (2, 16) THEN 2 ELSE 0 END)::BIGINT AS n_vertices FROM v GROUP BY 1),
+y AS (SELECT region, count(*) AS pixel_count, count(*) * 900.0::DOUBLE AS area, min(c) * 30.0::DOUBLE AS west, max(r) * -30.0::DOUBLE - 30 AS south FROM x GROUP BY 1),
+o AS (SELECT region, sum(edge)::BIGINT * 30.0::DOUBLE AS outline FROM (SELECT x.region, 4 - count(z.region) AS edge FROM x LEFT JOIN (SELECT x.region, r + dr AS r, c + dc AS c FROM x, (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(dr, dc)) z ON z.region = x.region AND z.r = x.r AND z.c = x.c GROUP BY x.region, x.r, x.c) GROUP BY 1)
+SELECT region, pixel_count, area, n_vertices, west, south, outline FROM y JOIN n USING (region) JOIN o USING (region)
+""")
+def region_polygons(spark, d):
+    """Outlines of four-connected regions across cells of 32 x 32 pixels: areas, vertices, lengths and bounds."""
+    p = sites.pixels(spark, d).filter("k % 3 > 0").withColumn("cls", F.lit(0))
+    out = outlines.polygons(p, cell=32, dx=30.0, dy=30.0)
+    signed = F.aggregate(F.transform("rings", geometry.signed_area), F.lit(0.0), lambda a, b: a + b)
+    long = F.aggregate(F.transform("rings", geometry.length), F.lit(0.0), lambda a, b: a + b)
+    b = geometry.bounds(F.flatten("rings"))
+    corners = F.aggregate(F.transform("rings", lambda r: F.size(r) - 1), F.lit(0), lambda a, b: a + b)
+    return out.select("region", "pixel_count", signed.alias("area"), corners.cast("long").alias("n_vertices"), b["xmin"].alias("west"), b["ymin"].alias("south"), long.alias("outline"))
+
+
+@query(f"""
+WITH RECURSIVE i AS (SELECT event_id // 256 AS r, event_id % 256 AS c, value AS v FROM events),
+q AS (SELECT r, c, CASE WHEN lag(1) OVER x IS NULL THEN lead(v) OVER x - v WHEN lead(1) OVER x IS NULL THEN v - lag(v) OVER x ELSE (lead(v) OVER x - lag(v) OVER x) / 2 END / 30.0 AS gx,
+ CASE WHEN lag(1) OVER y IS NULL THEN lead(v) OVER y - v WHEN lead(1) OVER y IS NULL THEN v - lag(v) OVER y ELSE (lead(v) OVER y - lag(v) OVER y) / 2 END / 30.0 AS gy FROM i WINDOW x AS (PARTITION BY r ORDER BY c), y AS (PARTITION BY c ORDER BY r)),
+p AS (SELECT r, c FROM q WHERE sqrt(gx * gx + gy * gy) * 100 > 90), {REGIONS},
+z AS (SELECT n_nationkey AS zone, n_nationkey * 300 + 10.5 AS xmin, -45.25 - 900 - n_regionkey * 30 AS ymin, n_nationkey * 300 + 190.25 AS xmax, -45.25 AS ymax FROM nation),
+o AS (SELECT region, zone, sum(greatest(0, least(c * 30 + 30, xmax) - greatest(c * 30, xmin)) * greatest(0, least(-r * 30, ymax) - greatest(-r * 30 - 30, ymin)))::DOUBLE AS area FROM x JOIN z ON c * 30 < xmax AND c * 30 + 30 > xmin AND -r * 30 - 30 < ymax AND -r * 30 > ymin GROUP BY 1, 2)
+SELECT region, zone, round(area, 4) AS area FROM o WHERE area > 0
+""")
+def steep_zones(spark, d):
+    """Where slopes pass a limit as polygons, clipped to keep zones."""
+    steep = raster.slope_percent(sites.pixels(spark, d), 30.0, 30.0).filter("slope > 90").withColumn("cls", F.lit(1))
+    regions = outlines.polygons(steep, cell=64, dx=30.0, dy=30.0).select("region", "rings")
+    n = F.col("n_nationkey")
+    zones = sites.table(spark, d, "nation").select(n.alias("zone"), F.array(geometry.box_ring(n * 300 + 10.5, -45.25 - 900 - F.col("n_regionkey") * 30, n * 300 + 190.25, F.lit(-45.25))).alias("keep"))
+    pairs = shapes_of.meeting(regions, zones, "rings", "keep", 300.0)
+    clipped = pairs.withColumn("area", overlay.total_area(overlay.combined(F.col("rings"), F.col("keep"), "intersection")))
+    return clipped.filter("area > 0").select("region", "zone", F.round("area", 4).alias("area"))
+
+
+# Zones ------------------------------------------------------------------------------------------------------------------
+
+TILES = "p AS (SELECT event_id // 4096 AS tile, event_id % 4096 // 64 AS r, event_id % 64 AS c, value AS v, (props->>'$.k')::INT AS k FROM events)"
+LOZENGES = "z AS (SELECT p_partkey AS zone, p_partkey % 4 AS tile, (p_partkey * 37 % 520)::DOUBLE / 8 AS cx, (p_partkey * 91 % 520)::DOUBLE / 8 AS cy, 0.25 + (p_size % 40)::DOUBLE / 4 AS h FROM part)"
+
+
+def tiled_pixels(spark, d):
+    """Events as pixels of tiles of 64 x 64."""
+    e = F.col("event_id")
+    return sites.table(spark, d, "events").select(F.expr("event_id div 4096").alias("tile"), F.expr("event_id % 4096 div 64").alias("row"), (e % 64).alias("col"), F.get_json_object("props", "$.k").cast("int").alias("k"), "value")
+
+
+def lozenges(spark, d):
+    k = F.col("p_partkey")
+    z = sites.table(spark, d, "part").select(k.alias("zone"), (k % 4).alias("tile"), ((k * 37 % 520) / 8).alias("cx"), ((k * 91 % 520) / 8).alias("cy"), (0.25 + F.col("p_size") % 40 / 4).cast("double").alias("h"))
+    ring = F.array(*[geometry.point(F.col("cx") + i * F.col("h"), F.col("cy") + j * F.col("h")) for i, j in ((1, 0), (0, 1), (-1, 0), (0, -1), (1, 0))])
+    return z.select("zone", "tile", F.array(ring).alias("rings"))
+
+
+@query(f"""
+WITH {TILES}, {LOZENGES},
+a AS (SELECT zone, count(v) AS n, round(avg(v), 9) AS mean, max(v) AS most FROM z JOIN p ON p.tile = z.tile AND abs(c + 0.5 - cx) + abs(r + 0.5 - cy) < h GROUP BY 1),
+b AS (SELECT zone, count(v) AS n, round(avg(v), 9) AS mean, max(v) AS most FROM z JOIN p ON p.tile = z.tile AND greatest(0, c - cx, cx - c - 1) + greatest(0, r - cy, cy - r - 1) < h GROUP BY 1)
+SELECT z.zone, coalesce(a.n, 0) AS n, a.mean, a.most, coalesce(b.n, 0) AS n_touched, b.mean AS mean_touched, b.most AS most_touched FROM z LEFT JOIN a ON a.zone = z.zone LEFT JOIN b ON b.zone = z.zone
+""")
+def lozenge_zones(spark, d):
+    """Statistics under slanted polygons on several tiles: pixels by their centre, and all pixels touched."""
+    p, z = tiled_pixels(spark, d), lozenges(spark, d)
+    a, b = (burn.zonal(p, z, "zone", "rings", (0, 64), (0, 64), touched=t).select("zone", "n", F.round("mean", 9).alias("mean"), "most") for t in (False, True))
+    return a.join(b.select("zone", *(F.col(c).alias(f"{c}_touched") for c in ("n", "mean", "most"))), "zone")
+
+
+@query(f"""
+WITH {TILES}, {LOZENGES}, m AS (SELECT DISTINCT p.tile, r, c FROM z JOIN p ON p.tile = z.tile AND abs(c + 0.5 - cx) + abs(r + 0.5 - cy) < h WHERE zone % 3 = 0)
+SELECT p.tile, p.r AS row, p.c AS col, (m.r IS NOT NULL)::INT AS mask, CASE WHEN m.r IS NULL THEN 0 ELSE k END AS cls FROM p LEFT JOIN m ON m.tile = p.tile AND m.r = p.r AND m.c = p.c
+""")
+def lozenge_mask(spark, d):
+    """Slanted polygons burned into a mask, and class codes outside it 0."""
+    p = tiled_pixels(spark, d)
+    mask = burn.burned(p, lozenges(spark, d).filter("zone % 3 = 0"), "rings", (0, 64), (0, 64))
+    return mask.select("tile", "row", "col", "mask", F.when(F.col("mask") == 1, F.col("k")).otherwise(0).alias("cls"))
+
+
+# Files of shapes --------------------------------------------------------------------------------------------------------
+
+VIEW = (300_000.0, 250_000.0, 640_000.0, 700_000.0)
+
+
+@query(f"""
+WITH {sites.SITES}, {sites.BOXES} SELECT site_id, xmax >= {VIEW[0]} AND ymax >= {VIEW[1]} AND xmin <= {VIEW[2]} AND ymin <= {VIEW[3]} AS in_view, ((xmax - xmin) * (ymax - ymin))::DOUBLE AS area FROM boxes
+""")
+def shape_file_views(spark, d):
+    """Parcels written as FlatGeobuf; all read back, and those that a box finds by the files' trees."""
+    b = sites.boxes(spark, d)
+    path = shared.new_path(spark, "parcels")
+    flatgeobuf.write_shapes(b.select("site_id", F.array(geometry.box_ring(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))).alias("rings")), path, most=2000)
+    seen = flatgeobuf.read_shapes(spark, path, VIEW).select("site_id", F.lit(True).alias("in_view"))
+    all_ = flatgeobuf.read_shapes(spark, path).select("site_id", overlay.total_area(F.col("rings")).alias("area"))
+    return all_.join(seen, "site_id", "left").select("site_id", F.coalesce("in_view", F.lit(False)).alias("in_view"), "area")
+
+
+@query(f"""
+WITH {sites.SITES}, {sites.ANCHORS}, {shapes.DIAMONDS}, x AS (SELECT anchor_id, ax, ay, h, {VIEW[0]} AS x0, {VIEW[1]} AS y0, {VIEW[2]} AS x1, {VIEW[3]} AS y1 FROM diamonds),
+k AS (SELECT anchor_id, unnest([1, -1]) AS sx, ax, ay, h, x0, y0, x1, y1 FROM x), q AS (SELECT *, unnest([1, -1]) AS sy FROM k),
+-- the part of a diamond right of u and above v, both from its centre, has a closed form: a triangle less what the axes cut off
+c AS (SELECT anchor_id, h, CASE WHEN sx > 0 THEN x0 ELSE x1 END - ax AS u, CASE WHEN sy > 0 THEN y0 ELSE y1 END - ay AS v, sx * sy AS s FROM q),
+f AS (SELECT anchor_id, s, h, greatest(-h, least(h, u)) AS u, greatest(-h, least(h, v)) AS v FROM c),
+t AS (SELECT anchor_id, sum(s * CASE WHEN u >= 0 AND v >= 0 THEN power(greatest(0, h - u - v), 2) / 2
+  WHEN u < 0 AND v >= 0 THEN power(h - v, 2) - power(greatest(0, h + u - v), 2) / 2
+  WHEN u >= 0 AND v < 0 THEN power(h - u, 2) - power(greatest(0, h - u + v), 2) / 2
+  ELSE 2 * h * h - power(h + u, 2) - power(h + v, 2) + power(greatest(0, h + u + v), 2) / 2 END) AS area FROM f GROUP BY 1)
+SELECT anchor_id, round(area::DOUBLE, 2) AS area FROM t WHERE area > 0.005
+""")
+def clipped_views(spark, d):
+    """Diamonds written along a Hilbert curve with their bounds; a box prunes row groups, then clips."""
+    path = shared.new_path(spark, "clustered")
+    clustered.write_clustered(shapes.diamonds(spark, d).select("anchor_id", "rings"), path, "rings")
+    out = clustered.clipped(spark.read.parquet(path), "rings", VIEW)
+    return out.select("anchor_id", F.round(overlay.total_area(F.col("rings")), 2).alias("area")).filter("area > 0.005")
+
+
+# Parts ------------------------------------------------------------------------------------------------------------------
+
+
+@query(f"""
+WITH {sites.SITES}, {sites.BOXES}, s AS (SELECT site_id, (xmax - xmin)::DOUBLE AS w FROM boxes)
+SELECT site_id, unnest([0, 1, 2]) AS part, unnest([w * w * 3 / 4, w * w / 16, w * w / 4]) AS area, unnest([1, 0, 0]) AS n_holes, true AS inside FROM s
+""")
+def parcel_parts(spark, d):
+    """Shapes with a hole, an island in it and a part beside, exploded; a point inside each part."""
+    b = sites.boxes(spark, d).withColumn("w", F.col("xmax") - F.col("xmin"))
+    square = lambda dx, n: geometry.box_ring(F.col("xmin") + F.col("w") * dx, F.col("ymin") + F.col("w") * (0 if dx > 1 else dx), F.col("xmin") + F.col("w") * (dx + n), F.col("ymin") + F.col("w") * ((0 if dx > 1 else dx) + n))
+    shapes_ = b.select("site_id", F.array(square(0, 1), square(0.25, 0.5), square(0.375, 0.25), square(1.5, 0.5)).alias("rings"))
+    out = parts.exploded(shapes_, "rings").withColumn("p", parts.interior_point(F.col("rings")))
+    hits = F.aggregate(F.transform("rings", lambda r: geometry.contains(r, F.col("p.x"), F.col("p.y")).cast("int")), F.lit(0), lambda a, v: a + v) % 2 == 1
+    area = F.aggregate(F.transform("rings", geometry.signed_area), F.lit(0.0), lambda a, v: a + v)
+    return out.select("site_id", "part", area.alias("area"), (F.size("rings") - 1).alias("n_holes"), hits.alias("inside"))
