@@ -16,7 +16,7 @@ from .common import Work, batches_of, pack, shuffle_partitions, unpack
 WORD = r"[^\x20\x09-\x0D]+"
 #: A node: its depth, and two sums of its turns' hashes, each of place and turn.
 NODE = ["depth", "k1", "k2"]
-ROOT_PATH = F.lit(b"")
+ROOT_PATH = b""
 
 
 def numbered_turns(conversations: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
@@ -100,9 +100,9 @@ def ranked(nodes: DataFrame, paths: DataFrame, work: Work) -> DataFrame:
     row each, are added by a join.
     """
     mine = paths.select("conv", F.explode(F.transform("heads", lambda h, i: F.struct(h["depth"].alias("depth"), h["k1"].alias("k1"), h["k2"].alias("k2"), h["mine"].alias("mine"), F.slice("heads", F.lit(1), i + 1).alias("upto")))).alias("x")).filter("x.mine")
-    mine = mine.select("x.depth", "x.k1", "x.k2", F.aggregate(F.transform("x.upto", lambda h: step_bytes(h["k1"], h["k2"])), ROOT_PATH, lambda a, b: F.concat(a, b)).alias("path"))
+    mine = mine.select("x.depth", "x.k1", "x.k2", F.aggregate(F.transform("x.upto", lambda h: step_bytes(h["k1"], h["k2"])), F.lit(ROOT_PATH), lambda a, b: F.concat(a, b)).alias("path"))
     chain = Window.partitionBy("conv_id").orderBy("depth")
-    all_ = nodes.join(mine, NODE, "left").withColumn("path", F.when(F.col("depth") == 0, ROOT_PATH).otherwise(F.col("path")))
+    all_ = nodes.join(mine, NODE, "left").withColumn("path", F.when(F.col("depth") == 0, F.lit(ROOT_PATH)).otherwise(F.col("path")))
     all_ = all_.withColumn("path", F.last("path", ignorenulls=True).over(chain))
     all_ = all_.withColumn("leaf", (F.col("n_children") == 0).cast("long")).withColumn("saving", (F.col("n_convs") - 1) * F.col("words")).drop("p1", "p2", "words", "head")
     cut = all_.repartitionByRange(shuffle_partitions(work.spark), "path", "depth").sortWithinPartitions("path", "depth").drop("path")

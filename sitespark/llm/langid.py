@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import release, small_batches
@@ -183,24 +183,29 @@ class Parser:
         return out
 
 
-def bounded_sample(rows: DataFrame, key: str, id_col: str, most: int, most_keys: int | None = None) -> DataFrame:
-    """About `most` rows, and never more, for each value of key, or of the most_keys commonest ones, taken by hash of the id.
+def bounded_sample(rows: DataFrame, key: str, by: list[str], most: int, most_keys: int | None = None) -> DataFrame:
+    """At most `most` rows for each value of key, or of the most_keys commonest ones: those with the least hash of the
+    columns `by`. Rows that agree in these count once, so repeats can't crowd others out.
 
-    One aggregation counts the rows of each key; the rates it yields then filter the scan, so no rows are shuffled. _rate
-    is a row's.
+    One aggregation counts the distinct hashes of each key (approximately); rows with hashes beyond one and a half times
+    the share wanted don't leave the scan, repeats of the others collapse in the map tasks, and ranks do the rest. _u is a row's
+    hash, _rate the share of its key's distinct rows that are taken.
     """
-    counts = rows.groupBy(key).count().orderBy(F.desc("count"), key)
+    unit = F.coalesce(F.xxhash64(F.lit("sample"), *by).bitwiseAND(F.lit((1 << 52) - 1)), F.lit(0)).cast("double") / float(1 << 52)
+    rows = rows.withColumn("_u", unit)
+    counts = rows.groupBy(key).agg(F.approx_count_distinct("_u", 0.01).alias("n")).orderBy(F.desc("n"), key)
     counts = (counts if most_keys is None else counts.limit(most_keys)).collect()
     if not counts:
-        return rows.limit(0).withColumn("_u", F.lit(0.0)).withColumn("_rate", F.lit(0.0))
-    rates = F.create_map(*[F.lit(x) for k, n in counts for x in (k, min(1.0, most / n))])
-    unit = (F.xxhash64(F.lit("sample"), F.col(id_col)).bitwiseAND(F.lit((1 << 52) - 1))).cast("double") / float(1 << 52)
-    return rows.withColumn("_u", unit).withColumn("_rate", F.coalesce(F.element_at(rates, F.col(key)), F.lit(0.0))).filter("_u < _rate")
+        return rows.limit(0).withColumn("_rate", F.lit(0.0))
+    rates = F.create_map(*[F.lit(x) for r in counts for x in (r[key], min(1.0, most / r["n"]))])
+    near = rows.withColumn("_rate", F.coalesce(F.element_at(rates, F.col(key)), F.lit(0.0))).filter((F.col("_u") < 1.5 * F.col("_rate") + 1e-6) & (F.col("_rate") > 0))
+    rank = F.row_number().over(Window.partitionBy(key).orderBy("_u"))
+    return near.dropDuplicates([key, "_u"]).withColumn("_k", rank).filter(F.col("_k") <= most).drop("_k")
 
 
 def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = 60, model_chars: int = 30_000) -> dict[str, str]:
-    """Labelled text for each language: a sample of about sample_docs labelled documents (1.5 times as many at most), taken
-    by hash of the id, is what the driver receives; whole ones are joined in the order of that hash up to model_chars
+    """Labelled text for each language: a sample of at most sample_docs labelled documents, taken by hash
+    of id and text, is what the driver receives; whole ones are joined in the order of that hash up to model_chars
     characters, and those that don't fit are passed over (the first is cut where none fits).
 
     Every language is learnt. No labelled row gives an empty model.
@@ -208,11 +213,11 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
     seen: dict[str, list[str]] = {}
-    for lang, text in sorted(map(tuple, bounded_sample(rows, "lang", "id", sample_docs).orderBy("_u", "text").select("lang", "text").collect()), key=lambda r: r[0]):
+    for lang, text in sorted(map(tuple, bounded_sample(rows, "lang", ["id", "text"], sample_docs).orderBy("_u", "text").select("lang", "text").collect()), key=lambda r: r[0]):
         seen.setdefault(lang, []).append(text)
     model = {}
     for lang, sample in seen.items():
-        whole = [t for t in dict.fromkeys(map(letters_of, sample[: sample_docs * 3 // 2])) if t]
+        whole = [t for t in dict.fromkeys(map(letters_of, sample)) if t]
         text = ""
         for t in whole:
             if len(text) + len(t) <= model_chars:

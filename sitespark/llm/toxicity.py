@@ -110,13 +110,13 @@ def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) ->
 
 
 def fit_toxicity(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id", sample_docs: int = 1500, weight_col: str | None = None) -> dict:
-    """Dictionaries and calibration from about sample_docs labelled documents of each label (1.5 times as many at most),
-    whole texts, taken by hash of the id; this is what the driver receives. Two thirds train the dictionaries, and the
+    """Dictionaries and calibration from at most sample_docs labelled documents of each label, whole texts, taken
+    by hash of id and text; this is what the driver receives. Two thirds train the dictionaries, and the
     thresholds are calibrated on the others, where each document stands for as many of its label as the sample left out:
     weight_col says how many rows a row of labelled stands for, 1 by default. Without documents of both labels every score is the share of toxic ones."""
     rows = labelled.filter(F.col(label_col).isNotNull()).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), (F.col(label_col).cast("int") == 1).cast("int").alias("toxic"), F.col(id_col).alias("id"), (F.col(weight_col) if weight_col else F.lit(1.0)).alias("weight"))
-    taken = sorted((hash_of(t), t, y) for t, y in map(tuple, bounded_sample(rows, "toxic", "id", sample_docs, 2).select("text", "toxic").collect()))
-    sample = [(t, y) for _, t, y in taken][: 3 * sample_docs]
+    taken = sorted((hash_of(t), t, y) for t, y in map(tuple, bounded_sample(rows, "toxic", ["id", "text"], sample_docs, 2).select("text", "toxic").collect()))
+    sample = [(t, y) for _, t, y in taken]
     toxic = sum(y for _, y in sample)
     if not 0 < toxic < len(sample):
         return {"ordinary": b"", "toxic": b"", "weights": [], "share": toxic / len(sample) if sample else 0.0}
@@ -130,10 +130,11 @@ def fit_toxicity(labelled: DataFrame, text_col: str = "text", label_col: str = "
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text", sample_docs: int = 1500) -> DataFrame:
-    """id, text, label, weight of a bounded sample of the labels: about 1.3 * sample_docs rows of each label, taken by hash
-    of the id before the join, so that it can be broadcast and texts aren't shuffled. weight is 1 / the label's sampling rate."""
+    """id, text, label, weight of a bounded sample of the labels: at most sample_docs ids of each label, taken by hash of the id
+    before the join, so that it can be broadcast and texts aren't shuffled; an id that is labelled twice counts once for
+    each label. weight is 1 / the label's sampling rate."""
     told = labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col))
-    told = bounded_sample(told, label_col, "_id", round(1.3 * sample_docs), 2).select("_id", label_col, (1 / F.col("_rate")).alias("weight"))
+    told = bounded_sample(told, label_col, ["_id"], sample_docs, 2).select("_id", label_col, (1 / F.col("_rate")).alias("weight"))
     return docs.select(id_col, text_col).join(F.broadcast(told), F.col(id_col) == F.col("_id")).select(id_col, text_col, label_col, "weight")
 
 
