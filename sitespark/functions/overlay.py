@@ -1,8 +1,7 @@
-"""Intersection, union and difference of polygons, areas and simplification, on flat coordinates in Arrow batches.
+"""Intersection, union and difference of polygons, areas, distances and simplification, on flat coordinates in Arrow batches.
 
 A polygon is an array of rings (array<array<struct<x, y>>>) filled by the even-odd rule, so holes are rings inside others and
-several parts are rings beside each other. Results are made of trapezoids that don't overlap: the plane is cut into slabs at
-all vertices and crossings, between which edges keep their order, so no case needs a repair or fails; their areas add up.
+several parts are rings beside each other. Results are outlines: outer rings counter-clockwise, holes clockwise (functions.sweep).
 """
 
 from __future__ import annotations
@@ -15,63 +14,25 @@ import pyarrow.compute
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import sweep
+
 RINGS = "array<array<struct<x:double,y:double>>>"
 ARROW_RINGS = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
-OPERATIONS = {"intersection": np.logical_and, "union": np.logical_or, "difference": lambda a, b: a & ~b}
-
-
-def edges_of(rings: list[np.ndarray]) -> np.ndarray:
-    """Edges x0, y0, x1, y1 with y0 < y1; level ones bound no slab."""
-    parts = [np.hstack([r[:-1], r[1:]]) for r in rings if len(r) > 2]
-    e = np.concatenate(parts) if parts else np.empty((0, 4))
-    e = e[e[:, 1] != e[:, 3]]
-    down = e[:, 1] > e[:, 3]
-    e[down] = e[down][:, [2, 3, 0, 1]]
-    return e
-
-
-def crossings(e: np.ndarray) -> np.ndarray:
-    """The heights at which edges cross."""
-    if len(e) < 2:
-        return np.empty(0)
-    d = e[:, 2:] - e[:, :2]
-    i, j = np.triu_indices(len(e), 1)
-    near = (e[i, 1] < e[j, 3]) & (e[j, 1] < e[i, 3])
-    i, j = i[near], j[near]
-    cross = d[i, 0] * d[j, 1] - d[i, 1] * d[j, 0]
-    apart = e[j, :2] - e[i, :2]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t = (apart[:, 0] * d[j, 1] - apart[:, 1] * d[j, 0]) / cross
-        u = (apart[:, 0] * d[i, 1] - apart[:, 1] * d[i, 0]) / cross
-    hit = (cross != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
-    return e[i[hit], 1] + t[hit] * d[i[hit], 1]
+OPERATIONS = {"intersection": np.logical_and, "union": np.logical_or, "difference": lambda a, b: a & np.logical_not(b)}
 
 
 def overlay(a: list[np.ndarray], b: list[np.ndarray], operation: str) -> list[np.ndarray]:
-    """Trapezoids of a and b combined; b may be empty."""
-    ea, eb = edges_of(a), edges_of(b)
-    e = np.concatenate([ea, eb])
-    if not len(e):
-        return []
-    of_b = np.arange(len(e)) >= len(ea)
-    ys = np.unique(np.concatenate([e[:, 1], e[:, 3], crossings(e)]))
-    slope = (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1])
-    keep = OPERATIONS[operation]
-    out = []
-    for low, high in zip(ys[:-1], ys[1:], strict=True):
-        span = np.flatnonzero((e[:, 1] <= low) & (e[:, 3] >= high))
-        if not len(span):
-            continue
-        x0, x1 = (e[span, 0] + (y - e[span, 1]) * slope[span] for y in (low, high))
-        order = np.argsort(x0 + x1, kind="stable")
-        x0, x1, second = x0[order], x1[order], of_b[span[order]]
-        inside = keep(np.cumsum(~second) % 2 == 1, np.cumsum(second) % 2 == 1)
-        turns = np.flatnonzero(np.diff(np.concatenate([[False], inside])))
-        for i, j in zip(turns[::2], turns[1::2], strict=False):
-            ring = np.array([(x0[i], low), (x0[j], low), (x1[j], high), (x1[i], high), (x0[i], low)])
-            if x0[j] > x0[i] or x1[j] > x1[i]:
-                out.append(ring)
-    return out
+    """Outlines of a and b combined; b may be empty."""
+    return sweep.overlay(a, b, OPERATIONS[operation])
+
+
+def rings_area(rings: list[np.ndarray]) -> float:
+    """Of rings whose holes run the other way than what they are in."""
+    total = 0.0
+    for ring in rings:
+        x, y = (ring - ring[:1]).T
+        total += float((x[:-1] * y[1:] - x[1:] * y[:-1]).sum()) / 2
+    return abs(total)
 
 
 def ring_area(ring: np.ndarray) -> float:
@@ -94,7 +55,12 @@ def unpacked(column: pa.Array) -> Iterator[list[np.ndarray]]:
 
 
 def packed(polygons: list[list[np.ndarray]]) -> pa.Array:
-    return pa.array([[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in rings] for rings in polygons], ARROW_RINGS)
+    """The opposite of unpacked, from flat arrays."""
+    rings = [r for p in polygons for r in p]
+    flat = np.concatenate(rings) if rings else np.empty((0, 2))
+    points = pa.StructArray.from_arrays([pa.array(flat[:, 0], pa.float64()), pa.array(flat[:, 1], pa.float64())], names=["x", "y"])
+    ends = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    return pa.ListArray.from_arrays(ends([len(p) for p in polygons]), pa.ListArray.from_arrays(ends([len(r) for r in rings]), points))
 
 
 def combined(a: Column, b: Column, operation: str) -> Column:
@@ -108,34 +74,38 @@ def combined(a: Column, b: Column, operation: str) -> Column:
 
 
 def difference_ladder(a: Column, b: Column, grids: tuple[float, ...] = (1.0, 5.0, 10.0)) -> Column:
-    """a less b, both snapped to the finest grid that leaves b an area; a itself where none does."""
+    """a less b on a coarse grid: both snapped to the finest one that holds, then to coarser ones; a as it is where none does.
+
+    A grid holds if the result can be told from its own areas: what is left and what is cut away must add up to a. The
+    sweep has no failures of its own, so the first grid nearly always holds.
+    """
 
     @F.arrow_udf(RINGS)
     def run(left: pa.Array, right: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(unpacked(left), unpacked(right), strict=True):
-            got = x
-            for grid in grids:
-                p, q = ([np.round(r / grid) * grid for r in rings] for rings in (x, y))
-                if any(ring_area(r) > 0 for r in q):
-                    got = overlay(p, q, "difference")
-                    break
-            out.append(got)
-        return packed(out)
+        return packed([ladder(x, y, grids) for x, y in zip(unpacked(left), unpacked(right), strict=True)])
 
     return run(a.cast(RINGS), b.cast(RINGS))
 
 
+def ladder(a: list[np.ndarray], b: list[np.ndarray], grids: tuple[float, ...]) -> list[np.ndarray]:
+    for grid in grids:
+        p, q = (overlay([np.round(r / grid) * grid for r in rings], [], "union") for rings in (a, b))
+        left, cut, whole = rings_area(overlay(p, q, "difference")), rings_area(overlay(p, q, "intersection")), rings_area(p)
+        if abs(left + cut - whole) <= 1e-6 * max(1.0, whole):
+            return overlay(p, q, "difference")
+    return a
+
+
 def repaired(a: Column) -> Column:
     """The area that a polygon covers by the even-odd rule, whatever crosses what: a zero-width buffer's repair."""
     return combined(a, F.array().cast(RINGS), "union")
 
 
 def total_area(a: Column) -> Column:
-    """Sum of the areas of rings that don't overlap, as those of combined polygons."""
-    from .geometry import area
+    """The area of outlines: holes run the other way than the rings they are in, and count off."""
+    from .geometry import signed_area
 
-    return F.aggregate(F.transform(a, area), F.lit(0.0), lambda s, x: s + x)
+    return F.abs(F.aggregate(F.transform(a, signed_area), F.lit(0.0), lambda s, x: s + x))
 
 
 def largest_part(a: Column) -> Column:
@@ -184,19 +154,9 @@ def simplified(a: Column, tolerance: float) -> Column:
     return run(a.cast(RINGS))
 
 
-def _gap(points: np.ndarray, edges: np.ndarray) -> float:
-    """The least distance between points and edges (x0, y0, x1, y1)."""
-    if not len(points) or not len(edges):
-        return np.inf
-    d = edges[:, 2:] - edges[:, :2]
-    apart = points[:, None] - edges[None, :, :2]
-    t = np.clip((apart * d).sum(2) / np.maximum((d * d).sum(1), 1e-300), 0, 1)
-    return float(np.sqrt(((apart - t[..., None] * d) ** 2).sum(2)).min())
-
-
 def _inside(rings: list[np.ndarray], point: np.ndarray) -> bool:
-    e = edges_of(rings)
-    up = (e[:, 1] <= point[1]) & (e[:, 3] > point[1])
+    e = sweep.segments_of(rings)
+    up = (e[:, 1] <= point[1]) != (e[:, 3] <= point[1])
     x = e[up, 0] + (point[1] - e[up, 1]) * (e[up, 2] - e[up, 0]) / (e[up, 3] - e[up, 1])
     return bool((x > point[0]).sum() % 2)
 
@@ -206,19 +166,11 @@ def gap_of(a: list[np.ndarray], b: list[np.ndarray]) -> float | None:
     a, b = [r for r in a if len(r)], [r for r in b if len(r)]
     if not a or not b:
         return None
-    ea, eb = (np.concatenate([np.hstack([r[:-1], r[1:]]) if len(r) > 1 else np.hstack([r, r]) for r in x]) for x in (a, b))
     areas = [[r for r in x if len(r) > 3 and (r[0] == r[-1]).all()] for x in (a, b)]
-    if (areas[0] and _inside(areas[0], b[0][0])) or (areas[1] and _inside(areas[1], a[0][0])):
-        return 0.0
-    d, f = ea[:, None, 2:] - ea[:, None, :2], eb[None, :, 2:] - eb[None, :, :2]
-    cross = d[..., 0] * f[..., 1] - d[..., 1] * f[..., 0]
-    apart = eb[None, :, :2] - ea[:, None, :2]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t = (apart[..., 0] * f[..., 1] - apart[..., 1] * f[..., 0]) / cross
-        u = (apart[..., 0] * d[..., 1] - apart[..., 1] * d[..., 0]) / cross
-    if ((cross != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)).any():
+    if (areas[0] and any(_inside(areas[0], r[0]) for r in b)) or (areas[1] and any(_inside(areas[1], r[0]) for r in a)):
         return 0.0
-    return min(_gap(np.concatenate(a), eb), _gap(np.concatenate(b), ea))
+    ea, eb = (np.concatenate([np.hstack([r[:-1], r[1:]]) if len(r) > 1 else np.hstack([r, r]) for r in x]) for x in (a, b))
+    return sweep.edge_distance(ea, eb)
 
 
 def shape_distance(a: Column, b: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry
-from ..functions.overlay import overlay, ring_area, shape_distance, total_area, unpacked
+from ..functions.overlay import overlay, rings_area, shape_distance, total_area, unpacked
 
 
 def _at(v: Column, size: float) -> Column:
@@ -32,11 +32,8 @@ def points_in(points: DataFrame, shapes: DataFrame, x: str, y: str, rings: str,
     cells = listed(shapes, rings, size).drop("lx", "ly")
     at = points.withColumn("cx", _at(F.col(x), size)).withColumn("cy", _at(F.col(y), size))
     hits = F.aggregate(F.transform(rings, lambda r: geometry.contains(r, F.col(x), F.col(y)).cast("int")), F.lit(0), lambda s, v: s + v) % 2 == 1
-    found = at.join(cells, ["cx", "cy"]).filter(hits).drop("cx", "cy")
-    if how == "inner":
-        return found
-    keys = points.columns
-    return points.join(found.select(*keys, *[c for c in shapes.columns if c not in keys]), keys, "left")
+    cells = cells.withColumnsRenamed({"cx": "_sx", "cy": "_sy"})  # a point is in one cell, so a left join keeps or matches each row by itself
+    return at.join(cells, (F.col("cx") == F.col("_sx")) & (F.col("cy") == F.col("_sy")) & hits, how).drop("cx", "cy", "_sx", "_sy")
 
 
 def meeting(left: DataFrame, right: DataFrame, left_rings: str, right_rings: str, size: float) -> DataFrame:
@@ -79,7 +76,7 @@ def dissolved_area(shapes: DataFrame, key: str, rings: str, size: float) -> Data
         parts = [overlay(p, frame, "intersection") for p in unpacked(table.column("rings").combine_chunks())]
         while len(parts) > 1:
             parts = [overlay(parts[i], parts[i + 1], "union") if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
-        return pa.table({"key": table.column(key).slice(0, 1), "united": [float(sum(map(ring_area, parts[0])))]})
+        return pa.table({"key": table.column(key).slice(0, 1), "united": [rings_area(parts[0])]})
 
     kind = shapes.schema[key].dataType.simpleString()
     united = cells.groupBy(key, "cx", "cy").applyInArrow(run, f"key {kind}, united double").groupBy("key").agg(F.sum("united").alias("united"))

@@ -25,7 +25,7 @@ def in_box(df: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
 
 def clipped(df: DataFrame, rings: str, box: tuple[float, float, float, float]) -> DataFrame:
     """Rows whose bounds meet the box, their shapes cut to it; shapes wholly inside stay as they are, without Python. What is
-    left of a shape may be empty, or be trapezoids (functions.overlay)."""
+    left of a shape may be empty."""
     within = (F.col("xmin") >= box[0]) & (F.col("ymin") >= box[1]) & (F.col("xmax") <= box[2]) & (F.col("ymax") <= box[3])
     frame = F.array(geometry.box_ring(*map(F.lit, box)))
     met = in_box(df, box)

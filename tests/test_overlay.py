@@ -33,7 +33,7 @@ def test_overlays_cover_the_same_points_as_their_definition():
             got = overlay.overlay(a, b, name)
             want = f(inside(a, x, y), inside(b, x, y))
             assert (inside(got, x, y) == want).mean() > 0.9995
-            assert abs(sum(map(overlay.ring_area, got)) - want.mean() * 1600) < 45
+            assert abs(overlay.rings_area(got) - want.mean() * 1600) < 45
     assert overlay.overlay([], [], "union") == []
 
 
@@ -41,8 +41,8 @@ def test_overlay_areas_add_up():
     r = np.random.default_rng(5)
     for _ in range(50):
         a, b = [star(r)], [star(r)]
-        area = {k: sum(map(overlay.ring_area, overlay.overlay(a, b, k))) for k in overlay.OPERATIONS}
-        whole = [sum(map(overlay.ring_area, overlay.overlay(p, [], "union"))) for p in (a, b)]
+        area = {k: overlay.rings_area(overlay.overlay(a, b, k)) for k in overlay.OPERATIONS}
+        whole = [overlay.rings_area(overlay.overlay(p, [], "union")) for p in (a, b)]
         assert abs(area["intersection"] + area["difference"] - whole[0]) < 1e-6 and abs(area["union"] - sum(whole) + area["intersection"]) < 1e-6
 
 
@@ -84,3 +84,58 @@ def test_dissolved_and_empty_tables(spark):
     df = df.select("k", F.array(geometry.box_ring(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).alias("rings"))
     assert sorted(map(tuple, polygons.dissolved_area(df, "k", "rings", 8).select("k", "summed", "united").collect())) == [(1, 200.0, 175.0), (2, 1.0, 1.0)]
     assert polygons.dissolved_area(df.limit(0), "k", "rings", 8).collect() == []
+
+
+def boxes(r, n=2):
+    corners = [np.sort(r.integers(0, 6, (2, 2)), 0).astype(float) for _ in range(n)]
+    return [box(*c[0], *c[1]) for c in corners if (c[0] < c[1]).all()]
+
+
+def test_outlines_of_shapes_that_share_edges():
+    """Boxes on whole numbers: edges coincide and end on one another. Areas by counting cells; rings turn at every vertex,
+    and outer ones run the other way than holes."""
+    r = np.random.default_rng(6)
+    x, y = (v.ravel() + 0.5 for v in np.meshgrid(np.arange(6), np.arange(6)))
+    for _ in range(150):
+        a, b = boxes(r), boxes(r)
+        for name, f in overlay.OPERATIONS.items():
+            got = overlay.overlay(a, b, name)
+            want = f(inside(a, x, y), inside(b, x, y))
+            assert (inside(got, x, y) == want).all() and overlay.rings_area(got) == want.sum()
+            for ring in got:
+                d = np.diff(ring, axis=0)
+                turns = d[:, 0] * np.roll(d, -1, 0)[:, 1] - d[:, 1] * np.roll(d, -1, 0)[:, 0]
+                assert (ring[0] == ring[-1]).all() and (turns != 0).all()
+
+
+def test_a_hole_in_an_outline():
+    (outer, hole) = sorted(overlay.overlay([box(0, 0, 9, 9)], [box(3, 3, 5, 6)], "difference"), key=overlay.ring_area, reverse=True)
+    signed = lambda p: float((p[:-1, 0] * p[1:, 1] - p[1:, 0] * p[:-1, 1]).sum()) / 2
+    assert signed(outer) == 81 and signed(hole) == -6
+    assert len(overlay.overlay([box(0, 0, 1, 1)], [box(1, 1, 2, 2)], "union")) == 2  # touching in a point
+    assert len(overlay.overlay([box(0, 0, 1, 1)], [box(1, 0, 2, 1)], "union")[0]) == 5  # the shared edge is gone
+
+
+def test_a_hundred_thousand_vertices_in_seconds():
+    import time
+
+    t = np.linspace(0, 2 * np.pi, 100_000, endpoint=False)
+    q = 1000 * (1 + 0.1 * np.sin(40 * t) + np.random.default_rng(1).uniform(-1e-5, 1e-5, len(t)))
+    a = np.column_stack([q * np.cos(t), q * np.sin(t)])
+    a = np.vstack([a, a[:1]])
+    b, start = a + [37.3, 11.7], time.process_time()
+    union, shared = overlay.overlay([a], [b], "union"), overlay.overlay([a], [b], "intersection")
+    assert abs(overlay.rings_area(union) + overlay.rings_area(shared) - 2 * overlay.ring_area(a)) < 1e-3
+    gap = overlay.gap_of([a], [a + [2500, 0]])
+    near = a[np.abs(a[:, 1]) < 300]
+    east, west = near[near[:, 0] > 0], near[near[:, 0] < 0] + [2500, 0]
+    nearest = min(np.sqrt(((west - p) ** 2).sum(1)).min() for p in east[::25])
+    assert 0 <= nearest - gap < 1
+    assert time.process_time() - start < 30
+
+
+def test_points_keep_their_shape_whatever_is_null(spark):
+    points = spark.createDataFrame([(1.0, 1.0, "a", None), (1.0, 1.0, None, None), (1.0, 1.0, None, None), (50.0, 50.0, None, "x")], "px double, py double, name string, other string")
+    shapes = spark.range(1).select(F.lit("s").alias("shape"), F.array(geometry.box_ring(F.lit(0), F.lit(0), F.lit(4), F.lit(4))).alias("rings"))
+    got = polygons.points_in(points, shapes, "px", "py", "rings", 3.0, how="left")
+    assert sorted((r["px"], r["shape"] or "") for r in got.collect()) == [(1.0, "s")] * 3 + [(50.0, "")]
