@@ -110,6 +110,85 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int], longest: int, pairs: lis
     return ids
 
 
+def encode_short(piece: bytes, ranks: dict[bytes, int], pairs: list[int]) -> list[int]:
+    """encode_piece for up to 64 bytes: a bucket is a bitmap of positions too, whose least set bit is the leftmost one."""
+    if (whole := ranks.get(piece)) is not None:
+        return [whole]
+    n, rank_of, bits = len(piece), ranks.get, BIT
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+    pair.append(-1)
+    buckets: dict[int, int] = {}
+    low: dict[int, int] = {}
+    top, bucket_of, low_of, place = 0, buckets.get, low.get, 1
+    for r in pair:
+        if r >= 0:
+            held = bucket_of(r)
+            if held:
+                buckets[r] = held | place
+            else:
+                buckets[r] = place
+                high = r >> 8
+                low[high] = low_of(high, 0) | bits[r & 255]
+                top |= bits[high]
+        place += place
+    while top:
+        high = (top & -top).bit_length() - 1
+        word = low[high]
+        least = word & -word
+        r = high << 8 | least.bit_length() - 1
+        held = buckets[r]
+        place = held & -held
+        i = place.bit_length() - 1
+        if held != place:
+            buckets[r] = held ^ place
+        else:
+            del buckets[r]
+            if word != least:
+                low[high] = word ^ least
+            else:
+                del low[high]
+                top &= top - 1
+        if pair[i] != r:
+            continue
+        j = after[i]
+        end = after[i] = after[j]
+        pair[j] = pair[i] = -1
+        if end < n:
+            before[end] = i
+            new = rank_of(piece[i : after[end]])
+            if new is not None:
+                pair[i] = new
+                held = bucket_of(new)
+                if held:
+                    buckets[new] = held | place
+                else:
+                    buckets[new] = place
+                    high = new >> 8
+                    low[high] = low_of(high, 0) | bits[new & 255]
+                    top |= bits[high]
+        p = before[i]
+        if p >= 0:
+            new = rank_of(piece[p:end])
+            if new is None:
+                pair[p] = -1
+            else:
+                pair[p] = new
+                held = bucket_of(new)
+                if held:
+                    buckets[new] = held | bits[p]
+                else:
+                    buckets[new] = bits[p]
+                    high = new >> 8
+                    low[high] = low_of(high, 0) | bits[new & 255]
+                    top |= bits[high]
+    ids, i = [], 0
+    while i < n:
+        ids.append(ranks[piece[i : after[i]]])
+        i = after[i]
+    return ids
+
+
 class _Known(dict):
     """Results of `make` for the keys met lately: at most `most` new ones and the `most` before them, the others are made anew."""
 
@@ -155,18 +234,19 @@ class Encoder:
     white space, and all texts under another pattern, go through the pattern in full.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 250_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 120_000):
         import regex
 
         self.ranks, self.longest = ranks, max(map(len, ranks), default=0)
-        self.pairs = first_pairs(ranks)
+        self.pairs, self.few = first_pairs(ranks), max(ranks.values(), default=0) < 1 << 16  # an upper word has 256 bits
         self.find = regex.compile(pattern).findall
         self.uneven = re.compile(r"\s(?= )| (?=\s)|^ |[ ]\Z").search if spaces_are_borders(pattern) else lambda text: True
         self.pieces = _Known(self._piece, most)
         self.after_space = _Known(lambda word: self.by_pattern(" " + word), most)
 
     def _piece(self, piece: str) -> bytes:
-        ids = encode_piece(piece.encode(), self.ranks, self.longest, self.pairs)
+        data = piece.encode()
+        ids = encode_short(data, self.ranks, self.pairs) if len(data) <= 64 and self.few else encode_piece(data, self.ranks, self.longest, self.pairs)
         return pack(f"<{len(ids)}I", *ids)
 
     def by_pattern(self, text: str) -> bytes:
@@ -185,7 +265,7 @@ class Encoder:
 
 
 #: The encoder that this Python worker used last: a worker's tasks share what has been looked up, at most four times the
-#: 250,000 texts of Encoder.
+#: 120,000 texts of Encoder.
 _LAST: dict[tuple, Encoder] = {}
 
 
