@@ -100,21 +100,23 @@ def cut_points(s: np.ndarray, grid: float) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(edges), np.concatenate(points)) if edges else (np.empty(0, np.int64), np.empty((0, 2)))
 
 
-def arranged(s: np.ndarray, mask: np.ndarray, grid: float, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
+def arranged(s: np.ndarray, mask: np.ndarray, grid: float, winding: bool = False, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
     """Edges that meet at their ends only, upwards (or to the right where level), each once; where edges coincide their masks
-    cancel by pairs. New points move by half a grid step, so a round can bring new crossings; a few rounds end that."""
+    cancel by pairs, or with winding their turns are added up. New points move by half a grid step, so a round can bring
+    new crossings; a few rounds end that."""
     s = np.round(s / grid) * grid
     for _ in range(rounds):
         keep = (s[:, :2] != s[:, 2:]).any(1)
         s, mask = s[keep], mask[keep]
         turn = (s[:, 1] > s[:, 3]) | (s[:, 1] == s[:, 3]) & (s[:, 0] > s[:, 2])
         s[turn] = s[turn][:, [2, 3, 0, 1]]
+        mask = np.where(turn, -mask, mask) if winding else mask
         if len(s):
             order = np.lexsort(s.T[::-1])
             s, mask = s[order], mask[order]
             first = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]).any(1)]))
-            s, mask = s[first], np.bitwise_xor.reduceat(mask, first)
-            s, mask = s[mask > 0], mask[mask > 0]
+            s, mask = s[first], (np.add if winding else np.bitwise_xor).reduceat(mask, first)
+            s, mask = s[mask != 0], mask[mask != 0]
         e, p = cut_points(s, grid)
         if not len(e):
             break
@@ -132,8 +134,9 @@ def arranged(s: np.ndarray, mask: np.ndarray, grid: float, rounds: int = 12) ->
     return s, mask
 
 
-def sides(s: np.ndarray, mask: np.ndarray) -> tuple[list[int], list[int]]:
-    """For each arranged edge what is on its left and on its right: masks of the shapes that hold these places.
+def sides(s: np.ndarray, mask: np.ndarray, winding: bool = False) -> tuple[list[int], list[int]]:
+    """For each arranged edge what is on its left and on its right: masks of the shapes that hold these places, or with
+    winding how many do.
 
     Events are the edges' ends from the lowest, at one height from the left; the status lists the edges that cross the
     line, from the left. An edge's left side is its left neighbour's right side, and stays so to its end.
@@ -164,7 +167,7 @@ def sides(s: np.ndarray, mask: np.ndarray) -> tuple[list[int], list[int]]:
             at = at + 1 if last == (x, y) else place(x, y)
             last = (x, y)
             left[e] = right[status[at - 1]] if at else 0
-            right[e] = left[e] ^ masks[e]
+            right[e] = left[e] - masks[e] if winding else left[e] ^ masks[e]
             status.insert(at, e)
         else:
             k = place(x, y)
@@ -243,6 +246,60 @@ def overlay(a: list[np.ndarray], b: list[np.ndarray], keep: Callable[[bool, bool
     return [r for r in rings if len(r) > 3]
 
 
+def united(shapes: list[list[np.ndarray]], grid: float) -> np.ndarray:
+    """Directed edges around all that any of the shapes covers, the covered side on the left. Shapes are outlines: outer rings
+    counter-clockwise, holes clockwise. One sweep for all of them, by how many cover a place."""
+    edges = segments_of([r for rings in shapes for r in rings])
+    s, turns = arranged(edges, np.ones(len(edges), np.int64), grid, winding=True)
+    left, right = (np.array(x, np.int64) for x in sides(s, turns, winding=True))
+    return np.concatenate([s[(left > 0) & (right <= 0)], s[(right > 0) & (left <= 0)][:, [2, 3, 0, 1]]])
+
+
+def clipped(ring: np.ndarray, axis: int, at: float, below: bool) -> np.ndarray:
+    """A closed ring's part on one side of a line; where it leaves and comes back it runs along the line, there and back if need
+    be. Where an edge crosses the line depends on the edge and the line only, not on the side or the direction."""
+    side = ring[:, axis] - at
+    side = side if below else -side
+    if (side <= 0).all():
+        return ring
+    if (side >= 0).all():
+        return ring[:0]
+    a, b = ring[:-1], ring[1:]
+    cross = (side[:-1] < 0) & (side[1:] > 0) | (side[:-1] > 0) & (side[1:] < 0)
+    swap = (a[:, axis] > b[:, axis])[:, None]
+    low, high = np.where(swap, b, a)[cross], np.where(swap, a, b)[cross]
+    points = np.empty((len(low), 2))
+    points[:, axis] = at
+    points[:, 1 - axis] = low[:, 1 - axis] + (at - low[:, axis]) * (high[:, 1 - axis] - low[:, 1 - axis]) / (high[:, axis] - low[:, axis])
+    keep = side[:-1] <= 0
+    number = np.concatenate([np.flatnonzero(keep) * 2, np.flatnonzero(cross) * 2 + 1])
+    out = np.concatenate([a[keep], points])[np.argsort(number, kind="stable")]
+    return np.vstack([out, out[:1]]) if len(out) > 2 else ring[:0]
+
+
+def in_cells(rings: list[np.ndarray], size: float) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """A shape cut into the cells of a grid: (column, row, rings), by halving, so that an edge is looked at a few times only."""
+    rings = [r for r in rings if len(r) > 3]
+    if not rings:
+        return
+    low, high = np.min([r.min(0) for r in rings], 0), np.max([r.max(0) for r in rings], 0)
+    first = np.floor(low / size).astype(np.int64)
+    todo = [(first, np.maximum(np.ceil(high / size).astype(np.int64), first + 1), rings)]
+    while todo:
+        a, b, held = todo.pop()
+        if (b - a == 1).all():
+            yield int(a[0]), int(a[1]), held
+            continue
+        axis = int(np.argmax(b - a))
+        middle = (a[axis] + b[axis]) // 2
+        for below in (True, False):
+            part = [c for r in held if len(c := clipped(r, axis, float(middle * size), below)) > 3]
+            if part:
+                to, start = b.copy(), a.copy()
+                (to if below else start)[axis] = middle
+                todo.append((start, to, part))
+
+
 # Distances --------------------------------------------------------------------------------------------------------------
 
 

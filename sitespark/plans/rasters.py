@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry, overlay, parts
-from ..operators import burn, outlines, raster, shared
+from ..operators import burn, dissolve, outlines, raster, shared
 from ..operators import polygons as shapes_of
 from ..sources import clustered, flatgeobuf, geotiff
 from . import shapes, sites
@@ -173,3 +173,39 @@ def parcel_parts(spark, d):
     hits = F.aggregate(F.transform("rings", lambda r: geometry.contains(r, F.col("p.x"), F.col("p.y")).cast("int")), F.lit(0), lambda a, v: a + v) % 2 == 1
     area = F.aggregate(F.transform("rings", geometry.signed_area), F.lit(0.0), lambda a, v: a + v)
     return out.select("site_id", "part", area.alias("area"), (F.size("rings") - 1).alias("n_holes"), hits.alias("inside"))
+
+
+# Dissolve and buffers ---------------------------------------------------------------------------------------------------
+
+
+@query(f"""
+WITH {shapes._GRID}, x AS (SELECT DISTINCT nation, unnest(range(x, x + w)) AS cx, y, h FROM g), e AS (SELECT DISTINCT nation, cx AS c, unnest(range(y, y + h)) AS r FROM x),
+v AS (SELECT nation, r + dr AS vr, c + dc AS vc, sum(CASE WHEN dr = dc THEN 1 ELSE 8 END) AS s FROM e, (SELECT unnest([0, 1]) AS dr) a, (SELECT unnest([0, 1]) AS dc) b GROUP BY 1, 2, 3),
+n AS (SELECT nation, sum(CASE WHEN s IN (1, 8, 10, 17) THEN 1 WHEN s IN (2, 16) THEN 2 ELSE 0 END)::BIGINT AS n_vertices FROM v GROUP BY 1),
+o AS (SELECT nation, count(*) AS edges FROM (SELECT nation, r, c, 2 * r + dr AS a, 2 * c + dc AS b FROM e, (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(dr, dc)) t WHERE NOT EXISTS (SELECT 1 FROM e f WHERE f.nation = t.nation AND f.r = t.r + (t.a - 2 * t.r) AND f.c = t.c + (t.b - 2 * t.c)) GROUP BY 1)
+SELECT e.nation, count(*) * 1000000.0::DOUBLE AS area, any_value(n_vertices) AS n_vertices, any_value(edges) * 1000.0::DOUBLE AS outline FROM e JOIN n ON n.nation = e.nation JOIN o ON o.nation = e.nation GROUP BY 1
+""")
+def dissolved_outlines(spark, d):
+    """Union of many polygons by group as outlines: areas, vertices, lengths."""
+    k, n = F.col("p_partkey"), F.col("p_size")
+    x, y = k * 7919 % 400 * 1000, k * 1047 % 300 * 1000
+    g = sites.table(spark, d, "part").select((k % 25).alias("nation"), F.array(geometry.box_ring(x, y, x + (1 + n % 7) * 1000, y + (1 + n % 5) * 1000)).alias("rings"))
+    out = dissolve.dissolved(g, "nation", "rings", 65536.0)
+    corners = F.aggregate(F.transform("rings", lambda r: F.size(r) - 1), F.lit(0), lambda a, b: a + b)
+    long = F.aggregate(F.transform("rings", geometry.length), F.lit(0.0), lambda a, b: a + b)
+    return out.select("nation", overlay.total_area(F.col("rings")).alias("area"), corners.cast("long").alias("n_vertices"), long.alias("outline"))
+
+
+@query(f"""
+WITH {shapes._LINES}, s AS (SELECT line_id, sqrt(power(x1 - x0, 2) + power(y1 - y0, 2)) AS len, atan2(y1 - y0, x1 - x0) AS way FROM l),
+w AS (SELECT line_id, len, max(cos(k * pi() / 16 - way - pi() / 2)) AS wide FROM s, range(32) t(k) GROUP BY 1, 2)
+SELECT line_id, round(16 * 5000.0 * 5000 * sin(pi() / 16) + len * 2 * 5000 * wide, 0) AS area FROM w
+""")
+def line_buffers(spark, d):
+    """What lies within 5 km of each line, discs being 32-gons."""
+    k = F.col("c_custkey")
+    x, y = k * 6967 % 1000000, k * 50021 % 1000000
+    line = F.array(F.array(geometry.point(x, y), geometry.point(x + k * 31 % 40001 - 20000, y + k * 77 % 40001 - 20000)))
+    lines = sites.table(spark, d, "customer").select(k.alias("line_id"), line.alias("rings"))
+    out = dissolve.buffered(lines, "line_id", "rings", 5000.0, 131072.0, areas=False)
+    return out.select("line_id", F.round(overlay.total_area(F.col("rings")), 0).alias("area"))
