@@ -235,12 +235,13 @@ def straightened(ring: np.ndarray, grid: float) -> np.ndarray:
     return np.vstack([p, p[:1]]) if is_ring and len(p) else p
 
 
-def overlay(a: list[np.ndarray], b: list[np.ndarray], keep: Callable[[bool, bool], bool]) -> list[np.ndarray]:
-    """Rings of the places for which keep(in a, in b) holds; rings of a and b are filled by the even-odd rule."""
+def overlay(a: list[np.ndarray], b: list[np.ndarray], keep: Callable[[bool, bool], bool], grid: float | None = None) -> list[np.ndarray]:
+    """Rings of the places for which keep(in a, in b) holds; rings of a and b are filled by the even-odd rule. grid: what
+    coordinates are snapped to, by default a grid of their size."""
     ea, eb = segments_of(a), segments_of(b)
     if not len(ea) and not len(eb):
         return []
-    grid = grid_of(ea, eb)
+    grid = grid or grid_of(ea, eb)
     s, mask = arranged(np.concatenate([ea, eb]), np.concatenate([np.full(len(ea), 1), np.full(len(eb), 2)]), grid)
     rings = [straightened(np.array(r), grid) for r in traced(directed(s, mask, lambda m: bool(keep(bool(m & 1), bool(m & 2)))))]
     return [r for r in rings if len(r) > 3]

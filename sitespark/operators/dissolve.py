@@ -124,28 +124,74 @@ def straight(rings: Column, grid: float) -> Column:
     return run(rings.cast(RINGS))
 
 
-def dissolved(shapes: DataFrame, key: str, rings: str, size: float) -> DataFrame:
-    """(key, rings): all that the shapes of a key cover together, as outlines: outer rings counter-clockwise, holes clockwise, the
-    largest first; rings that touch in a point are apart.
-
-    size: the cells' width, a whole number or a power of two, some times that of a usual shape. Null keys are a key; null and
-    empty shapes cover nothing, and a key with nothing has no row.
-    """
-    b = geometry.bounds(F.flatten(rings))
-    most = shapes.agg(F.max(F.greatest(F.abs(b["xmin"]), F.abs(b["xmax"]), F.abs(b["ymin"]), F.abs(b["ymax"])))).first()[0]
-    grid = sweep.grid_of(np.array([[most or 1.0, size]]))
-    named = shapes.select(F.struct(F.col(key).alias("of")).alias("key"), F.col(rings).alias("rings"))  # a null key is equal to itself in here
-    pieces = checkpointed(united_cells(cut(named, "key", "rings", size), size, grid), "pieces")
+def common_grid(size: float, *tables: tuple[DataFrame, str]) -> float:
+    """One grid for all cells of the tables' shapes, so that what two cells compute of a border agrees."""
+    most = 1.0
+    for df, rings in tables:
+        b = geometry.bounds(F.flatten(rings))
+        found = df.agg(F.max(F.greatest(F.abs(b["xmin"]), F.abs(b["xmax"]), F.abs(b["ymin"]), F.abs(b["ymax"])))).first()[0]
+        most = max(most, found or 0.0)
+    return sweep.grid_of(np.array([[most, size]]))
+
+
+def joined(cells: DataFrame, size: float, grid: float) -> DataFrame:
+    """(key, rings): the outlines of what each key's pieces (key, cx, cy, rings) cover."""
+    pieces = checkpointed(united_cells(cells, size, grid), "pieces")
     rims = borders_left(pieces.filter("axis is not null"), size)
     open_ = pieces.filter("axis is null and not closed").select("key", "points").unionByName(rims)
     chains = checkpointed(open_.withColumn("id", F.monotonically_increasing_id()), "chains")  # ids are drawn once, as the table is written
     chains = checkpointed(linked(chains), "linked")
-    joined = stitched(chains.withColumn("points", F.slice("points", 1, F.size("points") - 1)), ["key"])
+    found = stitched(chains.withColumn("points", F.slice("points", 1, F.size("points") - 1)), ["key"])
     closed = pieces.filter("closed").select("key", F.col("points").alias("r"))
-    all_ = closed.unionByName(joined.select("key", F.concat("points", F.slice("points", 1, 1)).alias("r")))
+    all_ = closed.unionByName(found.select("key", F.concat("points", F.slice("points", 1, 1)).alias("r")))
     all_ = all_.withColumn("r", straight(F.array("r"), grid)[0]).filter(F.size("r") > 3)
     out = all_.groupBy("key").agg(F.array_sort(F.collect_list(F.struct((-geometry.signed_area(F.col("r"))).alias("a"), "r"))).alias("all"))
-    return out.select(F.col("key.of").alias(key), F.col("all.r").alias("rings"))
+    return out.select("key", F.col("all.r").alias("rings"))
+
+
+def named(shapes: DataFrame, key: str, rings: str) -> DataFrame:
+    """(key, rings), the key in a struct, so that a null key is equal to itself."""
+    return shapes.select(F.struct(F.col(key).alias("of")).alias("key"), F.col(rings).cast(RINGS).alias("rings"))
+
+
+def dissolved(shapes: DataFrame, key: str, rings: str, size: float) -> DataFrame:
+    """(key, rings): all that the shapes of a key cover together, as outlines: outer rings counter-clockwise, holes clockwise, the
+    largest first; rings that touch in a point are apart.
+
+    size: the cells' width, a whole number or a power of two, some times that of a usual shape. Null keys are a key; null and
+    empty shapes cover nothing, and a key with nothing has no row.
+    """
+    out = joined(cut(named(shapes, key, rings), "key", "rings", size), size, common_grid(size, (shapes, rings)))
+    return out.select(F.col("key.of").alias(key), "rings")
+
+
+def subtracted(shapes: DataFrame, key: str, rings: str, others: DataFrame, other_rings: str, size: float) -> DataFrame:
+    """(key, rings, touched): each key's shapes less all that the others cover, as outlines; keys that nothing touches come as
+    they are, and a key of which nothing is left has null rings.
+
+    Both sides are cut into cells; a cell's others are united once, and taken from each piece in the cell. So an other that
+    crosses a thousand shapes meets each in the cells where both are.
+    """
+    grid = common_grid(size, (shapes, rings), (others, other_rings))
+    pieces = checkpointed(cut(named(shapes, key, rings), "key", "rings", size), "cut")
+    away = cut(others.select(F.lit(0).alias("key"), F.col(other_rings).alias("rings")), "key", "rings", size)
+
+    def unite(table: pa.Table) -> pa.Table:
+        edges = sweep.united(list(unpacked(table.column("rings").combine_chunks())), grid)
+        shape = [r for c in sweep.traced(edges) if len(r := np.array(c)) > 3]
+        return pa.table([table.column("cx").slice(0, 1), table.column("cy").slice(0, 1), packed([shape])], names=["cx", "cy", "away"])
+
+    @F.arrow_udf(RINGS)
+    def less(left: pa.Array, right: pa.Array) -> pa.Array:
+        return packed([sweep.overlay(a, b, lambda x, y: x and not y, grid) for a, b in zip(unpacked(left), unpacked(right), strict=True)])
+
+    united = away.groupBy("cx", "cy").applyInArrow(unite, f"cx long, cy long, away {RINGS}")
+    met = checkpointed(pieces.join(united, ["cx", "cy"], "left").withColumn("met", F.col("away").isNotNull()), "met")
+    keys = met.filter("met").select("key").distinct()
+    changed = met.join(keys, "key", "left_semi").withColumn("rings", F.when(F.col("met"), less(F.col("rings"), F.col("away"))).otherwise(F.col("rings")))
+    left = joined(changed.select("key", "cx", "cy", "rings"), size, grid)
+    whole = named(shapes, key, rings).join(keys, "key", "left_anti").select(F.col("key.of").alias(key), "rings", F.lit(False).alias("touched"))
+    return whole.unionByName(keys.join(left, "key", "left").select(F.col("key.of").alias(key), "rings", F.lit(True).alias("touched")))
 
 
 # Buffers ----------------------------------------------------------------------------------------------------------------

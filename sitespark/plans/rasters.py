@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry, overlay, parts
 from ..operators import burn, dissolve, outlines, raster, shared
 from ..operators import polygons as shapes_of
+from ..operators import post_filters as post
 from ..sources import clustered, flatgeobuf, geotiff
 from . import shapes, sites
 from .sites import query
@@ -209,3 +210,39 @@ def line_buffers(spark, d):
     lines = sites.table(spark, d, "customer").select(k.alias("line_id"), line.alias("rings"))
     out = dissolve.buffered(lines, "line_id", "rings", 5000.0, 131072.0, areas=False)
     return out.select("line_id", F.round(overlay.total_area(F.col("rings")), 0).alias("area"))
+
+
+_STRIPS = "(SELECT n_nationkey * 40000 + 137 AS mid FROM nation)"
+_KEPT = "coalesce((SELECT sum(greatest(0, least({hi}, mid + 25) - greatest({lo}, mid - 25))) FROM " + _STRIPS + " n WHERE mid + 25 > {lo} AND mid - 25 < {hi}), 0)"
+
+
+@query(f"""
+WITH {sites.SITES}, {sites.BOXES}, {sites.ANCHORS}, {shapes.DIAMONDS},
+c AS (SELECT site_id, xmin, ymin, xmax, ymax, (site_id * 37 % 101)::DOUBLE AS score, site_id % 23 = 0 AS review FROM boxes),
+l AS (SELECT *, greatest(0, xmin - ax, ax - xmax) + greatest(0, ymin - ay, ay - ymax) AS off FROM c, diamonds),
+p AS (SELECT DISTINCT site_id FROM l WHERE off <= h AND anchor_id % 5 IN (3, 4) AND (anchor_id % 3 = 0 OR anchor_id % 7 = 1)),
+f AS (SELECT DISTINCT site_id FROM c, nation WHERE xmin <= n_nationkey * 40000 + 6000 AND xmax >= n_nationkey * 40000 + 2000 AND ymin <= n_nationkey * 30011 % 1000000 + 9000 AND ymax >= n_nationkey * 30011 % 1000000),
+x AS (SELECT c.*, (xmax - xmin) * (ymax - ymin) AS whole, (xmax - xmin - {_KEPT.format(lo="xmin", hi="xmax")}) * (ymax - ymin - {_KEPT.format(lo="ymin", hi="ymax")}) AS net, p.site_id IS NOT NULL AS public, f.site_id IS NOT NULL AS airport FROM c LEFT JOIN p ON p.site_id = c.site_id LEFT JOIN f ON f.site_id = c.site_id),
+s AS (SELECT *, CASE WHEN review THEN 'manual_review' ELSE 'kept' END AS was, CASE WHEN public OR airport THEN whole ELSE net END * 0.000247105::DOUBLE AS acres FROM x),
+t AS (SELECT *, CASE WHEN public OR airport OR acres < 50 THEN 'excluded' ELSE was END AS status FROM s)
+SELECT site_id, status, CASE WHEN public THEN NULL WHEN airport THEN 'airport_runway_protection_zone_pdf_rule_10' WHEN acres < 50 THEN 'road_clip_residual_lt_50ac_pdf_rule_10' END AS status_reason, round(acres, 4) AS area_acres,
+  CASE WHEN acres < 100 THEN 'small' WHEN acres < 250 THEN 'moderate' WHEN acres < 500 THEN 'large' WHEN acres < 1000 THEN 'very_large' ELSE 'strategic_scale' END AS acreage_tier,
+  CASE WHEN acres < 500 THEN 'site' WHEN acres < 5000 THEN 'campus' ELSE 'region' END AS size_class,
+  CASE WHEN status = 'manual_review' THEN 'Manual Review' WHEN status = 'excluded' THEN 'Ignore' WHEN score >= 90 AND acres BETWEEN 500 AND 5000 AND site_id % 4 > 0 AND acres < 5000 AND site_id % 3 > 0 AND site_id % 6 >= 3 THEN 'Shortlist'
+    WHEN score >= 85 AND site_id % 2 = 0 THEN 'Utility Desk Check' WHEN score >= 75 AND site_id % 5 > 0 THEN 'Parcel Pull' WHEN score >= 65 THEN 'Monitor' ELSE 'Ignore' END AS recommended_action
+FROM t
+""")
+def post_filters(spark, d):
+    """Public land, airports and roads against candidates, and the tiers and actions of what is left."""
+    b, k = sites.boxes(spark, d), F.col("site_id")
+    candidates = b.select("site_id", F.array(geometry.box_ring(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))).alias("rings"), F.when(k % 23 == 0, "manual_review").otherwise("kept").alias("status"), F.lit(None).cast("string").alias("status_reason"),
+                          (k * 37 % 101).cast("double").alias("composite_score"), (k % 4 == 0).alias("slope_review_flag"), F.element_at(F.array(F.lit("low"), F.lit("medium"), F.lit("high")), (k % 3 + 1).cast("int")).alias("confidence"), (k % 6).alias("num_anchors"), F.when(k % 2 == 0, "zone_fallback").otherwise("named").alias("utility_status"), F.when(k % 5 == 0, 1).alias("parcel_count"))
+    a = F.col("anchor_id")
+    lands = shapes.diamonds(spark, d).select("rings", (a % 5).cast("string").alias("gap"), F.when(a % 3 == 0, "FED").otherwise("PVT").alias("manager"), F.when(a % 7 == 1, "NRA").otherwise("CONE").alias("designation"))
+    n, place = F.col("n_nationkey"), lambda x, y: F.array(F.array(geometry.point(*x), geometry.point(*y)))
+    nation = sites.table(spark, d, "nation")
+    airports = nation.select(F.array(geometry.box_ring(n * 40000 + 2000, n * 30011 % 1000000, n * 40000 + 6000, n * 30011 % 1000000 + 9000)).alias("rings"))
+    at, low, high = n * 40000 + 137, F.lit(-20_000), F.lit(1_020_000)
+    roads = nation.select(place((at, low), (at, high)).alias("lines")).unionByName(nation.select(place((low, at), (high, at)).alias("lines")))
+    out = post.post_filtered(candidates, "site_id", "rings", lands, airports, roads, 32768.0)
+    return out.select("site_id", "status", "status_reason", F.round("area_acres", 4).alias("area_acres"), "acreage_tier", "size_class", "recommended_action")
