@@ -3,6 +3,8 @@ and a shuffle by tile. Pixels beyond a tile's edge count as background, which al
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,25 +15,53 @@ FOUR = [(0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)]
 KEYS = ["tile", "row", "col"]
 
 
-def _spread(pixels: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
-    """Each pixel listed at all its neighbours, itself included."""
-    moves = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in steps]))
-    return pixels.withColumn("_m", moves).withColumn("row", F.col("row") + F.col("_m.r")).withColumn("col", F.col("col") + F.col("_m.c")).drop("_m")
-
-
-def dilate(pixels: DataFrame, image: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+def in_cells(pixels: DataFrame, cell: int, rim: int) -> DataFrame:
+    """Pixels with the cells (_cy, _cx) that they lie in or within `rim` pixels of: rows near a border are listed again."""
+    at = lambda c: F.explode(F.sequence(*(F.floor((F.col(c) + by) / cell).cast("long") for by in (-rim, rim))))
+    return pixels.withColumn("_cy", at("row")).withColumn("_cx", at("col"))
+
+
+def _morphed(pixels: DataFrame, image: DataFrame, steps: str, keys: list[str], cell: int) -> DataFrame:
+    """Set pixels after steps of erosion (e) and dilation (d) by 3 x 3: one shuffle to cells with a rim as wide as there are steps,
+    then bits of whole cells at a time."""
+    rim = len(steps)
+    tile, row, col = keys
+    both = pixels.select(*keys, F.lit(True).alias("_set")).unionByName(image.select(*keys, F.lit(False).alias("_set")))
+    both = both.withColumnsRenamed({tile: "tile", row: "row", col: "col"})
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        cy, cx = key[1].as_py() * cell - rim, key[2].as_py() * cell - rim
+        size = cell + 2 * rim
+        seen, on = np.zeros((size + 2, size + 2), bool), np.zeros((size + 2, size + 2), bool)
+        r, c, s = (table.column(n).to_numpy() for n in ("row", "col", "_set"))
+        seen[r - cy + 1, c - cx + 1] = True
+        on[r[s] - cy + 1, c[s] - cx + 1] = True
+        for step in steps:
+            around = [on[1 + i : size + 1 + i, 1 + j : size + 1 + j] for i, j in EIGHT]
+            inner = np.logical_and.reduce(around) if step == "e" else np.logical_or.reduce(around) & seen[1:-1, 1:-1]
+            on = np.pad(inner, 1)
+        r, c = np.nonzero(on[rim + 1 : rim + 1 + cell, rim + 1 : rim + 1 + cell])
+        return pa.table([pa.array([key[0].as_py()] * len(r), table.schema.field("tile").type), pa.array(r + cy + rim, pa.int64()), pa.array(c + cx + rim, pa.int64())], names=["tile", "row", "col"])
+
+    kind = both.schema["tile"].dataType.simpleString()
+    placed = in_cells(both.withColumn("row", F.col("row").cast("long")).withColumn("col", F.col("col").cast("long")), cell, rim)
+    out = placed.groupBy("tile", "_cy", "_cx").applyInArrow(run, f"tile {kind}, row long, col long")
+    return out.withColumnsRenamed({"tile": tile, "row": row, "col": col})
+
+
+def dilate(pixels: DataFrame, image: DataFrame, keys: list[str] = KEYS, cell: int = 256) -> DataFrame:
     """Set pixels and their eight neighbours, as far as the image (all its pixels, set or not) reaches."""
-    return _spread(pixels.select(keys), EIGHT).distinct().join(image.select(keys), keys, "left_semi")
+    return _morphed(pixels, image, "d", keys, cell)
 
 
-def erode(pixels: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Pixels whose eight neighbours are all set; what is outside the image isn't. Counts combine on the map side."""
-    return _spread(pixels.select(keys), EIGHT).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n = 9").drop("n")
+def erode(pixels: DataFrame, keys: list[str] = KEYS, cell: int = 256) -> DataFrame:
+    """Pixels whose eight neighbours are all set; what is outside the image isn't."""
+    return _morphed(pixels, pixels, "e", keys, cell)
 
 
-def clean(pixels: DataFrame, image: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+def clean(pixels: DataFrame, image: DataFrame, keys: list[str] = KEYS, cell: int = 256) -> DataFrame:
     """Opening, then closing, both 3 x 3: specks go, pinholes fill. Outside the image is 0, so pixels at its border go."""
-    return erode(dilate(dilate(erode(pixels, keys), image, keys), image, keys), keys)
+    return _morphed(pixels, image, "edde", keys, cell)
 
 
 def rasterize(image: DataFrame, boxes: DataFrame, size: int = 64) -> DataFrame:

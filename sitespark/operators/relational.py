@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import checkpointed
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in a total order. The limit is pushed below the shuffle as a group limit."""
@@ -108,16 +110,41 @@ def map_join(df: DataFrame, lookup: DataFrame, column: str, key: str, value: str
     return df.join(F.broadcast(table) if n <= most else table, F.col(column) == F.col("map_key"), "left").drop("map_key")
 
 
-def rises(df: DataFrame, order: list[Column], value: str, eps: float = 0.0, span: int = 10_000, place: str = "place") -> DataFrame:
-    """Rows whose value exceeds that of the row before them (in the order of a dense `place`) by more than eps.
-
-    Places are cut into spans: rows are compared within a span, and the first row of each with the last of the one before,
-    so no task holds the whole order."""
-    part = F.floor(F.col(place) / span)
-    before = F.lag(value).over(Window.partitionBy(part).orderBy(place))
-    rows = df.withColumn("before", before).withColumn("part", part)
-    lasts = df.groupBy((part + 1).alias("part")).agg(F.max_by(value, place).alias("last"))
-    rows = rows.join(lasts, "part", "left").withColumn("before", F.coalesce("before", "last"))
+def numbered(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """df with each row's number from 0 in an order. Ranges of the order are sorted by themselves and written; a range's rows
+    then count on from the rows of the ranges before it, of which there is one number each."""
+    keys = {f"_o{k}": c for k, c in enumerate(order)}
+    cut = df.withColumns(keys).repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_m", F.monotonically_increasing_id())
+    rows = checkpointed(cut.drop(*keys), "numbered")  # what is drawn for a row is kept
+    part, own = F.shiftrightunsigned("_m", 33), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return rows.withColumn("_p", part).join(F.broadcast(before), "_p").withColumn(name, own + F.col("_before")).select(*df.columns, name)  # one row for each range
+
+
+def percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Exact percentiles with interpolation of each group, whatever its size: rows are numbered in the order of groups and
+    values, and the two rows around each wanted place are picked. Null values don't count; groups without a value have no row."""
+    known = numbered(df.filter(F.col(value).isNotNull()).select(*keys, value), [*map(F.col, keys), F.col(value)], "_place")
+    groups = known.groupBy(*keys).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    same = [F.col(f"_g.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys]
+    both = known.alias("_r").join(groups.alias("_g"), reduce(lambda a, b: a & b, same)).select(*(F.col(f"_r.{k}").alias(k) for k in keys), F.col(f"_r.{value}").cast("double").alias("_v"), (F.col("_place") - F.col("_first")).alias("_k"), "_n")
+    at = {n: (F.col("_n") - 1) * F.lit(p) for n, p in shares.items()}
+    weight = {n: F.greatest(F.lit(0.0), 1 - F.abs(F.col("_k") - w)) for n, w in at.items()}  # of a row: what interpolation gives it
+    near = both.filter(reduce(lambda a, b: a | b, [w > 0 for w in weight.values()]))
+    return near.groupBy(*keys).agg(*(F.sum(F.when(w > 0, w * F.col("_v"))).alias(n) for n, w in weight.items()))
+
+
+def rises(df: DataFrame, order: list[Column], value: str, eps: float = 0.0, span: int = 10_000) -> DataFrame:
+    """Rows whose value exceeds that of the row before them in an order by more than eps; a null value is exceeded by none.
+
+    Rows are numbered and cut into spans: they are compared within a span, and the first row of each with the last of the one
+    before, so no task holds the whole order."""
+    rows = numbered(df, order, "_place")
+    part = F.floor(F.col("_place") / span)
+    before = F.lag(value).over(Window.partitionBy(part).orderBy("_place"))
+    lasts = rows.filter((F.col("_place") + 1) % span == 0).select((F.col("_place") + 1).alias("_place"), F.col(value).alias("_last"))
+    rows = rows.withColumn("before", before).join(lasts, "_place", "left").withColumn("before", F.coalesce("before", "_last"))
     return rows.filter(F.col(value) - F.col("before") > eps).select(*df.columns, "before")
 
 

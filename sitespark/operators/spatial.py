@@ -102,3 +102,10 @@ def fishnet(boxes: DataFrame, size: float, least_area: float = 0.0) -> DataFrame
     width = F.least(F.col("xmax"), (F.col("cx") + 1) * size) - F.greatest(F.col("xmin"), F.col("cx") * size)
     height = F.least(F.col("ymax"), (F.col("cy") + 1) * size) - F.greatest(F.col("ymin"), F.col("cy") * size)
     return over.withColumn("piece_area", width * height).filter((F.col("piece_area") > 0) & (F.col("piece_area") >= least_area))
+
+
+def lattice(boxes: DataFrame, step: float, xmin: str, ymin: str, xmax: str, ymax: str) -> DataFrame:
+    """Boxes beside the points (lon, lat) of a lattice aligned to multiples of step, one row a point, that cover each box."""
+    over = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / F.lit(step)).cast("long"), F.ceil(F.col(high) / F.lit(step)).cast("long")))
+    out = boxes.withColumn("_i", over(xmin, xmax)).withColumn("_j", over(ymin, ymax))
+    return out.withColumn("lon", F.col("_i") * F.lit(step)).withColumn("lat", F.col("_j") * F.lit(step)).drop("_i", "_j")

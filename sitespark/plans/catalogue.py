@@ -101,19 +101,12 @@ def stamped_parts(spark, d):
 # Joins, groups, order ---------------------------------------------------------------------------------------------------
 
 
-@query("WITH s AS (SELECT s_name, row_number() OVER (ORDER BY s_suppkey) - 1 AS place FROM supplier) SELECT p_partkey, s_name FROM part LEFT JOIN s ON p_partkey % 150 = place")
+@query("WITH s AS (SELECT s_name, row_number() OVER (ORDER BY s_suppkey) - 1 AS place, count(*) OVER () AS n FROM supplier) SELECT p_partkey, s_name FROM part LEFT JOIN s ON p_partkey % n = place")
 def positional_names(spark, d):
     """A column joined to positions of another table, made explicit."""
-    from pyspark.sql import Window
-
-    s = table(spark, d, "supplier")
-    place = F.row_number().over(Window.partitionBy(F.floor(F.col("s_suppkey") / 1000)).orderBy("s_suppkey"))
-    s = s.withColumn("span", F.floor(F.col("s_suppkey") / 1000)).withColumn("place", place)
-    sizes = s.groupBy("span").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.withColumnRenamed("span", "b").withColumnRenamed("n", "m")
-    starts = sizes.join(before, F.col("b") < F.col("span"), "left").groupBy("span").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("start"))  # one row for each thousand keys
-    s = s.join(F.broadcast(starts) if sizes.count() < 10_000 else starts, "span").select("s_name", (F.col("place") + F.col("start") - 1).alias("position"))
-    return table(spark, d, "part").join(s, F.col("p_partkey") % 150 == F.col("position"), "left").select("p_partkey", "s_name")
+    s = relational.numbered(table(spark, d, "supplier").select("s_suppkey", "s_name"), [F.col("s_suppkey")])
+    n = F.lit(s.count())
+    return table(spark, d, "part").join(s, F.col("p_partkey") % n == F.col("place"), "left").select("p_partkey", "s_name")
 
 
 @query("SELECT c_custkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
@@ -158,9 +151,9 @@ WITH r AS (SELECT p_partkey, (p_partkey * 37 % 101)::DOUBLE AS v, row_number() O
 SELECT p_partkey, v, before FROM b WHERE v - before > 0.5
 """)
 def price_rises(spark, d):
-    """Rows that break a falling order; part keys are dense, so they are the places."""
-    r = table(spark, d, "part").select("p_partkey", (F.col("p_partkey") * 37 % 101).cast("double").alias("v"), F.col("p_partkey").alias("place"))
-    return relational.rises(r, [F.col("place")], "v", 0.5, 500).select("p_partkey", "v", "before")
+    """Rows that break a falling order."""
+    r = table(spark, d, "part").select("p_partkey", (F.col("p_partkey") * 37 % 101).cast("double").alias("v"))
+    return relational.rises(r, [F.col("p_partkey")], "v", 0.5, 500).select("p_partkey", "v", "before")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice IS NOT NULL ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
@@ -415,12 +408,14 @@ def masked_classes(spark, d):
 
 
 @query("""
-WITH x AS (SELECT -98.3::DOUBLE AS west, 29.2::DOUBLE AS south, -97.9::DOUBLE AS east, 29.7::DOUBLE AS north),
-g AS (SELECT DISTINCT round((floor(west / 0.05) + i) * 0.05, 4) AS lon, round((floor(south / 0.05) + j) * 0.05, 4) AS lat FROM x, range(0, 9) a(i), range(0, 11) b(j))
-SELECT lon, lat FROM g
+WITH x AS (SELECT n_nationkey AS area, -120 + n_nationkey * 1.7::DOUBLE AS west, 25 + n_regionkey * 2.3::DOUBLE AS south FROM nation),
+b AS (SELECT *, west + 0.2 + area % 4 * 0.13 AS east, south + 0.31 AS north FROM x),
+g AS (SELECT DISTINCT area, i, j FROM (SELECT area, unnest(range(floor(west / 0.05)::BIGINT, ceil(east / 0.05)::BIGINT + 1)) AS i, south, north FROM b) t, LATERAL (SELECT unnest(range(floor(south / 0.05)::BIGINT, ceil(north / 0.05)::BIGINT + 1)) AS j) u)
+SELECT area, round(i * 0.05::DOUBLE, 4) AS lon, round(j * 0.05::DOUBLE, 4) AS lat FROM g
 """)
 def lattice_points(spark, d):
-    """An aligned lattice of points over a box, each once."""
-    step = F.lit(0.05)
-    i, j = F.explode(F.sequence(F.floor(F.lit(-98.3) / step), F.ceil(F.lit(-97.9) / step))), F.explode(F.sequence(F.floor(F.lit(29.2) / step), F.ceil(F.lit(29.7) / step)))
-    return spark.range(1).select(i.alias("i")).withColumn("j", j).select(F.round(F.col("i") * step, 4).alias("lon"), F.round(F.col("j") * step, 4).alias("lat")).dropDuplicates(["lon", "lat"])
+    """Aligned lattices of points over boxes, each point of a box once."""
+    n = F.col("n_nationkey")
+    b = table(spark, d, "nation").select(n.alias("area"), (-120 + n * 1.7).alias("west"), (25 + F.col("n_regionkey") * 2.3).alias("south"))
+    b = b.withColumn("east", F.col("west") + 0.2 + F.col("area") % 4 * 0.13).withColumn("north", F.col("south") + 0.31)
+    return spatial.lattice(b, 0.05, "west", "south", "east", "north").select("area", F.round("lon", 4).alias("lon"), F.round("lat", 4).alias("lat"))

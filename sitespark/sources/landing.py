@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..operators.shared import checkpointed
 
 #: Seconds between attempts: fixed values.
 DELAYS = (5, 10, 20, 30, 60)
@@ -79,11 +80,12 @@ def is_stale(path: str, days: float = 30.0, now: Callable[[], float] = time.time
 
 
 def first_source(sources: list[tuple[str, Callable[[], DataFrame]]]) -> tuple[DataFrame, dict[str, str]]:
-    """The first source that can be read, and what happened to each tried; the last error is raised if none can."""
+    """The first source that can be read to its end, and what happened to each tried; the last error is raised if none can. A
+    source is landed in the shared folder before it is chosen, as a DataFrame is read only when it is used."""
     said: dict[str, str] = {}
     for k, (name, read) in enumerate(sources):
         try:
-            found = read()
+            found = checkpointed(read(), "landed")
             said[name] = "ok"
             return found, said
         except Exception as e:  # noqa: BLE001  any failure of a source leads to the next one
@@ -94,11 +96,11 @@ def first_source(sources: list[tuple[str, Callable[[], DataFrame]]]) -> tuple[Da
 
 
 def all_sources(sources: dict[str, Callable[[], DataFrame]]) -> tuple[list[DataFrame], dict[str, str]]:
-    """All sources that can be read; a failure is noted and the others go on."""
+    """All sources that can be read to their end, landed in the shared folder; a failure is noted and the others go on."""
     found, said = [], {}
     for name, read in sources.items():
         try:
-            found.append(read())
+            found.append(checkpointed(read(), "landed"))
             said[name] = "ok"
         except Exception as e:  # noqa: BLE001
             said[name] = f"{type(e).__name__}: {e}"

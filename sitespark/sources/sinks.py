@@ -52,18 +52,22 @@ def sample(df: DataFrame, *order, n: int = 20) -> DataFrame:
 
 
 def overwrite_in_place(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table that df was read from: it is written beside it, the old one kept as .backup the first time, and the
-    folders are swapped by renaming, so that the input is never read and overwritten at once."""
+    """Replace the table that df was read from: it is written beside it, the old one is renamed away and the new one into its
+    place, so that the input is never read and overwritten at once. The old one stays as .backup the first time, else it is
+    deleted, last of all: whenever this ends early, one of path, path.backup and path.old-* has the whole table."""
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     new, old, backup = (jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + tail) for tail in (f".new-{uuid.uuid4().hex}", "", ".backup"))
     df.write.parquet(new.toString())
     fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(backup):
-        fs.rename(old, backup)
-    else:
-        fs.delete(old, True)
-    fs.rename(new, old)
+    away = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}") if fs.exists(backup) else backup
+    if not fs.rename(old, away):
+        raise OSError(f"{path} can't be renamed")
+    if not fs.rename(new, old):
+        fs.rename(away, old)
+        raise OSError(f"{new.toString()} can't be renamed to {path}")
+    if away.toString() != backup.toString():
+        fs.delete(away, True)
     return spark.read.schema(df.schema).parquet(path)
 
 

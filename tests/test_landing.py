@@ -66,6 +66,9 @@ def test_fallback_and_failures(spark):
 
     found, said = landing.first_source([("live", broken), ("local", lambda: spark.range(3))])
     assert found.count() == 3 and said == {"live": "ValueError: no sheet", "local": "ok"}
+    late = lambda: spark.range(3).select(F.raise_error(F.lit("broken off")).cast("long").alias("id"))  # noqa: E731  fails when it is read
+    found, said = landing.first_source([("live", late), ("local", lambda: spark.range(3))])
+    assert found.count() == 3 and "broken off" in said["live"]
     with pytest.raises(ValueError):
         landing.first_source([("live", broken)])
     frames, said = landing.all_sources({"a": broken, "b": lambda: spark.range(2)})
