@@ -7,9 +7,11 @@ a side it knows to be small, AQE splits cells that are crowded, and nothing here
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import checkpointed
+
 
 def cell(v: Column, size: float) -> Column:
     return F.floor(v / F.lit(size)).cast("long")
@@ -46,18 +48,74 @@ def nearest_within(left: DataFrame, right: DataFrame, key: str, right_key: str,
     return left.join(best, key, "left").select(left.columns + [F.col("best.d2").alias("d2"), *[F.col(f"best.{c}").alias(c) for c in (right_key, *carry)]])
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, right_key: str, lx: str, ly: str, rx: str, ry: str, first: float, limit: float) -> DataFrame:
-    """Nearest right row without a radius: rings of doubling radius, each for the rows that are still unmatched, up to
-    `limit`, a bound on the extent of the data. Every round is an equi-join; most rows are matched in the first."""
-    radius, found, rest = first, None, left
-    while True:
-        got = nearest_within(rest, right, key, right_key, radius, lx, ly, rx, ry)
-        matched = got.filter(F.col(right_key).isNotNull())
-        found = matched if found is None else found.unionByName(matched)
-        if radius >= limit:
-            return found.unionByName(got.filter(F.col(right_key).isNull()))
-        rest = got.filter(F.col(right_key).isNull()).select(left.columns)
-        radius = min(radius * 8, limit)
+def quadtree(points: DataFrame, x: str, y: str, most: int, deepest: int) -> tuple[DataFrame, DataFrame, tuple[float, float, float]]:
+    """Nodes (level, ix, iy, leaf) and points (level, ix, iy, ...) of a quadtree over distinct places, and its corner and width.
+
+    A cell with more than `most` points is cut in four, down to level `deepest`. Each level is an aggregate of the points
+    that are still in crowded cells, written before the next; most points rest after log4(points / most) levels.
+    """
+    box = points.agg(F.min(x), F.min(y), F.max(x), F.max(y)).first()
+    west, south = float(box[0]), float(box[1])
+    width = max(float(box[2]) - west, float(box[3]) - south, 1e-9) * (1 + 1e-9)
+    rest, nodes, placed = checkpointed(points, "tree-points"), None, None
+    for level in range(deepest + 1):
+        step = width / (1 << level)
+        at = rest.withColumn("ix", F.least(F.floor((F.col(x) - west) / step), F.lit((1 << level) - 1)).cast("long")).withColumn("iy", F.least(F.floor((F.col(y) - south) / step), F.lit((1 << level) - 1)).cast("long"))
+        cells_ = checkpointed(at.groupBy("ix", "iy").agg(F.count(F.lit(1)).alias("n")).select(F.lit(level).alias("level"), "ix", "iy", ((F.col("n") <= most) | F.lit(level == deepest)).alias("leaf")), "tree-nodes")
+        here = at.join(cells_.filter("leaf").select("level", "ix", "iy"), ["ix", "iy"]).select("level", "ix", "iy", *points.columns)
+        nodes, placed = (cells_, here) if nodes is None else (nodes.unionByName(cells_), placed.unionByName(here))
+        crowded = cells_.filter(~F.col("leaf"))
+        if not crowded.limit(1).count():
+            break
+        rest = checkpointed(at.join(crowded.select("ix", "iy"), ["ix", "iy"], "left_semi").select(points.columns), "tree-points")
+    return checkpointed(nodes, "tree"), checkpointed(placed, "tree-leaves"), (west, south, width)
+
+
+def descended(rest: DataFrame, key: str, nodes: DataFrame, corner: tuple[float, float, float], lx: str, ly: str) -> DataFrame:
+    """(key, lx, ly, level, ix, iy): the leaves that can hold the nearest point of each row, by going down the tree.
+
+    A row keeps the nodes that are no farther than the nearest far corner of any, as a node holds a point at least; a round
+    opens one level. Each round is written, so the plan doesn't grow, and rounds are as many as the tree has levels.
+    """
+    west, south, width = corner
+
+    def bounds(df: DataFrame) -> DataFrame:
+        step = F.lit(width) / F.pow(F.lit(2.0), F.col("level"))
+        x0, y0 = F.lit(west) + F.col("ix") * step, F.lit(south) + F.col("iy") * step
+        near = [F.greatest(F.lit(0.0), a - F.col(c), F.col(c) - a - step) for c, a in ((lx, x0), (ly, y0))]
+        far = [F.greatest(F.abs(F.col(c) - a), F.abs(F.col(c) - a - step)) for c, a in ((lx, x0), (ly, y0))]
+        # a little room on either side for rounding: what the bounds let through is measured exactly
+        return df.withColumn("_low", (near[0] * near[0] + near[1] * near[1]) * (1 - 1e-9)).withColumn("_high", (far[0] * far[0] + far[1] * far[1]) * (1 + 1e-9))
+
+    children = nodes.filter("level > 0").select((F.col("level") - 1).alias("level"), F.shiftright("ix", 1).alias("ix"), F.shiftright("iy", 1).alias("iy"), F.struct("level", "ix", "iy", "leaf").alias("child"))
+    single = nodes.filter("level = 0").first()["leaf"]
+    root = rest.select(key, lx, ly, F.lit(0).alias("level"), *(F.lit(0).cast("long").alias(c) for c in ("ix", "iy")), F.lit(single).alias("leaf"))
+    front = checkpointed(bounds(root), "front")
+    while front.filter(~F.col("leaf")).limit(1).count():
+        opened = front.filter(~F.col("leaf")).select(key, lx, ly, "level", "ix", "iy").join(children, ["level", "ix", "iy"]).select(key, lx, ly, "child.*")
+        both = front.filter("leaf").unionByName(bounds(opened))
+        best = F.min("_high").over(Window.partitionBy(key))
+        front = checkpointed(both.withColumn("_best", best).filter(F.col("_low") <= F.col("_best")).drop("_best"), "front")
+    return front.select(key, lx, ly, "level", "ix", "iy")
+
+
+def nearest(left: DataFrame, right: DataFrame, key: str, right_key: str, lx: str, ly: str, rx: str, ry: str, first: float, most: int = 64, deepest: int = 24) -> DataFrame:
+    """Each left row with its nearest right row (ties to the lesser right key) and d2, the squared distance, however far it is.
+
+    Rows with a neighbour within `first` are matched by an equi-join on cells. The others, often few, go down a quadtree of
+    the right rows' places, whose leaves hold at most `most` of them (places that many rows share are one). Keys of left are unique.
+    Rows without a place, and all rows where right has none, get nulls.
+    """
+    got = checkpointed(nearest_within(left, right, key, right_key, first, lx, ly, rx, ry), "near")
+    rest = got.filter(F.col(right_key).isNull() & F.col(lx).isNotNull() & F.col(ly).isNotNull()).select(left.columns)
+    places = right.filter(F.col(rx).isNotNull() & F.col(ry).isNotNull()).groupBy(F.col(rx).alias("_rx"), F.col(ry).alias("_ry")).agg(F.min(right_key).alias("_rk"))
+    if not rest.limit(1).count() or not places.limit(1).count():
+        return got
+    nodes, leaves, corner = quadtree(places, "_rx", "_ry", most, deepest)
+    pairs = descended(rest, key, nodes, corner, lx, ly).join(leaves, ["level", "ix", "iy"]).withColumn("d2", squared(lx, ly, "_rx", "_ry"))
+    best = pairs.groupBy(key).agg(F.min(F.struct("d2", "_rk")).alias("_best"))
+    out = got.join(best, key, "left")
+    return out.select(*left.columns, F.coalesce("d2", F.col("_best.d2")).alias("d2"), F.coalesce(right_key, F.col("_best._rk")).alias(right_key))
 
 
 def within_boxes(points: DataFrame, boxes: DataFrame, size: float, x: str, y: str, how: str = "inner", closed: bool = False) -> DataFrame:

@@ -308,7 +308,7 @@ WITH {SITES}, {ANCHORS}, r AS (SELECT site_id, anchor_id, row_number() OVER (PAR
 SELECT site_id, anchor_id FROM r WHERE k = 1
 """)
 def nearest_unbounded(spark, d):
-    return spatial.nearest(sites(spark, d), anchors(spark, d), "site_id", "anchor_id", "sx", "sy", "ax", "ay", 60000, 1500000).select("site_id", "anchor_id")
+    return spatial.nearest(sites(spark, d), anchors(spark, d), "site_id", "anchor_id", "sx", "sy", "ax", "ay", 20000).select("site_id", "anchor_id")
 
 
 @query(f"""
