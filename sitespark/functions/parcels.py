@@ -124,7 +124,19 @@ def operator_tier(name: Column) -> Column:
     return F.when(F.exists(F.array(*map(F.lit, TIER_1_WORDS)), lambda w: F.contains(F.upper(name), w)), "tier_1").otherwise("other")
 
 
-def estimated_inches(name: Column, kind: Column, tier: Column, thirty: tuple[str, ...], twenty: tuple[str, ...]) -> Column:
+#: Operators of trunk lines of 30 inches and more, and of middling interstate lines: fixed values.
+TRUNK_OPERATORS = (
+    "Transcontinental Gas PL", "Tennessee Gas Pipeline", "Columbia Gas Trans Co", "Texas Eastern Trans Co", "Algonquin Gas Trans Co", "Rockies Express Pipeline", "Northern Natural Gas Co",
+    "El Paso Natural Gas Co", "El Paso Texas Pipeline Co", "Southern Natural Gas Co", "ANR Pipeline Co", "Panhandle Eastern PL Co", "Trunkline Gas Co", "Northwest Pipeline",
+    "Kern River Gas Trans Co", "Ruby Pipeline LLC", "Midcontinent Express Pipeline", "Kinder Morgan Texas Pipeline Co", "Columbia Gulf Pipeline", "Permian Highway Pipeline",
+    "Whistler Pipeline", "Gulf Coast Express", "Trans Pecos Pipeline", "Comanche Trail Pipeline", "Sierrita Gas Pipeline", "Florida Gas Trans Co", "Florida Southeast Connection",
+)
+MIDDLING_OPERATORS = (
+    "Equitrans Inc", "Dominion Transmission Co", "Southern Star Central Gas PL Co", "Questar Pipeline Co", "Wyoming Interstate PL Co", "Great Lakes Gas Trans Co", "Iroquois Gas Trans Co", "Empire Pipeline",
+)
+
+
+def estimated_inches(name: Column, kind: Column, tier: Column, thirty: tuple[str, ...] = TRUNK_OPERATORS, twenty: tuple[str, ...] = MIDDLING_OPERATORS) -> Column:
     """Inches by lists of operators (either name may contain the other), else by kind and tier."""
     upper = F.upper(name)
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import parcels, rules
-from ..operators import raster, relational, spatial
+from ..functions import geometry, parcels, rules
+from ..operators import nodes, raster, relational, spatial
 from . import sites
 from .scoring import ANCHOR_STATS, anchor_stats
 from .sites import ANCHORS, SITES, query, table
@@ -203,29 +203,32 @@ def merged_tables(spark, d):
 # Sources and nodes ------------------------------------------------------------------------------------------------------
 
 
-@query("""
-WITH e AS (SELECT 'EIA-' || p_partkey || '-' || CASE WHEN p_size % 2 = 0 THEN 'retired' ELSE 'retiring' END AS site_id, p_name AS site_name, 'EIA-860' AS source, CASE WHEN p_size % 2 = 0 THEN 'retired' ELSE 'retiring' END AS status, p_size::DOUBLE AS mw, NULL::DOUBLE AS acres FROM part WHERE p_partkey % 4 = 0),
-n AS (SELECT 'NRC-' || trim(regexp_replace(p_name, '\\W+', '-', 'g'), '-'), p_name, 'EIA-860-nuclear', 'operating', p_size::DOUBLE, NULL FROM part WHERE p_partkey % 4 = 1),
-q AS (SELECT 'EPA-' || p_partkey, p_name, 'EPA-RE-Powering', 'active_industrial', NULL, try_cast(CASE WHEN p_size % 3 = 0 THEN 'unknown' ELSE p_size::VARCHAR END AS DOUBLE) FROM part WHERE p_partkey % 4 = 2),
-o AS (SELECT 'OSM-' || p_partkey, p_name, 'OpenStreetMap', 'active_industrial', NULL, p_size::DOUBLE FROM part WHERE p_partkey % 4 = 3)
-FROM e UNION ALL FROM n UNION ALL FROM q UNION ALL FROM o
-""")
-def normalised_nodes(spark, d):
-    """Four sources as one table with prefixed ids."""
-    p, k = table(spark, d, "part"), F.col("p_partkey")
-    columns = ["site_id", "site_name", "source", "status", "mw", "acres"]
+_COUNTIES = "c AS (SELECT s_suppkey AS county_id, 'County ' || s_suppkey AS county, (s_suppkey * 15485863 + 271828) % 1000000 - 60000 AS xmin, (s_suppkey * 32452843 + 314159) % 1000000 - 60000 AS ymin FROM supplier)"
 
-    def of(rest, site_id, source, status, **more):
-        rows = p.filter(k % 4 == rest)
-        return rows.select(site_id.alias("site_id"), F.col("p_name").alias("site_name"), F.lit(source).alias("source"), status.alias("status"), *[v.cast("double").alias(n) for n, v in more.items()])
 
-    size = F.col("p_size")
-    retired = F.when(size % 2 == 0, "retired").otherwise("retiring")
-    acres = F.when(size % 3 == 0, "unknown").otherwise(size.cast("string")).try_cast("double")
-    return relational.union_aligned([
-        of(0, F.concat_ws("-", F.lit("EIA"), k, retired), "EIA-860", retired, mw=size), of(1, F.concat(F.lit("NRC-"), F.trim(F.regexp_replace("p_name", r"\W+", "-"), F.lit("-"))), "EIA-860-nuclear", F.lit("operating"), mw=size),
-        of(2, F.concat(F.lit("EPA-"), k), "EPA-RE-Powering", F.lit("active_industrial"), acres=acres), of(3, F.concat(F.lit("OSM-"), k), "OpenStreetMap", F.lit("active_industrial"), acres=size),
-    ], columns)
+@query(f"""
+WITH p AS (SELECT *, p_partkey * 7919 % 1000000 AS x, p_partkey * 104729 % 1000000 AS y, CASE WHEN p_size % 2 = 0 THEN 'retired' ELSE 'retiring' END AS st FROM part), {_COUNTIES},
+e AS (SELECT 'EIA-' || p_partkey || '-' || st AS site_id, p_name AS site_name, 'S' || p_size % 5 AS state_abbr, NULL::VARCHAR AS county_name, 'EIA-860' AS source, p_type AS reuse_asset_type, st AS reuse_status, p_size::DOUBLE AS capacity_mw, NULL::DOUBLE AS acreage, 1990 + p_size % 40 AS retirement_year, p_type AS dominant_technology, NULL::VARCHAR AS epa_program, x, y FROM p WHERE p_partkey % 4 = 0),
+n AS (SELECT 'NRC-' || trim(regexp_replace(p_name, '\W+', '-', 'g'), '-'), p_name, 'S' || p_size % 5, NULL, 'EIA-860-nuclear', 'nuclear', 'operating', p_size::DOUBLE, NULL, NULL, NULL, NULL, x, y FROM p WHERE p_partkey % 4 = 1),
+q AS (SELECT 'EPA-' || p_partkey, p_name, 'S' || p_size % 5, CASE WHEN p_size % 4 > 0 THEN p_brand END, 'EPA-RE-Powering', p_type, 'active_industrial', NULL, try_cast(CASE WHEN p_size % 3 = 0 THEN 'unknown' ELSE p_size::VARCHAR END AS DOUBLE), NULL, NULL, p_brand, x, y FROM p WHERE p_partkey % 4 = 2),
+o AS (SELECT 'OSM-' || p_partkey, p_name, 'S' || p_size % 5, NULL, 'OpenStreetMap', p_type, 'active_industrial', NULL, p_size::DOUBLE, NULL, NULL, NULL, x, y FROM p WHERE p_partkey % 4 = 3),
+a AS (FROM e UNION ALL FROM n UNION ALL FROM q UNION ALL FROM o), h AS (SELECT DISTINCT x, y, first(county ORDER BY county_id) AS found FROM a JOIN c ON x > xmin AND x < xmin + 120000 AND y > ymin AND y < ymin + 120000 GROUP BY x, y)
+SELECT a.* REPLACE (coalesce(county_name, found) AS county_name, a.x::DOUBLE AS x, a.y::DOUBLE AS y) FROM a LEFT JOIN h ON h.x = a.x AND h.y = a.y
+""")
+def normalised_nodes(spark, d):
+    """Four sources as one table of reuse nodes with prefixed ids; missing counties by the county that holds the place."""
+    p, k, size = table(spark, d, "part"), F.col("p_partkey"), F.col("p_size")
+    p = p.withColumn("x", k * 7919 % 1000000).withColumn("y", k * 104729 % 1000000).withColumn("state", F.concat(F.lit("S"), size % 5))
+    own = {"name": "p_name", "state": "state", "asset_type": "p_type", "x": "x", "y": "y"}
+    of = lambda rest: p.filter(k % 4 == rest)
+    acres = F.when(size % 3 == 0, "unknown").otherwise(size.cast("string"))
+    all_ = nodes.normalised(
+        nodes.Source(of(0), own | {"id": k, "status": F.when(size % 2 == 0, "retired").otherwise("retiring"), "mw": size, "year": 1990 + size % 40, "technology": "p_type"}), nodes.Source(of(1), own | {"status": F.lit("operating"), "mw": size}),
+        nodes.Source(of(2), own | {"id": k, "county": F.when(size % 4 > 0, F.col("p_brand")), "acreage": acres, "program": "p_brand"}), nodes.Source(of(3), own | {"id": k, "acreage": size}))
+    s = F.col("s_suppkey")
+    west, south = (s * 15485863 + 271828) % 1000000 - 60000, (s * 32452843 + 314159) % 1000000 - 60000
+    counties = table(spark, d, "supplier").select(s.alias("county_id"), F.concat(F.lit("County "), s).alias("county"), F.array(geometry.box_ring(west, south, west + 120000, south + 120000)).alias("rings"))
+    return nodes.with_counties(all_, counties, "county_id", "county", "rings", 60000)
 
 
 _CLEAN = [("source", "CASE k % 4 WHEN 0 THEN 'EIA-860' WHEN 1 THEN 'EIA-860-nuclear' WHEN 2 THEN 'EPA-RE-Powering' ELSE 'OpenStreetMap' END"), ("name", _NAME), ("x", "k * 7919 % 1000000"), ("y", "k * 104729 % 1000000"), ("asset", _pick("k", "power_plant", "landfill", "coal_plant")), ("trust", _pick("k", "HIGH", "MEDIUM", "LOW", "HIGH", "MEDIUM")), ("acres", "k % 120")]
@@ -250,17 +253,36 @@ def cleaned_nodes(spark, d):
     return c.filter(~gone).select("site_id", "source", "alias_count")
 
 
-@query("""
-WITH g AS (SELECT l_suppkey AS plant, CASE WHEN l_returnflag = 'R' THEN 'retired' ELSE 'retiring' END AS status, 'fuel ' || l_linenumber AS fuel, l_quantity::BIGINT AS mw, year(l_shipdate) AS year FROM lineitem WHERE l_returnflag <> 'N'),
-f AS (SELECT plant, status, fuel, sum(mw)::BIGINT AS mw FROM g GROUP BY ALL)
-SELECT plant, status, sum(mw)::BIGINT AS mw, first(fuel ORDER BY mw DESC, fuel) AS fuel, (SELECT max(year) FROM g WHERE g.plant = f.plant AND g.status = f.status)::INT AS year FROM f GROUP BY ALL HAVING sum(mw) >= 10
+_GENERATORS = """g AS (SELECT l_suppkey AS plant, CASE WHEN l_returnflag = 'R' THEN 'retired' WHEN l_returnflag = 'A' THEN 'retiring' ELSE 'existing' END AS status, CASE WHEN l_orderkey % 6 > 0 THEN 'fuel ' || l_linenumber END AS fuel, CASE WHEN l_partkey % 5 > 0 THEN 'tech ' || l_partkey % 4 END AS tech,
+ l_quantity::BIGINT AS mw, CASE WHEN l_orderkey % 3 > 0 THEN year(l_shipdate) END AS year, l_orderkey * 10 + l_linenumber AS unit, l_linestatus AS name, l_orderkey % 97 AS lon, CASE WHEN l_suppkey % 13 > 0 THEN l_partkey % 89 END AS lat FROM lineitem)"""
+
+
+def _generators(spark, d):
+    k = F.col
+    return table(spark, d, "lineitem").select(
+        k("l_suppkey").alias("plant"), F.when(k("l_returnflag") == "R", "retired").when(k("l_returnflag") == "A", "retiring").otherwise("existing").alias("status"), F.when(k("l_orderkey") % 6 > 0, F.concat(F.lit("fuel "), k("l_linenumber"))).alias("fuel"),
+        F.when(k("l_partkey") % 5 > 0, F.concat(F.lit("tech "), k("l_partkey") % 4)).alias("tech"), k("l_quantity").cast("long").alias("mw"), F.when(k("l_orderkey") % 3 > 0, F.year("l_shipdate")).alias("year"), (k("l_orderkey") * 10 + k("l_linenumber")).alias("unit"),
+        k("l_linestatus").alias("name"), (k("l_orderkey") % 97).alias("lon"), F.when(k("l_suppkey") % 13 > 0, k("l_partkey") % 89).alias("lat"))
+
+
+@query(f"""
+WITH {_GENERATORS}, p AS (SELECT plant, status, sum(mw)::BIGINT AS mw, max(year)::INT AS year, count(*) AS n_generators, first(name ORDER BY unit, mw) AS name, first(lon ORDER BY unit, mw) AS lon, first(lat ORDER BY unit, mw) AS lat FROM g WHERE status <> 'existing' AND fuel IS NOT NULL GROUP BY ALL),
+f AS (SELECT plant, status, first(fuel ORDER BY m DESC, fuel) AS fuel FROM (SELECT plant, status, fuel, sum(mw) AS m FROM g WHERE fuel IS NOT NULL GROUP BY ALL) GROUP BY ALL), t AS (SELECT plant, status, first(tech ORDER BY m DESC, tech) AS tech FROM (SELECT plant, status, tech, sum(mw) AS m FROM g WHERE tech IS NOT NULL AND fuel IS NOT NULL GROUP BY ALL) GROUP BY ALL)
+SELECT p.*, f.fuel, t.tech FROM p JOIN f USING (plant, status) LEFT JOIN t USING (plant, status) WHERE mw >= 10 AND lat IS NOT NULL
 """)
 def plant_rollup(spark, d):
-    """Generators as plants: capacity of 10 and more, dominant fuel by capacity, latest retirement."""
-    g = table(spark, d, "lineitem").filter("l_returnflag <> 'N'").select(F.col("l_suppkey").alias("plant"), F.when(F.col("l_returnflag") == "R", "retired").otherwise("retiring").alias("status"), F.concat(F.lit("fuel "), F.col("l_linenumber")).alias("fuel"), F.col("l_quantity").cast("long").alias("mw"), F.year("l_shipdate").alias("year"))
-    f = g.groupBy("plant", "status", "fuel").agg(F.sum("mw").alias("mw"), F.max("year").alias("year"))
-    out = f.groupBy("plant", "status").agg(F.sum("mw").alias("total"), F.min(F.struct((-F.col("mw")).alias("m"), "fuel"))["fuel"].alias("fuel"), F.max("year").alias("year"))
-    return out.filter("total >= 10").select("plant", "status", F.col("total").alias("mw"), "fuel", "year")
+    """Retired and retiring generators as plants of 10 MW and more: dominant fuel and technology by capacity, latest retirement, and
+    name and place of the first unit; plants without a place go."""
+    return nodes.plants(_generators(spark, d).filter("status <> 'existing' AND fuel IS NOT NULL"), ["plant", "status"], 10)
+
+
+@query(f"""
+WITH {_GENERATORS}, p AS (SELECT plant, first(name ORDER BY unit, mw) AS name, bool_and(status = 'retired') AS gone, sum(mw)::BIGINT AS mw, max(year) AS year, first(lon ORDER BY unit, mw) AS lon, first(lat ORDER BY unit, mw) AS lat FROM g WHERE fuel IN ('fuel 1', 'fuel 2') AND unit % 4 > 0 GROUP BY 1)
+SELECT plant, name, CASE WHEN gone THEN 'retired' ELSE 'operating' END AS status, mw, CASE WHEN gone THEN year END::INT AS year, lon, lat FROM p WHERE lat IS NOT NULL
+""")
+def nuclear_sites(spark, d):
+    """Reactors as sites: retired only where every unit is."""
+    return nodes.nuclear_plants(_generators(spark, d).filter("fuel IN ('fuel 1', 'fuel 2') AND unit % 4 > 0"), ["plant"])
 
 
 # Parcels ----------------------------------------------------------------------------------------------------------------
@@ -340,16 +362,27 @@ _OPERATOR = _pick("k", "Kinder Morgan Inc", "Texas Eastern Trans Co", "Iroquois
 _KIND = _pick("k", "Interstate", "Intrastate", "Gathering", "Interstate")
 
 
+#: Names to try the lists on: their own, some of the first tier only, and strangers; cut, in capitals, or with more behind.
+_NAMES = (*parcels.TRUNK_OPERATORS, *parcels.MIDDLING_OPERATORS, *(w.title() + " Midstream" for w in parcels.TIER_1_WORDS), "Gas", "Hill Country Gathering", "")
+_ARRAY = lambda names: "[" + ", ".join(f"'{n}'" for n in names) + "]"
+_SHOWN = "CASE k // {n} % 4 WHEN 0 THEN {at} WHEN 1 THEN upper({at}) WHEN 2 THEN {at} || ' of Texas' ELSE substr({at}, 1, 9) END"
+
+
 @query(f"""
-WITH x AS (SELECT k, {_OPERATOR} AS operator, {_KIND} AS kind FROM (SELECT s_suppkey AS k FROM supplier)), u AS (SELECT *, upper(operator) AS u FROM x),
-t AS (SELECT *, CASE WHEN contains(u, 'KINDER MORGAN') OR contains(u, 'TEXAS EASTERN') OR contains(u, 'ANR') OR contains(u, 'QUESTAR') THEN 'tier_1' ELSE 'other' END AS tier FROM u)
-SELECT k, tier, CASE WHEN u <> '' AND (contains(u, 'TEXAS EASTERN TRANS CO') OR contains('TEXAS EASTERN TRANS CO', u) OR contains(u, 'ANR PIPELINE CO') OR contains('ANR PIPELINE CO', u)) THEN 30
- WHEN u <> '' AND (contains(u, 'IROQUOIS GAS TRANS CO') OR contains('IROQUOIS GAS TRANS CO', u) OR contains(u, 'GREAT LAKES GAS TRANS CO') OR contains('GREAT LAKES GAS TRANS CO', u)) THEN 20
+WITH n AS (SELECT s_suppkey AS k, 0 AS source FROM supplier UNION ALL SELECT p_partkey, 1 FROM part), x AS (SELECT k, source, {_SHOWN.format(n=len(_NAMES), at=f"{_ARRAY(_NAMES)}[k % {len(_NAMES)} + 1]")} AS operator, {_KIND} AS kind FROM n), u AS (SELECT *, upper(operator) AS u FROM x),
+t AS (SELECT *, CASE WHEN len(list_filter({_ARRAY(parcels.TIER_1_WORDS)}, lambda w: contains(u, w))) > 0 THEN 'tier_1' ELSE 'other' END AS tier FROM u)
+SELECT k, source, operator, tier, CASE WHEN u <> '' AND len(list_filter({_ARRAY(parcels.TRUNK_OPERATORS)}, lambda w: contains(u, upper(w)) OR contains(upper(w), u))) > 0 THEN 30
+ WHEN u <> '' AND len(list_filter({_ARRAY(parcels.MIDDLING_OPERATORS)}, lambda w: contains(u, upper(w)) OR contains(upper(w), u))) > 0 THEN 20
  WHEN kind = 'Interstate' AND tier = 'tier_1' THEN 24 WHEN kind = 'Interstate' THEN 14 WHEN tier = 'tier_1' THEN 12 ELSE 8 END AS inches FROM t
 """)
 def pipeline_operators(spark, d):
-    x = table(spark, d, "supplier").select(F.col("s_suppkey").alias("k")).selectExpr("k", f"{_OPERATOR} AS operator", f"{_KIND} AS kind").withColumn("tier", parcels.operator_tier(F.col("operator")))
-    return x.select("k", "tier", parcels.estimated_inches(F.col("operator"), F.col("kind"), F.col("tier"), ("Texas Eastern Trans Co", "ANR Pipeline Co"), ("Iroquois Gas Trans Co", "Great Lakes Gas Trans Co")).alias("inches"))
+    """Operators' tiers and the estimated width of their lines, over all names of the lists."""
+    n = table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.lit(0).alias("source")).union(table(spark, d, "part").select("p_partkey", F.lit(1)))
+    at = F.get(F.array(*map(F.lit, _NAMES)), (F.col("k") % len(_NAMES)).cast("int"))
+    way = F.expr(f"k div {len(_NAMES)} % 4")
+    shown = F.when(way == 0, at).when(way == 1, F.upper(at)).when(way == 2, F.concat(at, F.lit(" of Texas"))).otherwise(F.substring(at, 1, 9))
+    x = n.withColumn("operator", shown).withColumn("kind", F.expr(_KIND)).withColumn("tier", parcels.operator_tier(F.col("operator")))
+    return x.select("k", "source", "operator", "tier", parcels.estimated_inches(F.col("operator"), F.col("kind"), F.col("tier")).alias("inches"))
 
 
 # Capacity ---------------------------------------------------------------------------------------------------------------
