@@ -234,7 +234,7 @@ class Encoder:
     white space, and all texts under another pattern, go through the pattern in full.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 120_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 250_000):
         import regex
 
         self.ranks, self.longest = ranks, max(map(len, ranks), default=0)
@@ -264,32 +264,33 @@ class Encoder:
         self.after_space.trim()
 
 
-#: The encoder that this Python worker used last: a worker's tasks share what has been looked up, at most four times the
-#: 120,000 texts of Encoder.
+#: The encoder that this Python worker used last: a worker's tasks share what has been looked up, at most four times
+#: the `known` texts of bpe_encode.
 _LAST: dict[tuple, Encoder] = {}
 
 
-def worker_encoder(key: tuple, ranks: dict[bytes, int], pattern: str) -> Encoder:
+def worker_encoder(key: tuple, ranks: dict[bytes, int], pattern: str, known: int) -> Encoder:
     if key not in _LAST:
         _LAST.clear()
-        _LAST[key] = Encoder(ranks, pattern)
+        _LAST[key] = Encoder(ranks, pattern, known)
     return _LAST[key]
 
 
-def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
+def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False, known: int = 250_000) -> DataFrame:
     """Encode every whole text: id, n_tokens, ids (packed little-endian unsigned 32-bit), and decoded bytes if asked for.
 
     vocabulary is a path on the driver; the ranks travel in one broadcast of the size of that file (about 1 MB). No
     shuffle: each task encodes its own rows. Null text is empty and gives no ids; repeated rows and null ids are kept as
     they are; special tokens are ordinary text; other columns are ignored, so no name can clash. Ids decode to the
-    text's UTF-8 exactly.
+    text's UTF-8 exactly. known: how many texts a worker remembers the ids of, in each of two tables (some 600 MB at the default
+    of 250,000, half of that at 120,000, where about a third more are worked out again); ids don't depend on it.
     """
     small_batches(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
     key = (uuid.uuid4().hex, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(key, ranks.value, pattern)
+        encoder = worker_encoder(key, ranks.value, pattern, known)
         tokens = {rank: token for token, rank in ranks.value.items()}
         for batch in blocks(batches, 500):
             ids = [encoder.encode(t) for t in texts(batch, 1)]

@@ -215,7 +215,7 @@ def _ask_bigrams(span: int, buckets: int, hot: int) -> Callable[[dict], Slices]:
 def _count_bigrams(model: Model, span: int):
     """Totals of a bucket's bigrams; for each context of a slice whether all of its bigrams here occur more than LIMIT times;
     and for those with a bigram that wasn't learned, so that the chunk has to back off, what Model.backoff needs of this
-    bucket (the lower order's sums, made in double precision, travel in single)."""
+    bucket."""
 
     def answer(bucket: int, slices: list) -> tuple[list, bytes, int]:
         parts = [unpack_sorted(s[0]) for s in slices]
@@ -237,7 +237,7 @@ def _count_bigrams(model: Model, span: int):
             own = context[mine[first]]
             asked = own[np.logical_or.reduceat(totals[mine] == 0, first)]
             often = seen[:, own].sum(0) == 0
-            out.append((pack(totals[mine]), pack(np.packbits(often)), pack(np.concatenate([seen[:, asked].ravel(), rest[asked]])), pack(lower[asked].astype(np.float32))))
+            out.append((pack(totals[mine]), pack(np.packbits(often)), pack(np.concatenate([seen[:, asked].ravel(), rest[asked]])), pack(lower[asked])))
         return out, _histogram(totals), len(keys)
 
     return answer
@@ -257,7 +257,7 @@ def _score(model: Model, span: int, buckets: int, hot: int):
         parts = [unpack(r["a2"], np.int64).reshape(LIMIT + 1, -1) for r in answers]
         told = np.concatenate(parts, 1) if parts else np.zeros((LIMIT + 1, 0), np.int64)
         told = np.stack([np.bincount(asked, x, n) for x in told])
-        weight = model.backoff(told[:LIMIT], told[LIMIT], np.bincount(asked, joined(answers, "a3", np.float32), n))[0]
+        weight = model.backoff(told[:LIMIT], told[LIMIT], np.bincount(asked, joined(answers, "a3", np.float64), n))[0]
         cold = ~rare & (b.followed > 0)  # all that follows occurs too often to be discounted
         seen = _seen(totals, model.d2)
         hit = np.log10(np.maximum(seen, 1e-300)) - np.log10(np.maximum(b.followed + cold, 1))[b.contexts]

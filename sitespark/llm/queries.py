@@ -19,8 +19,8 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
-def bpe_digests(docs: DataFrame) -> DataFrame:
-    out = bpe.bpe_encode(docs, *tokenizer(), decode=True)
+def bpe_digests(docs: DataFrame, known: int = 250_000) -> DataFrame:
+    out = bpe.bpe_encode(docs, *tokenizer(), decode=True, known=known)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -204,7 +204,7 @@ def test_katz(spark, docs, empty):
     got = katz.score_texts(spark.createDataFrame(rows, SCHEMA).repartition(3), langid.learns("doc_id", 7, 2)).collect()
     want = brute_katz(rows, learn)
     key = lambda x: tuple(round(v, 4) for v in x)
-    assert sorted(key((r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"])) for r in got) == [pytest.approx(k, abs=2e-4) for k in sorted(map(key, want))]
+    assert sorted(key((r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"])) for r in got) == [pytest.approx(k, abs=1e-9) for k in sorted(map(key, want))]
     assert katz.score_texts(empty, F.lit(True)).collect() == []
     assert all(r["score"] == 0 for r in katz.score_texts(docs, F.lit(False)).collect())
 
