@@ -29,7 +29,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return queries.bpe_digests(docs)
+    return queries.bpe_digests(docs, known=120_000)  # workers also hold what the stages before have left
 
 
 STAGES = [("language_id", language_stage), ("exact_dedup", exact_stage), ("jaccard_join", near_stage), ("mix", mix_stage), ("bpe", bpe_stage)]
