@@ -58,6 +58,17 @@ def centroid(ring: Column) -> Column:
     return F.when(a != 0, F.struct((cx / a).alias("x"), (cy / a).alias("y"))).otherwise(F.get(ring, 0))
 
 
+def shape_centroid(rings: Column) -> Column:
+    """Area centroid of outlines, whose holes run the other way; null where the area is 0. Moments are taken from the first
+    vertex, as large coordinates would swamp them."""
+    o = F.get(F.get(rings, 0), 0)
+    near = F.transform(rings, lambda r: F.transform(r, lambda p: point(p["x"] - o["x"], p["y"] - o["y"])))
+    total = lambda term: F.aggregate(F.transform(near, lambda r: _sum(segments(r), term)), F.lit(0.0), lambda a, v: a + v)
+    a = total(_cross) * 3
+    x, y = total(lambda s: (s["a"]["x"] + s["b"]["x"]) * _cross(s)), total(lambda s: (s["a"]["y"] + s["b"]["y"]) * _cross(s))
+    return F.when(a != 0, F.struct((o["x"] + x / a).alias("x"), (o["y"] + y / a).alias("y")))
+
+
 def bounds(ring: Column) -> Column:
     xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
     return F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"), F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geometry, rules
+from ..functions.overlay import RINGS, total_area
 from . import polygons
 
 #: The columns of a node, in order: fixed values.
@@ -75,3 +77,40 @@ def with_counties(nodes: DataFrame, counties: DataFrame, key: str, name: str, ri
     inside = polygons.points_in(lacking, counties.select(F.col(key).alias("_key"), F.col(name).alias("_county"), F.col(rings).alias("_rings")), "x", "y", "_rings", size)
     found = inside.groupBy("x", "y").agg(F.min_by("_county", "_key").alias("_county"))
     return nodes.join(found, ["x", "y"], "left").withColumn("county_name", F.coalesce("county_name", "_county")).select(*COLUMNS)
+
+
+#: The largest footprint, and that of a node of which nothing is known, in acres: fixed values.
+MOST_ACRES, DEFAULT_ACRES = 5000.0, 200.0
+
+
+def plant_acres(asset: Column, technology: Column, mw: Column) -> Column:
+    """What a plant of its kind and capacity takes; null for what isn't a plant."""
+    steam = F.coalesce(F.lower(technology), F.lit("")).rlike("combined cycle|steam turbine")
+    kind = F.when(asset == "nuclear", "nuclear").when(asset == "coal_plant", "coal").when((asset == "gas_plant") & steam, "gas_cc").when(asset == "gas_plant", "gas")
+    return F.when(kind.isNotNull(), rules.template_acres(kind, F.coalesce(mw, F.lit(0.0)).cast("double")))
+
+
+def footprints(nodes: DataFrame, shapes: DataFrame, shape_id: str, shape_rings: str, size: float) -> DataFrame:
+    """nodes (COLUMNS, and `rings`, their own shape or null) with rings, geometry_source, geometry_confidence, matched_id and
+    footprint_acres.
+
+    A node's own shape; else the smallest shape that its place is strictly inside of, if that has 5,000 acres at most; else a
+    square of its acreage, of what its capacity takes, or of 200 acres. Nodes without shape and place get no rings. Ties of
+    area go to the lesser id.
+    """
+    area = total_area(F.col(shape_rings))
+    held = shapes.select(F.col(shape_id).alias("_id"), F.col(shape_rings).cast(RINGS).alias("_held"), area.alias("_area"))
+    at = nodes.filter(F.col("rings").isNull() & F.col("x").isNotNull() & F.col("y").isNotNull()).select("x", "y").distinct()
+    found = polygons.points_in(at, held, "x", "y", "_held", size).groupBy("x", "y").agg(F.min(F.struct("_area", "_id")).alias("_best"))
+    found = found.join(held.select("_id", "_held"), F.col("_best._id") == F.col("_id")).select("x", "y", F.col("_best._area").alias("_area"), F.col("_id"), "_held")
+    c, plant = F.col, plant_acres(F.col("reuse_asset_type"), F.col("dominant_technology"), F.col("capacity_mw"))
+    fits = F.coalesce(c("_area") * geometry.ACRES_PER_M2_ROUNDED <= MOST_ACRES, F.lit(False))
+    step = F.when(c("rings").isNotNull(), 1).when(fits, 2).when(c("acreage") > 0, 3).when(plant.isNotNull(), 4).otherwise(5)
+    out = nodes.join(found, ["x", "y"], "left").withColumn("_step", step)
+    acres = F.least(F.lit(MOST_ACRES), F.when(c("_step") == 3, c("acreage")).when(c("_step") == 4, plant).otherwise(DEFAULT_ACRES))
+    square = F.when(c("x").isNotNull() & c("y").isNotNull(), F.array(geometry.square(c("x"), c("y"), acres)))
+    rings = F.when(c("_step") == 1, c("rings").cast(RINGS)).when(c("_step") == 2, c("_held")).otherwise(square.cast(RINGS))
+    of = lambda *names: F.get(F.array(*map(F.lit, names)), c("_step") - 1)
+    out = out.withColumn("rings", rings).withColumn("geometry_source", of("OSM_POLYGON", "OSM_POLYGON_MATCH", "BUFFER_FROM_ACREAGE", "BUFFER_FROM_CAPACITY", "DEFAULT_BUFFER")).withColumn("geometry_confidence", of("HIGH", "HIGH", "MEDIUM", "MEDIUM", "LOW"))
+    out = out.withColumn("matched_id", F.when(c("_step") == 2, c("_id"))).withColumn("footprint_acres", total_area(c("rings")) * geometry.ACRES_PER_M2_ROUNDED)
+    return out.select(*nodes.columns, "geometry_source", "geometry_confidence", "matched_id", "footprint_acres")

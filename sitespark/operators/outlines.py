@@ -170,3 +170,26 @@ def polygons(labelled: DataFrame, group: str = "cls", **grid) -> DataFrame:
     of = named.groupBy("tile", "_label").agg(F.first(group).alias(group), F.count(F.lit(1)).alias("pixel_count"))
     found = region_outlines(named, "_label", **grid)
     return found.join(of, ["tile", "_label"]).select("tile", group, (F.col("_label") - 1).alias("region"), "pixel_count", "rings")
+
+
+def candidates(codes: DataFrame, groups: dict[str, list[int]], least_pixels: int, least_acres: float, pixel: float = 30.0, cell: int = 256, west: float = 0.0, north: float = 0.0) -> DataFrame:
+    """Polygons of land cover: cover, tile, region, rings, area_m2, pixel_count, area_acres, centre, for pixels (tile, row, col, value).
+
+    For each group of codes: opening and closing, eight-connected components of least_pixels and more, their four-connected
+    outlines, and of these the ones of least_acres and more. What is dropped by size is decided by counts before anything is drawn.
+    """
+    from ..functions.geometry import ACRES_PER_M2_ROUNDED, shape_centroid, signed_area
+    from .raster import clean, components
+
+    out = None
+    for name, wanted in groups.items():
+        on = clean(codes.filter(F.col("value").isin(*wanted)), codes).withColumn("cls", F.lit(0))
+        parts = checkpointed(components(on), "parts")
+        sizes = parts.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pixels)
+        kept = parts.join(sizes.select("tile", "component"), ["tile", "component"], "left_semi")
+        found = polygons(kept, "cls", cell=cell, west=west, north=north, dx=pixel, dy=pixel)
+        area = F.aggregate(F.transform("rings", signed_area), F.lit(0.0), lambda a, v: a + v)
+        found = found.withColumn("area_m2", area).withColumn("area_acres", F.col("area_m2") * ACRES_PER_M2_ROUNDED).filter(F.col("area_acres") >= least_acres)
+        found = found.select(F.lit(name).alias("cover"), "tile", "region", "rings", "area_m2", F.bround(F.col("area_m2") / (pixel * pixel), 0).cast("long").alias("pixel_count"), "area_acres", shape_centroid(F.col("rings")).alias("centre"))
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -3,6 +3,8 @@ and a shuffle by tile. Pixels beyond a tile's edge count as background, which al
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -128,6 +130,11 @@ def component_stats(labelled: DataFrame, group: str = "cls", pixel_area: float =
     return out.select("tile", group, "component", "pixel_count", (F.col("pixel_count") * F.lit(pixel_area)).alias("area_m2"), F.round(F.col("_r") / F.col("pixel_count"), 6).alias("mid_row"), F.round(F.col("_c") / F.col("pixel_count"), 6).alias("mid_col"))
 
 
+def degree_steps(dx: float, dy: float, centre_lat: float) -> tuple[float, float]:
+    """Pixel sizes in metres of a raster in degrees, at the latitude of its centre, by 111 km a degree."""
+    return dx * 111_000.0 * math.cos(math.radians(centre_lat)), dy * 111_000.0
+
+
 def slope_percent(dem: DataFrame, dx: float, dy: float) -> DataFrame:
     """Gradient of `value` in percent: central differences, one-sided at edges; a null neighbour gives null."""
     from pyspark.sql import Window

@@ -231,6 +231,29 @@ def normalised_nodes(spark, d):
     return nodes.with_counties(all_, counties, "county_id", "county", "rings", 60000)
 
 
+@query(f"""
+WITH {SITES}, {sites.BOXES}, m AS (SELECT site_id AS id, xmin, ymin, xmax, ymax, ((xmax - xmin) * (ymax - ymin))::DOUBLE AS area FROM boxes),
+n AS (SELECT c_custkey AS site_id, CASE WHEN c_custkey % 11 > 0 THEN c_custkey * 7919 % 1000000 + c_custkey % 90 - 45 END AS x, c_custkey * 104729 % 1000000 + c_custkey % 70 AS y, c_custkey % 6 = 5 AS own, CASE WHEN c_custkey % 4 = 1 THEN c_custkey * 37 % 9000 END::DOUBLE AS acreage,
+ ['nuclear', 'coal_plant', 'gas_plant', 'landfill'][c_custkey % 4 + 1] AS asset, CASE WHEN c_custkey % 3 = 0 THEN 'Natural Gas Steam Turbine' WHEN c_custkey % 3 = 1 THEN 'Gas Combustion' END AS tech, (c_custkey * 13 % 3000)::DOUBLE AS mw FROM customer),
+h AS (SELECT site_id, first(id ORDER BY area, id) AS id, min(area) AS area FROM n JOIN m ON x > xmin AND x < xmax AND y > ymin AND y < ymax WHERE NOT own GROUP BY 1),
+t AS (SELECT n.*, h.id, h.area, CASE asset WHEN 'nuclear' THEN greatest(800, least(3000, 0.5::DOUBLE * mw + 600)) WHEN 'coal_plant' THEN greatest(300, least(2000, 0.5::DOUBLE * mw + 200))
+  WHEN 'gas_plant' THEN CASE WHEN tech LIKE '%Steam Turbine%' THEN greatest(40, least(150, 0.1::DOUBLE * mw + 40)) ELSE greatest(10, least(40, 0.05::DOUBLE * mw + 10)) END END AS plant FROM n LEFT JOIN h ON h.site_id = n.site_id),
+s AS (SELECT *, CASE WHEN own THEN 1 WHEN area * 0.000247105::DOUBLE <= 5000 THEN 2 WHEN acreage > 0 THEN 3 WHEN plant IS NOT NULL THEN 4 ELSE 5 END AS step FROM t)
+SELECT site_id, ['OSM_POLYGON', 'OSM_POLYGON_MATCH', 'BUFFER_FROM_ACREAGE', 'BUFFER_FROM_CAPACITY', 'DEFAULT_BUFFER'][step] AS geometry_source, ['HIGH', 'HIGH', 'MEDIUM', 'MEDIUM', 'LOW'][step] AS geometry_confidence, CASE WHEN step = 2 THEN id END AS matched_id,
+ round(CASE WHEN step = 1 THEN 250000 WHEN step = 2 THEN area WHEN x IS NULL THEN NULL ELSE least(5000, CASE step WHEN 3 THEN acreage WHEN 4 THEN plant ELSE 200 END) * 4046.856::DOUBLE END * 0.000247105::DOUBLE, 4) AS footprint_acres FROM s
+""")
+def node_footprints(spark, d):
+    """The ladder of footprints as shapes: own, smallest container, squares of acreages, of capacities, of nothing known."""
+    k = F.col("c_custkey")
+    n = table(spark, d, "customer").select(k.alias("site_id"), F.when(k % 11 > 0, k * 7919 % 1000000 + k % 90 - 45).cast("double").alias("x"), (k * 104729 % 1000000 + k % 70).cast("double").alias("y"), F.when(k % 4 == 1, k * 37 % 9000).cast("double").alias("acreage"),
+        F.get(F.array(*map(F.lit, ("nuclear", "coal_plant", "gas_plant", "landfill"))), (k % 4).cast("int")).alias("reuse_asset_type"), F.when(k % 3 == 0, "Natural Gas Steam Turbine").when(k % 3 == 1, "Gas Combustion").alias("dominant_technology"), (k * 13 % 3000).cast("double").alias("capacity_mw"))
+    zero = F.lit(0)
+    n = n.withColumn("rings", F.when(F.col("site_id") % 6 == 5, F.array(geometry.box_ring(zero, zero, F.lit(500), F.lit(500)))))
+    b = sites.boxes(spark, d).select("site_id", F.array(geometry.box_ring(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))).alias("shape"))
+    out = nodes.footprints(n, b.withColumnRenamed("site_id", "shape_id"), "shape_id", "shape", 4000)
+    return out.select("site_id", "geometry_source", "geometry_confidence", "matched_id", F.round("footprint_acres", 4).alias("footprint_acres"))
+
+
 _CLEAN = [("source", "CASE k % 4 WHEN 0 THEN 'EIA-860' WHEN 1 THEN 'EIA-860-nuclear' WHEN 2 THEN 'EPA-RE-Powering' ELSE 'OpenStreetMap' END"), ("name", _NAME), ("x", "k * 7919 % 1000000"), ("y", "k * 104729 % 1000000"), ("asset", _pick("k", "power_plant", "landfill", "coal_plant")), ("trust", _pick("k", "HIGH", "MEDIUM", "LOW", "HIGH", "MEDIUM")), ("acres", "k % 120")]
 
 

@@ -246,3 +246,38 @@ def post_filters(spark, d):
     roads = nation.select(place((at, low), (at, high)).alias("lines")).unionByName(nation.select(place((low, at), (high, at)).alias("lines")))
     out = post.post_filtered(candidates, "site_id", "rings", lands, airports, roads, 32768.0)
     return out.select("site_id", "status", "status_reason", F.round("area_acres", 4).alias("area_acres"), "acreage_tier", "size_class", "recommended_action")
+
+
+# Land cover -------------------------------------------------------------------------------------------------------------
+
+
+def _connected(name: str, source: str, reach: int) -> str:
+    """Common tables whose last, {name}x, has the region of each pixel of a table (r, c); reach 1 joins at corners too."""
+    n = name
+    return f"""{n}g AS (SELECT r, c, c - row_number() OVER (PARTITION BY r ORDER BY c) AS run FROM {source}),
+{n}u AS MATERIALIZED (SELECT r, min(c) AS a, max(c) AS b, r * 1048576 + min(c) AS node FROM {n}g GROUP BY r, run),
+{n}e AS MATERIALIZED (SELECT x.node AS x, y.node AS y FROM {n}u x JOIN {n}u y ON abs(x.r - y.r) = 1 AND y.a <= x.b + {reach} AND y.b >= x.a - {reach}),
+{n}l(node, label) USING KEY (node) AS (SELECT node, node FROM {n}u UNION SELECT n.node, min(l.label) FROM {n}l l JOIN {n}e e ON e.x = l.node JOIN recurring.{n}l AS n ON n.node = e.y WHERE l.label < n.label GROUP BY n.node),
+{n}x AS (SELECT label AS region, r, unnest(range(a, b + 1)) AS c FROM {n}l JOIN {n}u USING (node))"""
+
+
+def _cover(name: str, low: int, high: int) -> str:
+    n = name
+    return f"""{n}p AS (SELECT r, c FROM i WHERE k BETWEEN {low} AND {high}), {n}e1 AS (SELECT r + dr AS r, c + dc AS c FROM {n}p, o GROUP BY 1, 2 HAVING count(*) = 9), {n}d1 AS (SELECT DISTINCT r + dr AS r, c + dc AS c FROM {n}e1, o INTERSECT SELECT r, c FROM i),
+{n}d2 AS (SELECT DISTINCT r + dr AS r, c + dc AS c FROM {n}d1, o INTERSECT SELECT r, c FROM i), {n}e2 AS (SELECT r + dr AS r, c + dc AS c FROM {n}d2, o GROUP BY 1, 2 HAVING count(*) = 9),
+{_connected(n + "a", n + "e2", 1)}, {n}k AS (SELECT r, c FROM {n}ax WHERE region IN (SELECT region FROM {n}ax GROUP BY 1 HAVING count(*) >= 12)), {_connected(n + "b", n + "k", 0)},
+{n}o AS (SELECT '{name}' AS cover, region, count(*) AS pixel_count, count(*) * 900.0::DOUBLE AS area_m2, avg(500000 + c * 30 + 15) AS x, avg(3000000 - r * 30 - 15) AS y FROM {n}bx GROUP BY region)"""
+
+
+@query(f"""
+WITH RECURSIVE i AS (SELECT event_id // 256 AS r, event_id % 256 AS c, (props->>'$.k')::INT AS k FROM events), m AS (SELECT unnest([-1, 0, 1]) AS dr), o AS (SELECT a.dr, b.dr AS dc FROM m a, m b),
+{_cover("grass", 0, 79)}, {_cover("crops", 15, 99)}, t AS (FROM grasso UNION ALL FROM cropso)
+SELECT cover, region, pixel_count, area_m2, round(area_m2 * 0.000247105::DOUBLE, 6) AS area_acres, round(x, 3) AS x, round(y, 3) AS y FROM t WHERE area_m2 * 0.000247105::DOUBLE >= 2
+""")
+def cover_candidates(spark, d):
+    """Land cover from a GeoTIFF to polygons: groups of codes, opening and closing, components by size, outlines, acres, centres."""
+    path = shared.new_path(spark, "cover")
+    geotiff.write_raster(sites.pixels(spark, d).select("row", "col", F.col("k").alias("value")), path, geotiff.Grid(GRID.west, GRID.north, 30.0, 30.0, "uint8", 255, 5070), block=128, compress="lzw")
+    codes = geotiff.read_raster(spark, path).filter("value is not null").withColumn("tile", F.lit(0)).withColumn("value", F.col("value").cast("int"))
+    out = outlines.candidates(codes, {"grass": list(range(80)), "crops": list(range(15, 100))}, 12, 2.0, cell=64, west=GRID.west, north=GRID.north)
+    return out.select("cover", "region", "pixel_count", "area_m2", F.round("area_acres", 6).alias("area_acres"), F.round("centre.x", 3).alias("x"), F.round("centre.y", 3).alias("y"))
