@@ -92,35 +92,82 @@ def polygonize(labelled: DataFrame, group: str = "cls") -> DataFrame:
     return found.select("tile", whole[0].alias(group), whole[1].cast("long").alias("component"), "region", "pixel_count")
 
 
-def components(pixels: DataFrame, steps: list[tuple[int, int]] = EIGHT, group: str = "cls", width: int = 1 << 20) -> DataFrame:
+def cell_labels(codes: np.ndarray, diagonal: bool) -> np.ndarray:
+    """Connected pixels of equal code (0: none) in an array: each one's label is the least index of its component, -1 for none."""
+    high, wide = codes.shape
+    labels = np.where(codes > 0, np.arange(high * wide).reshape(high, wide), -1)
+    pairs = []
+    for dr, dc in ((0, 1), (1, 0), (1, 1), (1, -1))[: 4 if diagonal else 2]:
+        a = (slice(0, high - dr), slice(max(0, -dc), wide - max(0, dc)))
+        b = (slice(dr, high), slice(max(0, dc), wide - max(0, -dc)))
+        same = (codes[a] > 0) & (codes[a] == codes[b])
+        pairs.append(np.stack([labels[a][same], labels[b][same]]))
+    x, y = np.concatenate(pairs, 1)
+    of = np.arange(high * wide)
+    while len(x):
+        p, q = of[x], of[y]
+        np.minimum.at(of, np.maximum(p, q), np.minimum(p, q))
+        while (of[of] != of).any():
+            of = of[of]
+        apart = of[x] != of[y]
+        x, y = x[apart], y[apart]
+    return np.where(labels >= 0, of[labels], -1)
+
+
+def components(pixels: DataFrame, steps: list[tuple[int, int]] = EIGHT, group: str = "cls", width: int = 1 << 20, cell: int = 256) -> DataFrame:
     """pixels with `component`, the least (row * width + col) that a pixel reaches within its tile and group.
 
-    Runs of a row are merged first, so a component needs as many rounds as it winds, not as it has pixels.
+    A cell labels its own pixels at once; then only labels that meet across a border between cells take part in rounds of
+    least labels and pointer jumping, each written, whose number grows with the logarithm of the cells that a component spans.
     """
-    from pyspark.sql import Window
-
-    line = Window.partitionBy("tile", group, "row").orderBy("col")
-    runs = pixels.select("tile", group, "row", "col").withColumn("run", F.col("col") - F.row_number().over(line))
-    runs = runs.groupBy("tile", group, "row", "run").agg(F.min("col").alias("a"), F.max("col").alias("b"))
-    runs = checkpointed(runs.withColumn("node", F.col("row") * F.lit(width) + F.col("a")).drop("run"))
-    reach = 1 if len(steps) > 5 else 0
-    below = runs.select("tile", group, (F.col("row") - 1).alias("row"), F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("node").alias("node2"))
-    links = runs.join(below, ["tile", group, "row"]).filter((F.col("a2") <= F.col("b") + reach) & (F.col("b2") >= F.col("a") - reach))
-    links = links.select("tile", group, F.col("node").alias("x"), F.col("node2").alias("y"))
-    links = checkpointed(links.union(links.select("tile", group, F.col("y").alias("x"), F.col("x").alias("y"))))
-    labels = runs.select("tile", group, F.col("node").alias("x"), F.col("node").alias("component"))
+    diagonal = len(steps) > 5
+    reach = EIGHT if diagonal else FOUR
+    placed = in_cells(pixels.select("tile", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), group), cell, 1)
+    kinds = {c: pixels.schema[c].dataType.simpleString() for c in ("tile", group)}
+
+    def label(key: tuple, table: pa.Table) -> pa.Table:
+        """Rows of the cell's pixels with their labels, and rows (label, number of a pixel across the border) of links."""
+        top, left = key[1].as_py() * cell - 1, key[2].as_py() * cell - 1
+        r, c = table.column("row").to_numpy(), table.column("col").to_numpy()
+        names = table.column(group).combine_chunks().dictionary_encode()
+        grid = np.zeros((cell + 2, cell + 2), np.int64)
+        kind = np.asarray(names.indices.fill_null(len(names.dictionary))) + 1
+        grid[r - top, c - left] = kind
+        inner = np.zeros_like(grid)
+        inner[1:-1, 1:-1] = grid[1:-1, 1:-1]
+        found = cell_labels(inner, diagonal)
+        number = lambda index: (index // (cell + 2) + top) * width + index % (cell + 2) + left
+        y, x = np.nonzero(found >= 0)
+        low, across = [], []
+        for dr, dc in reach:  # pixels of the rim beside the cell's own
+            ny, nx = y + dr, x + dc
+            out = ((ny == 0) | (ny == cell + 1) | (nx == 0) | (nx == cell + 1)) & (grid[ny, nx] == grid[y, x])
+            low.append(found[y[out], x[out]])
+            across.append((ny[out] + top) * width + nx[out] + left)
+        link = np.unique(np.stack([np.concatenate(low), np.concatenate(across)]), axis=1) if low else np.empty((2, 0), np.int64)
+        rim = (y == 1) | (y == cell) | (x == 1) | (x == cell)
+        n, m = len(y), link.shape[1]
+        values = pa.concat_arrays([names.dictionary, pa.nulls(1, names.dictionary.type)])
+        code = np.concatenate([grid[y, x], inner.ravel()[link[0]]]) - 1
+        return pa.table([pa.array([key[0].as_py()] * (n + m), table.schema.field("tile").type), values.take(pa.array(code)), pa.array(np.concatenate([y + top, np.zeros(m, np.int64)])), pa.array(np.concatenate([x + left, np.zeros(m, np.int64)])), pa.array(number(np.concatenate([found[y, x], link[0]]))), pa.array(np.concatenate([np.zeros(n, np.int64), link[1]]), mask=np.arange(n + m) < n), pa.array(np.concatenate([rim, np.zeros(m, bool)]))], names=["tile", group, "row", "col", "label", "beside", "rim"])
+
+    out = checkpointed(placed.groupBy("tile", "_cy", "_cx").applyInArrow(label, f"tile {kinds['tile']}, {group} {kinds[group]}, row long, col long, label long, beside long, rim boolean"), "cells")
+    own = out.filter("beside is null")
+    rims = own.filter("rim").select("tile", (F.col("row") * width + F.col("col")).alias("beside"), F.col("label").alias("other"))
+    links = out.filter("beside is not null").select("tile", "label", "beside").join(rims, ["tile", "beside"]).select("tile", F.col("label").alias("x"), F.col("other").alias("y")).distinct()  # both sides tell of each
+    links = checkpointed(links, "links")
+    labels = links.select("tile", "x", F.col("x").alias("component")).distinct()
     while True:
-        of = labels.select("tile", group, F.col("x").alias("y"), F.col("component").alias("c"))
-        near = links.join(of, ["tile", group, "y"]).groupBy("tile", group, "x").agg(F.min("c").alias("near"))
-        new = labels.join(near, ["tile", group, "x"], "left").withColumn("to", F.least("component", F.coalesce("near", "component")))
-        jump = labels.select("tile", group, F.col("x").alias("to"), F.col("component").alias("next"))
-        new = new.join(jump, ["tile", group, "to"], "left").select("tile", group, "x", F.least("to", F.coalesce("next", "to")).alias("new"), "component")
-        new = checkpointed(new)
-        labels = new.select("tile", group, "x", F.col("new").alias("component"))
-        if new.filter("new != component").limit(1).count() == 0:
+        of = labels.select("tile", F.col("x").alias("y"), F.col("component").alias("c"))
+        near = links.join(of, ["tile", "y"]).groupBy("tile", "x").agg(F.min("c").alias("near"))
+        new = labels.join(near, ["tile", "x"]).withColumn("to", F.least("component", "near"))
+        jump = labels.select("tile", F.col("x").alias("to"), F.col("component").alias("next"))
+        new = checkpointed(new.join(jump, ["tile", "to"]).select("tile", "x", F.least("to", "next").alias("new"), "component"), "labels")
+        labels = new.select("tile", "x", F.col("new").alias("component"))
+        if not new.filter("new != component").limit(1).count():
             break
-    named = runs.join(labels.withColumnRenamed("x", "node"), ["tile", group, "node"])
-    return named.select("tile", group, "row", F.explode(F.sequence("a", "b")).alias("col"), "component")
+    final = labels.withColumnRenamed("x", "label")
+    return own.join(final, ["tile", "label"], "left").select("tile", group, "row", "col", F.coalesce("component", "label").alias("component"))
 
 
 def component_stats(labelled: DataFrame, group: str = "cls", pixel_area: float = 900.0, least: int = 1) -> DataFrame:

@@ -65,3 +65,32 @@ def test_overwrites_keep_a_table_at_the_path(spark, tmp_path):
         got = sinks.overwrite_in_place(spark.read.parquet(path).withColumn("id", F.col("id") + 1), path)
         assert sorted(r["id"] for r in got.collect()) == [k + 1, k + 2, k + 3]
     assert sorted(p.name for p in tmp_path.iterdir()) == ["t", "t.backup"] and sorted(r["id"] for r in spark.read.parquet(path + ".backup").collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("diagonal", [True, False])
+@pytest.mark.parametrize("cell", [4, 9, 64])
+def test_components_by_cells(spark, cell, diagonal):
+    """Against a flood fill; two tiles, three groups of which one is null."""
+    rng = np.random.default_rng(cell)
+    grids = {t: rng.integers(0, 4, (21, 18)) for t in (1, 2)}
+    grids[2][:, 3:15] = 1  # one component over many cells
+    rows = [(t, int(r) - 5, int(c), None if g[r, c] == 3 else int(g[r, c])) for t, g in grids.items() for r, c in np.argwhere(g > 0)]
+    steps = raster.EIGHT if diagonal else raster.FOUR
+    got = {(x["tile"], x["row"], x["col"]): (x["cls"], x["component"]) for x in raster.components(spark.createDataFrame(rows, "tile int, row int, col int, cls int"), steps, cell=cell).collect()}
+    kind, seen = {(t, r, c): k for t, r, c, k in rows}, {}
+    for start in sorted(kind):
+        if start in seen:
+            continue
+        todo, seen[start] = [start], start[1] * (1 << 20) + start[2]
+        while todo:
+            t, r, c = todo.pop()
+            for dr, dc in steps:
+                near = (t, r + dr, c + dc)
+                if near in kind and near not in seen and kind[near] == kind[start]:
+                    seen[near] = seen[start]
+                    todo.append(near)
+    assert got == {p: (kind[p], seen[p]) for p in kind}
+
+
+def test_components_of_nothing(spark):
+    assert raster.components(spark.createDataFrame([], "tile int, row int, col int, cls int")).count() == 0
