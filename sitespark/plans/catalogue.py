@@ -209,7 +209,7 @@ _COUNTIES = "c AS (SELECT s_suppkey AS county_id, 'County ' || s_suppkey AS coun
 @query(f"""
 WITH p AS (SELECT *, p_partkey * 7919 % 1000000 AS x, p_partkey * 104729 % 1000000 AS y, CASE WHEN p_size % 2 = 0 THEN 'retired' ELSE 'retiring' END AS st FROM part), {_COUNTIES},
 e AS (SELECT 'EIA-' || p_partkey || '-' || st AS site_id, p_name AS site_name, 'S' || p_size % 5 AS state_abbr, NULL::VARCHAR AS county_name, 'EIA-860' AS source, p_type AS reuse_asset_type, st AS reuse_status, p_size::DOUBLE AS capacity_mw, NULL::DOUBLE AS acreage, 1990 + p_size % 40 AS retirement_year, p_type AS dominant_technology, NULL::VARCHAR AS epa_program, x, y FROM p WHERE p_partkey % 4 = 0),
-n AS (SELECT 'NRC-' || trim(regexp_replace(p_name, '\W+', '-', 'g'), '-'), p_name, 'S' || p_size % 5, NULL, 'EIA-860-nuclear', 'nuclear', 'operating', p_size::DOUBLE, NULL, NULL, NULL, NULL, x, y FROM p WHERE p_partkey % 4 = 1),
+n AS (SELECT 'NRC-' || trim(regexp_replace(p_name, '\\W+', '-', 'g'), '-'), p_name, 'S' || p_size % 5, NULL, 'EIA-860-nuclear', 'nuclear', 'operating', p_size::DOUBLE, NULL, NULL, NULL, NULL, x, y FROM p WHERE p_partkey % 4 = 1),
 q AS (SELECT 'EPA-' || p_partkey, p_name, 'S' || p_size % 5, CASE WHEN p_size % 4 > 0 THEN p_brand END, 'EPA-RE-Powering', p_type, 'active_industrial', NULL, try_cast(CASE WHEN p_size % 3 = 0 THEN 'unknown' ELSE p_size::VARCHAR END AS DOUBLE), NULL, NULL, p_brand, x, y FROM p WHERE p_partkey % 4 = 2),
 o AS (SELECT 'OSM-' || p_partkey, p_name, 'S' || p_size % 5, NULL, 'OpenStreetMap', p_type, 'active_industrial', NULL, p_size::DOUBLE, NULL, NULL, NULL, x, y FROM p WHERE p_partkey % 4 = 3),
 a AS (FROM e UNION ALL FROM n UNION ALL FROM q UNION ALL FROM o), h AS (SELECT DISTINCT x, y, first(county ORDER BY county_id) AS found FROM a JOIN c ON x > xmin AND x < xmin + 120000 AND y > ymin AND y < ymin + 120000 GROUP BY x, y)
