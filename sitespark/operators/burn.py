@@ -46,10 +46,9 @@ def edge_spans(rings: list[np.ndarray], low: int, high: int) -> tuple[np.ndarray
         n = np.maximum(last - first + 1, 0)
         e = np.repeat(np.arange(len(n)), n)
         row = np.arange(len(e)) - np.repeat(np.cumsum(n) - n, n) + first[e]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t0 = np.where(level[e], 0.0, (np.maximum(y0[e], row) - y0[e]) / (y1[e] - y0[e]))
-            t1 = np.where(level[e], 1.0, (np.minimum(y1[e], row + 1) - y0[e]) / (y1[e] - y0[e]))
-        a, b = x0[e] + t0 * (x1[e] - x0[e]), x0[e] + t1 * (x1[e] - x0[e])
+        with np.errstate(divide="ignore", invalid="ignore"):  # the division comes last, so that whole results are exact
+            a, b = (x0[e] + (y - y0[e]) * (x1[e] - x0[e]) / (y1[e] - y0[e]) for y in (np.maximum(y0[e], row), np.minimum(y1[e], row + 1)))
+        a, b = np.where(level[e], x0[e], a), np.where(level[e], x1[e], b)
         a, b = np.minimum(a, b), np.maximum(a, b)
         out[0].append(row)
         out[1].append(np.floor(a).astype(np.int64))
