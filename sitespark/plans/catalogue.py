@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry, parcels, rules
-from ..operators import nodes, raster, relational, spatial
+from ..operators import covers, nodes, raster, relational, spatial
 from . import sites
 from .scoring import ANCHOR_STATS, anchor_stats
 from .sites import ANCHORS, SITES, query, table
@@ -438,8 +438,7 @@ SELECT anchor_id, generation, generation - queued + headroom AS capacity_signal,
 def capacity_signal(spark, d):
     """Generation within 50 miles of each station, less what is queued, plus load headroom, and the headroom's band."""
     a = anchor_stats(spark, d)
-    pairs = spatial.radius_pairs(sites.sites(spark, d).select("site_id", "sx", "sy", "p_size"), a.select("anchor_id", "ax", "ay"), 80467, "sx", "sy", "ax", "ay")
-    g = pairs.groupBy("anchor_id").agg(F.sum("p_size").alias("mw_near"))
+    g = covers.gathered(a.select("anchor_id", "ax", "ay"), sites.sites(spark, d).select("sx", "sy", "p_size"), covers.discs("ax", "ay", [80467 * 80467]), "anchor_id", "sx", "sy", {"mw_near": ("sum", F.col("p_size"))})
     s = a.join(g, "anchor_id", "left").select("anchor_id", F.coalesce("mw_near", F.lit(0)).alias("generation"), F.col("mw").alias("queued"), (10 + F.col("anchor_id") % 200).alias("headroom"))
     return s.select("anchor_id", "generation", (F.col("generation") - F.col("queued") + F.col("headroom")).alias("capacity_signal"), parcels.headroom_band(F.col("headroom") / 100.0).alias("band"))
 
