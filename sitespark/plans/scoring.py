@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import reasons, rules
-from ..operators import spatial
+from ..operators import covers
+from ..operators.shared import checkpointed
 from . import sites
 from .sites import query
 
@@ -75,22 +76,23 @@ def anchor_signal(spark, d):
 def anchor_summary(spark: SparkSession, d: str, places: DataFrame, cap: int | None = None) -> DataFrame:
     """Of each place: anchors within 50 km, their contributions in ten-millionths (capped for each anchor if asked),
     the primary one, and what happens within 25 km."""
-    pairs = spatial.radius_pairs(places.select("site_id", "sx", "sy"), anchor_stats(spark, d), 50000, "sx", "sy", "ax", "ay")
-    decay = rules.bands(F.col("d2"), [(25_000_000, 100), (100_000_000, 67), (625_000_000, 33)], 10)
-    given = F.col("base10") * rules.voltage_percent(F.col("kv")) * decay * rules.confidence_percent(F.col("match"), F.col("line_fraction"))
-    pairs = pairs.withColumn("given", given).withColumn("used", F.least("given", F.lit(cap * 10_000_000)) if cap else F.col("given"))
-    near = F.col("d2") <= 625_000_000
-    agreed = near & (F.col("best") == "executed_ia")
-    found = pairs.groupBy("site_id").agg(
-        F.count(F.lit(1)).alias("anchors"), F.sum("used").alias("total"), F.min(F.struct((-F.col("given")).alias("g"), "anchor_id", "tier", "match", "kv", "d2")).alias("p"),
-        F.sum(F.when(near, F.col("base10")).otherwise(0)).alias("activity10"), F.sum(F.when(near, F.col("mw")).otherwise(0)).alias("mw_nearby"), F.count_if(near).alias("n_near"),
-        F.count_if(agreed).alias("n_agreed"), F.sum(F.when(near, F.col("withdrawn")).otherwise(0)).alias("withdrawals"),
-    )
-    out = places.join(found, "site_id", "left").withColumn("anchors", F.coalesce("anchors", F.lit(0)))
+    band = F.col("band")
+    near = band <= 3
+    a = anchor_stats(spark, d)
+    a = checkpointed(a.select("anchor_id", "ax", "ay", "tier", "match", "kv", "base10", "mw", "withdrawn", (F.col("best") == "executed_ia").alias("agreed"), (F.col("base10") * rules.voltage_percent(F.col("kv")) * rules.confidence_percent(F.col("match"), F.col("line_fraction"))).alias("worth")), "anchors")
+    given = F.col("worth") * rules.lookup(band, {1: 100, 2: 67, 3: 33}, 10)
+    used = F.least(given, F.lit(cap * 10_000_000)) if cap else given
+    rings = covers.discs("ax", "ay", [25_000_000, 100_000_000, 625_000_000, 2_500_000_000])
+    found = covers.folded(places, a, rings, "sx", "sy", {
+        "n": ("sum", F.lit(1)), "total": ("sum", used), "p": ("min", F.struct((-given).alias("g"), "anchor_id", "tier", "match", "band")),
+        "activity10": ("sum", F.when(near, F.col("base10")).otherwise(0)), "mw_nearby": ("sum", F.when(near, F.col("mw")).otherwise(0)), "n_near": ("sum", F.when(near, 1).otherwise(0)),
+        "n_agreed": ("sum", F.when(near & F.col("agreed"), 1).otherwise(0)), "withdrawals": ("sum", F.when(near, F.col("withdrawn")).otherwise(0)),
+    })
+    out = places.join(found.hint("merge"), ["sx", "sy"], "left").withColumn("anchors", F.coalesce("n", F.lit(0)))
     heat = (F.coalesce("mw_nearby", F.lit(0)) > 500) & (F.col("n_agreed") / F.greatest("n_near", F.lit(1)) < 0.3)
     return out.select(
         *places.columns, "anchors", (F.col("anchors") == 0).alias("zone_fallback"), F.col("p.anchor_id").alias("primary_anchor"), F.col("p.tier").alias("queue_tier"), F.col("p.match").alias("anchor_match"),
-        rules.distance_band(F.sqrt("p.d2")).alias("distance_band"), F.least(F.lit(100.0), F.coalesce("total", F.lit(0)) / 10_000_000.0).alias("utility"),
+        rules.distance_band(rules.lookup(F.col("p.band"), {1: 5000, 2: 10_000, 3: 25_000, 4: 50_000}, None)).alias("distance_band"), F.least(F.lit(100.0), F.coalesce("total", F.lit(0)) / 10_000_000.0).alias("utility"),
         F.least(F.lit(100.0), F.coalesce("activity10", F.lit(0)) / 10.0).alias("activity"), F.coalesce("mw_nearby", F.lit(0)).alias("mw_nearby"), F.coalesce(F.col("n_agreed") > 0, F.lit(False)).alias("ia_nearby"),
         F.coalesce("withdrawals", F.lit(0)).alias("withdrawals"), rules.true(heat).alias("heat"), F.when(F.col("anchors") > 0, "complete").otherwise("zone_fallback").alias("utility_status"),
     )
