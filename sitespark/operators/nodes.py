@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry, rules
 from ..functions.overlay import RINGS, total_area
-from . import polygons
+from . import covers
+from .shared import spread
 
 #: The columns of a node, in order: fixed values.
 COLUMNS = ("site_id", "site_name", "state_abbr", "county_name", "source", "reuse_asset_type", "reuse_status", "capacity_mw", "acreage", "retirement_year", "dominant_technology", "epa_program", "x", "y")
@@ -73,10 +74,11 @@ def normalised(plants: Source, nuclear: Source, repowering: Source, mapped: Sour
 
 def with_counties(nodes: DataFrame, counties: DataFrame, key: str, name: str, rings: str, size: float) -> DataFrame:
     """Missing county names by the county that holds the place, of several the one with the least key."""
-    lacking = nodes.filter(F.col("county_name").isNull() & F.col("x").isNotNull() & F.col("y").isNotNull()).select("x", "y").distinct()
-    inside = polygons.points_in(lacking, counties.select(F.col(key).alias("_key"), F.col(name).alias("_county"), F.col(rings).alias("_rings")), "x", "y", "_rings", size)
-    found = inside.groupBy("x", "y").agg(F.min_by("_county", "_key").alias("_county"))
-    return nodes.join(found, ["x", "y"], "left").withColumn("county_name", F.coalesce("county_name", "_county")).select(*COLUMNS)
+    lacking = nodes.filter(F.col("county_name").isNull()).select("x", "y")
+    held = counties.select(F.col(key).alias("_key"), F.col(name).alias("_county"), F.col(rings).cast(RINGS).alias("_rings"))
+    found = covers.folded(lacking, held, covers.polygons("_rings"), "x", "y", {"_best": ("min", F.struct("_key", "_county"))}).select("x", "y", F.col("_best._county").alias("_county"))
+    nodes = spread(nodes)
+    return nodes.join(found.hint("merge"), ["x", "y"], "left").withColumn("county_name", F.coalesce("county_name", "_county")).select(*COLUMNS)
 
 
 #: The largest footprint, and that of a node of which nothing is known, in acres: fixed values.
@@ -100,13 +102,13 @@ def footprints(nodes: DataFrame, shapes: DataFrame, shape_id: str, shape_rings:
     """
     area = total_area(F.col(shape_rings))
     held = shapes.select(F.col(shape_id).alias("_id"), F.col(shape_rings).cast(RINGS).alias("_held"), area.alias("_area"))
-    at = nodes.filter(F.col("rings").isNull() & F.col("x").isNotNull() & F.col("y").isNotNull()).select("x", "y").distinct()
-    found = polygons.points_in(at, held, "x", "y", "_held", size).groupBy("x", "y").agg(F.min(F.struct("_area", "_id")).alias("_best"))
-    found = found.join(held.select("_id", "_held"), F.col("_best._id") == F.col("_id")).select("x", "y", F.col("_best._area").alias("_area"), F.col("_id"), "_held")
+    at = nodes.filter(F.col("rings").isNull()).select("x", "y")
+    found = covers.folded(at, held, covers.polygons("_held"), "x", "y", {"_best": ("min", F.struct("_area", "_id"))})
+    found = found.join(held.select("_id", "_held").hint("merge"), F.col("_best._id") == F.col("_id")).select("x", "y", F.col("_best._area").alias("_area"), F.col("_id"), "_held")
     c, plant = F.col, plant_acres(F.col("reuse_asset_type"), F.col("dominant_technology"), F.col("capacity_mw"))
     fits = F.coalesce(c("_area") * geometry.ACRES_PER_M2_ROUNDED <= MOST_ACRES, F.lit(False))
     step = F.when(c("rings").isNotNull(), 1).when(fits, 2).when(c("acreage") > 0, 3).when(plant.isNotNull(), 4).otherwise(5)
-    out = nodes.join(found, ["x", "y"], "left").withColumn("_step", step)
+    out = nodes.join(found.hint("merge"), ["x", "y"], "left").withColumn("_step", step)
     acres = F.least(F.lit(MOST_ACRES), F.when(c("_step") == 3, c("acreage")).when(c("_step") == 4, plant).otherwise(DEFAULT_ACRES))
     square = F.when(c("x").isNotNull() & c("y").isNotNull(), F.array(geometry.square(c("x"), c("y"), acres)))
     rings = F.when(c("_step") == 1, c("rings").cast(RINGS)).when(c("_step") == 2, c("_held")).otherwise(square.cast(RINGS))
