@@ -1,16 +1,20 @@
 """Spatial joins as equi-joins on grid cells, with an exact predicate after them.
 
 Points live in one cell; boxes and search discs are listed for the cells they cover. The cell size is the search radius
-(or the usual size of a box), so a row is listed for a few cells. Joins on cells are plain equi-joins: Catalyst broadcasts
-a side it knows to be small, AQE splits cells that are crowded, and nothing here broadcasts by itself.
+(or the usual size of a box), so a row is listed for a few cells. Joins on cells are plain equi-joins that shuffle: Catalyst's
+size of a side whose rows were listed for cells is that of its file, so it would send many times that through the driver. AQE
+splits cells that are crowded.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import checkpointed
+from .shared import checkpointed, spread
 
 
 def cell(v: Column, size: float) -> Column:
@@ -36,16 +40,42 @@ def squared(left_x: str, left_y: str, right_x: str, right_y: str) -> Column:
 
 def radius_pairs(left: DataFrame, right: DataFrame, radius: float, lx: str, ly: str, rx: str, ry: str) -> DataFrame:
     """All pairs of points at most `radius` apart, with `d2`, the squared distance. Column names must differ."""
-    near = over_box(right, F.col(rx) - radius, F.col(ry) - radius, F.col(rx) + radius, F.col(ry) + radius, radius)
-    pairs = at_point(left, lx, ly, radius).join(near, ["_cx", "_cy"]).withColumn("d2", squared(lx, ly, rx, ry))
+    near = over_box(spread(right), F.col(rx) - radius, F.col(ry) - radius, F.col(rx) + radius, F.col(ry) + radius, radius)
+    pairs = at_point(left, lx, ly, radius).join(near.hint("merge"), ["_cx", "_cy"]).withColumn("d2", squared(lx, ly, rx, ry))
     return pairs.filter(F.col("d2") <= radius * radius).drop("_cx", "_cy")
 
 
+def spacing(points: DataFrame, x: str, y: str) -> float:
+    """The usual distance between neighbours, were points spread evenly over their bounds."""
+    n, wide, high = points.agg(F.count(F.lit(1)), F.max(x) - F.min(x), F.max(y) - F.min(y)).first()
+    return max(float(wide or 0), float(high or 0)) / math.sqrt(n) if n else 0.0
+
+
+def widening(places: DataFrame, x: str, y: str, first: float, radius: float, match: Callable[[DataFrame, float], DataFrame]) -> DataFrame:
+    """What match(places, r) finds within r of each place (one row a place), r growing from first to radius; a place that has found
+    something is done, as nothing nearer is beyond. So crowded places never list all that is within the radius."""
+    rest, out, r = checkpointed(places, "places"), None, min(first, radius) if first > 0 else radius
+    while True:
+        found = checkpointed(match(rest, r), "found")
+        out = found if out is None else out.unionByName(found)
+        if r >= radius:
+            return out
+        rest = checkpointed(rest.join(found.select(x, y).hint("merge"), [x, y], "left_anti"), "places")
+        if rest.isEmpty():
+            return out
+        r = min(2 * r, radius)
+
+
 def nearest_within(left: DataFrame, right: DataFrame, key: str, right_key: str, radius: float, lx: str, ly: str, rx: str, ry: str, carry: list[str] = ()) -> DataFrame:
     """Each left row with its nearest right row at most `radius` away (ties to the lesser right key) and its columns, or nulls."""
-    best = radius_pairs(left.select(key, lx, ly), right.select(right_key, rx, ry, *carry), radius, lx, ly, rx, ry)
-    best = best.groupBy(key).agg(F.min(F.struct("d2", right_key, *carry)).alias("best"))
-    return left.join(best, key, "left").select(left.columns + [F.col("best.d2").alias("d2"), *[F.col(f"best.{c}").alias(c) for c in (right_key, *carry)]])
+    targets = right.filter(F.col(rx).isNotNull() & F.col(ry).isNotNull()).groupBy(rx, ry).agg(F.min(F.struct(right_key, *carry)).alias("_of"))
+    places = left.filter(F.col(lx).isNotNull() & F.col(ly).isNotNull()).select(lx, ly).distinct()
+
+    def match(rest: DataFrame, r: float) -> DataFrame:
+        return radius_pairs(rest, targets, r, lx, ly, rx, ry).groupBy(lx, ly).agg(F.min(F.struct("d2", "_of")).alias("best"))
+
+    best = widening(places, lx, ly, 1.5 * spacing(right, rx, ry), radius, match)
+    return spread(left).join(best.hint("merge"), [lx, ly], "left").select(left.columns + [F.col("best.d2").alias("d2"), *[F.col(f"best._of.{c}").alias(c) for c in (right_key, *carry)]])
 
 
 def quadtree(points: DataFrame, x: str, y: str, most: int, deepest: int) -> tuple[DataFrame, DataFrame, tuple[float, float, float]]:
@@ -133,9 +163,9 @@ def intersecting_boxes(left: DataFrame, right: DataFrame, size: float, prefix: s
     """Pairs of boxes that meet, touching included; the right box's columns are prefixed. A pair is reported by the cell
     that holds the corner where its intersection begins, so no distinct is needed."""
     right = right.select([F.col(c).alias(prefix + c) for c in right.columns])
-    a = over_box(left, F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"), size)
-    b = over_box(right, F.col(f"{prefix}xmin"), F.col(f"{prefix}ymin"), F.col(f"{prefix}xmax"), F.col(f"{prefix}ymax"), size)
-    pairs = a.join(b, ["_cx", "_cy"])
+    a = over_box(spread(left), F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"), size)
+    b = over_box(spread(right), F.col(f"{prefix}xmin"), F.col(f"{prefix}ymin"), F.col(f"{prefix}xmax"), F.col(f"{prefix}ymax"), size)
+    pairs = a.join(b.hint("merge"), ["_cx", "_cy"])
     x, y = F.greatest("xmin", f"{prefix}xmin"), F.greatest("ymin", f"{prefix}ymin")
     meet = (x <= F.least("xmax", f"{prefix}xmax")) & (y <= F.least("ymax", f"{prefix}ymax"))
     return pairs.filter(meet & (F.col("_cx") == cell(x, size)) & (F.col("_cy") == cell(y, size))).drop("_cx", "_cy")
