@@ -179,3 +179,72 @@ def shape_distance(a: Column, b: Column) -> Column:
         return pa.array([gap_of(x, y) for x, y in zip(unpacked(left), unpacked(right), strict=True)], pa.float64())
 
     return run(a.cast(RINGS), b.cast(RINGS))
+
+
+def _product(m: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row all pairs of its m things and its n others: row, and indices into all things and all others."""
+    row = np.repeat(np.arange(len(m)), m * n)
+    k = np.arange(len(row)) - np.repeat(np.cumsum(m * n) - m * n, m * n)
+    return row, (np.cumsum(m) - m)[row] + k // n[row], (np.cumsum(n) - n)[row] + k % n[row]
+
+
+def flat_edges(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all polygons at once: edges, how many each has, which are of closed rings, the first points of rings, how many each has."""
+    rings = column.flatten()
+    points = rings.flatten()
+    flat = np.column_stack([points.field(c).to_numpy(zero_copy_only=False) for c in "xy"]) if len(points) else np.empty((0, 2))
+    sizes = pa.compute.fill_null(pa.compute.list_value_length(rings), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    counts = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    owner, start = np.repeat(np.arange(len(counts)), counts)[sizes > 0], (np.cumsum(sizes) - sizes)[sizes > 0]
+    sizes = sizes[sizes > 0]
+    n = np.maximum(sizes - 1, 1)  # a ring of one point is an edge from it to itself
+    ring = np.repeat(np.arange(len(n)), n)
+    a = start[ring] + np.arange(len(ring)) - np.repeat(np.cumsum(n) - n, n)
+    b = np.where(sizes[ring] > 1, a + 1, a)
+    closed = (sizes > 3) & (flat[start] == flat[start + sizes - 1]).all(1)
+    per = lambda rows: np.bincount(rows, minlength=len(counts)).astype(np.int64)
+    return np.hstack([flat[a], flat[b]]), per(owner[ring]), closed[ring], flat[start], per(owner)
+
+
+def meet(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Which shapes intersect, touching included: edges that have a point in common, or a ring's first point inside the other shape."""
+    (ea, na, ca, pa_, ra), (eb, nb, cb, pb, rb) = flat_edges(left), flat_edges(right)
+    found = np.zeros(len(left), bool)
+    row, i, j = _product(na, nb)
+    a, b = ea[i].T, eb[j].T
+    turn = lambda s, x, y: np.sign((s[2] - s[0]) * (y - s[1]) - (s[3] - s[1]) * (x - s[0]))
+    near = (np.minimum(a[0], a[2]) <= np.maximum(b[0], b[2])) & (np.minimum(b[0], b[2]) <= np.maximum(a[0], a[2])) & (np.minimum(a[1], a[3]) <= np.maximum(b[1], b[3])) & (np.minimum(b[1], b[3]) <= np.maximum(a[1], a[3]))
+    found[row[near & (turn(a, b[0], b[1]) * turn(a, b[2], b[3]) <= 0) & (turn(b, a[0], a[1]) * turn(b, a[2], a[3]) <= 0)]] = True
+    for points, np_, edges, ne, closed in ((pa_, ra, eb, nb, cb), (pb, rb, ea, na, ca)):
+        row, i, j = _product(np_, ne)
+        (x, y), (x0, y0, x1, y1) = points[i].T, edges[j].T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            crosses = closed[j] & ((y0 <= y) != (y1 <= y)) & (x0 + (y - y0) * (x1 - x0) / (y1 - y0) > x)
+        point = np.bincount(i[crosses], minlength=len(points)) % 2 == 1
+        found[np.repeat(np.arange(len(np_)), np_)[point]] = True
+    return found
+
+
+#: Pairs of edges compared at once; shapes with more between them are measured by blocks instead.
+AT_ONCE = 1 << 21
+
+
+def shapes_meet(a: Column, b: Column) -> Column:
+    """Whether shapes intersect, touching included; closed rings are areas, open ones lines."""
+
+    @F.arrow_udf("boolean")
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        work = flat_edges(left)[1] * flat_edges(right)[1]
+        found, at, large = np.zeros(len(left), bool), 0, work > AT_ONCE
+        part = np.cumsum(np.where(large, 0, work)) // AT_ONCE
+        while at < len(left):
+            to = int(np.searchsorted(part, part[at], "right"))
+            rows = np.arange(at, to)[~large[at:to]]
+            if len(rows):
+                found[rows] = meet(left.take(pa.array(rows)), right.take(pa.array(rows)))
+            at = to
+        for k in np.flatnonzero(large):
+            found[k] = gap_of(next(unpacked(left.slice(k, 1))), next(unpacked(right.slice(k, 1)))) == 0
+        return pa.array(found)
+
+    return run(a.cast(RINGS), b.cast(RINGS))

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry
-from ..functions.overlay import overlay, rings_area, shape_distance, total_area, unpacked
+from ..functions.overlay import overlay, rings_area, shapes_meet, total_area, unpacked
+from . import covers, spatial
+from .shared import checkpointed, spread
 
 
 def _at(v: Column, size: float) -> Column:
@@ -28,47 +30,67 @@ def listed(df: DataFrame, rings: str, size: float, margin: float = 0.0) -> DataF
 
 
 def points_in(points: DataFrame, shapes: DataFrame, x: str, y: str, rings: str, size: float, how: str = "inner") -> DataFrame:
-    """Points joined to the shapes they are strictly inside of, by the even-odd rule over all rings."""
-    cells = listed(shapes, rings, size).drop("lx", "ly")
-    at = points.withColumn("cx", _at(F.col(x), size)).withColumn("cy", _at(F.col(y), size))
-    hits = F.aggregate(F.transform(rings, lambda r: geometry.contains(r, F.col(x), F.col(y)).cast("int")), F.lit(0), lambda s, v: s + v) % 2 == 1
-    cells = cells.withColumnsRenamed({"cx": "_sx", "cy": "_sy"})  # a point is in one cell, so a left join keeps or matches each row by itself
-    return at.join(cells, (F.col("cx") == F.col("_sx")) & (F.col("cy") == F.col("_sy")) & hits, how).drop("cx", "cy", "_sx", "_sy")
+    """Points joined to the shapes they are strictly inside of, by the even-odd rule over all rings. Cells follow from the points
+    (operators.covers), so size is of no effect."""
+    found = covers.pairs(points, shapes, covers.polygons(rings), x, y).drop("band")
+    if how == "inner":
+        return found
+    return found.unionByName(points.join(found.select(x, y).distinct().hint("merge"), [x, y], "left_anti"), allowMissingColumns=True)
 
 
 def meeting(left: DataFrame, right: DataFrame, left_rings: str, right_rings: str, size: float) -> DataFrame:
     """Pairs of shapes that intersect, touching included. Column names must differ."""
-    a = listed(left, left_rings, size)
-    b = listed(right, right_rings, size).withColumnRenamed("lx", "mx").withColumnRenamed("ly", "my")
-    pairs = a.join(b, ["cx", "cy"]).filter((F.col("cx") == F.greatest("lx", "mx")) & (F.col("cy") == F.greatest("ly", "my")))
-    boxes = [geometry.bounds(F.flatten(c)) for c in (left_rings, right_rings)]
-    near = (boxes[0]["xmin"] <= boxes[1]["xmax"]) & (boxes[1]["xmin"] <= boxes[0]["xmax"]) & (boxes[0]["ymin"] <= boxes[1]["ymax"]) & (boxes[1]["ymin"] <= boxes[0]["ymax"])
-    return pairs.filter(near).filter(shape_distance(F.col(left_rings), F.col(right_rings)) == 0).drop("cx", "cy", "lx", "ly", "mx", "my")
+    def side(df: DataFrame, rings: str, p: str) -> DataFrame:
+        df = df.withColumn("_b", geometry.bounds(F.flatten(rings)))
+        return listed(spread(df), rings, size).select(*df.columns, "cx", "cy", F.col("lx").alias(f"{p}x"), F.col("ly").alias(f"{p}y")).withColumnRenamed("_b", f"{p}b")
+
+    a, b = side(left, left_rings, "_l"), side(right, right_rings, "_r")
+    pairs = a.join(b.hint("merge"), ["cx", "cy"]).filter((F.col("cx") == F.greatest("_lx", "_rx")) & (F.col("cy") == F.greatest("_ly", "_ry")))
+    p, q = F.col("_lb"), F.col("_rb")
+    near = (p["xmin"] <= q["xmax"]) & (q["xmin"] <= p["xmax"]) & (p["ymin"] <= q["ymax"]) & (q["ymin"] <= p["ymax"])
+    return pairs.filter(near).filter(shapes_meet(F.col(left_rings), F.col(right_rings))).drop("cx", "cy", "_lx", "_ly", "_rx", "_ry", "_lb", "_rb")
 
 
 def nearest_shape(points: DataFrame, shapes: DataFrame, key: str, shape_key: str, x: str, y: str, rings: str, radius: float, carry: list[str] = (), is_area: bool = True) -> DataFrame:
-    """Each point with its nearest shape at most `radius` away (0 inside an area), ties to the lesser key, and its columns."""
-    cells = listed(shapes.select(shape_key, rings, *carry), rings, radius, radius).drop("lx", "ly")
-    at = points.select(key, x, y).withColumn("cx", _at(F.col(x), radius)).withColumn("cy", _at(F.col(y), radius))
-    far = F.array_min(F.transform(rings, lambda r: geometry.distance(r, F.col(x), F.col(y), is_area)))
-    pairs = at.join(cells, ["cx", "cy"]).withColumn("distance", far).filter(F.col("distance") <= radius)
-    best = pairs.groupBy(key).agg(F.min(F.struct("distance", shape_key, *carry)).alias("best"))
-    return points.join(best, key, "left").select(*points.columns, F.col("best.distance").alias("distance"), *[F.col(f"best.{c}").alias(c) for c in (shape_key, *carry)])
+    """Each point with its nearest shape at most `radius` away (0 inside an area), ties to the lesser key, and its columns. Edges meet
+    places by cells as wide as the search, which grows from the usual distance between places."""
+    places = covers.known(points, x, y).select(x, y).distinct()
+    edges = spread(shapes).select(shape_key, *carry, F.explode(F.flatten(F.transform(rings, geometry.segments))).alias("_s"))
+    edges = edges.select(shape_key, *carry, *(F.col(f"_s.{e}.{c}").alias(f"_{e}{c}") for e in "ab" for c in "xy"))
+    ax, ay, bx, by = (F.col(c) for c in ("_ax", "_ay", "_bx", "_by"))
+    distance = geometry.point_segment_distance(F.col(x), F.col(y), {"a": {"x": ax, "y": ay}, "b": {"x": bx, "y": by}})
+    best = F.min(F.struct("distance", shape_key, *carry)).alias("best")
+
+    def match(rest: DataFrame, r: float) -> DataFrame:
+        near = edges.withColumn("cx", F.explode(F.sequence(_at(F.least(ax, bx) - r, r), _at(F.greatest(ax, bx) + r, r))))
+        # the heights of the edge over the column, widened by r: what is within r of a point in the column lies between
+        low, high = ((F.when(ax == bx, by if last else ay).otherwise(ay + (by - ay) * F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("cx") * r + last * r + (r if last else -r) - ax) / (bx - ax))))) for last in (0, 1))
+        room = r * (1 + 1e-9) + F.greatest(F.abs(ay), F.abs(by)) * 1e-12
+        near = near.withColumn("_low", F.least(low, high) - room).withColumn("_high", F.greatest(low, high) + room)
+        near = near.withColumn("cy", F.explode(F.sequence(_at(F.col("_low"), r), _at(F.col("_high"), r)))).drop("_low", "_high")
+        at = rest.withColumn("cx", _at(F.col(x), r)).withColumn("cy", _at(F.col(y), r))
+        return at.join(near.hint("merge"), ["cx", "cy"]).withColumn("distance", distance).filter(F.col("distance") <= r).groupBy(x, y).agg(best)
+
+    found = spatial.widening(places, x, y, spatial.spacing(places, x, y), radius, match)
+    if is_area:
+        inside = covers.folded(places, shapes, covers.polygons(rings), x, y, {"best": ("min", F.struct(F.lit(0.0).alias("distance"), shape_key, *carry))})
+        found = found.unionByName(inside).groupBy(x, y).agg(F.min("best").alias("best"))
+    return spread(points).join(found.hint("merge"), [x, y], "left").select(*points.columns, F.col("best.distance").alias("distance"), *[F.col(f"best.{c}").alias(c) for c in (shape_key, *carry)])
 
 
 def inside_else_nearest(points: DataFrame, shapes: DataFrame, key: str, shape_key: str, x: str, y: str, rings: str, size: float, radius: float, weight: str) -> DataFrame:
     """The containing shape of greatest weight, at distance 0; for points in none the nearest within the radius."""
-    inside = points_in(points.select(key, x, y), shapes, x, y, rings, size).groupBy(key).agg(F.min(F.struct((-F.col(weight)).alias("w"), shape_key)).alias("in"))
-    both = points.join(inside, key, "left")
-    out = nearest_shape(both, shapes, key, shape_key, x, y, rings, radius)
-    found = F.col("in").isNotNull()
-    return out.select(*points.columns, found.alias("inside"), F.when(found, F.col(f"in.{shape_key}")).otherwise(F.col(shape_key)).alias(shape_key), F.when(found, 0.0).otherwise(F.col("distance")).alias("distance"))
+    inside = covers.folded(points, shapes, covers.polygons(rings), x, y, {"in": ("min", F.struct((-F.col(weight)).alias("w"), shape_key))})
+    both = checkpointed(spread(points).join(inside.hint("merge"), [x, y], "left").select(*points.columns, "in"), "inside")
+    found = both.filter(F.col("in").isNotNull()).select(*points.columns, F.lit(True).alias("inside"), F.col(f"in.{shape_key}").alias(shape_key), F.lit(0.0).alias("distance"))
+    out = nearest_shape(both.filter(F.col("in").isNull()).select(*points.columns), shapes, key, shape_key, x, y, rings, radius)
+    return found.unionByName(out.select(*points.columns, F.lit(False).alias("inside"), shape_key, "distance"))
 
 
 def dissolved_area(shapes: DataFrame, key: str, rings: str, size: float) -> DataFrame:
     """The area that each key's polygons cover together, and the sum of their areas: polygons meet by the grid cells their
     bounds cover, are united within the cell in pairs, and the cells' areas are added, so that no task holds a whole group."""
-    cells = listed(shapes.select(key, F.col(rings).alias("rings")), "rings", size).drop("lx", "ly")
+    cells = listed(spread(shapes.select(key, F.col(rings).alias("rings"))), "rings", size).drop("lx", "ly")
 
     def run(table: pa.Table) -> pa.Table:
         cx, cy = table.column("cx")[0].as_py() * size, table.column("cy")[0].as_py() * size
@@ -88,7 +110,7 @@ def subdivide(shapes: DataFrame, key: str, rings: str, size: float, least: float
     """Shapes cut along an aligned grid: pieces of `least` area or more with an id, their parent, area and pixels."""
     from ..functions.overlay import combined
 
-    cells = listed(shapes, rings, size).drop("lx", "ly")
+    cells = spread(listed(spread(shapes), rings, size).drop("lx", "ly"))
     frame = F.array(geometry.box_ring(F.col("cx") * size, F.col("cy") * size, (F.col("cx") + 1) * size, (F.col("cy") + 1) * size))
     pieces = cells.withColumn("piece", combined(F.col(rings), frame, "intersection")).withColumn("area", total_area(F.col("piece"))).filter(F.col("area") >= least)
     name = F.substring(F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.col("cx"), F.col("cy")), 256), 1, 16)
