@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.overlay import RINGS, unpacked
+from .shared import spread
 
 RUNS = "array<struct<row:bigint,first:bigint,last:bigint>>"
 
@@ -103,11 +104,11 @@ def covered(pixels: DataFrame, shapes: DataFrame, rings: str, rows: tuple[int, i
     """pixels (tile, row, col, ...) beside each shape over them; shapes with a `tile` column stay on their tile."""
     by = ["tile"] if "tile" in shapes.columns else []
     keep = [c for c in shapes.columns if c != rings]
-    runs = shapes.select(*keep, F.explode(pixel_runs(F.col(rings), rows, cols, touched)).alias("_r"))
+    runs = spread(shapes).select(*keep, F.explode(pixel_runs(F.col(rings), rows, cols, touched)).alias("_r"))
     at = lambda c: F.floor(c / block).cast("long")
     runs = runs.withColumn("_b", F.explode(F.sequence(at(F.col("_r.first")), at(F.col("_r.last"))))).select(*keep, F.col("_r.row").alias("row"), "_b", F.col("_r.first").alias("_first"), F.col("_r.last").alias("_last"))
     placed = pixels.withColumn("row", F.col("row").cast("long")).withColumn("_b", at(F.col("col")))
-    return placed.join(runs, [*by, "row", "_b"]).filter(F.col("col").between(F.col("_first"), F.col("_last"))).drop("_b", "_first", "_last")
+    return placed.join(runs.hint("merge"), [*by, "row", "_b"]).filter(F.col("col").between(F.col("_first"), F.col("_last"))).drop("_b", "_first", "_last")
 
 
 def zonal(pixels: DataFrame, shapes: DataFrame, zone: str, rings: str, rows: tuple[int, int], cols: tuple[int, int], value: str = "value", touched: bool = False) -> DataFrame:
