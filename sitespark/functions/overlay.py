@@ -90,9 +90,10 @@ def difference_ladder(a: Column, b: Column, grids: tuple[float, ...] = (1.0, 5.0
 def ladder(a: list[np.ndarray], b: list[np.ndarray], grids: tuple[float, ...]) -> list[np.ndarray]:
     for grid in grids:
         p, q = (overlay([np.round(r / grid) * grid for r in rings], [], "union") for rings in (a, b))
-        left, cut, whole = rings_area(overlay(p, q, "difference")), rings_area(overlay(p, q, "intersection")), rings_area(p)
-        if abs(left + cut - whole) <= 1e-6 * max(1.0, whole):
-            return overlay(p, q, "difference")
+        rest = overlay(p, q, "difference")
+        cut, whole = rings_area(overlay(p, q, "intersection")), rings_area(p)
+        if abs(rings_area(rest) + cut - whole) <= 1e-6 * max(1.0, whole):
+            return rest
     return a
 
 

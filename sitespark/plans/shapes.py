@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry, overlay
 from ..operators import polygons, raster
+from ..operators.shared import spread
 from . import sites
 from .sites import ANCHORS, BOXES, SITES, query, table
 
@@ -81,7 +82,7 @@ SELECT site_id, round(shared::DOUBLE, 2) AS shared, round((whole - shared)::DOUB
 def parcel_overlays(spark, d):
     """Intersection, difference and union of polygons, and their areas."""
     k = F.col("site_id")
-    b = sites.boxes(spark, d).withColumn("ax", F.col("xmin") + k % 700).withColumn("ay", F.col("ymin") - k % 300).withColumn("h", 100 + k % 900)
+    b = spread(sites.boxes(spark, d)).withColumn("ax", F.col("xmin") + k % 700).withColumn("ay", F.col("ymin") - k % 300).withColumn("h", 100 + k % 900)
     b = b.withColumn("a", F.array(geometry.box_ring(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax")))).withColumn("b", F.array(geometry.box_ring(F.col("ax") - F.col("h"), F.col("ay") - F.col("h"), F.col("ax") + F.col("h"), F.col("ay") + F.col("h"))))
     areas = [F.round(overlay.total_area(f), 2).alias(n) for n, f in (("shared", overlay.combined(F.col("a"), F.col("b"), "intersection")), ("remaining", overlay.difference_ladder(F.col("a"), F.col("b"))), ("united", overlay.combined(F.col("a"), F.col("b"), "union")))]
     return b.select("site_id", *areas)
