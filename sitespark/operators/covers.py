@@ -192,6 +192,18 @@ def folded(points: DataFrame, shapes: DataFrame, kind: Kind, x: str, y: str, val
     return one.groupBy(x, y).agg(*merged).unionByName(two).groupBy(x, y).agg(*merged)
 
 
+def surely(points: DataFrame, shapes: DataFrame, kind: Kind, x: str, y: str) -> DataFrame:
+    """Distinct places (x, y) in a cell that some shape holds wholly: no pair is looked at, and places beside outlines, which may be
+    held too, are left out."""
+    places = known(points, x, y).select(x, y).distinct()
+    grid = grid_for(known(points, x, y), x, y, shapes, kind)
+    if grid is None:
+        return places.limit(0)
+    size, top = grid
+    inside = covering(shapes, kind, size, top, True).select(CELL).distinct()
+    return at_levels(placed(places, x, y, size), top).join(inside.hint("merge"), CELL, "left_semi").select(x, y).distinct()
+
+
 def pairs(points: DataFrame, shapes: DataFrame, kind: Kind, x: str, y: str) -> DataFrame:
     """Points beside each shape that holds them, with `band`; column names must differ."""
     grid = grid_for(known(points, x, y), x, y, shapes, kind)

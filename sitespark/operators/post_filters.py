@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry, rules
-from ..functions.overlay import total_area
-from . import dissolve, polygons
+from ..functions.overlay import RINGS, total_area
+from . import covers, dissolve, polygons
+from .shared import checkpointed, spread
 
 #: Managers and designations of public land, its protection classes, the road margin in metres, the least acreage, and the
 #: reasons given: fixed values.
@@ -26,8 +27,15 @@ def public_land(gap: Column, manager: Column, designation: Column) -> Column:
 
 
 def touching(candidates: DataFrame, key: str, rings: str, zones: DataFrame, zone_rings: str, size: float) -> DataFrame:
-    """The keys of candidates that meet any zone, touching included."""
-    return polygons.meeting(candidates.select(key, rings), zones.select(F.col(zone_rings).alias("_zone")), rings, "_zone", size).select(key).distinct()
+    """The keys of candidates that meet any zone, touching included. Where zones lie thick most candidates have their first vertex in
+    a cell wholly inside one (operators.covers); pairs are listed for the others only."""
+    first = F.flatten(rings)[0]
+    at = candidates.select(key, rings, first["x"].cast("double").alias("_x"), first["y"].cast("double").alias("_y"))
+    areas = F.filter(zone_rings, lambda r: (F.size(r) > 3) & (r[0] == F.element_at(r, -1)))
+    inside = covers.surely(at, zones.select(areas.cast(RINGS).alias("_zone")), covers.polygons("_zone"), "_x", "_y").withColumn("_in", F.lit(True))
+    told = checkpointed(at.join(inside.hint("merge"), ["_x", "_y"], "left").drop("_x", "_y"), "told")
+    pairs = polygons.meeting(told.filter("_in is null").select(key, rings), zones.select(F.col(zone_rings).alias("_zone")), rings, "_zone", size)
+    return told.filter("_in").select(key).unionByName(pairs.select(key)).distinct()
 
 
 def excluded(candidates: DataFrame, key: str, hit: DataFrame, reason: str | None) -> DataFrame:
@@ -64,10 +72,11 @@ def post_filtered(candidates: DataFrame, key: str, rings: str, lands: DataFrame,
     Public land and airports exclude what they touch; roads are cut out of the rest, and what is left below 50 acres is
     excluded. lands: rings, gap, manager, designation; airports: rings; roads: lines.
     """
-    public = lands.filter(public_land(F.col("gap"), F.col("manager"), F.col("designation")))
-    out = excluded(candidates, key, touching(candidates, key, rings, public, "rings", size), None)
-    out = excluded(out, key, touching(candidates, key, rings, airports, "rings", size), AIRPORT)
-    clipped = road_clip(out.filter("status <> 'excluded'"), key, rings, roads, "lines", size)
+    public, left = lands.filter(public_land(F.col("gap"), F.col("manager"), F.col("designation"))), "coalesce(status, '') <> 'excluded'"
+    out = checkpointed(spread(candidates), "candidates")
+    out = checkpointed(excluded(out, key, touching(out, key, rings, public, "rings", size), None), "excluded")
+    out = checkpointed(excluded(out, key, touching(out.filter(left), key, rings, airports, "rings", size), AIRPORT), "excluded")
+    clipped = road_clip(out.filter(left), key, rings, roads, "lines", size)
     small = F.col("area_acres") < LEAST_ACRES
     clipped = clipped.withColumn("status_reason", F.when(small, ROADS).otherwise(F.col("status_reason"))).withColumn("status", F.when(small, "excluded").otherwise(F.col("status")))
     area = total_area(F.col(rings))

@@ -31,6 +31,7 @@ def checkpointed(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df dealt over all tasks: small files come in one or two, however much is made of each of their rows."""
-    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism))
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt over all tasks, rows of equal `by` together: small files come in one or two, and small shuffles are put together in
+    one or two, however much is made of each of their rows."""
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism), *by)

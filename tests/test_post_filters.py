@@ -36,6 +36,30 @@ def test_subtraction_over_cells(spark):
         assert abs(overlay.rings_area(got[k] or []) - overlay.rings_area(want)) < 1e-6 and len(got[k] or []) == len(want)
 
 
+def test_only_shapes_across_cells_are_put_together(spark, monkeypatch):
+    """Of five squares one crosses a border between cells and the bar, one is beside the bar in its cell."""
+    asked, real = [], dissolve.joined
+    monkeypatch.setattr(dissolve, "joined", lambda cells, *a: asked.append({r["key"]["of"] for r in cells.collect()}) or real(cells, *a))
+    a = spark.createDataFrame([(1, square(10, 10, 20)), (2, square(60, 10, 20)), (3, square(10, 50, 10)), (4, square(80, 20, 4)), (5, square(10, 200, 10))], f"id long, rings {overlay.RINGS}")
+    b = spark.createDataFrame([([[{"x": float(x), "y": float(y)} for x, y in ((-5, 18), (100, 18), (100, 26), (-5, 26), (-5, 18))]],)], f"other {overlay.RINGS}")
+    rows = dissolve.subtracted(a, "id", "rings", b, "other", 64.0).collect()
+    got = shape(rows)
+    assert asked == [{2}] and {r["id"]: r["touched"] for r in rows} == {1: True, 2: True, 3: False, 4: True, 5: False}
+    assert [overlay.rings_area(got[k]) for k in (1, 2, 3, 5)] == [240, 240, 100, 100] and got[4] is None and len(got[1]) == len(got[2]) == 2
+
+
+def test_pairs_are_listed_where_cells_cannot_tell(spark, monkeypatch):
+    """Candidates deep inside a zone need no pair; those on its edge, around it, or beside a line do."""
+    asked, real = [], post_filters.polygons.meeting
+    monkeypatch.setattr(post_filters.polygons, "meeting", lambda left, *a: asked.append({r["id"] for r in left.collect()}) or real(left, *a))
+    deep = [(k, square(4200 + 4 * k, 4200, 9)) for k in range(400)]
+    a = spark.createDataFrame([*deep, (500, square(9990, 500, 30)), (501, square(10_000, 600, 30)), (502, square(10_001, 700, 30)), (503, square(-900, -900, 12_000)), (504, square(11_000, 9000, 100)), (505, None)], f"id long, rings {overlay.RINGS}")
+    line = [[{"x": 11_050.0, "y": 8500.0}, {"x": 11_050.0, "y": 9500.0}]]
+    zones = spark.createDataFrame([(square(0, 0, 10_000),), (line,), (None,)], f"zone {overlay.RINGS}")
+    hit = [r["id"] for r in post_filters.touching(a, "id", "rings", zones, "zone", 4096.0).collect()]
+    assert sorted(hit) == [*range(400), 500, 501, 503, 504] and asked == [{500, 501, 502, 503, 504, 505}]
+
+
 def test_the_chain(spark):
     side = np.sqrt(60 / geometry.ACRES_PER_M2_ROUNDED)  # 60 acres
     row = lambda k, x, n, status="kept": (k, square(x, 0, n), status, None, 92.0, False, "high", 3, "named", None)
