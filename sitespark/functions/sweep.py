@@ -25,6 +25,20 @@ def segments_of(rings: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty((0, 4))
 
 
+def is_convex(ring: np.ndarray) -> bool:
+    """Whether a closed ring turns one way only, and around once."""
+    if len(ring) < 4 or (ring[0] != ring[-1]).any():
+        return False
+    d = ring[1:] - ring[:-1]
+    d = d[d.any(1)]
+    e = np.roll(d, -1, 0)
+    turn = d[:, 0] * e[:, 1] - d[:, 1] * e[:, 0]
+    if not len(d) or (turn < 0).any() and (turn > 0).any() or ((turn == 0) & ((d * e).sum(1) < 0)).any():
+        return False
+    ways = [np.sign(v[v != 0]) for v in d.T]
+    return all(int((v != np.roll(v, 1)).sum()) == 2 for v in ways)
+
+
 def grid_of(*segments: np.ndarray) -> float:
     most = max((float(np.abs(s).max()) for s in segments if len(s)), default=1.0)
     return 2.0 ** (np.ceil(np.log2(max(most, 1e-300))) - 46)

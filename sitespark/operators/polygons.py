@@ -11,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import geometry
-from ..functions.overlay import overlay, rings_area, shapes_meet, total_area, unpacked
-from . import covers, spatial
+from ..functions import geometry, sweep
+from ..functions.overlay import RINGS, overlay, packed, shapes_meet, total_area, unpacked
+from . import covers, dissolve, spatial
 from .shared import checkpointed, spread
 
 
@@ -87,23 +87,35 @@ def inside_else_nearest(points: DataFrame, shapes: DataFrame, key: str, shape_ke
     return found.unionByName(out.select(*points.columns, F.lit(False).alias("inside"), shape_key, "distance"))
 
 
+#: Shapes united by one sweep.
+TOGETHER = 64
+
+
 def dissolved_area(shapes: DataFrame, key: str, rings: str, size: float) -> DataFrame:
-    """The area that each key's polygons cover together, and the sum of their areas: polygons meet by the grid cells their
-    bounds cover, are united within the cell in pairs, and the cells' areas are added, so that no task holds a whole group."""
-    cells = listed(spread(shapes.select(key, F.col(rings).alias("rings"))), "rings", size).drop("lx", "ly")
+    """The area that each key's polygons cover together, and the sum of their areas: polygons are cut into grid cells, united within
+    the cell some at a time, and the cells' areas are added, so that no task holds a whole group. Equal shapes of a key are cut once."""
+    grid = dissolve.common_grid(size, (shapes, rings))
+    once = checkpointed(spread(dissolve.named(shapes, key, rings)).groupBy("key", "rings").agg(F.count(F.lit(1)).alias("n")), "once")
+
+    @F.arrow_udf(RINGS)
+    def clean(column: pa.Array) -> pa.Array:
+        """Outlines; a convex ring is one as it is."""
+        return packed([r if len(r) == 1 and sweep.is_convex(r[0]) else overlay(r, [], "union") for r in unpacked(column)])
+
+    cells = dissolve.cut(spread(once).select("key", clean("rings").alias("rings")), "key", "rings", size)
 
     def run(table: pa.Table) -> pa.Table:
-        cx, cy = table.column("cx")[0].as_py() * size, table.column("cy")[0].as_py() * size
-        frame = [np.array([(cx, cy), (cx + size, cy), (cx + size, cy + size), (cx, cy + size), (cx, cy)], float)]
-        parts = [overlay(p, frame, "intersection") for p in unpacked(table.column("rings").combine_chunks())]
-        while len(parts) > 1:
-            parts = [overlay(parts[i], parts[i + 1], "union") if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
-        return pa.table({"key": table.column(key).slice(0, 1), "united": [rings_area(parts[0])]})
-
-    kind = shapes.schema[key].dataType.simpleString()
-    united = cells.groupBy(key, "cx", "cy").applyInArrow(run, f"key {kind}, united double").groupBy("key").agg(F.sum("united").alias("united"))
-    sums = shapes.groupBy(F.col(key).alias("key")).agg(F.sum(total_area(F.col(rings))).alias("summed"))
-    return sums.join(united, "key", "left").withColumnRenamed("key", key)
+        parts = sorted(unpacked(table.column("rings").combine_chunks()), key=lambda r: (*r[0].min(0), *r[0].max(0)))
+        while len(parts) > TOGETHER:
+            edges = [sweep.united(parts[i : i + TOGETHER], grid) for i in range(0, len(parts), TOGETHER)]
+            parts = [[r for c in sweep.traced(e) if len(r := sweep.straightened(np.array(c), grid)) > 3] for e in edges]
+        x0, y0, x1, y1 = (sweep.united(parts, grid) - np.tile(parts[0][0][0], 2)).T if parts[0] else np.zeros((4, 0))
+        return pa.table({"key": table.column("key").slice(0, 1), "united": [float((x0 * y1 - x1 * y0).sum()) / 2]})
+
+    kind = once.schema["key"].dataType.simpleString()
+    united = spread(cells, "key", "cx", "cy").groupBy("key", "cx", "cy").applyInArrow(run, f"key {kind}, united double").groupBy("key").agg(F.sum("united").alias("united"))
+    sums = once.groupBy("key").agg(F.sum(F.col("n") * total_area(F.col("rings"))).alias("summed"))
+    return sums.join(united, "key", "left").select(F.col("key.of").alias(key), "summed", "united")
 
 
 def subdivide(shapes: DataFrame, key: str, rings: str, size: float, least: float, pixel: float = 900.0) -> DataFrame:

@@ -86,6 +86,26 @@ def test_dissolved_and_empty_tables(spark):
     assert polygons.dissolved_area(df.limit(0), "k", "rings", 8).collect() == []
 
 
+def test_a_crowded_cell_is_united_some_at_a_time(spark, monkeypatch):
+    """Copies are cut once; 200 boxes of a cell take a sweep for each 64, a bow tie and a star that winds twice count by the even-odd
+    rule; a null key is a key."""
+    from sitespark.functions import sweep
+    from sitespark.operators import dissolve
+
+    box_ = lambda x, y, n: [[{"x": float(a), "y": float(b)} for a, b in ((x, y), (x + n, y), (x + n, y + n), (x, y + n), (x, y))]]
+    ring = lambda points: [[{"x": float(a), "y": float(b)} for a, b in points]]
+    tie = ring([(0, 0), (4, 4), (4, 0), (0, 4), (0, 0)])
+    rows = [(1, box_(k % 20, k // 20, 2)) for k in range(200)] * 3 + [(2, tie), (None, box_(60, 0, 8)), (None, box_(60, 4, 8)), (3, None)]
+    asked, real = [], dissolve.cut
+    monkeypatch.setattr(dissolve, "cut", lambda shapes, *a: asked.append(shapes.count()) or real(shapes, *a))
+    out = polygons.dissolved_area(spark.createDataFrame(rows, f"k int, rings {overlay.RINGS}"), "k", "rings", 64)
+    got = {r["k"]: (r["summed"], r["united"]) for r in out.collect()}
+    assert asked == [204] and got[1] == (2400.0, 21 * 11) and got[2][1] == 8.0 and got[None] == (128.0, 96.0) and got[3] == (None, None)
+    t = np.arange(6) * 4 * np.pi / 5
+    assert sweep.is_convex(np.array([(0, 0), (2, 0), (2, 2), (1, 2), (0, 2), (0, 0)], float)) and not sweep.is_convex(np.column_stack([np.cos(t), np.sin(t)]).round(6))
+    assert not sweep.is_convex(np.array([(0, 0), (4, 4), (4, 0), (0, 4), (0, 0)], float)) and not sweep.is_convex(np.array([(0, 0), (4, 0), (0, 0), (0, 0)], float))
+
+
 def boxes(r, n=2):
     corners = [np.sort(r.integers(0, 6, (2, 2)), 0).astype(float) for _ in range(n)]
     return [box(*c[0], *c[1]) for c in corners if (c[0] < c[1]).all()]
