@@ -24,8 +24,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 
 from ..functions import geometry
 from ..functions.hilbert import hilbert
-from ..functions.overlay import ARROW_RINGS, RINGS, unpacked
+from ..functions.overlay import RINGS, packed, unpacked
 from ..functions.parts import split
+from ..operators.shared import checkpointed, spread
 from .stores import INDEX, FolderWriter, Store, Written
 
 #: The format's magic bytes, column types, geometry types and tree fan-out: fixed values.
@@ -41,6 +42,8 @@ BOX = ("xmin", "ymin", "xmax", "ymax")
 #: Bytes between two wanted features that are read along rather than skipped.
 NEAR = 4096
 READ_BYTES = 32 << 20
+#: Bytes of small files that a task reads.
+TASK_BYTES = 4 << 20
 
 
 class Buffer:
@@ -297,11 +300,31 @@ RINGS_TYPE = T.ArrayType(T.ArrayType(T.StructType([T.StructField("x", T.DoubleTy
 
 @dataclass
 class Part(InputPartition):
-    name: str
-    size: int
+    files: list[tuple[str, int]]
     box: tuple
 
 
+def together(files: list[tuple[str, int]], box: tuple) -> list[Part]:
+    """Files (name, size) by some megabytes a task, as a task costs more than a small file."""
+    parts, held, size = [], [], 0
+    for name, n in files:
+        if held and size + n > TASK_BYTES:
+            parts.append(Part(held, box))
+            held, size = [], 0
+        held, size = [*held, (name, n)], size + n
+    return [*parts, Part(held, box)]
+
+
+def bounds_of(shapes: list[list[np.ndarray]]) -> np.ndarray:
+    """xmin, ymin, xmax, ymax of each shape, all at once; not numbers where there are no points."""
+    sizes = np.array([sum(map(len, s)) for s in shapes], np.int64)
+    out, some = np.full((len(shapes), 4), np.nan), np.flatnonzero(sizes)
+    if len(some):
+        points, at = np.concatenate([r for s in shapes for r in s]), (np.cumsum(sizes) - sizes)[some]
+        out[some] = np.hstack([np.minimum.reduceat(points, at), np.maximum.reduceat(points, at)])
+    return out
+
+
 class Reader(DataSourceReader):
     def __init__(self, path: str, box: list[float]):
         self.path, self.box = path, box
@@ -324,18 +347,17 @@ class Reader(DataSourceReader):
         if store.exists(INDEX):
             files = json.loads(store.all(INDEX))["files"]
             keep = [f for f in files if all_ or f["bounds"] and f["bounds"][0] <= box[2] and f["bounds"][1] <= box[3] and f["bounds"][2] >= box[0] and f["bounds"][3] >= box[1]]
-            return [Part(f["name"], f["size"], box) for f in keep] or [Part("", 0, box)]
-        return [Part(n, store.size(n), box) for n in store.names((".fgb",))] or [Part("", 0, box)]
+            return together([(f["name"], f["size"]) for f in keep], box)
+        return together([(n, store.size(n)) for n in store.names((".fgb",))], box)
 
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
-        if not part.size:
-            return
         store = Store(self.path)
-        with store.fs.open_input_file(store.at(part.name)) as f:
-            read = lambda at, n: f.read_at(n, at)
-            file = File(read, part.size)
-            for data in self._wanted(file, read, part.box):
-                yield self._batch(file, data, part.box)
+        for name, size in part.files:
+            with store.fs.open_input_file(store.at(name)) as f:
+                read = lambda at, n: f.read_at(n, at)  # noqa: E731,B023
+                file = File(read, size)
+                for data in self._wanted(file, read, part.box):
+                    yield self._batch(file, data, part.box)
 
     def _wanted(self, file: File, read, box: tuple) -> Iterator[list[bytes]]:
         """Features as bytes, some at a time."""
@@ -384,21 +406,20 @@ class Reader(DataSourceReader):
         yield from zip(cuts, np.append(cuts[1:], len(places)), strict=True)
 
     def _batch(self, file: File, data: list[bytes], box: tuple) -> pa.RecordBatch:
-        kinds, rows, shapes, bounds = [k for _, k in file.columns], [], [], []
+        kinds, rows, shapes = [k for _, k in file.columns], [], []
         for raw in data:
             t = Table.root(raw)
-            rings = rings_of(t.table(0))
-            b = (*np.concatenate(rings).min(0), *np.concatenate(rings).max(0)) if rings else (None,) * 4
-            if rings and not (b[0] <= box[2] and b[1] <= box[3] and b[2] >= box[0] and b[3] >= box[1]):
-                continue
-            rows.append(properties_of(t.array(1, "u1").tobytes(), kinds))
-            shapes.append(rings)
-            bounds.append(b)
+            shapes.append(rings_of(t.table(0)))
+            rows.append(t)
+        bounds = bounds_of(shapes)
+        with np.errstate(invalid="ignore"):
+            keep = np.isnan(bounds).any(1) | (bounds[:, 0] <= box[2]) & (bounds[:, 1] <= box[3]) & (bounds[:, 2] >= box[0]) & (bounds[:, 3] >= box[1])
+        keep |= np.array([not s for s in shapes], bool)
+        rows = [properties_of(rows[i].array(1, "u1").tobytes(), kinds) for i in np.flatnonzero(keep)]
         types = {"boolean": pa.bool_(), "integer": pa.int32(), "long": pa.int64(), "float": pa.float32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary()}
         arrays = [pa.array([r[i] for r in rows], types[TYPES[k].typeName()]) for i, k in enumerate(kinds)]
-        arrays += [pa.array([b[i] for b in bounds], pa.float64()) for i in range(4)]
-        shaped = pa.array([[[{"x": x, "y": y} for x, y in r.tolist()] for r in s] for s in shapes], ARROW_RINGS)
-        return pa.RecordBatch.from_arrays([*arrays, shaped], [*(n for n, _ in file.columns), *BOX, "rings"])
+        arrays += [pa.array(b, pa.float64(), from_pandas=True) for b in bounds[keep].T]
+        return pa.RecordBatch.from_arrays([*arrays, packed([shapes[i] for i in np.flatnonzero(keep)])], [*(n for n, _ in file.columns), *BOX, "rings"])
 
 
 class Writer(FolderWriter):
@@ -423,9 +444,9 @@ class Writer(FolderWriter):
 
         for batch in batches:
             values = list(zip(*(c.to_pylist() for i, c in enumerate(batch.columns) if i != self.rings_at), strict=True)) if len(self.columns) else [()] * batch.num_rows
-            for rings, row in zip(unpacked(batch.column(self.rings_at)), values, strict=True):
-                points = np.concatenate([r for r in rings if len(r)]) if any(len(r) for r in rings) else None
-                boxes.append((*points.min(0), *points.max(0)) if points is not None else (math.nan,) * 4)
+            shapes = list(unpacked(batch.column(self.rings_at)))
+            for rings, row, box in zip(shapes, values, bounds_of(shapes), strict=True):
+                boxes.append(box)
                 held.append(feature_bytes(rings, row, kinds))
                 if len(held) >= self.most:
                     flush()
@@ -475,6 +496,7 @@ def along_curve(df: DataFrame, rings: str, files: int | None = None) -> DataFram
     """df in ranges of the Hilbert numbers of the shapes' centres, each sorted; one pass finds the bounds of all."""
     b = geometry.bounds(F.flatten(rings))
     x, y = (b["xmin"] + b["xmax"]) / 2, (b["ymin"] + b["ymax"]) / 2
+    df = checkpointed(spread(df), "shapes")  # read three times: bounds, ranges, rows
     all_ = df.select(x.alias("x"), y.alias("y")).agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
     number = hilbert(x, y, *all_) if all_[0] is not None else F.lit(0).cast("long")
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

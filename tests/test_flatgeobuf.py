@@ -47,6 +47,16 @@ def test_boxes(spark, written, box):
     assert plain(pushed) == plain(want)
 
 
+def test_small_files_are_read_together(spark, written):
+    """A task for some megabytes, not for each file; and bounds of all shapes at once, of those without points too."""
+    inf = float("inf")
+    (part,) = fgb.Reader(written, [-inf, -inf, inf, inf]).partitions()
+    assert len(part.files) >= 6 and fgb.read_shapes(spark, written).rdd.getNumPartitions() == 1
+    assert [len(p.files) for p in fgb.together([("a", 3 << 20), ("b", 1 << 20), ("c", 1), ("d", 9 << 20)], ())] == [2, 1, 1] and fgb.together([], ())[0].files == []
+    box = np.array([(1, 2), (5, 2), (5, 9), (1, 2)], float)
+    assert fgb.bounds_of([[], [box], [box[:0]], [box[:0], box, box + 1]]).tolist()[1::2] == [[1, 2, 5, 9], [1, 2, 6, 10]] and np.isnan(fgb.bounds_of([[], [box]])[0]).all()
+
+
 class Counted:
     """Bytes read of a file."""
 
