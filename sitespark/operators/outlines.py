@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import checkpointed
+from .shared import spread as dealt
 
 #: Columns that an edge number has room for; rows get the rest of 61 bits.
 WIDE = 1 << 28
@@ -153,7 +154,7 @@ def region_outlines(labelled: DataFrame, label: str = "region", cell: int = 256,
         return pa.table([pa.array([tile] * len(found), table.schema.field("tile").type), pa.array([int(names[f[0] - 1]) for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64()), pa.array(points, pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))], names=["tile", "label", "id", "next", "points"])
 
     kind = labelled.schema["tile"].dataType.simpleString()
-    chains = checkpointed(spread.groupBy("tile", "cy", "cx").applyInArrow(trace, f"tile {kind}, label long, id long, next long, points {POINTS}"), "chains")
+    chains = checkpointed(dealt(spread, "tile", "cy", "cx").groupBy("tile", "cy", "cx").applyInArrow(trace, f"tile {kind}, label long, id long, next long, points {POINTS}"), "chains")
     from ..functions.geometry import signed_area
 
     rings = stitched(chains, ["tile", "label"]).select("tile", "label", closed(without_straights(F.col("points"))).alias("r"))
@@ -177,19 +178,19 @@ def candidates(codes: DataFrame, groups: dict[str, list[int]], least_pixels: int
 
     For each group of codes: opening and closing, eight-connected components of least_pixels and more, their four-connected
     outlines, and of these the ones of least_acres and more. What is dropped by size is decided by counts before anything is drawn.
+    All groups go through each round together, a group's pixels being tiles of their own.
     """
     from ..functions.geometry import ACRES_PER_M2_ROUNDED, shape_centroid, signed_area
     from .raster import clean, components
 
-    out = None
-    for name, wanted in groups.items():
-        on = clean(codes.filter(F.col("value").isin(*wanted)), codes).withColumn("cls", F.lit(0))
-        parts = checkpointed(components(on), "parts")
-        sizes = parts.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pixels)
-        kept = parts.join(sizes.select("tile", "component"), ["tile", "component"], "left_semi")
-        found = polygons(kept, "cls", cell=cell, west=west, north=north, dx=pixel, dy=pixel)
-        area = F.aggregate(F.transform("rings", signed_area), F.lit(0.0), lambda a, v: a + v)
-        found = found.withColumn("area_m2", area).withColumn("area_acres", F.col("area_m2") * ACRES_PER_M2_ROUNDED).filter(F.col("area_acres") >= least_acres)
-        found = found.select(F.lit(name).alias("cover"), "tile", "region", "rings", "area_m2", F.bround(F.col("area_m2") / (pixel * pixel), 0).cast("long").alias("pixel_count"), "area_acres", shape_centroid(F.col("rings")).alias("centre"))
-        out = found if out is None else out.unionByName(found)
-    return out
+    wanted = F.array(*[F.struct(F.lit(str(k)).alias("cover"), F.coalesce(F.col("value").isin(*codes_), F.lit(False)).alias("on")) for k, codes_ in enumerate(groups.values())])
+    listed = codes.withColumn("_of", F.explode(wanted)).select(F.concat_ws(":", "_of.cover", F.col("tile").cast("string")).alias("tile"), "row", "col", F.col("_of.on").alias("_on"))
+    on = clean(listed.filter("_on"), listed).withColumn("cls", F.lit(0))
+    parts = checkpointed(components(on), "parts")
+    sizes = parts.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pixels)
+    kept = parts.join(sizes.select("tile", "component"), ["tile", "component"], "left_semi")
+    found = polygons(kept, "cls", cell=cell, west=west, north=north, dx=pixel, dy=pixel)
+    area = F.aggregate(F.transform("rings", signed_area), F.lit(0.0), lambda a, v: a + v)
+    found = found.withColumn("area_m2", area).withColumn("area_acres", F.col("area_m2") * ACRES_PER_M2_ROUNDED).filter(F.col("area_acres") >= least_acres)
+    of = F.split("tile", ":", 2)
+    return found.select(F.get(F.array(*map(F.lit, groups)), F.get(of, 0).cast("int")).alias("cover"), F.get(of, 1).cast(codes.schema["tile"].dataType).alias("tile"), "region", "rings", "area_m2", F.bround(F.col("area_m2") / (pixel * pixel), 0).cast("long").alias("pixel_count"), "area_acres", shape_centroid(F.col("rings")).alias("centre"))

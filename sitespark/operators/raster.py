@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import checkpointed
+from .shared import checkpointed, spread
 
 EIGHT = [(dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1)]
 FOUR = [(0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)]
@@ -47,7 +47,7 @@ def _morphed(pixels: DataFrame, image: DataFrame, steps: str, keys: list[str], c
 
     kind = both.schema["tile"].dataType.simpleString()
     placed = in_cells(both.withColumn("row", F.col("row").cast("long")).withColumn("col", F.col("col").cast("long")), cell, rim)
-    out = placed.groupBy("tile", "_cy", "_cx").applyInArrow(run, f"tile {kind}, row long, col long")
+    out = spread(placed, "tile", "_cy", "_cx").groupBy("tile", "_cy", "_cx").applyInArrow(run, f"tile {kind}, row long, col long")
     return out.withColumnsRenamed({"tile": tile, "row": row, "col": col})
 
 
@@ -151,7 +151,7 @@ def components(pixels: DataFrame, steps: list[tuple[int, int]] = EIGHT, group: s
         code = np.concatenate([grid[y, x], inner.ravel()[link[0]]]) - 1
         return pa.table([pa.array([key[0].as_py()] * (n + m), table.schema.field("tile").type), values.take(pa.array(code)), pa.array(np.concatenate([y + top, np.zeros(m, np.int64)])), pa.array(np.concatenate([x + left, np.zeros(m, np.int64)])), pa.array(number(np.concatenate([found[y, x], link[0]]))), pa.array(np.concatenate([np.zeros(n, np.int64), link[1]]), mask=np.arange(n + m) < n), pa.array(np.concatenate([rim, np.zeros(m, bool)]))], names=["tile", group, "row", "col", "label", "beside", "rim"])
 
-    out = checkpointed(placed.groupBy("tile", "_cy", "_cx").applyInArrow(label, f"tile {kinds['tile']}, {group} {kinds[group]}, row long, col long, label long, beside long, rim boolean"), "cells")
+    out = checkpointed(spread(placed, "tile", "_cy", "_cx").groupBy("tile", "_cy", "_cx").applyInArrow(label, f"tile {kinds['tile']}, {group} {kinds[group]}, row long, col long, label long, beside long, rim boolean"), "cells")
     own = out.filter("beside is null")
     rims = own.filter("rim").select("tile", (F.col("row") * width + F.col("col")).alias("beside"), F.col("label").alias("other"))
     links = out.filter("beside is not null").select("tile", "label", "beside").join(rims, ["tile", "beside"]).select("tile", F.col("label").alias("x"), F.col("other").alias("y")).distinct()  # both sides tell of each

@@ -135,3 +135,19 @@ def test_a_box_reaches_the_scan(spark, tmp_path):
     executed.executeCollect()
     scan = executed.collectLeaves().head()
     assert 0 < scan.metrics().get("numOutputRows").get().value() < 60_000 / 4
+
+
+def test_groups_of_codes_go_through_the_rounds_together(spark, monkeypatch):
+    """Two groups that share a code, on two tiles: one labelling of components for both, and the same rows as each group by itself."""
+    from sitespark.operators import raster
+
+    code = F.when((F.col("row") > 2) & (F.col("row") < 12), 1).when(F.col("row") < 30, 2).otherwise(3)
+    codes = spark.range(2 * 40 * 20).selectExpr("cast(id div 800 + 7 as int) AS tile", "id % 800 div 20 AS row", "id % 20 AS col").withColumn("value", code)
+    row = lambda r: (r["cover"], r["tile"], r["region"], r["pixel_count"], r["area_m2"], r["centre"]["x"], r["centre"]["y"])
+    groups = {"a:b": [1, 2], "c": [2, 3]}
+    apart = sorted(row(r) for name, of in groups.items() for r in outlines.candidates(codes, {name: of}, 12, 0.5, cell=16).collect())
+    asked, real = [], raster.components
+    monkeypatch.setattr(raster, "components", lambda *a, **k: asked.append(1) or real(*a, **k))
+    out = outlines.candidates(codes, groups, 12, 0.5, cell=16)
+    assert sorted(map(row, out.collect())) == apart and len(apart) >= 4 and {r[:2] for r in apart} == {("a:b", 7), ("a:b", 8), ("c", 7), ("c", 8)}
+    assert len(asked) == 2 and out.schema["tile"].dataType.simpleString() == "int"
