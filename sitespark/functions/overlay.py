@@ -6,7 +6,7 @@ several parts are rings beside each other. Results are outlines: outer rings cou
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,7 @@ import pyarrow.compute
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import sweep
+from . import batches, sweep
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 ARROW_RINGS = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
@@ -68,11 +68,24 @@ def combined(a: Column, b: Column, operation: str) -> Column:
 
     @F.arrow_udf(RINGS)
     def run(left: pa.Array, right: pa.Array) -> pa.Array:
-        return packed([overlay(x, y, operation) for x, y in zip(unpacked(left), unpacked(right), strict=True)])
+        (found,), alone = batches.overlays(batches.read(left), batches.read(right), [OPERATIONS[operation]])
+        return replaced(found, left, right, alone, lambda x, y: overlay(x, y, operation))
 
     return run(a.cast(RINGS), b.cast(RINGS))
 
 
+def replaced(found: batches.Shapes, left: pa.Array, right: pa.Array, rows: np.ndarray, one: Callable[[list, list], list]) -> pa.Array:
+    """found as a column, with what `one` makes of the marked rows."""
+    column = batches.write(found)
+    if not rows.any():
+        return column
+    marked = pa.array(np.flatnonzero(rows))
+    made = packed([one(x, y) for x, y in zip(unpacked(left.take(marked)), unpacked(right.take(marked)), strict=True)])
+    index = np.arange(len(rows))
+    index[rows] = len(rows) + np.arange(len(marked))
+    return pa.concat_arrays([column, made]).take(pa.array(index))
+
+
 def difference_ladder(a: Column, b: Column, grids: tuple[float, ...] = (1.0, 5.0, 10.0)) -> Column:
     """a less b on a coarse grid: both snapped to the finest one that holds, then to coarser ones; a as it is where none does.
 
@@ -82,11 +95,22 @@ def difference_ladder(a: Column, b: Column, grids: tuple[float, ...] = (1.0, 5.0
 
     @F.arrow_udf(RINGS)
     def run(left: pa.Array, right: pa.Array) -> pa.Array:
-        return packed([ladder(x, y, grids) for x, y in zip(unpacked(left), unpacked(right), strict=True)])
+        found, rest = first_rung(batches.read(left), batches.read(right), grids[0])
+        return replaced(found, left, right, rest, lambda x, y: ladder(x, y, grids))
 
     return run(a.cast(RINGS), b.cast(RINGS))
 
 
+def first_rung(a: batches.Shapes, b: batches.Shapes, grid: float) -> tuple[batches.Shapes, np.ndarray]:
+    """The ladder's result of all rows on its finest grid, and the rows that don't hold there."""
+    snapped = [s._replace(flat=np.round(s.flat / grid) * grid) for s in (a, b)]
+    ((p,), one), ((q,), two) = (batches.overlays(s, batches.none(len(s.counts)), [OPERATIONS["union"]]) for s in snapped)
+    (rest, cut), three = batches.overlays(p, q, [OPERATIONS["difference"], OPERATIONS["intersection"]])
+    whole = batches.areas(p)
+    holds = np.abs(batches.areas(rest) + batches.areas(cut) - whole) <= 1e-6 * np.maximum(1.0, whole)
+    return rest, one | two | three | ~holds
+
+
 def ladder(a: list[np.ndarray], b: list[np.ndarray], grids: tuple[float, ...]) -> list[np.ndarray]:
     for grid in grids:
         p, q = (overlay([np.round(r / grid) * grid for r in rings], [], "union") for rings in (a, b))

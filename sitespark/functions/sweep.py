@@ -81,9 +81,12 @@ def candidate_pairs(low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndar
         at = to
 
 
-def cut_points(s: np.ndarray, grid: float) -> tuple[np.ndarray, np.ndarray]:
-    """(edge, point) for each place strictly within an edge where another one crosses, touches or ends."""
-    low, high = np.minimum(s[:, :2], s[:, 2:]) - grid, np.maximum(s[:, :2], s[:, 2:]) + grid
+def cut_points(s: np.ndarray, grid: float | np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(edge, point) for each place strictly within an edge where another one crosses, touches or ends. grid may be one for each
+    edge, and pairs the ones to look at; by default all that meet."""
+    if pairs is None:
+        pairs = candidate_pairs(np.minimum(s[:, :2], s[:, 2:]) - grid, np.maximum(s[:, :2], s[:, 2:]) + grid)
+    grid = np.broadcast_to(grid, len(s))
     edges, points = [], []
 
     def add(e: np.ndarray, p: np.ndarray) -> None:
@@ -91,7 +94,7 @@ def cut_points(s: np.ndarray, grid: float) -> tuple[np.ndarray, np.ndarray]:
         edges.append(e[inner])
         points.append(p[inner])
 
-    for i, j in candidate_pairs(low, high):
+    for i, j in pairs:
         for e, f in ((i, j), (j, i)):  # ends of f on e
             d = s[e, 2:] - s[e, :2]
             square = (d * d).sum(1)
@@ -99,7 +102,7 @@ def cut_points(s: np.ndarray, grid: float) -> tuple[np.ndarray, np.ndarray]:
                 apart = end - s[e, :2]
                 along = (apart * d).sum(1)
                 off = np.abs(apart[:, 0] * d[:, 1] - apart[:, 1] * d[:, 0])
-                on = (along > 0) & (along < square) & (off <= grid * np.sqrt(square))
+                on = (along > 0) & (along < square) & (off <= grid[e] * np.sqrt(square))
                 add(e[on], end[on])
         d, f = s[i, 2:] - s[i, :2], s[j, 2:] - s[j, :2]
         cross = d[:, 0] * f[:, 1] - d[:, 1] * f[:, 0]
@@ -108,7 +111,8 @@ def cut_points(s: np.ndarray, grid: float) -> tuple[np.ndarray, np.ndarray]:
             t = (apart[:, 0] * f[:, 1] - apart[:, 1] * f[:, 0]) / cross
             u = (apart[:, 0] * d[:, 1] - apart[:, 1] * d[:, 0]) / cross
         hit = (cross != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
-        p = np.round((s[i[hit], :2] + t[hit, None] * d[hit]) / grid) * grid
+        step = grid[i[hit], None]
+        p = np.round((s[i[hit], :2] + t[hit, None] * d[hit]) / step) * step
         add(i[hit], p)
         add(j[hit], p)
     return (np.concatenate(edges), np.concatenate(points)) if edges else (np.empty(0, np.int64), np.empty((0, 2)))
