@@ -61,3 +61,21 @@ def test_null_rows_and_slices():
     column = pa.array([None, [[{"x": 0.0, "y": 0.0}, {"x": 2.0, "y": 0.0}, {"x": 2.0, "y": 2.0}, {"x": 0.0, "y": 0.0}]], []] * 3, overlay.ARROW_RINGS).slice(1, 7)
     (found,), alone = batches.overlays(batches.read(column), batches.none(7), [overlay.OPERATIONS["union"]])
     assert not alone.any() and batches.areas(found).tolist() == [2, 0, 0, 2, 0, 0, 2] and [v.as_py() is None for v in batches.write(found)] == [False] * 7
+
+
+def test_subdivided_shapes_are_cut_many_at_once(spark):
+    """Boxes that one, two and four cells hold, each piece with its area, and a slanted shape."""
+    from pyspark.sql import functions as F
+    from sitespark.operators import polygons
+
+    square = lambda x, y, h: [[{"x": x + i * h, "y": y + j * h} for i, j in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))]]
+    slanted = [[{"x": float(x), "y": float(y)} for x, y in ((20, 10), (30, 20), (20, 30), (10, 20), (20, 10))]]
+    df = spark.createDataFrame([(1, square(5.0, 5.0, 3.0)), (2, square(10.0, 5.0, 3.0)), (3, square(10.0, 10.0, 4.0)), (4, slanted), (5, None)], f"k long, rings {overlay.RINGS}")
+    plan = polygons.subdivide(df, "k", "rings", 10.0, 1.0)
+    got = sorted((r["parent_id"], r["cx"], r["cy"], r["area"]) for r in plan.collect())
+    want = [(1, 0, 0, 36.0), (2, 0, 0, 18.0), (2, 1, 0, 18.0), *((3, x, y, 16.0) for x in (0, 1) for y in (0, 1)), *((4, x, y, 50.0) for x in (1, 2) for y in (1, 2))]
+    assert got == want
+    left = overlay.packed([[np.array([(p["x"], p["y"]) for p in slanted[0]])]] * 4)
+    right = overlay.packed([[box(x, y, x + 10, y + 10)] for x in (10, 20) for y in (10, 20)])
+    (found,), alone = batches.overlays(batches.read(left), batches.read(right), [overlay.OPERATIONS["intersection"]])
+    assert not alone.any() and batches.areas(found).tolist() == [50.0] * 4
