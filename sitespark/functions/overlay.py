@@ -127,10 +127,15 @@ def repaired(a: Column) -> Column:
 
 
 def total_area(a: Column) -> Column:
-    """The area of outlines: holes run the other way than the rings they are in, and count off."""
-    from .geometry import signed_area
+    """The area of outlines: holes run the other way than the rings they are in, and count off. Vertices are taken from each ring's
+    first, as far from the origin products would lose digits."""
+    from .geometry import segments
 
-    return F.abs(F.aggregate(F.transform(a, signed_area), F.lit(0.0), lambda s, x: s + x))
+    def twice(r: Column) -> Column:
+        x, y = r[0]["x"], r[0]["y"]
+        return F.aggregate(segments(r), F.lit(0.0), lambda t, e: t + (e["a"]["x"] - x) * (e["b"]["y"] - y) - (e["b"]["x"] - x) * (e["a"]["y"] - y))
+
+    return F.abs(F.aggregate(F.transform(a, twice), F.lit(0.0), lambda s, x: s + x)) / 2
 
 
 def largest_part(a: Column) -> Column:

@@ -79,3 +79,11 @@ def test_subdivided_shapes_are_cut_many_at_once(spark):
     right = overlay.packed([[box(x, y, x + 10, y + 10)] for x in (10, 20) for y in (10, 20)])
     (found,), alone = batches.overlays(batches.read(left), batches.read(right), [overlay.OPERATIONS["intersection"]])
     assert not alone.any() and batches.areas(found).tolist() == [50.0] * 4
+
+
+def test_areas_far_from_the_origin_keep_their_digits(spark):
+    from pyspark.sql import functions as F
+
+    x, y = 2.0**40, 2.0**41 + 3
+    df = spark.createDataFrame([([[{"x": x + a, "y": y + b} for a, b in ((0, 0), (3, 0), (3, 1), (0, 1), (0, 0))]],), ([[]],), ([],)], f"rings {overlay.RINGS}")
+    assert [r[0] for r in df.coalesce(1).select(overlay.total_area(F.col("rings"))).collect()] == [3.0, 0.0, 0.0]
