@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.overlay import RINGS, packed
 from .shared import checkpointed
 from .shared import spread as dealt
 
@@ -162,6 +163,30 @@ def region_outlines(labelled: DataFrame, label: str = "region", cell: int = 256,
     return ordered.select("tile", F.col("label").alias(label), F.col("all.r").alias("rings"))
 
 
+def region_pieces(labelled: DataFrame, label: str = "region", cell: int = 256, west: float = 0.0, north: float = 0.0, dx: float = 1.0, dy: float = 1.0) -> DataFrame:
+    """(tile, label, rings): as region_outlines, but of a region's pixels in each cell by themselves, closed along the cell's border.
+    A region that spans the raster is many rows of one cell's size, and is never gathered."""
+    pixels = labelled.filter(F.col(label) > 0).select("tile", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), F.col(label).cast("long").alias("label"))
+    of = lambda v: F.floor(v / cell).cast("long")
+    placed = pixels.withColumn("cy", of(F.col("row"))).withColumn("cx", of(F.col("col")))
+
+    def trace(key: tuple, table: pa.Table) -> pa.Table:
+        tile, cy, cx = (k.as_py() for k in key)
+        r, c, v = (table.column(n).to_numpy() for n in ("row", "col", "label"))
+        names, codes = np.unique(v, return_inverse=True)
+        grid = np.zeros((cell + 2, cell + 2), np.int64)
+        grid[r - cy * cell + 1, c - cx * cell + 1] = codes + 1
+        rings: dict[int, list[np.ndarray]] = {}
+        for name, _, _, corners in chains_of(grid, cy * cell, cx * cell):
+            ring = np.array([*corners, corners[0]]) * [dx, -dy] + [west, north]
+            rings.setdefault(int(names[name - 1]), []).append(ring)
+        return pa.table([pa.array([tile] * len(rings), table.schema.field("tile").type), pa.array(list(rings), pa.int64()), packed(list(rings.values()))], names=["tile", "label", "rings"])
+
+    kind = labelled.schema["tile"].dataType.simpleString()
+    found = dealt(placed, "tile", "cy", "cx").groupBy("tile", "cy", "cx").applyInArrow(trace, f"tile {kind}, label long, rings {RINGS}")
+    return found.withColumnRenamed("label", label)
+
+
 def polygons(labelled: DataFrame, group: str = "cls", **grid) -> DataFrame:
     """(tile, group, region, rings): each four-connected region of the pixels of one group (labelled: tile, row, col, group)."""
     from .raster import FOUR, components

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sitespark.functions import geometry
 from sitespark.functions.overlay import overlay, ring_area, rings_area
-from sitespark.operators import burn, outlines
+from sitespark.operators import burn, outlines, raster
 from sitespark.sources import clustered
 
 PIXELS = "tile int, row long, col long, region long"
@@ -151,3 +151,21 @@ def test_groups_of_codes_go_through_the_rounds_together(spark, monkeypatch):
     out = outlines.candidates(codes, groups, 12, 0.5, cell=16)
     assert sorted(map(row, out.collect())) == apart and len(apart) >= 4 and {r[:2] for r in apart} == {("a:b", 7), ("a:b", 8), ("c", 7), ("c", 8)}
     assert len(asked) == 2 and out.schema["tile"].dataType.simpleString() == "int"
+
+
+def test_pieces_of_a_region_that_spans_the_raster(spark):
+    """A region with holes over many cells: each piece stays in its cell, areas add up, no row holds the whole."""
+    r = np.random.default_rng(3)
+    on = r.random((40, 24)) < 0.7
+    on[::8] = True
+    pixels = spark.createDataFrame([(0, int(y), int(x), 0) for y, x in np.argwhere(on)], "tile int, row long, col long, cls int")
+    labelled = raster.components(pixels, raster.FOUR).withColumn("label", F.col("component") + 1)
+    got = outlines.region_pieces(labelled, "label", cell=8, west=100.0, north=50.0, dx=2.0, dy=3.0).collect()
+    want = {t["label"]: t["n"] * 6.0 for t in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = {}
+    for t in got:
+        rings = [np.array([(p["x"], p["y"]) for p in ring]) for ring in t["rings"]]
+        at = np.concatenate(rings)
+        assert np.ptp(at[:, 0]) <= 16 and np.ptp(at[:, 1]) <= 24 and all((ring[0] == ring[-1]).all() for ring in rings)
+        found[t["label"]] = found.get(t["label"], 0) + sum(float((q[:-1, 0] * q[1:, 1] - q[1:, 0] * q[:-1, 1]).sum()) / 2 for q in rings)
+    assert found == want and max(want.values()) > 3000
