@@ -211,13 +211,6 @@ def shape_distance(a: Column, b: Column) -> Column:
     return run(a.cast(RINGS), b.cast(RINGS))
 
 
-def _product(m: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each row all pairs of its m things and its n others: row, and indices into all things and all others."""
-    row = np.repeat(np.arange(len(m)), m * n)
-    k = np.arange(len(row)) - np.repeat(np.cumsum(m * n) - m * n, m * n)
-    return row, (np.cumsum(m) - m)[row] + k // n[row], (np.cumsum(n) - n)[row] + k % n[row]
-
-
 def flat_edges(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all polygons at once: edges, how many each has, which are of closed rings, the first points of rings, how many each has."""
     rings = column.flatten()
@@ -236,25 +229,74 @@ def flat_edges(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return np.hstack([flat[a], flat[b]]), per(owner[ring]), closed[ring], flat[start], per(owner)
 
 
-def meet(left: pa.Array, right: pa.Array) -> np.ndarray:
-    """Which shapes intersect, touching included: edges that have a point in common, or a ring's first point inside the other shape."""
-    (ea, na, ca, pa_, ra), (eb, nb, cb, pb, rb) = flat_edges(left), flat_edges(right)
-    found = np.zeros(len(left), bool)
-    row, i, j = _product(na, nb)
-    a, b = ea[i].T, eb[j].T
+Edges = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _product_of(m: np.ndarray, i: np.ndarray, n: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """_product for pairs (i, j) of rows whose things are listed once: pair, and indices into all things and all others."""
+    pair = np.repeat(np.arange(len(i)), m[i] * n[j])
+    k = np.arange(len(pair)) - np.repeat(np.cumsum(m[i] * n[j]) - m[i] * n[j], m[i] * n[j])
+    return pair, (np.cumsum(m) - m)[i][pair] + k // n[j][pair], (np.cumsum(n) - n)[j][pair] + k % n[j][pair]
+
+
+def _edges_meet(left: Edges, right: Edges, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    pair, p, q = _product_of(left[1], i, right[1], j)
+    a, b = left[0], right[0]
+    low = lambda s, k: np.minimum(s[:, k], s[:, k + 2])
+    high = lambda s, k: np.maximum(s[:, k], s[:, k + 2])
+    near = np.ones(len(pair), bool)
+    for k in range(2):
+        near &= (low(a, k)[p] <= high(b, k)[q]) & (low(b, k)[q] <= high(a, k)[p])
+    pair, a, b = pair[near], a[p[near]].T, b[q[near]].T
     turn = lambda s, x, y: np.sign((s[2] - s[0]) * (y - s[1]) - (s[3] - s[1]) * (x - s[0]))
-    near = (np.minimum(a[0], a[2]) <= np.maximum(b[0], b[2])) & (np.minimum(b[0], b[2]) <= np.maximum(a[0], a[2])) & (np.minimum(a[1], a[3]) <= np.maximum(b[1], b[3])) & (np.minimum(b[1], b[3]) <= np.maximum(a[1], a[3]))
-    found[row[near & (turn(a, b[0], b[1]) * turn(a, b[2], b[3]) <= 0) & (turn(b, a[0], a[1]) * turn(b, a[2], a[3]) <= 0)]] = True
-    for points, np_, edges, ne, closed in ((pa_, ra, eb, nb, cb), (pb, rb, ea, na, ca)):
-        row, i, j = _product(np_, ne)
-        (x, y), (x0, y0, x1, y1) = points[i].T, edges[j].T
-        with np.errstate(divide="ignore", invalid="ignore"):
-            crosses = closed[j] & ((y0 <= y) != (y1 <= y)) & (x0 + (y - y0) * (x1 - x0) / (y1 - y0) > x)
-        point = np.bincount(i[crosses], minlength=len(points)) % 2 == 1
-        found[np.repeat(np.arange(len(np_)), np_)[point]] = True
+    found = np.zeros(len(i), bool)
+    found[pair[(turn(a, b[0], b[1]) * turn(a, b[2], b[3]) <= 0) & (turn(b, a[0], a[1]) * turn(b, a[2], a[3]) <= 0)]] = True
+    return found
+
+
+def _starts_inside(of: Edges, other: Edges, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the first point of a ring of i is inside j."""
+    points, per = of[3], of[4]
+    pair, at, e = _product_of(per, i, other[1], j)
+    (x, y), (x0, y0, x1, y1) = points[at].T, other[0][e].T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        crosses = other[2][e] & ((y0 <= y) != (y1 <= y)) & (x0 + (y - y0) * (x1 - x0) / (y1 - y0) > x)
+    start = np.cumsum(per[i]) - per[i]  # one number for each point of each pair
+    number = start[pair] + at - (np.cumsum(per) - per)[i][pair]
+    inside = np.bincount(number[crosses], minlength=per[i].sum()) % 2 == 1
+    found = np.zeros(len(i), bool)
+    found[np.repeat(np.arange(len(i)), per[i])[inside]] = True
+    return found
+
+
+def pairs_meet(left: Edges, right: Edges, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of shapes i, j intersect, touching included: edges that have a point in common, or a ring's first point inside
+    the other shape. That of most pairs is told by the points."""
+    found = np.zeros(len(i), bool)
+    for test in (lambda m, n: _starts_inside(left, right, m, n), lambda m, n: _starts_inside(right, left, n, m), lambda m, n: _edges_meet(left, right, m, n)):
+        rest = np.flatnonzero(~found)
+        found[rest] = test(i[rest], j[rest])
     return found
 
 
+def meet(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Which shapes intersect, row by row."""
+    rows = np.arange(len(left))
+    return pairs_meet(flat_edges(left), flat_edges(right), rows, rows)
+
+
+def pairs_inside(points: np.ndarray, shapes: Edges, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which points i are strictly inside shapes j, by the even-odd rule over closed rings."""
+    pair, at, e = _product_of(np.ones(len(points), np.int64), i, shapes[1], j)
+    (x, y), (x0, y0, x1, y1) = points[at].T, shapes[0][e].T
+    side = (x1 - x0) * (y - y0) - (y1 - y0) * (x - x0)
+    crosses = ((y0 > y) != (y1 > y)) & ((side > 0) == (y1 > y0)) & (side != 0)
+    on = (side == 0) & (np.minimum(x0, x1) <= x) & (x <= np.maximum(x0, x1)) & (np.minimum(y0, y1) <= y) & (y <= np.maximum(y0, y1))
+    hit = np.bincount(pair[crosses], minlength=len(i)) % 2 == 1
+    hit[pair[on]] = False
+    return hit
+
+
 #: Pairs of edges compared at once; shapes with more between them are measured by blocks instead.
 AT_ONCE = 1 << 21
 

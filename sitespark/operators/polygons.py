@@ -6,13 +6,16 @@ as large as shapes usually are; a pair that meets in several cells is kept in th
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import geometry, sweep
-from ..functions.overlay import RINGS, overlay, packed, shapes_meet, total_area, unpacked
+from ..functions.overlay import AT_ONCE, RINGS, flat_edges, gap_of, overlay, packed, pairs_inside, pairs_meet, total_area, unpacked
 from . import covers, dissolve, spatial
 from .shared import checkpointed, spread
 
@@ -29,26 +32,114 @@ def listed(df: DataFrame, rings: str, size: float, margin: float = 0.0) -> DataF
     return df.withColumn("cy", F.explode(F.sequence("ly", _at(b["ymax"] + margin, size))))
 
 
-def points_in(points: DataFrame, shapes: DataFrame, x: str, y: str, rings: str, size: float, how: str = "inner") -> DataFrame:
-    """Points joined to the shapes they are strictly inside of, by the even-odd rule over all rings. Cells follow from the points
-    (operators.covers), so size is of no effect."""
-    found = covers.pairs(points, shapes, covers.polygons(rings), x, y).drop("band")
+#: Rows of the left and the right of a cell that are compared together, and pairs tested at once.
+ROWS, TESTED = (2048, 512), 1 << 17
+#: Cells of its bounds over which a polygon counts as large, and is met by cells along its outline.
+LARGE = 64
+
+
+def _paired(left: DataFrame, right: DataFrame, columns: list[str] | None, find: Callable[[pa.Table, pa.Table], Iterator[tuple[np.ndarray, np.ndarray]]], carried: list[str]) -> DataFrame:
+    """Pairs of rows of a cell (cx, cy), as `find` lists them by their places, in both sides' columns less `carried`. A cell with many
+    rows is dealt over blocks, so that no task holds more of it than ROWS; only cells with rows on both sides are kept."""
+    count = lambda df, n, most: df.groupBy("cx", "cy").agg(F.ceil(F.count(F.lit(1)) / most).alias(n))
+    cells = checkpointed(count(left, "_nl", ROWS[0]).join(count(right, "_nr", ROWS[1]).hint("merge"), ["cx", "cy"]), "met")
+
+    def dealt(df: DataFrame, own: str, others: str, n: str, m: str) -> DataFrame:
+        # any number of a row will do, as long as it is one
+        df = df.withColumn("_id", F.monotonically_increasing_id()).join(cells.hint("merge"), ["cx", "cy"])
+        df = df.withColumn(own, F.pmod(F.xxhash64("_id"), F.col(n))).withColumn(others, F.explode(F.sequence(F.lit(0).cast("long"), F.col(m) - 1)))
+        return spread(df.drop("_id", "_nl", "_nr"), "cx", "cy", "_i", "_j").groupBy("cx", "cy", "_i", "_j")
+
+    fields = [(f, k) for k, df in enumerate((left, right)) for f in df.schema.fields if f.name not in (*carried, "cx", "cy") and (columns is None or f.name in columns)]
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        i, j = (np.concatenate(v) for v in zip((np.empty(0, np.int64),) * 2, *(find(a, b) if len(a) and len(b) else ()), strict=True))
+        at = [pa.array(i), pa.array(j)]
+        return pa.table([(a, b)[k].column(f.name).take(at[k]) for f, k in fields], names=[f.name for f, _ in fields])
+
+    return dealt(left, "_i", "_j", "_nl", "_nr").cogroup(dealt(right, "_j", "_i", "_nr", "_nl")).applyInArrow(run, StructType([f for f, _ in fields]))
+
+
+def _near(a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of boxes (xmin, ymin, xmax, ymax) that meet, some at a time."""
+    step = max(1, (1 << 20) // max(1, len(b[0])))
+    for k in range(0, len(a[0]), step):
+        w, s, e, n = (v[k : k + step, None] for v in a)
+        i, j = np.nonzero((w <= b[2]) & (b[0] <= e) & (s <= b[3]) & (b[1] <= n))
+        yield i + k, j
+
+
+def _some(i: np.ndarray, j: np.ndarray, work: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs some at a time, by what each costs."""
+    part = np.cumsum(work) // TESTED
+    for p, q in zip(*(np.searchsorted(part, np.unique(part), side) for side in ("left", "right")), strict=True):
+        yield i[p:q], j[p:q]
+
+
+def _numbers(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [table.column(n).to_numpy() for n in names]
+
+
+def _shapes(table: pa.Table, name: str) -> pa.Array:
+    return table.column(name).combine_chunks()
+
+
+def points_in(points: DataFrame, shapes: DataFrame, x: str, y: str, rings: str, size: float, how: str = "inner", columns: list[str] | None = None) -> DataFrame:
+    """Points joined to the shapes they are strictly inside of, by the even-odd rule over all rings. Cells are of the given size;
+    shapes of many cells meet points by a quadtree (operators.covers). columns: the ones wanted, by default all."""
+    b = geometry.bounds(F.flatten(rings))
+    wide = lambda low, high: _at(b[high], size) - _at(b[low], size) + 1
+    is_large = F.coalesce(wide("xmin", "xmax") * wide("ymin", "ymax") > LARGE, F.lit(False))
+    wanted = [c for c in (*points.columns, *shapes.columns) if columns is None or c in columns]
+
+    def find(p: pa.Table, s: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        of, at = flat_edges(_shapes(s, "_rings")), np.column_stack(_numbers(p, "_x", "_y"))
+        for i, j in _near([at[:, 0], at[:, 1]] * 2, _numbers(s, "_xmin", "_ymin", "_xmax", "_ymax")):
+            for m, n in _some(i, j, of[1][j]):
+                hit = pairs_inside(at, of, m, n)
+                yield m[hit], n[hit]
+
+    at = spread(covers.known(points, x, y)).withColumn("_x", F.col(x).cast("double")).withColumn("_y", F.col(y).cast("double")).withColumn("cx", _at(F.col(x), size)).withColumn("cy", _at(F.col(y), size))
+    small = listed(spread(shapes.filter(~is_large)).withColumn("_b", b), rings, size).drop("lx", "ly").withColumn("_rings", F.col(rings).cast(RINGS))
+    small = small.select("*", *(F.col(f"_b.{c}").alias(f"_{c}") for c in _BOX)).drop("_b", *(c for c in shapes.columns if c not in wanted))
+    found = _paired(at, small, wanted, find, ["_x", "_y", "_rings", *(f"_{c}" for c in _BOX)])
+    large = shapes.filter(is_large)
+    if large.limit(1).count():
+        found = found.unionByName(covers.pairs(points, large, covers.polygons(rings), x, y).select(*found.columns))
     if how == "inner":
         return found
     return found.unionByName(points.join(found.select(x, y).distinct().hint("merge"), [x, y], "left_anti"), allowMissingColumns=True)
 
 
-def meeting(left: DataFrame, right: DataFrame, left_rings: str, right_rings: str, size: float) -> DataFrame:
-    """Pairs of shapes that intersect, touching included. Column names must differ."""
-    def side(df: DataFrame, rings: str, p: str) -> DataFrame:
-        df = df.withColumn("_b", geometry.bounds(F.flatten(rings)))
-        return listed(spread(df), rings, size).select(*df.columns, "cx", "cy", F.col("lx").alias(f"{p}x"), F.col("ly").alias(f"{p}y")).withColumnRenamed("_b", f"{p}b")
+_BOX = ("xmin", "ymin", "xmax", "ymax")
+
+
+def meeting(left: DataFrame, right: DataFrame, left_rings: str, right_rings: str, size: float, columns: list[str] | None = None) -> DataFrame:
+    """Pairs of shapes that intersect, touching included. Column names must differ. columns: the ones wanted, by default all."""
+    wanted = [c for c in (*left.columns, *right.columns) if columns is None or c in columns]
+    carried = ["lx", "ly", "_rings", *(f"_{c}" for c in _BOX)]
+
+    def side(df: DataFrame, rings: str) -> DataFrame:
+        all_ = listed(spread(df.withColumn("_b", geometry.bounds(F.flatten(rings)))), rings, size).withColumn("_rings", F.col(rings).cast(RINGS))
+        return all_.select("*", *(F.col(f"_b.{c}").alias(f"_{c}") for c in _BOX)).drop("_b", *(c for c in df.columns if c not in wanted))
+
+    def find(a: pa.Table, b: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        columns_ = [_shapes(t, "_rings") for t in (a, b)]
+        p, q = map(flat_edges, columns_)
+        (ax, ay), (bx, by) = (_numbers(t, "lx", "ly") for t in (a, b))
+        cx, cy = a.column("cx")[0].as_py(), a.column("cy")[0].as_py()
+        for i, j in _near(*(_numbers(t, *(f"_{c}" for c in _BOX)) for t in (a, b))):
+            first = (np.maximum(ax[i], bx[j]) == cx) & (np.maximum(ay[i], by[j]) == cy)
+            i, j = i[first], j[first]
+            work = p[1][i] * q[1][j]
+            for m, n in _some(i[work <= AT_ONCE], j[work <= AT_ONCE], work[work <= AT_ONCE]):
+                hit = pairs_meet(p, q, m, n)
+                yield m[hit], n[hit]
+            for m, n in zip(i[work > AT_ONCE], j[work > AT_ONCE], strict=True):
+                if gap_of(*(next(unpacked(c.slice(int(k), 1))) for c, k in zip(columns_, (m, n), strict=True))) == 0:
+                    yield np.array([m]), np.array([n])
 
-    a, b = side(left, left_rings, "_l"), side(right, right_rings, "_r")
-    pairs = a.join(b.hint("merge"), ["cx", "cy"]).filter((F.col("cx") == F.greatest("_lx", "_rx")) & (F.col("cy") == F.greatest("_ly", "_ry")))
-    p, q = F.col("_lb"), F.col("_rb")
-    near = (p["xmin"] <= q["xmax"]) & (q["xmin"] <= p["xmax"]) & (p["ymin"] <= q["ymax"]) & (q["ymin"] <= p["ymax"])
-    return pairs.filter(near).filter(shapes_meet(F.col(left_rings), F.col(right_rings))).drop("cx", "cy", "_lx", "_ly", "_rx", "_ry", "_lb", "_rb")
+    return _paired(side(left, left_rings), side(right, right_rings), wanted, find, carried)
 
 
 def nearest_shape(points: DataFrame, shapes: DataFrame, key: str, shape_key: str, x: str, y: str, rings: str, radius: float, carry: list[str] = (), is_area: bool = True) -> DataFrame:

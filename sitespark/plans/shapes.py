@@ -26,7 +26,7 @@ def diamonds(spark, d):
 @query(f"WITH {SITES}, {ANCHORS}, {DIAMONDS} SELECT site_id, anchor_id FROM sites JOIN diamonds ON abs(sx - ax) + abs(sy - ay) < h")
 def sites_in_diamonds(spark, d):
     """Points strictly inside polygons."""
-    return polygons.points_in(sites.sites(spark, d).select("site_id", "sx", "sy"), diamonds(spark, d), "sx", "sy", "rings", 20000).select("site_id", "anchor_id")
+    return polygons.points_in(sites.sites(spark, d).select("site_id", "sx", "sy"), diamonds(spark, d), "sx", "sy", "rings", 20000, columns=["site_id", "anchor_id"])
 
 
 @query(f"""
@@ -35,7 +35,7 @@ WITH {SITES}, {BOXES}, {ANCHORS}, {DIAMONDS} SELECT site_id, anchor_id FROM boxe
 def parcels_meeting_diamonds(spark, d):
     """Polygons that intersect polygons, touching included."""
     b = sites.boxes(spark, d).withColumn("box", F.array(geometry.box_ring(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))))
-    return polygons.meeting(b, diamonds(spark, d), "box", "rings", 20000).select("site_id", "anchor_id")
+    return polygons.meeting(b, diamonds(spark, d), "box", "rings", 20000, columns=["site_id", "anchor_id"])
 
 
 _EDGES = "e AS (SELECT anchor_id, people, ax, ay, h, unnest([[1, 0, 0, 1], [0, 1, -1, 0], [-1, 0, 0, -1], [0, -1, 1, 0]]) AS k FROM diamonds), s AS (SELECT anchor_id, people, ax, ay, h, ax + k[1] * h AS x0, ay + k[2] * h AS y0, ax + k[3] * h AS x1, ay + k[4] * h AS y1 FROM e)"
