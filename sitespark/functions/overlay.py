@@ -269,6 +269,54 @@ def _starts_inside(of: Edges, other: Edges, i: np.ndarray, j: np.ndarray) -> np.
     return found
 
 
+#: Edges of a convex shape at most, for its half-planes to be looked at one by one.
+SIDES = 16
+
+
+def half_planes(shapes: Edges) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
+    """Which shapes are one convex ring of few edges; and their edges by number: dx, dy, dx * y - dy * x of a point on the edge, the
+    inside on the left, and the shape's greatest coordinate. Shapes with fewer edges have their last one again."""
+    edges, n, closed, _, per = shapes
+    first = np.cumsum(n) - n
+    most = int(n[n <= SIDES].max(initial=0))
+    ok = (per == 1) & (n > 2) & (n <= SIDES)
+    if not most or not ok.any():
+        return np.zeros(len(n), bool), []
+    at = np.where(ok[:, None], first[:, None] + np.minimum(np.arange(most), n[:, None] - 1), 0)
+    e = edges[at]
+    ok &= closed[at[:, 0]]
+    d = e[..., 2:] - e[..., :2]
+    real = np.arange(most) < n[:, None]
+    after = np.where(np.arange(most) + 1 < n[:, None], np.arange(most) + 1, 0)
+    f = np.take_along_axis(d, after[..., None].repeat(2, 2), 1)
+    turn = np.where(real, d[..., 0] * f[..., 1] - d[..., 1] * f[..., 0], 0)
+    around = np.where(real, np.arctan2(turn, (d * f).sum(2)), 0).sum(1)
+    ok &= ((turn >= 0).all(1) | (turn <= 0).all(1)) & (np.abs(np.abs(around) - 2 * np.pi) < 0.1)
+    d = d * np.where(around < 0, -1, 1)[:, None, None]
+    far = np.abs(e).max((1, 2))
+    return ok, [(d[:, k, 0], d[:, k, 1], d[:, k, 0] * e[:, k, 1] - d[:, k, 1] * e[:, k, 0], far) for k in range(most)]
+
+
+def told(boxes: list[np.ndarray], planes: tuple[np.ndarray, list[tuple[np.ndarray, ...]]], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of boxes (xmin, ymin, xmax, ymax) and convex shapes: 1 where all of box
+    i is inside shape j, -1 where it is beyond one of its edges, else 0."""
+    ok, sides = planes
+    out = np.zeros(len(i), np.int8)
+    rest = np.flatnonzero(ok[j]) if sides else np.empty(0, np.int64)
+    i, j = i[rest], j[rest]
+    w, s, e, n = (v[i] for v in boxes)
+    inside, beyond = np.ones(len(i), bool), np.zeros(len(i), bool)
+    reach = np.maximum.reduce([np.abs(v) for v in (w, s, e, n)])
+    for dx, dy, base, far in sides:
+        dx, dy, base = dx[j], dy[j], base[j]
+        room = (np.abs(dx) + np.abs(dy)) * np.maximum(far[j], reach) * 1e-14  # what rounding needs
+        up, right = dx > 0, dy > 0
+        beyond |= dx * np.where(up, n, s) - dy * np.where(right, w, e) - base < -room
+        inside &= dx * np.where(up, s, n) - dy * np.where(right, e, w) - base > room
+    out[rest] = inside.astype(np.int8) - beyond
+    return out
+
+
 def pairs_meet(left: Edges, right: Edges, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Which pairs of shapes i, j intersect, touching included: edges that have a point in common, or a ring's first point inside
     the other shape. That of most pairs is told by the points."""

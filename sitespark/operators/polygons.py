@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import geometry, sweep
-from ..functions.overlay import AT_ONCE, RINGS, flat_edges, gap_of, overlay, packed, pairs_inside, pairs_meet, total_area, unpacked
+from ..functions.overlay import AT_ONCE, RINGS, flat_edges, gap_of, half_planes, overlay, packed, pairs_inside, pairs_meet, told, total_area, unpacked
 from . import covers, dissolve, spatial
 from .shared import checkpointed, spread
 
@@ -94,7 +94,11 @@ def points_in(points: DataFrame, shapes: DataFrame, x: str, y: str, rings: str,
 
     def find(p: pa.Table, s: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         of, at = flat_edges(_shapes(s, "_rings")), np.column_stack(_numbers(p, "_x", "_y"))
+        planes = half_planes(of)
         for i, j in _near([at[:, 0], at[:, 1]] * 2, _numbers(s, "_xmin", "_ymin", "_xmax", "_ymax")):
+            known = told([at[:, 0], at[:, 1]] * 2, planes, i, j)
+            yield i[known > 0], j[known > 0]
+            i, j = i[known == 0], j[known == 0]
             for m, n in _some(i, j, of[1][j]):
                 hit = pairs_inside(at, of, m, n)
                 yield m[hit], n[hit]
@@ -128,9 +132,13 @@ def meeting(left: DataFrame, right: DataFrame, left_rings: str, right_rings: str
         p, q = map(flat_edges, columns_)
         (ax, ay), (bx, by) = (_numbers(t, "lx", "ly") for t in (a, b))
         cx, cy = a.column("cx")[0].as_py(), a.column("cy")[0].as_py()
-        for i, j in _near(*(_numbers(t, *(f"_{c}" for c in _BOX)) for t in (a, b))):
+        boxes, planes = [_numbers(t, *(f"_{c}" for c in _BOX)) for t in (a, b)], half_planes(q)
+        for i, j in _near(*boxes):
             first = (np.maximum(ax[i], bx[j]) == cx) & (np.maximum(ay[i], by[j]) == cy)
             i, j = i[first], j[first]
+            known = told(boxes[0], planes, i, j)
+            yield i[known > 0], j[known > 0]
+            i, j = i[known == 0], j[known == 0]
             work = p[1][i] * q[1][j]
             for m, n in _some(i[work <= AT_ONCE], j[work <= AT_ONCE], work[work <= AT_ONCE]):
                 hit = pairs_meet(p, q, m, n)

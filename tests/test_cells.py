@@ -60,3 +60,25 @@ def test_points_in_shapes_of_all_sizes(spark, monkeypatch, rows):
 
     want = [(p, k) for p, x, y in points if x is not None for k, rings in shapes if inside(x, y, rings)]
     assert got.columns == ["p", "k"] and sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 300
+
+
+def test_most_pairs_are_told_by_half_planes():
+    """Rings either way around; bent shapes, shapes with holes, stars that wind twice and nulls are not taken for convex."""
+    r = random.Random(7)
+    shapes = made(r, 60, 20)
+    t = np.arange(6) * 4 * np.pi / 5
+    star = RING(np.column_stack([np.cos(t), np.sin(t)]).round(6) * 30)
+    star[-1] = star[0]
+    rings = [arrays(s) for _, s in shapes] + [arrays([star])]
+    of = overlay.flat_edges(overlay.packed(rings))
+    ok, sides = planes = overlay.half_planes(of)
+    assert ok[:60].tolist() == [k % 5 in (0, 1, 2) for k in range(60)] and not ok[60:62].any() and not ok[-1] and len(sides) >= 4
+    low = np.array([[r.uniform(-50, 50), r.uniform(-50, 50)] for _ in range(300)])
+    boxes = [*low.T, *(low + 2).T]
+    i, j = (v.ravel() for v in np.meshgrid(np.arange(300), np.arange(len(rings)), indexing="ij"))
+    known = overlay.told(boxes, planes, i, j)
+    corners = [[np.array([(x, y), (x + 2, y), (x + 2, y + 2), (x, y + 2), (x, y)])] for x, y in low]
+    touch = overlay.pairs_meet(overlay.flat_edges(overlay.packed(corners)), of, i, j)
+    assert touch[known > 0].all() and not touch[known < 0].any() and (known[np.isin(j, np.flatnonzero(ok))] != 0).mean() > 0.8
+    whole = np.logical_and.reduce([overlay.pairs_inside(low + [a, b], of, i, j) for a in (0, 2) for b in (0, 2)])
+    assert whole[known > 0].all() and (known > 0).any() and (known < 0).any()
