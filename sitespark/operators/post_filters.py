@@ -34,7 +34,7 @@ def touching(candidates: DataFrame, key: str, rings: str, zones: DataFrame, zone
     areas = F.filter(zone_rings, lambda r: (F.size(r) > 3) & (r[0] == F.element_at(r, -1)))
     inside = covers.surely(at, zones.select(areas.cast(RINGS).alias("_zone")), covers.polygons("_zone"), "_x", "_y").withColumn("_in", F.lit(True))
     told = checkpointed(at.join(inside.hint("merge"), ["_x", "_y"], "left").drop("_x", "_y"), "told")
-    pairs = polygons.meeting(told.filter("_in is null").select(key, rings), zones.select(F.col(zone_rings).alias("_zone")), rings, "_zone", size)
+    pairs = polygons.meeting(told.filter("_in is null").select(key, rings), zones.select(F.col(zone_rings).alias("_zone")), rings, "_zone", size, columns=[key])
     return told.filter("_in").select(key).unionByName(pairs.select(key)).distinct()
 
 
